@@ -1,0 +1,114 @@
+"""The end-user datasets (J1-J7) as compositions of the operators.
+
+Each pipeline is a pure function of its input frames and the run clock; the
+load (partition append/overwrite or full refresh) is a separate, explicit
+action in :mod:`nestflow.sources.sinks`.  Selections on document-level
+columns (the creation time) run *before* the unnesting, so the fan-out only
+touches the documents of the run and a stored collection gets the filter at
+its scan; the result is the same as filtering last.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from nestflow.functions.clock import RunClock
+from nestflow.functions.periods import period_fanout
+from nestflow.functions.scalars import to_int, zero_if_null
+from nestflow.operators.filters import before, in_day
+from nestflow.operators.nested import (
+    count_nested,
+    flatten_struct,
+    require_nonempty,
+    unnest,
+    unnest_path,
+)
+from nestflow.operators.tables import align, canonical_calls, dedupe
+from nestflow.plans.documents import TJ_DATA_LIST
+from nestflow.sources.sinks import PARTITION_COL
+
+# Target column orders (the tables are filled in this order).
+M_CALL_COLUMNS = ["mobile", "create_time", "dial_type", "time", "peer_number", "user_id",
+                  "details_id", "duration", "type"]
+T_CALL_COLUMNS = ["mobile", "create_time", "dial_type", "time", "peer_number", "user_id",
+                  "duration", "type"]
+BILL_COLUMNS = ["mobile", "create_time", "total_fee", "bill_month"]
+CONTACT_COLUMNS = ["userId", "phone"]
+REAL_NAME_COLUMNS = ["phone", "userId"]
+
+# Provider T field -> canonical call field.
+T_CALL_FIELDS = {"trade_time": "duration", "call_type": "dial_type",
+                 "receive_phone": "peer_number", "call_time": "time"}
+M_CALL_FIELDS = ["peer_number", "details_id", "dial_type", "duration", "time"]
+
+
+def _tag(df: DataFrame, clock: RunClock) -> DataFrame:
+    return df.withColumn(PARTITION_COL, F.lit(clock.partition_value))
+
+
+def m_calls_flat(docs: DataFrame) -> DataFrame:
+    """P2 + G2 + P3: every call of every M document as a flat row."""
+    groups = docs.select("mobile", "user_id", "create_time", F.col("calls.items").alias("__items"))
+    calls = unnest(groups, "__items", "call", depth=2)
+    return flatten_struct(calls, "call", M_CALL_FIELDS, keep=["mobile", "user_id", "create_time"])
+
+
+def t_calls_flat(docs: DataFrame) -> DataFrame:
+    """P1 + G3 + P4: every call of every T document, phone carried down."""
+    items = unnest_path(docs, [TJ_DATA_LIST, "teldata", "items"], keep=["user_id", "create_time"],
+                        carry={0: {"mobile": "userdata.phone"}}, alias="item")
+    flat = flatten_struct(items, "item", keep=["mobile", "user_id", "create_time"])
+    return canonical_calls(flat, T_CALL_FIELDS, keep=["mobile", "user_id", "create_time"])
+
+
+def provider_t_calls(docs: DataFrame, clock: RunClock, keep_outside: bool = True) -> DataFrame:
+    """T call records, cumulative snapshot of documents created before
+    the run day, tagged by period, duration made int, de-duplicated."""
+    calls = t_calls_flat(before(docs, "create_time", clock.today_start))
+    tagged = period_fanout(calls, "time", "create_time", keep_outside=keep_outside)
+    typed = tagged.withColumn("duration", to_int("duration"))
+    return _tag(dedupe(typed, T_CALL_COLUMNS), clock)
+
+
+def provider_t_bills(docs: DataFrame, clock: RunClock) -> DataFrame:
+    """T bills (no de-duplication), fee as int with 0 for missing/bad."""
+    kept = before(docs, "create_time", clock.today_start)
+    items = unnest_path(kept, [TJ_DATA_LIST, "billdata"], keep=["create_time"],
+                        carry={0: {"mobile": "userdata.phone"}}, alias="item")
+    out = items.select("mobile", "create_time",
+                       zero_if_null(to_int("item.pay_fee")).alias("total_fee"),
+                       F.col("item.month").alias("bill_month"))
+    return _tag(align(out, BILL_COLUMNS), clock)
+
+
+def provider_m_calls(docs: DataFrame, clock: RunClock, bounds: str = "open",
+                     keep_outside: bool = True) -> DataFrame:
+    """M call records of documents created on the day before the run,
+    only for documents with at least one bill, tagged and de-duplicated."""
+    kept = require_nonempty(in_day(docs, "create_time", clock, bounds), "bills")
+    tagged = period_fanout(m_calls_flat(kept), "time", "create_time", keep_outside=keep_outside)
+    return _tag(dedupe(tagged, M_CALL_COLUMNS), clock)
+
+
+def provider_m_bills(docs: DataFrame, clock: RunClock, bounds: str = "open") -> DataFrame:
+    """M bills of the day's documents; fee neither cast nor defaulted."""
+    kept = in_day(docs, "create_time", clock, bounds)
+    bills = unnest(kept.select("mobile", "create_time", "bills"), "bills", "bill")
+    return _tag(flatten_struct(bills, "bill", ["total_fee", "bill_month"],
+                               keep=["mobile", "create_time"]), clock)
+
+
+def contacts_increment(contacts: DataFrame, clock: RunClock, bounds: str = "open") -> DataFrame:
+    """Contacts created on the day before the run."""
+    return _tag(align(in_day(contacts, "gmtCreate", clock, bounds), CONTACT_COLUMNS), clock)
+
+
+def real_name_refresh(names: DataFrame) -> DataFrame:
+    """The real-name dimension in target order (loaded by full refresh)."""
+    return align(names, REAL_NAME_COLUMNS)
+
+
+def nested_count(docs: DataFrame) -> DataFrame:
+    """Count of ``calls.items`` elements with details -- call *groups*."""
+    return count_nested(docs, "calls.items", "details_id")
