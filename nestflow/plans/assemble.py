@@ -13,7 +13,10 @@ So elements are gathered per ``(key, chunk)``:
   by shuffle otherwise;
 * a hot key's elements are spread over ``ceil(n / max_elements)`` chunks by a
   hash of ``spread`` columns; every other key has chunk 0, so small data
-  gives exactly one group per key.
+  gives exactly one group per key.  Hash spreading makes ``max_elements`` a
+  target: for a key of ``n`` elements a chunk exceeds it by about
+  ``sqrt(max_elements * ln(n / max_elements))`` at most (a few percent at the
+  default), never by a factor that grows with ``n``.
 
 ``spread`` must separate identical rows, so for a raw scan it includes the
 row's position in its input split (``monotonically_increasing_id`` taken
@@ -45,13 +48,14 @@ class HotKeys:
 
 
 def find_hot_keys(count_source: DataFrame, keys: Sequence[str],
-                  max_elements: int = MAX_ELEMENTS) -> HotKeys:
-    """Keys of ``count_source`` (one row per element) with more than
-    ``max_elements`` rows, and how many chunks each needs."""
+                  max_elements: int = MAX_ELEMENTS, weight: str | None = None) -> HotKeys:
+    """Keys of ``count_source`` with more than ``max_elements`` elements, and
+    how many chunks each needs.  A row is one element, or ``weight`` of them."""
     keys = list(keys)
-    hot = (count_source.groupBy(*keys).count()
-           .filter(F.col("count") > max_elements)
-           .select(*keys, F.ceil(F.col("count") / F.lit(max_elements)).cast("int").alias("__nb")))
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    hot = (count_source.groupBy(*keys).agg(n.alias("__n"))
+           .filter(F.col("__n") > max_elements)
+           .select(*keys, F.ceil(F.col("__n") / F.lit(max_elements)).cast("int").alias("__nb")))
     rows = hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).collect()
     if not rows:
         return HotKeys(keys, None, True)
@@ -61,6 +65,17 @@ def find_hot_keys(count_source: DataFrame, keys: Sequence[str],
     return HotKeys(keys, hot, False)
 
 
+def chunks_per_key(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__w") -> DataFrame:
+    """``df`` with the number of chunks its ``key_col`` value was split into
+    (1 unless hot) -- the weight of that key one nesting level up."""
+    if not hot.any:
+        return df.withColumn(name, F.lit(1))
+    table = hot.table.withColumnRenamed(hot.keys[0], key_col)
+    table = F.broadcast(table) if hot.small else table
+    return (df.join(table, on=key_col, how="left")
+              .withColumn(name, F.coalesce(F.col("__nb"), F.lit(1))).drop("__nb"))
+
+
 def with_position(df: DataFrame) -> DataFrame:
     """Tag rows with their input position (call right after the scan)."""
     return df.withColumn(POSITION_COL, F.monotonically_increasing_id())

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from nestflow.plans.assemble import (
     MAX_ELEMENTS,
     POSITION_COL,
+    chunks_per_key,
     find_hot_keys,
     with_chunk,
     with_position,
@@ -104,7 +105,10 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     groups = li.groupBy("l_orderkey", "__ic").agg(F.collect_list(item()).alias("items"))
 
     # Level 2: call groups and bills -> one document per (customer, chunk).
-    hot_customers = find_hot_keys(orders.select("o_custkey"), ["o_custkey"], max_elements)
+    # A customer's elements are its call groups: one per order, or one per
+    # chunk of a split order.
+    weights = chunks_per_key(orders.select("o_orderkey", "o_custkey"), hot_orders, "o_orderkey")
+    hot_customers = find_hot_keys(weights, ["o_custkey"], max_elements, weight="__w")
     if hot_customers.any:
         orders = with_position(orders)
     base = ["o_orderkey", "o_custkey", "o_orderdate"] + ([POSITION_COL] if hot_customers.any else [])
