@@ -79,6 +79,25 @@ def time_parse(token: str | Column, create: str | Column, time: str | Column,
             .otherwise(F.lit(OUTSIDE_LABEL)))
 
 
+def _candidates(t: Column, c: Column, periods: Sequence[int], horizon: int,
+                keep_outside: bool) -> Column:
+    """Candidate labels from whole-second ``TIMESTAMP_NTZ`` columns ``t`` and
+    ``c``; a NULL element is a label that does not apply."""
+    inside = F.array(
+        *[F.when(_inside(t, c, d), F.lit(str(d))) for d in sorted(periods)],
+        F.when(_month_rule(t, c), F.lit(MONTHS_LABEL)),
+    )
+    outside = F.array(F.lit(OUTSIDE_LABEL) if keep_outside else F.lit(None).cast("string"))
+    return (F.when(t.isNull() | c.isNull(), F.lit(None).cast("array<string>"))
+            .when(_inside(t, c, horizon), inside)
+            .otherwise(outside))
+
+
+def _labels(t: Column, c: Column, periods: Sequence[int], horizon: int,
+            keep_outside: bool) -> Column:
+    return F.array_compact(_candidates(t, c, periods, horizon, keep_outside))
+
+
 def period_labels(create: str | Column, time: str | Column,
                   periods: Sequence[int] = PERIOD_DAYS,
                   horizon: int = HORIZON_DAYS,
@@ -89,15 +108,7 @@ def period_labels(create: str | Column, time: str | Column,
     outside the horizon (``[]`` with ``keep_outside=False``); otherwise the
     passing period labels plus the month label when it applies.
     """
-    t, c = _whole_seconds(time), _whole_seconds(create)
-    inside = F.array_compact(F.array(
-        *[F.when(_inside(t, c, d), F.lit(str(d))) for d in sorted(periods)],
-        F.when(_month_rule(t, c), F.lit(MONTHS_LABEL)),
-    ))
-    outside = F.array(F.lit(OUTSIDE_LABEL)) if keep_outside else F.array().cast("array<string>")
-    return (F.when(t.isNull() | c.isNull(), F.lit(None).cast("array<string>"))
-            .when(_inside(t, c, horizon), inside)
-            .otherwise(outside))
+    return _labels(_whole_seconds(time), _whole_seconds(create), periods, horizon, keep_outside)
 
 
 def period_fanout(df: DataFrame, time: str, create: str, out: str = "type",
@@ -110,8 +121,14 @@ def period_fanout(df: DataFrame, time: str, create: str, out: str = "type",
     same rows; it exists to test the native form against.
     """
     if method == "native":
-        labels = period_labels(create, time, periods, horizon, keep_outside)
-        return df.select("*", F.explode(labels).alias(out))
+        # Parse and truncate each time once, in a projection below the
+        # generator; explode the candidates and drop the ones that do not
+        # apply with a plain filter (all of it stays in generated code).
+        t, c = "__nf_t", "__nf_c"
+        prepared = df.withColumns({t: _whole_seconds(time), c: _whole_seconds(create)})
+        labels = _candidates(F.col(t), F.col(c), periods, horizon, keep_outside)
+        exploded = prepared.select("*", F.explode(labels).alias(out))
+        return exploded.filter(F.col(out).isNotNull()).drop(t, c)
     if method != "tokens":
         raise ValueError(f"unknown method {method!r}")
     tok = "__period_token"

@@ -176,3 +176,5 @@ SELECT event_id, user_id, ts, '20240114' AS partition_time FROM events, (VALUES
 WHERE {_EV_DAY}""",
     "collection_roundtrip": "SELECT c_custkey, c_name, c_acctbal FROM customer",
 }
+ORACLES["calls_gated_by_explode"] = ORACLES["calls_gated_by_bills"]
+ORACLES["daily_increment_wrapped"] = ORACLES["daily_increment"]

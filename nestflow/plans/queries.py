@@ -105,6 +105,14 @@ def q_calls_gated_by_bills(spark, sf):
     return dedupe(P.m_calls_flat(docs), [c for c in P.M_CALL_COLUMNS if c != "type"])
 
 
+def q_calls_gated_by_explode(spark, sf):
+    """The reference's literal gate: explode the bills, never use them, and
+    let DISTINCT remove the copies.  Same rows as the size() gate."""
+    docs = D.mx_documents(spark, sf)
+    exploded = docs.select("mobile", "user_id", "create_time", "calls", F.explode("bills").alias("__bill"))
+    return dedupe(P.m_calls_flat(exploded.drop("__bill")), [c for c in P.M_CALL_COLUMNS if c != "type"])
+
+
 def q_bills_int_fee(spark, sf):
     items = unnest_path(D.tj_documents(spark, sf), [D.TJ_DATA_LIST, "billdata"], keep=["create_time"],
                         carry={0: {"mobile": "userdata.phone"}}, alias="item")
@@ -146,6 +154,16 @@ def q_daily_increment(spark, sf):
     return in_day(_t(spark, sf, "events"), "ts", EVENTS_CLOCK)
 
 
+def q_daily_increment_wrapped(spark, sf):
+    """The reference's form of the day filter: the column wrapped in a
+    parse and truncation, which cannot reach the Parquet scan."""
+    from nestflow.functions.scalars import to_ts, trunc_second
+
+    ev = _t(spark, sf, "events")
+    t = trunc_second(to_ts(F.col("ts").cast("string")))
+    return ev.filter((t > EVENTS_CLOCK.yesterday_start_col()) & (t < EVENTS_CLOCK.today_start_col()))
+
+
 def q_midnight_loss(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     day = in_day(o, "o_orderdate", MIDNIGHT_CLOCK, bounds="left_closed")
@@ -274,12 +292,14 @@ QUERIES: dict[str, QueryFn] = {
     "unnest_calls": q_unnest_calls,
     "unnest_three_level": q_unnest_three_level,
     "calls_gated_by_bills": q_calls_gated_by_bills,
+    "calls_gated_by_explode": q_calls_gated_by_explode,
     "bills_int_fee": q_bills_int_fee,
     "split_explode": q_split_explode,
     "nested_group_count": q_nested_group_count,
     "distinct_records": q_distinct_records,
     "snapshot_cutoff": q_snapshot_cutoff,
     "daily_increment": q_daily_increment,
+    "daily_increment_wrapped": q_daily_increment_wrapped,
     "midnight_loss": q_midnight_loss,
     "partition_tagged": q_partition_tagged,
     "provider_t_calls": q_provider_t_calls,
