@@ -92,29 +92,37 @@ def q_time_parse_labels(spark, sf):
                       time_parse("token", "create_time", "o_orderdate").alias("label"))
 
 
+def _mx(spark, sf, schema=D.M_CALLS_SCHEMA):
+    return D.stored_collection(spark, sf, "mx", schema)
+
+
+def _tj(spark, sf, schema=D.T_CALLS_SCHEMA):
+    return D.stored_collection(spark, sf, "tj", schema)
+
+
 def q_unnest_calls(spark, sf):
-    return P.m_calls_flat(D.mx_documents(spark, sf))
+    return P.m_calls_flat(_mx(spark, sf))
 
 
 def q_unnest_three_level(spark, sf):
-    return P.t_calls_flat(D.tj_documents(spark, sf))
+    return P.t_calls_flat(_tj(spark, sf))
 
 
 def q_calls_gated_by_bills(spark, sf):
-    docs = require_nonempty(D.mx_documents(spark, sf), "bills")
+    docs = require_nonempty(_mx(spark, sf), "bills")
     return dedupe(P.m_calls_flat(docs), [c for c in P.M_CALL_COLUMNS if c != "type"])
 
 
 def q_calls_gated_by_explode(spark, sf):
     """The reference's literal gate: explode the bills, never use them, and
     let DISTINCT remove the copies.  Same rows as the size() gate."""
-    docs = D.mx_documents(spark, sf)
+    docs = _mx(spark, sf)
     exploded = docs.select("mobile", "user_id", "create_time", "calls", F.explode("bills").alias("__bill"))
     return dedupe(P.m_calls_flat(exploded.drop("__bill")), [c for c in P.M_CALL_COLUMNS if c != "type"])
 
 
 def q_bills_int_fee(spark, sf):
-    items = unnest_path(D.tj_documents(spark, sf), [D.TJ_DATA_LIST, "billdata"], keep=["create_time"],
+    items = unnest_path(_tj(spark, sf, D.T_BILLS_SCHEMA), [D.TJ_DATA_LIST, "billdata"], keep=["create_time"],
                         carry={0: {"mobile": "userdata.phone"}}, alias="item")
     return items.select("mobile", "create_time",
                         zero_if_null(to_int("item.pay_fee")).alias("total_fee"),
@@ -127,7 +135,7 @@ def q_split_explode(spark, sf):
 
 
 def q_nested_group_count(spark, sf):
-    return _group_and_call_counts(D.mx_documents(spark, sf))
+    return _group_and_call_counts(_mx(spark, sf, D.M_COUNT_SCHEMA))
 
 
 def _group_and_call_counts(docs: DataFrame) -> DataFrame:
@@ -178,19 +186,19 @@ def q_partition_tagged(spark, sf):
 
 
 def q_provider_t_calls(spark, sf):
-    return P.provider_t_calls(D.tj_documents(spark, sf), T_CLOCK)
+    return P.provider_t_calls(_tj(spark, sf), T_CLOCK)
 
 
 def q_provider_t_bills(spark, sf):
-    return P.provider_t_bills(D.tj_documents(spark, sf), T_CLOCK)
+    return P.provider_t_bills(_tj(spark, sf, D.T_BILLS_SCHEMA), T_CLOCK)
 
 
 def q_provider_m_calls(spark, sf):
-    return P.provider_m_calls(D.mx_documents(spark, sf), M_CLOCK)
+    return P.provider_m_calls(_mx(spark, sf), M_CLOCK)
 
 
 def q_provider_m_bills(spark, sf):
-    return P.provider_m_bills(D.mx_documents(spark, sf), M_CLOCK)
+    return P.provider_m_bills(_mx(spark, sf, D.M_BILLS_SCHEMA), M_CLOCK)
 
 
 def q_contacts_increment(spark, sf):
@@ -206,7 +214,7 @@ def q_real_name_refresh(spark, sf):
 
 
 def q_nested_count(spark, sf):
-    return P.nested_count(D.mx_documents(spark, sf))
+    return P.nested_count(_mx(spark, sf, D.M_COUNT_SCHEMA))
 
 
 def _customers(spark, sf):
