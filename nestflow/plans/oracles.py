@@ -178,3 +178,9 @@ WHERE {_EV_DAY}""",
 }
 ORACLES["calls_gated_by_explode"] = ORACLES["calls_gated_by_bills"]
 ORACLES["daily_increment_wrapped"] = ORACLES["daily_increment"]
+ORACLES["legacy_sql_call_record"] = _fanout(
+    f"""SELECT mobile, dial_type, strftime(time, '%Y-%m-%d %H:%M:%S') AS time, peer_number, user_id,
+               strftime(create_time, '%Y-%m-%d %H:%M:%S') AS create_time, details_id, duration
+        FROM ({_M_CALLS}) c""",
+    "CAST(time AS TIMESTAMP)", "CAST(create_time AS TIMESTAMP)",
+    "mobile, dial_type, time, peer_number, user_id, create_time, details_id, duration")

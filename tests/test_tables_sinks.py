@@ -103,3 +103,17 @@ def test_with_views(spark, base):
 def test_shared_dir_from_session(spark):
     assert shared_dir(spark).startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
     assert os.path.basename(scratch_path(spark, "x")).startswith("x-")
+
+
+def test_use_database_and_show(spark, base, capsys):
+    from nestflow.operators.nested import field
+    from nestflow.sources.sinks import show_result, use_database
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS nf_db")
+    try:
+        use_database(spark, "nf_db")
+        assert spark.catalog.currentDatabase() == "nf_db"
+    finally:
+        use_database(spark, "default")
+    show_result(base.select(field("s", "text")))
+    assert "text" in capsys.readouterr().out
