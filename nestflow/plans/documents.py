@@ -56,6 +56,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _text(c: str) -> Column:
+    """Wall-clock text ``yyyy-MM-dd HH:mm:ss`` of a ``TIMESTAMP_NTZ`` (zone-free)."""
+    return F.col(c).cast("string")
+
+
+def _month_text(c: str) -> Column:
+    return F.substring(_text(c), 1, 7)
+
+
 def _mx_item() -> Column:
     return F.struct(
         F.col("l_suppkey").cast("string").alias("peer_number"),
@@ -69,13 +78,13 @@ def _mx_item() -> Column:
 def _mx_bill() -> Column:
     return F.struct(
         F.col("o_totalprice").try_cast("int").alias("total_fee"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("bill_month"),
+        _month_text("o_orderdate").alias("bill_month"),
     )
 
 
 def _tj_item() -> Column:
     return F.struct(
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("call_time"),
+        _text("l_shipdate").alias("call_time"),
         F.col("l_suppkey").cast("string").alias("receive_phone"),
         F.col("l_linestatus").alias("call_type"),
         F.col("l_quantity").cast("string").alias("trade_time"),
@@ -85,7 +94,7 @@ def _tj_item() -> Column:
 def _tj_bill() -> Column:
     fee = (F.when(F.col("o_orderpriority") == F.lit(UNKNOWN_FEE_PRIORITY), F.lit("unknown"))
            .otherwise(F.col("o_totalprice").cast("string")))
-    return F.struct(fee.alias("pay_fee"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    return F.struct(fee.alias("pay_fee"), _month_text("o_orderdate").alias("month"))
 
 
 def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Column],
@@ -155,7 +164,7 @@ def tj_documents(spark: SparkSession, sf_dir: str, max_elements: int = MAX_ELEME
     )
     return docs.select(
         F.concat(F.lit("U"), F.col("o_custkey")).alias("user_id"),
-        F.date_format("create_time", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
+        _text("create_time").alias("create_time"),
         F.struct(F.struct(F.array(element).alias("data_list")).alias("data")).alias(TJ_ROOT),
     )
 
@@ -188,7 +197,7 @@ def real_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # creation time reach the scan.  Files are sorted by creation time so
 # row-group statistics let a daily run skip most of a large collection.
 
-COLLECTION_VERSION = "1"
+COLLECTION_VERSION = "2"
 SOURCES = {"mx": ["lineitem", "orders"], "tj": ["lineitem", "orders"],
            "contacts": ["events"], "real_names": ["customer"]}
 BUILDERS: dict[str, Callable[..., DataFrame]] = {}

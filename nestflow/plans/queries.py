@@ -145,8 +145,8 @@ def q_legacy_sql_call_record(spark, sf):
 
     register_sql_functions(spark)
     flat = P.m_calls_flat(_mx(spark, sf)).select(
-        "mobile", "dial_type", F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "peer_number",
-        "user_id", F.date_format("create_time", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
+        "mobile", "dial_type", F.col("time").cast("string").alias("time"), "peer_number",
+        "user_id", F.col("create_time").cast("string").alias("create_time"),
         "details_id", "duration")
     flat.createOrReplaceTempView("nf_m_calls")
     return spark.sql(LEGACY_CALL_RECORD_SQL)
