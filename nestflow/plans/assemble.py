@@ -76,6 +76,18 @@ def chunks_per_key(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__w")
               .withColumn(name, F.coalesce(F.col("__nb"), F.lit(1))).drop("__nb"))
 
 
+def with_chunk_copies(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__chunk") -> DataFrame:
+    """One row per chunk of the row's key (chunk 0 only unless hot): the
+    other side of a salted join with chunked rows of the same key."""
+    if not hot.any:
+        return df.withColumn(name, F.lit(0))
+    table = hot.table.withColumnRenamed(hot.keys[0], key_col)
+    table = F.broadcast(table) if hot.small else table
+    n = F.coalesce(F.col("__nb"), F.lit(1))
+    return (df.join(table, on=key_col, how="left")
+              .withColumn(name, F.explode(F.sequence(F.lit(0), n - 1))).drop("__nb"))
+
+
 def with_position(df: DataFrame) -> DataFrame:
     """Tag rows with their input position (call right after the scan)."""
     return df.withColumn(POSITION_COL, F.monotonically_increasing_id())

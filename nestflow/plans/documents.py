@@ -34,6 +34,7 @@ from nestflow.plans.assemble import (
     MAX_ELEMENTS,
     POSITION_COL,
     chunks_per_key,
+    with_chunk_copies,
     find_hot_keys,
     with_chunk,
     with_position,
@@ -98,12 +99,16 @@ def _tj_bill() -> Column:
 
 
 def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Column],
-                        bill: Callable[[], Column], max_elements: int) -> DataFrame:
-    """(o_custkey, create_time, calls, bills) with bounded arrays."""
-    li = table(spark, sf_dir, "lineitem").select(
+                        bill: Callable[[], Column], max_elements: int,
+                        lineitem: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
+    """(o_custkey, create_time, calls, bills) with bounded arrays.
+
+    ``lineitem`` / ``orders`` replace the tables read from ``sf_dir`` (they
+    must be narrow projections of a scan, so row positions stay stable)."""
+    li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus",
         "l_quantity", "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select(
+    orders = (orders if orders is not None else table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 
     # Level 1: line items -> one call group per (order, chunk).
@@ -121,10 +126,15 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     if hot_customers.any:
         orders = with_position(orders)
     base = ["o_orderkey", "o_custkey", "o_orderdate"] + ([POSITION_COL] if hot_customers.any else [])
-    calls = (orders.join(groups, orders.o_orderkey == groups.l_orderkey, "left")
-             .select(*[orders[c] for c in base],
-                     F.coalesce(groups["__ic"], F.lit(0)).alias("__ic"),
-                     F.struct(groups["items"].alias("items")).alias("call"),
+    # Join orders to their call groups on (order, chunk): a hot order's row is
+    # repeated once per chunk (at most rows / max_elements copies overall),
+    # so its groups spread over many join tasks instead of one.
+    keyed = with_chunk_copies(orders.select(*base), hot_orders, "o_orderkey", "__ic")
+    g = groups.select(F.col("l_orderkey"), F.col("__ic").alias("__gic"), "items")
+    calls = (keyed.join(g, (keyed.o_orderkey == g.l_orderkey) & (keyed["__ic"] == g["__gic"]), "left")
+             .filter(g["items"].isNotNull() | (keyed["__ic"] == 0))
+             .select(*[keyed[c] for c in base], keyed["__ic"],
+                     F.struct(g["items"].alias("items")).alias("call"),
                      F.lit(None).alias("bill")))
     is_bill = (F.col("o_orderstatus") == F.lit(BILL_STATUS)) & (F.col("o_totalprice") > F.lit(BILL_MIN_PRICE))
     bills = orders.filter(is_bill).select(*base, F.lit(0).alias("__ic"),
@@ -146,8 +156,9 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     )
 
 
-def mx_documents(spark: SparkSession, sf_dir: str, max_elements: int = MAX_ELEMENTS) -> DataFrame:
-    docs = _customer_documents(spark, sf_dir, _mx_item, _mx_bill, max_elements)
+def mx_documents(spark: SparkSession, sf_dir: str, max_elements: int = MAX_ELEMENTS,
+                 lineitem: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
+    docs = _customer_documents(spark, sf_dir, _mx_item, _mx_bill, max_elements, lineitem, orders)
     return docs.select(
         F.col("o_custkey").cast("string").alias("mobile"),
         F.concat(F.lit("U"), F.col("o_custkey")).alias("user_id"),
@@ -230,12 +241,24 @@ def _rename(spark: SparkSession, src: str, dst: str) -> bool:
     return s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(s, d)
 
 
+def _code_signature() -> str:
+    """Hash of the builder code, so a changed builder never reuses an old
+    collection."""
+    import hashlib
+    import inspect
+
+    from nestflow.plans import assemble
+
+    src = inspect.getsource(inspect.getmodule(_customer_documents)) + inspect.getsource(assemble)
+    return hashlib.sha1(src.encode()).hexdigest()[:8]
+
+
 def collection_path(spark: SparkSession, sf_dir: str, kind: str,
                     max_elements: int = MAX_ELEMENTS) -> str:
     from nestflow.sources.sinks import shared_dir
 
     srcs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCES[kind]]
-    sig = _fs_signature(spark, srcs)
+    sig = f"{_code_signature()}-{_fs_signature(spark, srcs)}"
     return shared_dir(spark, "nestflow", "collections", f"{kind}-v{COLLECTION_VERSION}-m{max_elements}-{sig}")
 
 

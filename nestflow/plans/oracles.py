@@ -184,3 +184,11 @@ ORACLES["legacy_sql_call_record"] = _fanout(
         FROM ({_M_CALLS}) c""",
     "CAST(time AS TIMESTAMP)", "CAST(create_time AS TIMESTAMP)",
     "mobile, dial_type, time, peer_number, user_id, create_time, details_id, duration")
+ORACLES["unnest_calls_skewed"] = """
+SELECT CAST(o.o_custkey AS VARCHAR) AS mobile, 'U' || CAST(o.o_custkey AS VARCHAR) AS user_id,
+       CAST(l.l_suppkey AS VARCHAR) AS peer_number, concat(l.l_orderkey, '-', l.l_linenumber) AS details_id,
+       l.l_returnflag AS dial_type, CAST(trunc(l.l_quantity) AS INTEGER) AS duration, l.l_shipdate AS time
+FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS l_orderkey, l_linenumber, l_suppkey,
+             l_returnflag, l_quantity, l_shipdate FROM lineitem) l
+JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN 0 ELSE o_custkey END AS o_custkey FROM orders) o
+  ON l.l_orderkey = o.o_orderkey"""

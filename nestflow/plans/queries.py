@@ -104,6 +104,22 @@ def q_unnest_calls(spark, sf):
     return P.m_calls_flat(_mx(spark, sf))
 
 
+def q_unnest_calls_skewed(spark, sf):
+    """Documents where one order holds a third of all line items and one
+    customer a third of all orders (keys remapped, every row kept): the
+    hot order is split into several call groups and the hot customer into
+    several documents, and unnesting still returns every call once.  The
+    creation time is per document, so it is left out of the comparison."""
+    li = _t(spark, sf, "lineitem").withColumn(
+        "l_orderkey", F.when(F.pmod("l_orderkey", F.lit(3)) == 0, F.lit(0).cast("bigint"))
+        .otherwise(F.col("l_orderkey")))
+    orders = _t(spark, sf, "orders").withColumn(
+        "o_custkey", F.when(F.pmod("o_orderkey", F.lit(3)) == 1, F.lit(0).cast("bigint"))
+        .otherwise(F.col("o_custkey")))
+    docs = D.mx_documents(spark, sf, lineitem=li, orders=orders)
+    return P.m_calls_flat(docs).drop("create_time")
+
+
 def q_unnest_three_level(spark, sf):
     return P.t_calls_flat(_tj(spark, sf))
 
@@ -330,6 +346,7 @@ QUERIES: dict[str, QueryFn] = {
     "time_parse_labels": q_time_parse_labels,
     "unnest_calls": q_unnest_calls,
     "unnest_three_level": q_unnest_three_level,
+    "unnest_calls_skewed": q_unnest_calls_skewed,
     "calls_gated_by_bills": q_calls_gated_by_bills,
     "calls_gated_by_explode": q_calls_gated_by_explode,
     "bills_int_fee": q_bills_int_fee,

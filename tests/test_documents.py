@@ -36,3 +36,32 @@ def test_t_documents_shape(spark):
     assert docs.columns == ["user_id", "create_time", "wd_api_mobilephone_getdatav2_response"]
     r = docs.select(F.col(D.TJ_DATA_LIST).getItem(0).alias("e")).first()
     assert r.e.userdata.phone is not None
+
+
+def test_hot_keys_beyond_broadcast_limit_use_shuffle_join(spark, monkeypatch):
+    from nestflow.plans import assemble
+
+    monkeypatch.setattr(assemble, "HOT_KEY_BROADCAST_LIMIT", 0)
+    li = D.table(spark, SF, "lineitem").select("l_orderkey")
+    hot = assemble.find_hot_keys(li, ["l_orderkey"], 2)
+    assert hot.any and not hot.small
+    split = D.mx_documents(spark, SF, max_elements=2)
+    a = P.m_calls_flat(D.mx_documents(spark, SF)).drop("create_time")
+    b = P.m_calls_flat(split).drop("create_time")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_skewed_documents_are_split(spark):
+    from nestflow.plans.queries import q_unnest_calls_skewed
+
+    out = q_unnest_calls_skewed(spark, "/root/testdata/sf0.01")
+    assert out.count() == D.table(spark, "/root/testdata/sf0.01", "lineitem").count()
+    # the hot customer "0" is spread over several documents of bounded size
+    li = D.table(spark, "/root/testdata/sf0.01", "lineitem").withColumn(
+        "l_orderkey", F.when(F.pmod("l_orderkey", F.lit(3)) == 0, F.lit(0).cast("bigint")).otherwise(F.col("l_orderkey")))
+    o = D.table(spark, "/root/testdata/sf0.01", "orders").withColumn(
+        "o_custkey", F.when(F.pmod("o_orderkey", F.lit(3)) == 1, F.lit(0).cast("bigint")).otherwise(F.col("o_custkey")))
+    docs = D.mx_documents(spark, "/root/testdata/sf0.01", lineitem=li, orders=o)
+    assert docs.filter("mobile = '0'").count() >= 5
+    assert docs.select(F.max(F.size("calls"))).first()[0] <= 1300
+    assert docs.select(F.explode("calls.items").alias("g")).select(F.max(F.size("g"))).first()[0] <= 1300
