@@ -116,7 +116,10 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     if hot_orders.any:
         li = with_position(li)
     li = with_chunk(li, hot_orders, ["l_orderkey", POSITION_COL] if hot_orders.any else [], "__ic")
-    groups = li.groupBy("l_orderkey", "__ic").agg(F.collect_list(item()).alias("items"))
+    # collect_list cannot shrink data map-side (a partial buffer holds every
+    # element), so shuffle rows on the salted key and aggregate once.
+    groups = (li.repartition("l_orderkey", "__ic")
+              .groupBy("l_orderkey", "__ic").agg(F.collect_list(item()).alias("items")))
 
     # Level 2: call groups and bills -> one document per (customer, chunk).
     # A customer's elements are its call groups: one per order, or one per
@@ -142,7 +145,7 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     rows = calls.unionByName(bills, allowMissingColumns=True)
     spread = ["o_orderkey", "__ic", POSITION_COL] if hot_customers.any else []
     rows = with_chunk(rows, hot_customers, spread, "__dc")
-    docs = rows.groupBy("o_custkey", "__dc").agg(
+    docs = rows.repartition("o_custkey", "__dc").groupBy("o_custkey", "__dc").agg(
         F.max("o_orderdate").alias("__last"),
         F.collect_list("call").alias("calls"),
         F.collect_list("bill").alias("bills"),
