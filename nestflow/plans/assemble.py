@@ -88,9 +88,9 @@ def with_chunk_copies(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__
               .withColumn(name, F.explode(F.sequence(F.lit(0), n - 1))).drop("__nb"))
 
 
-def with_position(df: DataFrame) -> DataFrame:
+def with_position(df: DataFrame, name: str = POSITION_COL) -> DataFrame:
     """Tag rows with their input position (call right after the scan)."""
-    return df.withColumn(POSITION_COL, F.monotonically_increasing_id())
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
 def with_chunk(df: DataFrame, hot: HotKeys, spread: Sequence[str | Column],

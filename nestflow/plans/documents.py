@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from nestflow.plans.assemble import (
     MAX_ELEMENTS,
-    POSITION_COL,
     chunks_per_key,
     with_chunk_copies,
     find_hot_keys,
@@ -111,39 +110,43 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     orders = (orders if orders is not None else table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 
-    # Level 1: line items -> one call group per (order, chunk).
+    # Level 1: line items -> one call group per (order, chunk).  Items are
+    # joined to their order on the salted key (order, chunk) -- a hot order's
+    # row is repeated once per chunk, at most rows / max_elements copies
+    # overall -- and gathered right after the join, which is already
+    # partitioned on that key: the items cross the network once.
     hot_orders = find_hot_keys(li.select("l_orderkey"), ["l_orderkey"], max_elements)
     if hot_orders.any:
-        li = with_position(li)
-    li = with_chunk(li, hot_orders, ["l_orderkey", POSITION_COL] if hot_orders.any else [], "__ic")
-    # collect_list cannot shrink data map-side (a partial buffer holds every
-    # element), so shuffle rows on the salted key and aggregate once.
-    groups = (li.repartition("l_orderkey", "__ic")
-              .groupBy("l_orderkey", "__ic").agg(F.collect_list(item()).alias("items")))
-
-    # Level 2: call groups and bills -> one document per (customer, chunk).
-    # A customer's elements are its call groups: one per order, or one per
-    # chunk of a split order.
+        li = with_position(li, "__lpos")
+    li = with_chunk(li, hot_orders, ["l_orderkey", "__lpos"] if hot_orders.any else [], "__lic")
+
+    # Level 2 needs to know its hot customers before the order rows are read:
+    # a customer's elements are its call groups (one per order, or one per
+    # chunk of a split order).
     weights = chunks_per_key(orders.select("o_orderkey", "o_custkey"), hot_orders, "o_orderkey")
     hot_customers = find_hot_keys(weights, ["o_custkey"], max_elements, weight="__w")
     if hot_customers.any:
-        orders = with_position(orders)
-    base = ["o_orderkey", "o_custkey", "o_orderdate"] + ([POSITION_COL] if hot_customers.any else [])
-    # Join orders to their call groups on (order, chunk): a hot order's row is
-    # repeated once per chunk (at most rows / max_elements copies overall),
-    # so its groups spread over many join tasks instead of one.
+        orders = with_position(orders, "__opos")
+    base = ["o_orderkey", "o_custkey", "o_orderdate"] + (["__opos"] if hot_customers.any else [])
     keyed = with_chunk_copies(orders.select(*base), hot_orders, "o_orderkey", "__ic")
-    g = groups.select(F.col("l_orderkey"), F.col("__ic").alias("__gic"), "items")
-    calls = (keyed.join(g, (keyed.o_orderkey == g.l_orderkey) & (keyed["__ic"] == g["__gic"]), "left")
-             .filter(g["items"].isNotNull() | (keyed["__ic"] == 0))
-             .select(*[keyed[c] for c in base], keyed["__ic"],
-                     F.struct(g["items"].alias("items")).alias("call"),
-                     F.lit(None).alias("bill")))
+    # A merge join keeps the same plan at every scale: line items are never
+    # the broadcast side (they are the bulk of the data, and the gathering
+    # runs in the join tasks).
+    # (Columns are named, not taken from a parent frame: in the shuffle-join
+    # fallback both sides share the line-item lineage.)
+    on = (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("__ic") == F.col("__lic"))
+    joined = (keyed.join(li.hint("merge"), on, "left")
+              .filter(F.col("l_orderkey").isNotNull() | (F.col("__ic") == 0)))
+    groups = joined.groupBy(*base, "__ic").agg(
+        F.collect_list(F.when(F.col("l_orderkey").isNotNull(), item())).alias("items"))
+    calls = groups.select(*base, "__ic",
+                          F.struct(F.when(F.size("items") > 0, F.col("items")).alias("items")).alias("call"),
+                          F.lit(None).alias("bill"))
     is_bill = (F.col("o_orderstatus") == F.lit(BILL_STATUS)) & (F.col("o_totalprice") > F.lit(BILL_MIN_PRICE))
     bills = orders.filter(is_bill).select(*base, F.lit(0).alias("__ic"),
                                           F.lit(None).alias("call"), bill().alias("bill"))
     rows = calls.unionByName(bills, allowMissingColumns=True)
-    spread = ["o_orderkey", "__ic", POSITION_COL] if hot_customers.any else []
+    spread = ["o_orderkey", "__ic", "__opos"] if hot_customers.any else []
     rows = with_chunk(rows, hot_customers, spread, "__dc")
     docs = rows.repartition("o_custkey", "__dc").groupBy("o_custkey", "__dc").agg(
         F.max("o_orderdate").alias("__last"),
