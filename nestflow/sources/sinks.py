@@ -64,9 +64,19 @@ def load_partition(df: DataFrame, target: str, partition_value: str, mode: str =
         (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
             .partitionBy(PARTITION_COL).parquet(target))
         return
-    order = _table_columns(spark, target)
-    (out.select(*order).write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(target, overwrite=(mode == "overwrite")))
+    # A static partition spec: OVERWRITE replaces this partition only,
+    # whatever the session's partitionOverwriteMode.
+    value = str(partition_value).replace("'", "")
+    cols = [c for c in _table_columns(spark, target) if c != PARTITION_COL]
+    view = f"__nf_load_{uuid.uuid4().hex[:12]}"
+    df.select(*cols).createOrReplaceTempView(view)
+    try:
+        verb = "OVERWRITE" if mode == "overwrite" else "INTO"
+        select = ", ".join(f"`{c}`" for c in cols)
+        spark.sql(f"INSERT {verb} TABLE {target} PARTITION ({PARTITION_COL} = '{value}') "
+                  f"SELECT {select} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def refresh_table(df: DataFrame, target: str, columns: list[str] | None = None) -> None:

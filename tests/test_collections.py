@@ -38,3 +38,21 @@ def test_daily_filter_and_narrow_schema_reach_scan(spark):
     assert plan.count("Exchange (") == 1  # only the DISTINCT shuffles
     count_plan = _plan(P.nested_count(D.stored_collection(spark, SF, "mx", D.M_COUNT_SCHEMA)))
     assert "ReadSchema: struct<calls:array<struct<items:array<struct<details_id:string>>>>>" in count_plan
+
+
+def test_provider_t_calls_plan(spark):
+    from nestflow.plans.queries import T_CLOCK
+
+    docs = D.stored_collection(spark, SF, "tj", D.T_CALLS_SCHEMA)
+    plan = _plan(P.provider_t_calls(docs, T_CLOCK))
+    assert plan.count("Exchange (") == 1
+    assert "billdata" not in plan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_no_python_evaluation_in_any_query(spark):
+    import __spark_entry__ as E
+
+    for name, q in E.queries().items():
+        plan = _plan(q(spark, SF))
+        for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
+            assert node not in plan, (name, node)

@@ -70,9 +70,12 @@ def test_catalog_table_insert_by_name(spark, base):
               f"PARTITIONED BY (partition_time) LOCATION '{shared_dir(spark, 'nestflow', name)}'")
     try:
         load_partition(base, name, "20240101")
+        load_partition(base, name, "20240102")
         load_partition(base, name, "20240101", mode="overwrite")
-        rows = spark.table(name).collect()
+        rows = spark.table(name).filter("partition_time = '20240101'").collect()
         assert len(rows) == 3 and {(r.k, r.s) for r in rows} == {(1, "a"), (2, "b"), (3, None)}
+        # the overwrite replaced its own partition only
+        assert spark.table(name).filter("partition_time = '20240102'").count() == 3
         refresh_name = f"nf_names_{uuid.uuid4().hex[:8]}"
         spark.sql(f"CREATE TABLE {refresh_name} (v double, k int) USING parquet "
                   f"LOCATION '{shared_dir(spark, 'nestflow', refresh_name)}'")
