@@ -241,10 +241,21 @@ def _exists(spark: SparkSession, p: str) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> bool:
-    jvm = spark.sparkContext._jvm
+def _publish(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename ``src`` to ``dst`` only if ``dst`` does not exist (never into
+    it, as a plain HDFS rename onto an existing folder would)."""
+    sc = spark.sparkContext
+    jvm = sc._jvm
     s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    return s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(s, d)
+    conf = sc._jsc.hadoopConfiguration()
+    fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(s.toUri(), conf)
+    opts = sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    opts[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        fc.rename(s, d, opts)
+        return True
+    except Exception:  # the target appeared meanwhile (another publisher won)
+        return False
 
 
 def _code_signature() -> str:
@@ -270,19 +281,20 @@ def collection_path(spark: SparkSession, sf_dir: str, kind: str,
 
 def stage_collection(spark: SparkSession, sf_dir: str, kind: str, max_elements: int = MAX_ELEMENTS,
                      path: str | None = None) -> str:
-    """Build the ``kind`` collection and write it (atomically, by rename of a
-    fully committed folder) unless it is already there.  Returns its path."""
+    """Build the ``kind`` collection and write it (atomically: a fully
+    committed folder is renamed into place, failing rather than nesting if
+    another writer published first) unless it is already there."""
     import uuid
 
     path = path or collection_path(spark, sf_dir, kind, max_elements)
-    if _exists(spark, f"{path}/_SUCCESS"):
+    if _exists(spark, path):  # only ever created by publishing a complete write
         return path
     builder = BUILDERS[kind]
     df = builder(spark, sf_dir, max_elements) if kind in ("mx", "tj") else builder(spark, sf_dir)
     order = {"mx": "create_time", "tj": "create_time", "contacts": "gmtCreate", "real_names": "phone"}[kind]
     tmp = f"{path}-tmp-{uuid.uuid4().hex[:12]}"
     df.sortWithinPartitions(order).write.parquet(tmp)
-    if not _rename(spark, tmp, path) and not _exists(spark, f"{path}/_SUCCESS"):
+    if not _publish(spark, tmp, path) and not _exists(spark, path):
         raise RuntimeError(f"could not publish collection {path}")
     return path
 

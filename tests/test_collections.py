@@ -56,3 +56,15 @@ def test_no_python_evaluation_in_any_query(spark):
         plan = _plan(q(spark, SF))
         for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
             assert node not in plan, (name, node)
+
+
+def test_publish_never_nests(spark):
+    import os
+
+    a = D.stage_collection(spark, SF, "real_names", path=scratch_path(spark, "pub"))
+    other = scratch_path(spark, "pub-other")
+    D.real_names(spark, SF).write.parquet(other)
+    assert D._publish(spark, other, a) is False  # target exists: refused
+    local = a.replace("file:", "")
+    assert not any(n.startswith("pub-other") for n in os.listdir(local))
+    assert D.stage_collection(spark, SF, "real_names", path=a) == a
