@@ -27,7 +27,7 @@ from nestflow.operators.tables import (
     update_by_key,
 )
 from nestflow.plans import documents as D
-from nestflow.plans import pipelines as P
+from nestflow.plans import datasets as P
 from nestflow.sources.collections import parse_json_column, read_collection, write_collection
 from nestflow.sources.sinks import load_partition, refresh_table, scratch_path
 

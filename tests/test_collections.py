@@ -1,7 +1,7 @@
 """Stored document collections: staged once, read narrow, filters pushed."""
 
 from nestflow.plans import documents as D
-from nestflow.plans import pipelines as P
+from nestflow.plans import datasets as P
 from nestflow.plans.queries import M_CLOCK
 from nestflow.sources.sinks import scratch_path
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from nestflow.plans import documents as D
-from nestflow.plans import pipelines as P
+from nestflow.plans import datasets as P
 from nestflow.plans.assemble import find_hot_keys
 
 SF = "/root/testdata/sf0.001"

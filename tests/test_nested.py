@@ -6,7 +6,7 @@ import pytest
 
 from nestflow.functions.clock import RunClock
 from nestflow.operators.nested import count_nested, require_nonempty, split_explode, unnest, unnest_path
-from nestflow.plans import pipelines as P
+from nestflow.plans import datasets as P
 
 M_SCHEMA = ("mobile string, user_id string, create_time string, "
             "calls array<struct<items: array<struct<peer_number: string, details_id: string, "

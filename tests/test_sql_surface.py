@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from nestflow.functions.periods import period_fanout
 from nestflow.functions.sql import register_sql_functions
-from nestflow.plans import pipelines as P
+from nestflow.plans import datasets as P
 from nestflow.plans.documents import mx_documents
 
 SF = "/root/testdata/sf0.001"

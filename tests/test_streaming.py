@@ -2,7 +2,7 @@ import json
 import os
 
 from nestflow.functions.clock import RunClock
-from nestflow.plans import pipelines as P
+from nestflow.plans import datasets as P
 from nestflow.sources.sinks import scratch_path
 from nestflow.streaming import run_incremental
 
