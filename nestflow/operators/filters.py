@@ -62,6 +62,18 @@ def in_day(df: DataFrame, ts_col: str, clock: RunClock, bounds: str = "open") ->
     return df.filter(low & (t < ntz_literal(hi)))
 
 
+def select_run(df: DataFrame, ts_col: str, clock: RunClock, selection: str = "increment",
+               bounds: str = "open") -> DataFrame:
+    """The rows a daily run loads: ``"increment"`` -- the day before the run
+    (F2) -- or ``"snapshot"`` -- everything before the run day (F1), i.e.
+    the whole history again in every partition."""
+    if selection == "increment":
+        return in_day(df, ts_col, clock, bounds)
+    if selection == "snapshot":
+        return before(df, ts_col, clock.today_start)
+    raise ValueError(f"unknown selection {selection!r}")
+
+
 def drop_label(df: DataFrame, col: str, label: str = "0") -> DataFrame:
     """drop rows carrying a sentinel label (NULL labels are dropped too,
     as in SQL's ``col != label``)."""

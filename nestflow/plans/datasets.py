@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from nestflow.functions.clock import RunClock
 from nestflow.functions.periods import period_fanout
 from nestflow.functions.scalars import to_int, zero_if_null
-from nestflow.operators.filters import before, in_day
+from nestflow.operators.filters import in_day, select_run
 from nestflow.operators.nested import (
     count_nested,
     flatten_struct,
@@ -62,18 +62,22 @@ def t_calls_flat(docs: DataFrame) -> DataFrame:
     return canonical_calls(flat, T_CALL_FIELDS, keep=["mobile", "user_id", "create_time"])
 
 
-def provider_t_calls(docs: DataFrame, clock: RunClock, keep_outside: bool = True) -> DataFrame:
-    """T call records, cumulative snapshot of documents created before
-    the run day, tagged by period, duration made int, de-duplicated."""
-    calls = t_calls_flat(before(docs, "create_time", clock.today_start))
+def provider_t_calls(docs: DataFrame, clock: RunClock, keep_outside: bool = True,
+                     selection: str = "snapshot", bounds: str = "open") -> DataFrame:
+    """T call records, tagged by period, duration made int,
+    de-duplicated.  The reference loads a cumulative ``snapshot`` of all
+    documents created before the run day; ``selection="increment"`` loads
+    only the day's documents (what a 100 TB history wants)."""
+    calls = t_calls_flat(select_run(docs, "create_time", clock, selection, bounds))
     tagged = period_fanout(calls, "time", "create_time", keep_outside=keep_outside)
     typed = tagged.withColumn("duration", to_int("duration"))
     return _tag(dedupe(typed, T_CALL_COLUMNS), clock)
 
 
-def provider_t_bills(docs: DataFrame, clock: RunClock) -> DataFrame:
+def provider_t_bills(docs: DataFrame, clock: RunClock, selection: str = "snapshot",
+                     bounds: str = "open") -> DataFrame:
     """T bills (no de-duplication), fee as int with 0 for missing/bad."""
-    kept = before(docs, "create_time", clock.today_start)
+    kept = select_run(docs, "create_time", clock, selection, bounds)
     items = unnest_path(kept, [TJ_DATA_LIST, "billdata"], keep=["create_time"],
                         carry={0: {"mobile": "userdata.phone"}}, alias="item")
     out = items.select("mobile", "create_time",
@@ -83,17 +87,18 @@ def provider_t_bills(docs: DataFrame, clock: RunClock) -> DataFrame:
 
 
 def provider_m_calls(docs: DataFrame, clock: RunClock, bounds: str = "open",
-                     keep_outside: bool = True) -> DataFrame:
+                     keep_outside: bool = True, selection: str = "increment") -> DataFrame:
     """M call records of documents created on the day before the run,
     only for documents with at least one bill, tagged and de-duplicated."""
-    kept = require_nonempty(in_day(docs, "create_time", clock, bounds), "bills")
+    kept = require_nonempty(select_run(docs, "create_time", clock, selection, bounds), "bills")
     tagged = period_fanout(m_calls_flat(kept), "time", "create_time", keep_outside=keep_outside)
     return _tag(dedupe(tagged, M_CALL_COLUMNS), clock)
 
 
-def provider_m_bills(docs: DataFrame, clock: RunClock, bounds: str = "open") -> DataFrame:
+def provider_m_bills(docs: DataFrame, clock: RunClock, bounds: str = "open",
+                     selection: str = "increment") -> DataFrame:
     """M bills of the day's documents; fee neither cast nor defaulted."""
-    kept = in_day(docs, "create_time", clock, bounds)
+    kept = select_run(docs, "create_time", clock, selection, bounds)
     bills = unnest(kept.select("mobile", "create_time", "bills"), "bills", "bill")
     return _tag(flatten_struct(bills, "bill", ["total_fee", "bill_month"],
                                keep=["mobile", "create_time"]), clock)

@@ -192,3 +192,10 @@ FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS l_orderk
              l_returnflag, l_quantity, l_shipdate FROM lineitem) l
 JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN 0 ELSE o_custkey END AS o_custkey FROM orders) o
   ON l.l_orderkey = o.o_orderkey"""
+_T_DAY = _open_day("TRY_CAST(create_time AS TIMESTAMP)", "2001-07-28 00:00:00", "2001-07-29 00:00:00")
+ORACLES["provider_t_calls_increment"] = f"""
+SELECT DISTINCT mobile, create_time, dial_type, time, peer_number, user_id, {_to_int('duration')} AS duration,
+       type, '20010728' AS partition_time
+FROM ({_fanout(f"SELECT * FROM ({_T_CALLS}) c WHERE {_T_DAY}", "TRY_CAST(time AS TIMESTAMP)",
+               "TRY_CAST(create_time AS TIMESTAMP)",
+               "mobile, create_time, dial_type, time, peer_number, user_id, duration")}) f"""

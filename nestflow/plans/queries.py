@@ -236,6 +236,10 @@ def q_provider_t_calls(spark, sf):
     return P.provider_t_calls(_tj(spark, sf), T_CLOCK)
 
 
+def q_provider_t_calls_increment(spark, sf):
+    return P.provider_t_calls(_tj(spark, sf), M_CLOCK, selection="increment")
+
+
 def q_provider_t_bills(spark, sf):
     return P.provider_t_bills(_tj(spark, sf, D.T_BILLS_SCHEMA), T_CLOCK)
 
@@ -360,6 +364,7 @@ QUERIES: dict[str, QueryFn] = {
     "midnight_loss": q_midnight_loss,
     "partition_tagged": q_partition_tagged,
     "provider_t_calls": q_provider_t_calls,
+    "provider_t_calls_increment": q_provider_t_calls_increment,
     "provider_t_bills": q_provider_t_bills,
     "provider_m_calls": q_provider_m_calls,
     "provider_m_bills": q_provider_m_bills,

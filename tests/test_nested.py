@@ -122,3 +122,18 @@ def test_unnest_path_generic(spark):
 def test_split_explode_null(spark):
     df = spark.createDataFrame([(1, "a,b"), (2, None)], "k int, s string")
     assert [(r.k, r.t) for r in split_explode(df, "s", "t").collect()] == [(1, "a"), (1, "b")]
+
+
+def test_selection_modes(spark, mdocs):
+    from pyspark.sql import functions as F
+
+    older = mdocs.withColumn("create_time", F.when(F.col("mobile") == "8", F.lit("2018-07-01 10:00:00"))
+                             .otherwise(F.col("create_time")))
+    clock = RunClock.of("2018-07-16")
+    inc = {r.mobile for r in P.provider_m_calls(older, clock).collect()}
+    snap = {r.mobile for r in P.provider_m_calls(older, clock, selection="snapshot").collect()}
+    assert inc == {"5", "9", "10"} and snap == {"5", "8", "9", "10"}
+    import pytest
+
+    with pytest.raises(ValueError):
+        P.provider_m_calls(older, clock, selection="weekly")
