@@ -18,6 +18,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 # Building a derived document collection from the flat tables and writing
 # it (timed into a fresh folder every run, so nothing is reused).
 STAGING = ["stage_mx_documents", "stage_tj_documents"]
+# Documents built from the flat tables inside the same plan, then the
+# provider M call pipeline (no stored collection).
+END_TO_END = ["provider_m_calls_end_to_end"]
 
 HEADLINE = [
     "period_fanout_orders",
@@ -44,7 +47,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    names = sys.argv[1:] or STAGING + HEADLINE
+    names = sys.argv[1:] or STAGING + END_TO_END + HEADLINE
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("nestflow-bench")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
@@ -63,6 +66,12 @@ def main() -> None:
         if name in STAGING:
             kind = name.split("_")[1]
             stage_collection(spark, sf_dir, kind, path=scratch_path(spark, f"bench-{kind}"))
+        elif name == "provider_m_calls_end_to_end":
+            from nestflow.plans import datasets, documents
+            from nestflow.plans.queries import M_CLOCK
+
+            docs = documents.mx_documents(spark, sf_dir)
+            datasets.provider_m_calls(docs, M_CLOCK).write.format("noop").mode("overwrite").save()
         else:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0

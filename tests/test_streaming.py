@@ -31,3 +31,22 @@ def test_incremental_contacts(spark):
     rows = spark.read.parquet(target).collect()
     assert sorted(r.userId for r in rows) == ["1", "3"]  # midnight row lost, as in the batch job
     assert {str(r.partition_time) for r in rows} == {"20240114"}
+
+
+def test_incremental_nested_documents_match_batch(spark):
+    from nestflow.plans import documents as D
+    from nestflow.plans.queries import M_CLOCK
+
+    sf = "/root/testdata/sf0.001"
+    base = scratch_path(spark, "stream-m")
+    landing, target = f"{base}/landing", f"{base}/target"
+    docs = D.mx_documents(spark, sf)
+    docs.write.json(landing)  # documents arrive as JSON lines
+    pipeline = lambda df: P.provider_m_calls(df, M_CLOCK)
+    run_incremental(spark, landing, D.M_CALLS_SCHEMA.replace(", bills array<struct<bill_month: string>>",
+                                                             ", bills array<struct<total_fee: int, bill_month: string>>"),
+                    pipeline, target, f"{base}/ckpt")
+    streamed = spark.read.parquet(target).drop("partition_time")
+    batch = P.provider_m_calls(docs, M_CLOCK).drop("partition_time")
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch).count() == 0
