@@ -23,7 +23,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     The setting is read from the session; only when it is unset (tests on
     one machine) a local scratch folder is chosen and recorded.
     """
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    # The configured folder itself (shared by every job on the cluster), not
+    # the per-application subfolder SparkContext creates inside it.
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         import tempfile
 

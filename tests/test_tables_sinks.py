@@ -104,7 +104,9 @@ def test_with_views(spark, base):
 
 
 def test_shared_dir_from_session(spark):
-    assert shared_dir(spark).startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    expected = conf or spark.sparkContext.getCheckpointDir()
+    assert shared_dir(spark) == expected.rstrip("/")
     assert os.path.basename(scratch_path(spark, "x")).startswith("x-")
 
 
