@@ -17,7 +17,8 @@ def spark():
     builder = (SparkSession.builder.master("local[4]").appName("nestflow-tests")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.ui.enabled", "false")
-               .config("spark.sql.session.timeZone", "UTC"))
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="nestflow-test-warehouse-")))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     if not session.sparkContext.getCheckpointDir():

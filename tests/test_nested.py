@@ -78,6 +78,13 @@ def test_bills_rows_not_deduplicated(mdocs):
     assert sum(1 for r in out.collect() if r.mobile == "9") == 1  # a null bill is a row of NULLs
 
 
+def test_m_bill_fee_null_stays_null(spark):
+    docs = m_docs(spark, [{"mobile": "1", "user_id": "u", "create_time": CREATE, "calls": [],
+                           "bills": [{"total_fee": None, "bill_month": "2018-06"}, BILL]}])
+    fees = sorted((r.total_fee is None, r.total_fee) for r in P.provider_m_bills(docs, RunClock.of("2018-07-16")).collect())
+    assert fees == [(False, 5), (True, None)]
+
+
 def test_count_nested_counts_groups(mdocs):
     # groups with non-null items: 4 ([]), 5 (one of two), 6, 7, 8, 9, 10
     assert count_nested(mdocs, "calls.items", "details_id").first()["count"] == 7
