@@ -65,15 +65,26 @@ def find_hot_keys(count_source: DataFrame, keys: Sequence[str],
     return HotKeys(keys, hot, False)
 
 
+def _join_hot(df: DataFrame, hot: HotKeys, df_keys: Sequence[str]) -> DataFrame:
+    """Left join ``df`` with the hot-key table, NULL-safe (a NULL key can be
+    hot too), keeping ``__nb`` and none of the table's key columns."""
+    table = hot.table.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(hot.keys)], "__nb")
+    table = F.broadcast(table) if hot.small else table
+    cond = None
+    for i, k in enumerate(df_keys):
+        c = df[k].eqNullSafe(table[f"__hk{i}"])
+        cond = c if cond is None else cond & c
+    out = df.join(table, cond, "left")
+    return out.drop(*[f"__hk{i}" for i in range(len(hot.keys))])
+
+
 def chunks_per_key(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__w") -> DataFrame:
     """``df`` with the number of chunks its ``key_col`` value was split into
     (1 unless hot) -- the weight of that key one nesting level up."""
     if not hot.any:
         return df.withColumn(name, F.lit(1))
-    table = hot.table.withColumnRenamed(hot.keys[0], key_col)
-    table = F.broadcast(table) if hot.small else table
-    return (df.join(table, on=key_col, how="left")
-              .withColumn(name, F.coalesce(F.col("__nb"), F.lit(1))).drop("__nb"))
+    return (_join_hot(df, hot, [key_col])
+            .withColumn(name, F.coalesce(F.col("__nb"), F.lit(1))).drop("__nb"))
 
 
 def with_chunk_copies(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__chunk") -> DataFrame:
@@ -81,11 +92,9 @@ def with_chunk_copies(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__
     other side of a salted join with chunked rows of the same key."""
     if not hot.any:
         return df.withColumn(name, F.lit(0))
-    table = hot.table.withColumnRenamed(hot.keys[0], key_col)
-    table = F.broadcast(table) if hot.small else table
     n = F.coalesce(F.col("__nb"), F.lit(1))
-    return (df.join(table, on=key_col, how="left")
-              .withColumn(name, F.explode(F.sequence(F.lit(0), n - 1))).drop("__nb"))
+    return (_join_hot(df, hot, [key_col])
+            .withColumn(name, F.explode(F.sequence(F.lit(0), n - 1))).drop("__nb"))
 
 
 def with_position(df: DataFrame, name: str = POSITION_COL) -> DataFrame:
@@ -98,8 +107,7 @@ def with_chunk(df: DataFrame, hot: HotKeys, spread: Sequence[str | Column],
     """Add the chunk number ``name`` (0 unless the row's key is hot)."""
     if not hot.any:
         return df.withColumn(name, F.lit(0))
-    table = F.broadcast(hot.table) if hot.small else hot.table
-    joined = df.join(table, on=hot.keys, how="left")
+    joined = _join_hot(df, hot, hot.keys)
     spread_cols = [F.col(c) if isinstance(c, str) else c for c in spread]
     chunk = F.coalesce(F.pmod(F.xxhash64(*spread_cols), F.col("__nb")), F.lit(0)).cast("int")
     return joined.withColumn(name, chunk).drop("__nb")

@@ -65,3 +65,16 @@ def test_skewed_documents_are_split(spark):
     assert docs.filter("mobile = '0'").count() >= 5
     assert docs.select(F.max(F.size("calls"))).first()[0] <= 1300
     assert docs.select(F.explode("calls.items").alias("g")).select(F.max(F.size("g"))).first()[0] <= 1300
+
+
+def test_null_key_can_be_hot(spark):
+    from nestflow.plans import assemble
+
+    df = spark.range(0, 5000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("bigint")).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"))
+    hot = assemble.find_hot_keys(df.select("k"), ["k"], 100)
+    assert hot.any
+    chunked = assemble.with_chunk(assemble.with_position(df), hot, ["k", assemble.POSITION_COL])
+    sizes = chunked.filter("k IS NULL").groupBy("__chunk").count().collect()
+    assert len(sizes) >= 10 and max(r["count"] for r in sizes) <= 200
