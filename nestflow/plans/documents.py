@@ -125,16 +125,23 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     # chunk of a split order).
     weights = chunks_per_key(orders.select("o_orderkey", "o_custkey"), hot_orders, "o_orderkey")
     hot_customers = find_hot_keys(weights, ["o_custkey"], max_elements, weight="__w")
-    if hot_customers.any:
+    # Copies of one order row are salted the same way from the other side:
+    # their items are repeated once per chunk of copies.
+    hot_order_rows = find_hot_keys(orders.select("o_orderkey"), ["o_orderkey"], max_elements)
+    positioned = hot_customers.any or hot_order_rows.any
+    if positioned:
         orders = with_position(orders, "__opos")
-    base = ["o_orderkey", "o_custkey", "o_orderdate"] + (["__opos"] if hot_customers.any else [])
+    base = ["o_orderkey", "o_custkey", "o_orderdate"] + (["__opos"] if positioned else [])
     keyed = with_chunk_copies(orders.select(*base), hot_orders, "o_orderkey", "__ic")
+    keyed = with_chunk(keyed, hot_order_rows, ["o_orderkey", "__opos"] if hot_order_rows.any else [], "__oc")
+    li = with_chunk_copies(li, hot_order_rows, "l_orderkey", "__loc")
     # A merge join keeps the same plan at every scale: line items are never
     # the broadcast side (they are the bulk of the data, and the gathering
     # runs in the join tasks).
     # (Columns are named, not taken from a parent frame: in the shuffle-join
     # fallback both sides share the line-item lineage.)
-    on = (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("__ic") == F.col("__lic"))
+    on = ((F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("__ic") == F.col("__lic"))
+          & (F.col("__oc") == F.col("__loc")))
     joined = (keyed.join(li.hint("merge"), on, "left")
               .filter(F.col("l_orderkey").isNotNull() | (F.col("__ic") == 0)))
     groups = joined.groupBy(*base, "__ic").agg(
@@ -146,7 +153,7 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     bills = orders.filter(is_bill).select(*base, F.lit(0).alias("__ic"),
                                           F.lit(None).alias("call"), bill().alias("bill"))
     rows = calls.unionByName(bills, allowMissingColumns=True)
-    spread = ["o_orderkey", "__ic", "__opos"] if hot_customers.any else []
+    spread = ["o_orderkey", "__ic", "__opos"] if positioned else []
     rows = with_chunk(rows, hot_customers, spread, "__dc")
     docs = rows.repartition("o_custkey", "__dc").groupBy("o_custkey", "__dc").agg(
         F.max("o_orderdate").alias("__last"),

@@ -78,3 +78,16 @@ def test_null_key_can_be_hot(spark):
     chunked = assemble.with_chunk(assemble.with_position(df), hot, ["k", assemble.POSITION_COL])
     sizes = chunked.filter("k IS NULL").groupBy("__chunk").count().collect()
     assert len(sizes) >= 10 and max(r["count"] for r in sizes) <= 200
+
+
+def test_copies_of_an_order_row_are_salted(spark):
+    orders = D.table(spark, SF, "orders")
+    copies = orders.filter("o_orderkey = 0").select("*", F.explode(F.sequence(F.lit(1), F.lit(300))).alias("__n")).drop("__n")
+    dup = orders.unionByName(copies)
+    docs = D.mx_documents(spark, SF, max_elements=64, orders=dup)
+    li = D.table(spark, SF, "lineitem")
+    n0 = li.filter("l_orderkey = 0").count()
+    assert n0 > 0
+    assert P.m_calls_flat(docs).count() == li.count() + 300 * n0
+    # every copy is its own call group, and no document holds more than ~2x the target
+    assert docs.select(F.max(F.size("calls"))).first()[0] <= 128
