@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ELEMENTS = 1024
+MAX_DOC_ITEMS = 65_536
 HOT_KEY_BROADCAST_LIMIT = 100_000
 POSITION_COL = "__pos"
 
@@ -41,6 +42,7 @@ class HotKeys:
     keys: list[str]
     table: DataFrame | None  # keys + "__nb"; None when no key is hot
     small: bool              # proven small enough to broadcast
+    largest: int = 0         # element count of the largest key (first limit)
 
     @property
     def any(self) -> bool:
@@ -48,21 +50,37 @@ class HotKeys:
 
 
 def find_hot_keys(count_source: DataFrame, keys: Sequence[str],
-                  max_elements: int = MAX_ELEMENTS, weight: str | None = None) -> HotKeys:
+                  max_elements: int = MAX_ELEMENTS, weight: str | None = None,
+                  limits: dict[str, int] | None = None) -> HotKeys:
     """Keys of ``count_source`` with more than ``max_elements`` elements, and
-    how many chunks each needs.  A row is one element, or ``weight`` of them."""
+    how many chunks each needs.  A row is one element, or ``weight`` of them;
+    ``limits`` ({weight column: bound}) bounds several sums at once, and a key
+    gets as many chunks as its tightest bound asks for."""
     keys = list(keys)
-    n = F.sum(weight) if weight else F.count(F.lit(1))
-    hot = (count_source.groupBy(*keys).agg(n.alias("__n"))
-           .filter(F.col("__n") > max_elements)
-           .select(*keys, F.ceil(F.col("__n") / F.lit(max_elements)).cast("int").alias("__nb")))
-    rows = hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).collect()
-    if not rows:
-        return HotKeys(keys, None, True)
-    if len(rows) <= HOT_KEY_BROADCAST_LIMIT:
+    limits = dict(limits) if limits else {weight or "": max_elements}
+    sums = [(F.sum(w) if w else F.count(F.lit(1))).alias(f"__n{i}") for i, w in enumerate(limits)]
+    need = [F.ceil(F.col(f"__n{i}") / F.lit(bound)) for i, bound in enumerate(limits.values())]
+    nb = (F.greatest(*need) if len(need) > 1 else need[0]).cast("int")
+    per_key = count_source.groupBy(*keys).agg(*sums).select(*keys, nb.alias("__nb"), "__n0")
+    hot = per_key.filter(F.col("__nb") > 1).select(*keys, "__nb")
+    # One job, a bounded result: at most limit + 1 hot keys, plus one row with
+    # the largest key's size (both branches reuse the same aggregate).
+    types = {f.name: f.dataType for f in per_key.schema.fields}
+    flagged = hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).select(
+        *keys, "__nb", F.lit(None).cast("long").alias("__largest"))
+    largest_row = per_key.agg(F.max("__n0").cast("long").alias("__largest")).select(
+        *[F.lit(None).cast(types[k]).alias(k) for k in keys], F.lit(None).cast("int").alias("__nb"),
+        "__largest")
+    rows = flagged.unionByName(largest_row).collect()
+    largest = next((int(r["__largest"]) for r in rows if r["__largest"] is not None), 0)
+    hot_rows = [r for r in rows if r["__nb"] is not None]
+    if not hot_rows:
+        return HotKeys(keys, None, True, largest)
+    if len(hot_rows) <= HOT_KEY_BROADCAST_LIMIT:
         spark = count_source.sparkSession
-        return HotKeys(keys, spark.createDataFrame(rows, hot.schema), True)
-    return HotKeys(keys, hot, False)
+        data = [tuple(r[k] for k in keys) + (r["__nb"],) for r in hot_rows]
+        return HotKeys(keys, spark.createDataFrame(data, hot.schema), True, largest)
+    return HotKeys(keys, hot, False, largest)
 
 
 def _join_hot(df: DataFrame, hot: HotKeys, df_keys: Sequence[str]) -> DataFrame:

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestflow.plans.assemble import (
+    MAX_DOC_ITEMS,
     MAX_ELEMENTS,
     chunks_per_key,
     with_chunk_copies,
@@ -99,7 +100,8 @@ def _tj_bill() -> Column:
 
 def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Column],
                         bill: Callable[[], Column], max_elements: int,
-                        lineitem: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
+                        lineitem: DataFrame | None = None, orders: DataFrame | None = None,
+                        max_doc_items: int = MAX_DOC_ITEMS) -> DataFrame:
     """(o_custkey, create_time, calls, bills) with bounded arrays.
 
     ``lineitem`` / ``orders`` replace the tables read from ``sf_dir`` (they
@@ -115,7 +117,8 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     # row is repeated once per chunk, at most rows / max_elements copies
     # overall -- and gathered right after the join, which is already
     # partitioned on that key: the items cross the network once.
-    hot_orders = find_hot_keys(li.select("l_orderkey"), ["l_orderkey"], max_elements)
+    per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__items"))
+    hot_orders = find_hot_keys(per_order, ["l_orderkey"], max_elements, weight="__items")
     if hot_orders.any:
         li = with_position(li, "__lpos")
     li = with_chunk(li, hot_orders, ["l_orderkey", "__lpos"] if hot_orders.any else [], "__lic")
@@ -123,8 +126,17 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     # Level 2 needs to know its hot customers before the order rows are read:
     # a customer's elements are its call groups (one per order, or one per
     # chunk of a split order).
+    # A document is bounded both in call groups (``max_elements``) and in
+    # items (``max_doc_items``), so the two nesting levels cannot multiply.
+    # The item totals need a key-only join; it runs only when the largest
+    # order times the most groups of any customer could pass the item bound.
     weights = chunks_per_key(orders.select("o_orderkey", "o_custkey"), hot_orders, "o_orderkey")
     hot_customers = find_hot_keys(weights, ["o_custkey"], max_elements, weight="__w")
+    if min(hot_orders.largest, max_elements) * hot_customers.largest > max_doc_items:
+        weights = (weights.join(per_order, weights.o_orderkey == per_order.l_orderkey, "left")
+                   .select("o_custkey", "__w", F.coalesce("__items", F.lit(0)).alias("__items")))
+        hot_customers = find_hot_keys(weights, ["o_custkey"],
+                                      limits={"__w": max_elements, "__items": max_doc_items})
     # Copies of one order row are salted the same way from the other side:
     # their items are repeated once per chunk of copies.
     hot_order_rows = find_hot_keys(orders.select("o_orderkey"), ["o_orderkey"], max_elements)
@@ -170,8 +182,10 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
 
 
 def mx_documents(spark: SparkSession, sf_dir: str, max_elements: int = MAX_ELEMENTS,
-                 lineitem: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
-    docs = _customer_documents(spark, sf_dir, _mx_item, _mx_bill, max_elements, lineitem, orders)
+                 lineitem: DataFrame | None = None, orders: DataFrame | None = None,
+                 max_doc_items: int = MAX_DOC_ITEMS) -> DataFrame:
+    docs = _customer_documents(spark, sf_dir, _mx_item, _mx_bill, max_elements, lineitem, orders,
+                               max_doc_items)
     return docs.select(
         F.col("o_custkey").cast("string").alias("mobile"),
         F.concat(F.lit("U"), F.col("o_custkey")).alias("user_id"),

@@ -91,3 +91,11 @@ def test_copies_of_an_order_row_are_salted(spark):
     assert P.m_calls_flat(docs).count() == li.count() + 300 * n0
     # every copy is its own call group, and no document holds more than ~2x the target
     assert docs.select(F.max(F.size("calls"))).first()[0] <= 128
+
+
+def test_documents_bounded_in_items(spark):
+    docs = D.mx_documents(spark, SF, max_doc_items=32)
+    items = docs.select(F.aggregate(F.col("calls"), F.lit(0),
+                                    lambda acc, g: acc + F.coalesce(F.size(g["items"]), F.lit(0))).alias("n"))
+    assert items.select(F.max("n")).first()[0] <= 96
+    assert P.m_calls_flat(docs).count() == D.table(spark, SF, "lineitem").count()
