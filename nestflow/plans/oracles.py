@@ -199,3 +199,4 @@ SELECT DISTINCT mobile, create_time, dial_type, time, peer_number, user_id, {_to
 FROM ({_fanout(f"SELECT * FROM ({_T_CALLS}) c WHERE {_T_DAY}", "TRY_CAST(time AS TIMESTAMP)",
                "TRY_CAST(create_time AS TIMESTAMP)",
                "mobile, create_time, dial_type, time, peer_number, user_id, duration")}) f"""
+ORACLES["contacts_increment_streamed"] = ORACLES["contacts_increment"]

@@ -260,6 +260,22 @@ def q_contacts_increment(spark, sf):
     return P.contacts_increment(D.contacts(spark, sf), EVENTS_CLOCK)
 
 
+def q_contacts_increment_streamed(spark, sf):
+    """J5 run as a stream: contacts land as JSON-lines files, a file stream
+    with the fixed schema processes what is there (availableNow) into the
+    partitioned target, checkpointed in the shared folder."""
+    from nestflow.streaming import run_incremental
+
+    base = scratch_path(spark, "contacts_stream")
+    (D.contacts(spark, sf).write.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+     .json(f"{base}/landing"))
+    run_incremental(spark, f"{base}/landing", "userId string, phone string, gmtCreate timestamp_ntz",
+                    lambda df: P.contacts_increment(df, EVENTS_CLOCK), f"{base}/target",
+                    checkpoint=f"{base}/checkpoint", max_files_per_trigger=4)
+    return (spark.read.parquet(f"{base}/target")
+            .select(*P.CONTACT_COLUMNS, F.col("partition_time").cast("string").alias("partition_time")))
+
+
 def q_real_name_refresh(spark, sf):
     target = scratch_path(spark, "real_name")
     refresh_table(P.real_name_refresh(D.real_names(spark, sf)), target)
@@ -373,6 +389,7 @@ QUERIES: dict[str, QueryFn] = {
     "provider_m_calls": q_provider_m_calls,
     "provider_m_bills": q_provider_m_bills,
     "contacts_increment": q_contacts_increment,
+    "contacts_increment_streamed": q_contacts_increment_streamed,
     "real_name_refresh": q_real_name_refresh,
     "nested_count": q_nested_count,
     "delete_where": q_delete_where,
