@@ -11,6 +11,7 @@ lets Parquet skip the rest of a deeply nested record).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -22,8 +23,14 @@ DEFAULT_SAMPLE = 10_000
 
 
 def _sample_schema(spark: SparkSession, text: DataFrame, sample_size: int) -> T.StructType:
-    sample = text.limit(sample_size).rdd.map(lambda r: r[0])
-    return spark.read.json(sample).schema
+    """Infer with Spark's JSON reader over the first ``sample_size`` strings,
+    passed as a ``Dataset[String]`` (``DataFrameReader.json(Dataset)``), so
+    inference stays in the JVM: no RDD, no Python worker."""
+    sample = text.limit(sample_size).select(F.col(text.columns[0]).cast("string"))
+    jvm = spark.sparkContext._jvm
+    strings = getattr(sample._jdf, "as")(jvm.org.apache.spark.sql.Encoders.STRING())
+    inferred = spark._jsparkSession.read().json(strings).schema().json()
+    return T.StructType.fromJson(json.loads(inferred))
 
 
 def infer_json_schema(df: DataFrame, col: str | Column, sample_size: int = DEFAULT_SAMPLE) -> T.StructType:
