@@ -1,6 +1,7 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-One warm-up, then the median of $BENCH_RUNS (default 5) timed runs per query;
+One warm-up, then the median of $BENCH_RUNS (default 5) timed runs per query
+(the headline set; BENCH_ALL=1 times every registered query);
 each run fully evaluates the plan with the ``noop`` sink (nothing is
 collected to the driver).  Prints one JSON line.
 """
@@ -47,7 +48,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    names = sys.argv[1:] or STAGING + END_TO_END + HEADLINE
+    if sys.argv[1:]:
+        names = sys.argv[1:]
+    elif os.environ.get("BENCH_ALL") == "1":
+        names = STAGING + END_TO_END + sorted(QUERIES)
+    else:
+        names = STAGING + END_TO_END + HEADLINE
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("nestflow-bench")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")

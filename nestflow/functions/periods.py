@@ -49,6 +49,21 @@ def _month_rule(t: Column, c: Column) -> Column:
     return (t > month_start(t)) & (t < month_start(c))
 
 
+def _bounds(periods: Sequence[int], horizon: int) -> list[int]:
+    return [*sorted(periods), horizon]
+
+
+def _passed(t: Column, c: Column, bounds: Sequence[int]) -> Column:
+    """How many bounds the age has reached: ``0`` means inside every
+    period, ``len(bounds)`` outside the horizon.  A plain sum of boolean
+    casts (no conditionals), so ``t`` and ``c`` are evaluated once."""
+    total = None
+    for days in bounds:
+        reached = (t <= c - F.make_dt_interval(F.lit(days))).cast("int")
+        total = reached if total is None else total + reached
+    return total
+
+
 def day_divide(create: str | Column, time: str | Column,
                periods: Sequence[int] = PERIOD_DAYS,
                horizon: int = HORIZON_DAYS) -> Column:
@@ -56,13 +71,10 @@ def day_divide(create: str | Column, time: str | Column,
     e.g. ``'60,90,180'``; ``'0'`` when outside the horizon; NULL when either
     side is NULL or unparseable."""
     t, c = _whole_seconds(time), _whole_seconds(create)
-    bounds = [*sorted(periods), horizon]
-    expr = None
-    for i, days in enumerate(bounds):
-        tokens = ",".join(str(d) for d in bounds[i:])
-        cond = _inside(t, c, days)
-        expr = F.when(cond, F.lit(tokens)) if expr is None else expr.when(cond, F.lit(tokens))
-    return F.when(t.isNotNull() & c.isNotNull(), expr.otherwise(F.lit(OUTSIDE_TOKEN)))
+    bounds = _bounds(periods, horizon)
+    tokens = [",".join(str(d) for d in bounds[i:]) for i in range(len(bounds))] + [OUTSIDE_TOKEN]
+    pick = F.element_at(F.array(*[F.lit(x) for x in tokens]), _passed(t, c, bounds) + 1)
+    return F.when(t < c, pick).when(t.isNotNull() & c.isNotNull(), F.lit(OUTSIDE_TOKEN))
 
 
 def time_parse(token: str | Column, create: str | Column, time: str | Column,
@@ -82,7 +94,9 @@ def time_parse(token: str | Column, create: str | Column, time: str | Column,
 def _candidates(t: Column, c: Column, periods: Sequence[int], horizon: int,
                 keep_outside: bool) -> Column:
     """Candidate labels from whole-second ``TIMESTAMP_NTZ`` columns ``t`` and
-    ``c``; a NULL element is a label that does not apply."""
+    ``c``; a NULL element is a label that does not apply (dropped by a filter
+    after the explode -- measured faster inside the generator than building
+    the exact array)."""
     inside = F.array(
         *[F.when(_inside(t, c, d), F.lit(str(d))) for d in sorted(periods)],
         F.when(_month_rule(t, c), F.lit(MONTHS_LABEL)),
@@ -95,7 +109,20 @@ def _candidates(t: Column, c: Column, periods: Sequence[int], horizon: int,
 
 def _labels(t: Column, c: Column, periods: Sequence[int], horizon: int,
             keep_outside: bool) -> Column:
-    return F.array_compact(_candidates(t, c, periods, horizon, keep_outside))
+    """Final labels from whole-second ``TIMESTAMP_NTZ`` columns ``t`` and
+    ``c``: the periods not yet passed (a slice of the sorted periods), plus
+    the month label -- built with ``slice``/``concat`` only, no lambdas."""
+    ordered = sorted(periods)
+    passed = _passed(t, c, _bounds(periods, horizon))
+    empty = F.array().cast("array<string>")
+    inside = F.concat(
+        F.slice(F.array(*[F.lit(str(d)) for d in ordered]), passed + 1, len(ordered)),
+        F.when(_month_rule(t, c), F.array(F.lit(MONTHS_LABEL))).otherwise(empty),
+    )
+    outside = F.array(F.lit(OUTSIDE_LABEL)) if keep_outside else empty
+    return (F.when(t.isNull() | c.isNull(), F.lit(None).cast("array<string>"))
+            .when((t < c) & (passed < len(ordered) + 1), inside)
+            .otherwise(outside))
 
 
 def period_labels(create: str | Column, time: str | Column,

@@ -76,3 +76,12 @@ def test_native_form_has_no_python(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "Generate" in plan
+
+
+def test_period_labels_column_matches_fanout(spark):
+    from nestflow.functions.periods import period_labels
+
+    df = _frame(spark, True)
+    arrays = {r.id: set(r.l or []) for r in df.select("id", period_labels("create_time", "time").alias("l")).collect()}
+    for i, (t, expected) in enumerate(BOUNDARIES):
+        assert arrays[i] == expected, (t, arrays[i])
