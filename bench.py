@@ -25,6 +25,7 @@ END_TO_END = ["provider_m_calls_end_to_end"]
 
 HEADLINE = [
     "period_fanout_orders",
+    "period_fanout_orders_tokens",
     "period_fanout_events",
     "unnest_calls",
     "unnest_three_level",
