@@ -41,6 +41,20 @@ def _whole_seconds(c: str | Column) -> Column:
     return trunc_second(to_ts(c))
 
 
+_EXPRESSIONS: dict[tuple, Column] = {}
+
+
+def _session_cached(key: tuple, build) -> Column:
+    """Expressions are immutable values: build each one once per running
+    Spark context instead of re-issuing its many JVM calls per query."""
+    from pyspark import SparkContext
+
+    full = (id(SparkContext._active_spark_context), *key)
+    if full not in _EXPRESSIONS:
+        _EXPRESSIONS[full] = build()
+    return _EXPRESSIONS[full]
+
+
 def _inside(t: Column, c: Column, days: int) -> Column:
     return (t > c - F.make_dt_interval(F.lit(days))) & (t < c)
 
@@ -152,10 +166,14 @@ def period_fanout(df: DataFrame, time: str, create: str, out: str = "type",
         # generator; explode the candidates and drop the ones that do not
         # apply with a plain filter (all of it stays in generated code).
         t, c = "__nf_t", "__nf_c"
-        prepared = df.withColumns({t: _whole_seconds(time), c: _whole_seconds(create)})
-        labels = _candidates(F.col(t), F.col(c), periods, horizon, keep_outside)
-        exploded = prepared.select("*", F.explode(labels).alias(out))
-        return exploded.filter(F.col(out).isNotNull()).drop(t, c)
+        whole = {n: (_session_cached(("whole", v), lambda v=v: _whole_seconds(v)) if isinstance(v, str)
+                     else _whole_seconds(v)) for n, v in ((t, time), (c, create))}
+        prepared = df.select("*", whole[t].alias(t), whole[c].alias(c))
+        key = ("candidates", tuple(sorted(periods)), horizon, keep_outside)
+        labels = _session_cached(key, lambda: F.explode(
+            _candidates(F.col(t), F.col(c), periods, horizon, keep_outside)))
+        exploded = prepared.select(*df.columns, labels.alias(out))
+        return exploded.filter(F.col(out).isNotNull())
     if method != "tokens":
         raise ValueError(f"unknown method {method!r}")
     tok = "__period_token"

@@ -28,6 +28,8 @@ _TS_TYPES = (T.TimestampNTZType, T.TimestampType)
 
 
 def _is_timestamp(df: DataFrame, col: str) -> bool:
+    if "." not in col and col in df.columns:  # the frame's schema is cached
+        return isinstance(df.schema[col].dataType, _TS_TYPES)
     return isinstance(df.select(F.col(col)).schema.fields[0].dataType, _TS_TYPES)
 
 
