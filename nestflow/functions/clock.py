@@ -20,7 +20,11 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values that must equal the reference's for right results:
+#   run-clock zone: Asia/Shanghai
+#   partition value: the run day minus one, formatted yyyyMMdd
 DEFAULT_TZ = "Asia/Shanghai"
+PARTITION_FORMAT = "%Y%m%d"
 
 
 def ntz_literal(value: _dt.datetime | _dt.date) -> Column:
@@ -70,11 +74,11 @@ class RunClock:
 
     @property
     def today_text(self) -> str:
-        return self.today.strftime("%Y%m%d")
+        return self.today.strftime(PARTITION_FORMAT)
 
     @property
     def yesterday_text(self) -> str:
-        return self.yesterday.strftime("%Y%m%d")
+        return self.yesterday.strftime(PARTITION_FORMAT)
 
     @property
     def partition_value(self) -> str:

@@ -28,7 +28,9 @@ from nestflow.operators.tables import align, canonical_calls, dedupe
 from nestflow.plans.documents import TJ_DATA_LIST
 from nestflow.sources.sinks import PARTITION_COL
 
-# Target column orders (the tables are filled in this order).
+# Fixed values that must equal the reference's for right results: the
+# target tables' columns in insert order, and provider T's field names with
+# the canonical call field each becomes.
 M_CALL_COLUMNS = ["mobile", "create_time", "dial_type", "time", "peer_number", "user_id",
                   "details_id", "duration", "type"]
 T_CALL_COLUMNS = ["mobile", "create_time", "dial_type", "time", "peer_number", "user_id",

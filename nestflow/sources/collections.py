@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value that must equal the reference's: documents sampled for a
+# collection's schema, 10000.
 DEFAULT_SAMPLE = 10_000
 
 
