@@ -56,31 +56,48 @@ def find_hot_keys(count_source: DataFrame, keys: Sequence[str],
     how many chunks each needs.  A row is one element, or ``weight`` of them;
     ``limits`` ({weight column: bound}) bounds several sums at once, and a key
     gets as many chunks as its tightest bound asks for."""
-    keys = list(keys)
-    limits = dict(limits) if limits else {weight or "": max_elements}
-    sums = [(F.sum(w) if w else F.count(F.lit(1))).alias(f"__n{i}") for i, w in enumerate(limits)]
-    need = [F.ceil(F.col(f"__n{i}") / F.lit(bound)) for i, bound in enumerate(limits.values())]
-    nb = (F.greatest(*need) if len(need) > 1 else need[0]).cast("int")
-    per_key = count_source.groupBy(*keys).agg(*sums).select(*keys, nb.alias("__nb"), "__n0")
-    hot = per_key.filter(F.col("__nb") > 1).select(*keys, "__nb")
-    # One job, a bounded result: at most limit + 1 hot keys, plus one row with
-    # the largest key's size (both branches reuse the same aggregate).
-    types = {f.name: f.dataType for f in per_key.schema.fields}
-    flagged = hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).select(
-        *keys, "__nb", F.lit(None).cast("long").alias("__largest"))
-    largest_row = per_key.agg(F.max("__n0").cast("long").alias("__largest")).select(
-        *[F.lit(None).cast(types[k]).alias(k) for k in keys], F.lit(None).cast("int").alias("__nb"),
-        "__largest")
-    rows = flagged.unionByName(largest_row).collect()
-    largest = next((int(r["__largest"]) for r in rows if r["__largest"] is not None), 0)
-    hot_rows = [r for r in rows if r["__nb"] is not None]
-    if not hot_rows:
-        return HotKeys(keys, None, True, largest)
-    if len(hot_rows) <= HOT_KEY_BROADCAST_LIMIT:
-        spark = count_source.sparkSession
-        data = [tuple(r[k] for k in keys) + (r["__nb"],) for r in hot_rows]
-        return HotKeys(keys, spark.createDataFrame(data, hot.schema), True, largest)
-    return HotKeys(keys, hot, False, largest)
+    return find_hot_keys_many([(count_source, keys, limits or {weight or "": max_elements})])[0]
+
+
+def find_hot_keys_many(specs: Sequence[tuple[DataFrame, Sequence[str], dict[str, int]]]) -> list[HotKeys]:
+    """Several hot-key searches in ONE action (their stages run side by
+    side).  Each branch returns at most ``HOT_KEY_BROADCAST_LIMIT + 1`` hot
+    keys plus one row with its largest key's size, so the driver receives a
+    bounded result whatever the data."""
+    parts, metas = [], []
+    for i, (source, keys, limits) in enumerate(specs):
+        keys = list(keys)
+        sums = [(F.sum(w) if w else F.count(F.lit(1))).alias(f"__n{j}") for j, w in enumerate(limits)]
+        need = [F.ceil(F.col(f"__n{j}") / F.lit(bound)) for j, bound in enumerate(limits.values())]
+        nb = (F.greatest(*need) if len(need) > 1 else need[0]).cast("int")
+        per_key = source.groupBy(*keys).agg(*sums).select(*keys, nb.alias("__nb"), "__n0")
+        hot = per_key.filter(F.col("__nb") > 1).select(*keys, "__nb")
+        names = [f"__k{i}_{j}" for j in range(len(keys))]
+        types = {f.name: f.dataType for f in per_key.schema.fields}
+        parts.append(hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).select(
+            F.lit(i).alias("__branch"), *[F.col(k).alias(n) for k, n in zip(keys, names)], "__nb",
+            F.lit(None).cast("long").alias("__largest")))
+        parts.append(per_key.agg(F.max("__n0").cast("long").alias("__largest")).select(
+            F.lit(i).alias("__branch"), *[F.lit(None).cast(types[k]).alias(n) for k, n in zip(keys, names)],
+            F.lit(None).cast("int").alias("__nb"), "__largest"))
+        metas.append((source, keys, names, hot))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part, allowMissingColumns=True)
+    rows = union.collect()
+    out = []
+    for i, (source, keys, names, hot) in enumerate(metas):
+        mine = [r for r in rows if r["__branch"] == i]
+        largest = next((int(r["__largest"]) for r in mine if r["__largest"] is not None), 0)
+        hot_rows = [r for r in mine if r["__nb"] is not None]
+        if not hot_rows:
+            out.append(HotKeys(keys, None, True, largest))
+        elif len(hot_rows) <= HOT_KEY_BROADCAST_LIMIT:
+            data = [tuple(r[n] for n in names) + (r["__nb"],) for r in hot_rows]
+            out.append(HotKeys(keys, source.sparkSession.createDataFrame(data, hot.schema), True, largest))
+        else:
+            out.append(HotKeys(keys, hot, False, largest))
+    return out
 
 
 def _join_hot(df: DataFrame, hot: HotKeys, df_keys: Sequence[str]) -> DataFrame:

@@ -36,6 +36,7 @@ from nestflow.plans.assemble import (
     chunks_per_key,
     with_chunk_copies,
     find_hot_keys,
+    find_hot_keys_many,
     with_chunk,
     with_position,
 )
@@ -112,26 +113,33 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     orders = (orders if orders is not None else table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 
+    # The hot-key searches run as one action: items per order, orders per
+    # customer (one call group each -- redone below with chunk weights in
+    # the rare case of split orders) and copies per order row.
+    per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__items"))
+    order_keys = orders.select("o_orderkey", "o_custkey")
+    hot_orders, hot_customers, hot_order_rows = find_hot_keys_many([
+        (per_order, ["l_orderkey"], {"__items": max_elements}),
+        (order_keys, ["o_custkey"], {"": max_elements}),
+        (order_keys, ["o_orderkey"], {"": max_elements}),
+    ])
     # Level 1: line items -> one call group per (order, chunk).  Items are
     # joined to their order on the salted key (order, chunk) -- a hot order's
     # row is repeated once per chunk, at most rows / max_elements copies
     # overall -- and gathered right after the join, which is already
     # partitioned on that key: the items cross the network once.
-    per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__items"))
-    hot_orders = find_hot_keys(per_order, ["l_orderkey"], max_elements, weight="__items")
     if hot_orders.any:
         li = with_position(li, "__lpos")
     li = with_chunk(li, hot_orders, ["l_orderkey", "__lpos"] if hot_orders.any else [], "__lic")
 
-    # Level 2 needs to know its hot customers before the order rows are read:
-    # a customer's elements are its call groups (one per order, or one per
-    # chunk of a split order).
-    # A document is bounded both in call groups (``max_elements``) and in
+    # Level 2: a customer's elements are its call groups (one per order, or
+    # one per chunk of a split order).  A document is bounded both in call groups (``max_elements``) and in
     # items (``max_doc_items``), so the two nesting levels cannot multiply.
     # The item totals need a key-only join; it runs only when the largest
     # order times the most groups of any customer could pass the item bound.
-    weights = chunks_per_key(orders.select("o_orderkey", "o_custkey"), hot_orders, "o_orderkey")
-    hot_customers = find_hot_keys(weights, ["o_custkey"], max_elements, weight="__w")
+    weights = chunks_per_key(order_keys, hot_orders, "o_orderkey")
+    if hot_orders.any:
+        hot_customers = find_hot_keys(weights, ["o_custkey"], max_elements, weight="__w")
     if min(hot_orders.largest, max_elements) * hot_customers.largest > max_doc_items:
         weights = (weights.join(per_order, weights.o_orderkey == per_order.l_orderkey, "left")
                    .select("o_custkey", "__w", F.coalesce("__items", F.lit(0)).alias("__items")))
@@ -139,7 +147,6 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
                                       limits={"__w": max_elements, "__items": max_doc_items})
     # Copies of one order row are salted the same way from the other side:
     # their items are repeated once per chunk of copies.
-    hot_order_rows = find_hot_keys(orders.select("o_orderkey"), ["o_orderkey"], max_elements)
     positioned = hot_customers.any or hot_order_rows.any
     if positioned:
         orders = with_position(orders, "__opos")
