@@ -9,8 +9,9 @@ or re-run job resumes after the last committed batch, and ``foreachBatch``
 to write each batch with the batch sinks.
 
 Each micro-batch is a plain batch DataFrame, so DISTINCT inside a pipeline
-de-duplicates within one batch; the partition sink's ``overwrite`` mode is
-not used here because batches of one day must add to each other.
+de-duplicates within one batch.  Batches of one day add to each other; each
+batch writes its own ``__batch`` sub-partition, replaced if the batch is
+retried, so a lost executor or a restarted stream never duplicates rows.
 """
 
 from __future__ import annotations
@@ -18,11 +19,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestflow.sources.sinks import PARTITION_COL, shared_dir
 
 
+BATCH_COL = "__batch"
+
+
+def write_batch_output(out: DataFrame, target: str, batch_id: int) -> None:
+    """Write one micro-batch idempotently: it owns the partitions
+    ``(partition_time, __batch=batch_id)`` and replaces them on a retry, so
+    the at-least-once ``foreachBatch`` becomes exactly-once in the table."""
+    parts = [PARTITION_COL, BATCH_COL] if PARTITION_COL in out.columns else [BATCH_COL]
+    (out.withColumn(BATCH_COL, F.lit(int(batch_id))).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(target))
+
+
 def run_incremental(spark: SparkSession, source: str, schema: T.StructType | str,
                     pipeline: Callable[[DataFrame], DataFrame], target: str,
                     checkpoint: str | None = None, fmt: str = "json",
@@ -38,11 +52,7 @@ def run_incremental(spark: SparkSession, source: str, schema: T.StructType | str
     batches = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = pipeline(batch)
-        writer = out.write.mode("append")
-        if PARTITION_COL in out.columns:
-            writer = writer.partitionBy(PARTITION_COL)
-        writer.parquet(target)
+        write_batch_output(pipeline(batch), target, batch_id)
         batches.append(batch_id)
 
     query = (reader.load(source).writeStream.foreachBatch(write_batch)

@@ -33,6 +33,19 @@ def test_incremental_contacts(spark):
     assert {str(r.partition_time) for r in rows} == {"20240114"}
 
 
+def test_retried_batch_is_not_duplicated(spark):
+    from nestflow.streaming.incremental import write_batch_output
+
+    target = scratch_path(spark, "retry")
+    out = spark.createDataFrame([("1", "p", "20240114"), ("2", "q", "20240114")],
+                                "userId string, phone string, partition_time string")
+    write_batch_output(out, target, 0)
+    write_batch_output(out.limit(1), target, 1)
+    write_batch_output(out.limit(1), target, 1)   # batch 1 retried
+    write_batch_output(out, target, 0)            # batch 0 replayed
+    assert spark.read.parquet(target).count() == 3
+
+
 def test_incremental_nested_documents_match_batch(spark):
     from nestflow.plans import documents as D
     from nestflow.plans.queries import M_CLOCK
@@ -46,7 +59,7 @@ def test_incremental_nested_documents_match_batch(spark):
     run_incremental(spark, landing, D.M_CALLS_SCHEMA.replace(", bills array<struct<bill_month: string>>",
                                                              ", bills array<struct<total_fee: int, bill_month: string>>"),
                     pipeline, target, f"{base}/ckpt")
-    streamed = spark.read.parquet(target).drop("partition_time")
+    streamed = spark.read.parquet(target).drop("partition_time", "__batch")
     batch = P.provider_m_calls(docs, M_CLOCK).drop("partition_time")
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
