@@ -50,11 +50,13 @@ def _table_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def load_partition(df: DataFrame, target: str, partition_value: str, mode: str = "append",
-                   columns: list[str] | None = None) -> None:
+                   columns: list[str] | None = None, max_records_per_file: int | None = None) -> None:
     """Write ``df`` into the one partition ``partition_time=value``.
 
     ``mode="append"`` adds rows (running a day twice duplicates them, as in
     the reference); ``mode="overwrite"`` replaces that partition only.
+    ``max_records_per_file`` splits large outputs into bounded files
+    without a shuffle (path targets).
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -63,8 +65,10 @@ def load_partition(df: DataFrame, target: str, partition_value: str, mode: str =
     if _is_path(target):
         if columns is not None:
             out = out.select(*columns, PARTITION_COL)
-        (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PARTITION_COL).parquet(target))
+        writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        if max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+        writer.partitionBy(PARTITION_COL).parquet(target)
         return
     # A static partition spec: OVERWRITE replaces this partition only,
     # whatever the session's partitionOverwriteMode.
@@ -81,10 +85,14 @@ def load_partition(df: DataFrame, target: str, partition_value: str, mode: str =
         spark.catalog.dropTempView(view)
 
 
-def refresh_table(df: DataFrame, target: str, columns: list[str] | None = None) -> None:
+def refresh_table(df: DataFrame, target: str, columns: list[str] | None = None,
+                  max_records_per_file: int | None = None) -> None:
     """Replace the whole content of an unpartitioned table."""
     if _is_path(target):
-        (df.select(*columns) if columns else df).write.mode("overwrite").parquet(target)
+        writer = (df.select(*columns) if columns else df).write.mode("overwrite")
+        if max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+        writer.parquet(target)
         return
     order = _table_columns(df.sparkSession, target)
     df.select(*order).write.insertInto(target, overwrite=True)

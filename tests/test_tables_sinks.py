@@ -122,3 +122,13 @@ def test_use_database_and_show(spark, base, capsys):
         use_database(spark, "default")
     show_result(base.select(field("s", "text")))
     assert "text" in capsys.readouterr().out
+
+
+def test_max_records_per_file(spark):
+    import glob
+
+    df = spark.range(100).selectExpr("id", "cast(id as string) s").coalesce(1)
+    path = scratch_path(spark, "files")
+    load_partition(df, path, "20240101", max_records_per_file=30)
+    files = glob.glob(path.replace("file:", "") + "/partition_time=20240101/*.parquet")
+    assert len(files) == 4 and spark.read.parquet(path).count() == 100
