@@ -243,8 +243,12 @@ def real_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # row-group statistics let a daily run skip most of a large collection.
 
 COLLECTION_VERSION = "2"
-SOURCES = {"mx": ["lineitem", "orders"], "tj": ["lineitem", "orders"],
+SOURCES = {"mx": ["lineitem", "orders"], "tj": ["lineitem", "orders"], "mx_json": ["lineitem", "orders"],
            "contacts": ["events"], "real_names": ["customer"]}
+# Collections written as JSON lines (a document store's export format):
+# wall-clock times as 'yyyy-MM-dd HH:mm:ss' text.
+JSON_KINDS = {"mx_json": "mx"}
+JSON_WRITE_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
 BUILDERS: dict[str, Callable[..., DataFrame]] = {}
 
 
@@ -317,11 +321,16 @@ def stage_collection(spark: SparkSession, sf_dir: str, kind: str, max_elements:
     path = path or collection_path(spark, sf_dir, kind, max_elements)
     if _exists(spark, path):  # only ever created by publishing a complete write
         return path
-    builder = BUILDERS[kind]
-    df = builder(spark, sf_dir, max_elements) if kind in ("mx", "tj") else builder(spark, sf_dir)
-    order = {"mx": "create_time", "tj": "create_time", "contacts": "gmtCreate", "real_names": "phone"}[kind]
+    base_kind = JSON_KINDS.get(kind, kind)
+    builder = BUILDERS[base_kind]
+    df = builder(spark, sf_dir, max_elements) if base_kind in ("mx", "tj") else builder(spark, sf_dir)
+    order = {"mx": "create_time", "tj": "create_time", "contacts": "gmtCreate", "real_names": "phone"}[base_kind]
     tmp = f"{path}-tmp-{uuid.uuid4().hex[:12]}"
-    df.sortWithinPartitions(order).write.parquet(tmp)
+    writer = df.sortWithinPartitions(order).write
+    if kind in JSON_KINDS:
+        writer.options(**JSON_WRITE_OPTIONS).json(tmp)
+    else:
+        writer.parquet(tmp)
     if not _publish(spark, tmp, path) and not _exists(spark, path):
         raise RuntimeError(f"could not publish collection {path}")
     return path

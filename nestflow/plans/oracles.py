@@ -200,3 +200,15 @@ FROM ({_fanout(f"SELECT * FROM ({_T_CALLS}) c WHERE {_T_DAY}", "TRY_CAST(time AS
                "TRY_CAST(create_time AS TIMESTAMP)",
                "mobile, create_time, dial_type, time, peer_number, user_id, duration")}) f"""
 ORACLES["contacts_increment_streamed"] = ORACLES["contacts_increment"]
+# The same calls with JSON's types: times as text, duration as a long.
+_M_CALLS_JSON = f"""
+SELECT mobile, user_id, strftime(create_time, '%Y-%m-%d %H:%M:%S') AS create_time, peer_number, details_id,
+       dial_type, CAST(duration AS BIGINT) AS duration, strftime(time, '%Y-%m-%d %H:%M:%S') AS time, n_bills
+FROM ({_M_CALLS}) c"""
+_M_DAY_TEXT = _open_day("TRY_CAST(create_time AS TIMESTAMP)", "2001-07-28 00:00:00", "2001-07-29 00:00:00")
+ORACLES["provider_m_calls_from_json"] = f"""
+SELECT DISTINCT mobile, create_time, dial_type, time, peer_number, user_id, details_id, duration, type,
+       '20010728' AS partition_time
+FROM ({_fanout(f"SELECT * FROM ({_M_CALLS_JSON}) c WHERE n_bills > 0 AND {_M_DAY_TEXT}",
+               "TRY_CAST(time AS TIMESTAMP)", "TRY_CAST(create_time AS TIMESTAMP)",
+               "mobile, create_time, dial_type, time, peer_number, user_id, details_id, duration")}) f"""

@@ -252,6 +252,15 @@ def q_provider_m_calls(spark, sf):
     return P.provider_m_calls(_mx(spark, sf), M_CLOCK)
 
 
+def q_provider_m_calls_from_json(spark, sf):
+    """J3 on the M collection exported as JSON lines and read the way the
+    reference reads its store: schema inferred from a 10,000-document
+    sample (times arrive as text, numbers as longs)."""
+    path = D.stage_collection(spark, sf, "mx_json")
+    docs = read_collection(spark, path, fmt="json", sample_size=10_000)
+    return P.provider_m_calls(docs, M_CLOCK)
+
+
 def q_provider_m_bills(spark, sf):
     return P.provider_m_bills(_mx(spark, sf, D.M_BILLS_SCHEMA), M_CLOCK)
 
@@ -387,6 +396,7 @@ QUERIES: dict[str, QueryFn] = {
     "provider_t_calls_increment": q_provider_t_calls_increment,
     "provider_t_bills": q_provider_t_bills,
     "provider_m_calls": q_provider_m_calls,
+    "provider_m_calls_from_json": q_provider_m_calls_from_json,
     "provider_m_bills": q_provider_m_bills,
     "contacts_increment": q_contacts_increment,
     "contacts_increment_streamed": q_contacts_increment_streamed,
