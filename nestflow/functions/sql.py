@@ -1,14 +1,11 @@
 """SQL surface: the reference's three functions for SQL callers.
 
 ``register_sql_functions(spark)`` defines session-scoped SQL functions with
-the reference's names and signatures, so existing SQL text such as::
-
-    SELECT ..., time_parse(type, create_time, time, unix_timestamp(time)) type
-    FROM (SELECT ..., EXPLODE(SPLIT(day_divide(unix_timestamp(create_time),
-                                               unix_timestamp(time)), ',')) type ...)
-    WHERE type != "0"
-
-runs unchanged.  They are SQL functions (``CREATE TEMPORARY FUNCTION ...
+the reference's names and signatures, so SQL written against them -- for
+example ``day_divide(unix_timestamp(create_time), unix_timestamp(time))``
+split and exploded into tokens, each relabelled with
+``time_parse(token, create_time, time, unix_timestamp(time))`` -- runs
+unchanged.  They are SQL functions (``CREATE TEMPORARY FUNCTION ...
 RETURN <expression>``), not UDFs: the analyzer inlines the expression, so
 it is optimised, constant-folded and code-generated like any built-in.
 
