@@ -132,3 +132,19 @@ def test_max_records_per_file(spark):
     load_partition(df, path, "20240101", max_records_per_file=30)
     files = glob.glob(path.replace("file:", "") + "/partition_time=20240101/*.parquet")
     assert len(files) == 4 and spark.read.parquet(path).count() == 100
+
+
+def test_write_collection_save_modes(spark, base):
+    import pytest as _pytest
+    from pyspark.errors import AnalysisException
+
+    path = scratch_path(spark, "modes")
+    write_collection(base, path, fmt="json", mode="append")
+    write_collection(base, path, fmt="json", mode="append")
+    assert spark.read.json(path).count() == 6
+    write_collection(base.limit(1), path, fmt="json", mode="ignore")   # exists: nothing happens
+    assert spark.read.json(path).count() == 6
+    with _pytest.raises(AnalysisException):
+        write_collection(base, path, fmt="json", mode="error")
+    write_collection(base.limit(1), path, fmt="json", mode="overwrite")
+    assert spark.read.json(path).count() == 1
