@@ -249,6 +249,7 @@ SOURCES = {"mx": ["lineitem", "orders"], "tj": ["lineitem", "orders"], "mx_json"
 # wall-clock times as 'yyyy-MM-dd HH:mm:ss' text.
 JSON_KINDS = {"mx_json": "mx"}
 JSON_WRITE_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+DOCS_PER_FILE = 200_000
 BUILDERS: dict[str, Callable[..., DataFrame]] = {}
 
 
@@ -326,7 +327,9 @@ def stage_collection(spark: SparkSession, sf_dir: str, kind: str, max_elements:
     df = builder(spark, sf_dir, max_elements) if base_kind in ("mx", "tj") else builder(spark, sf_dir)
     order = {"mx": "create_time", "tj": "create_time", "contacts": "gmtCreate", "real_names": "phone"}[base_kind]
     tmp = f"{path}-tmp-{uuid.uuid4().hex[:12]}"
-    writer = df.sortWithinPartitions(order).write
+    # Bounded files whatever the shuffle partition count: documents are
+    # bounded in size, so a record cap bounds the file size too.
+    writer = df.sortWithinPartitions(order).write.option("maxRecordsPerFile", str(DOCS_PER_FILE))
     if kind in JSON_KINDS:
         writer.options(**JSON_WRITE_OPTIONS).json(tmp)
     else:
