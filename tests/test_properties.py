@@ -122,3 +122,47 @@ def test_to_int_matches_rules(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, s string")
     for r in df.select("id", "s", to_int("s").alias("v")).collect():
         assert r.v == expected_int(r.s), repr(r.s)
+
+
+item = st.fixed_dictionaries({
+    "peer_number": st.sampled_from(["p1", "p2"]), "details_id": st.sampled_from(["d1", "d2", "d3"]),
+    "dial_type": st.just("A"), "duration": st.integers(0, 3),
+    "time": st.sampled_from(["2018-07-10 10:00:00", "2018-03-01 00:00:00", "2017-01-01 00:00:00", None]),
+})
+group = st.fixed_dictionaries({"items": st.one_of(st.none(), st.lists(item, max_size=3))})
+bill = st.one_of(st.none(), st.fixed_dictionaries({"total_fee": st.integers(0, 9), "bill_month": st.just("2018-06")}))
+doc = st.fixed_dictionaries({
+    "mobile": st.sampled_from(["1", "2", "3"]), "user_id": st.just("u"),
+    "create_time": st.sampled_from(["2018-07-15 10:00:00", "2018-07-14 23:59:59", "2018-07-15 00:00:00"]),
+    "calls": st.one_of(st.none(), st.lists(group, max_size=3)),
+    "bills": st.one_of(st.none(), st.lists(bill, max_size=2)),
+})
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(doc, min_size=1, max_size=12))
+def test_m_calls_match_brute_force(spark, docs):
+    import json
+
+    from nestflow.functions.clock import RunClock
+    from nestflow.plans import datasets as P
+
+    schema = ("mobile string, user_id string, create_time string, calls array<struct<items: array<struct<"
+              "peer_number: string, details_id: string, dial_type: string, duration: int, time: string>>>>, "
+              "bills array<struct<total_fee: int, bill_month: string>>")
+    df = spark.read.schema(schema).json(spark.sparkContext.parallelize([json.dumps(d) for d in docs], 1))
+    clock = RunClock.of("2018-07-15")  # the day 2018-07-14, open at both ends
+    got = sorted(tuple(r) for r in P.provider_m_calls(df, clock).drop("partition_time").collect())
+
+    want = set()
+    for d in docs:
+        c = dt.datetime.fromisoformat(d["create_time"])
+        if not (dt.datetime(2018, 7, 14) < c < dt.datetime(2018, 7, 15)) or not d["bills"]:
+            continue
+        for g in d["calls"] or []:
+            for it in g["items"] or []:
+                t = dt.datetime.fromisoformat(it["time"]) if it["time"] else None
+                for label in expected_labels(c, t):
+                    want.add((d["mobile"], d["create_time"], it["dial_type"], it["time"], it["peer_number"],
+                              d["user_id"], it["details_id"], it["duration"], label))
+    assert got == sorted(want)
