@@ -59,13 +59,16 @@ def find_hot_keys(count_source: DataFrame, keys: Sequence[str],
     return find_hot_keys_many([(count_source, keys, limits or {weight or "": max_elements})])[0]
 
 
-def find_hot_keys_many(specs: Sequence[tuple[DataFrame, Sequence[str], dict[str, int]]]) -> list[HotKeys]:
+def find_hot_keys_many(specs: Sequence[tuple]) -> list[HotKeys]:
     """Several hot-key searches in ONE action (their stages run side by
-    side).  Each branch returns at most ``HOT_KEY_BROADCAST_LIMIT + 1`` hot
-    keys plus one row with its largest key's size, so the driver receives a
-    bounded result whatever the data."""
+    side).  A spec is ``(source, keys, limits)`` or ``(source, keys, limits,
+    want_largest)``.  Each branch returns at most ``HOT_KEY_BROADCAST_LIMIT
+    + 1`` hot keys plus, if wanted, one row with its largest key's size, so
+    the driver receives a bounded result whatever the data."""
     parts, metas = [], []
-    for i, (source, keys, limits) in enumerate(specs):
+    for i, spec in enumerate(specs):
+        source, keys, limits = spec[:3]
+        want_largest = spec[3] if len(spec) > 3 else True
         keys = list(keys)
         sums = [(F.sum(w) if w else F.count(F.lit(1))).alias(f"__n{j}") for j, w in enumerate(limits)]
         need = [F.ceil(F.col(f"__n{j}") / F.lit(bound)) for j, bound in enumerate(limits.values())]
@@ -77,9 +80,10 @@ def find_hot_keys_many(specs: Sequence[tuple[DataFrame, Sequence[str], dict[str,
         parts.append(hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).select(
             F.lit(i).alias("__branch"), *[F.col(k).alias(n) for k, n in zip(keys, names)], "__nb",
             F.lit(None).cast("long").alias("__largest")))
-        parts.append(per_key.agg(F.max("__n0").cast("long").alias("__largest")).select(
-            F.lit(i).alias("__branch"), *[F.lit(None).cast(types[k]).alias(n) for k, n in zip(keys, names)],
-            F.lit(None).cast("int").alias("__nb"), "__largest"))
+        if want_largest:
+            parts.append(per_key.agg(F.max("__n0").cast("long").alias("__largest")).select(
+                F.lit(i).alias("__branch"), *[F.lit(None).cast(types[k]).alias(n) for k, n in zip(keys, names)],
+                F.lit(None).cast("int").alias("__nb"), "__largest"))
         metas.append((source, keys, names, hot))
     union = parts[0]
     for part in parts[1:]:

@@ -121,7 +121,7 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     hot_orders, hot_customers, hot_order_rows = find_hot_keys_many([
         (per_order, ["l_orderkey"], {"__items": max_elements}),
         (order_keys, ["o_custkey"], {"": max_elements}),
-        (order_keys, ["o_orderkey"], {"": max_elements}),
+        (order_keys, ["o_orderkey"], {"": max_elements}, False),
     ])
     # Level 1: line items -> one call group per (order, chunk).  Items are
     # joined to their order on the salted key (order, chunk) -- a hot order's
