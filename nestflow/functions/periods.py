@@ -41,18 +41,19 @@ def _whole_seconds(c: str | Column) -> Column:
     return trunc_second(to_ts(c))
 
 
-_EXPRESSIONS: dict[tuple, Column] = {}
-
-
 def _session_cached(key: tuple, build) -> Column:
     """Expressions are immutable values: build each one once per running
-    Spark context instead of re-issuing its many JVM calls per query."""
+    Spark context instead of re-issuing its many JVM calls per query.  The
+    cache lives on the context object, so it goes away with it."""
     from pyspark import SparkContext
 
-    full = (id(SparkContext._active_spark_context), *key)
-    if full not in _EXPRESSIONS:
-        _EXPRESSIONS[full] = build()
-    return _EXPRESSIONS[full]
+    sc = SparkContext._active_spark_context
+    if sc is None:
+        return build()
+    cache = sc.__dict__.setdefault("_nestflow_expressions", {})
+    if key not in cache:
+        cache[key] = build()
+    return cache[key]
 
 
 def _inside(t: Column, c: Column, days: int) -> Column:
