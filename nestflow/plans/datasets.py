@@ -65,21 +65,24 @@ def t_calls_flat(docs: DataFrame) -> DataFrame:
 
 
 def provider_t_calls(docs: DataFrame, clock: RunClock, keep_outside: bool = True,
-                     selection: str = "snapshot", bounds: str = "open") -> DataFrame:
+                     selection: str = "snapshot", bounds: str = "open",
+                     canonical_text: bool = False) -> DataFrame:
     """T call records, tagged by period, duration made int,
     de-duplicated.  The reference loads a cumulative ``snapshot`` of all
     documents created before the run day; ``selection="increment"`` loads
-    only the day's documents (what a 100 TB history wants)."""
-    calls = t_calls_flat(select_run(docs, "create_time", clock, selection, bounds))
+    only the day's documents (what a 100 TB history wants).
+    ``canonical_text=True`` declares the text creation times canonical so
+    the selection also reaches the scan (see ``operators.before``)."""
+    calls = t_calls_flat(select_run(docs, "create_time", clock, selection, bounds, canonical_text))
     tagged = period_fanout(calls, "time", "create_time", keep_outside=keep_outside)
     typed = tagged.withColumn("duration", to_int("duration"))
     return _tag(dedupe(typed, T_CALL_COLUMNS), clock)
 
 
 def provider_t_bills(docs: DataFrame, clock: RunClock, selection: str = "snapshot",
-                     bounds: str = "open") -> DataFrame:
+                     bounds: str = "open", canonical_text: bool = False) -> DataFrame:
     """T bills (no de-duplication), fee as int with 0 for missing/bad."""
-    kept = select_run(docs, "create_time", clock, selection, bounds)
+    kept = select_run(docs, "create_time", clock, selection, bounds, canonical_text)
     items = unnest_path(kept, [TJ_DATA_LIST, "billdata"], keep=["create_time"],
                         carry={0: {"mobile": "userdata.phone"}}, alias="item")
     out = items.select("mobile", "create_time",

@@ -97,6 +97,8 @@ def _mx(spark, sf, schema=D.M_CALLS_SCHEMA):
 
 
 def _tj(spark, sf, schema=D.T_CALLS_SCHEMA):
+    """The stored T collection; its text times are written canonical
+    (``yyyy-MM-dd HH:mm:ss``), so T selections may say ``canonical_text``."""
     return D.stored_collection(spark, sf, "tj", schema)
 
 
@@ -233,15 +235,15 @@ def q_partition_tagged(spark, sf):
 
 
 def q_provider_t_calls(spark, sf):
-    return P.provider_t_calls(_tj(spark, sf), T_CLOCK)
+    return P.provider_t_calls(_tj(spark, sf), T_CLOCK, canonical_text=True)
 
 
 def q_provider_t_calls_increment(spark, sf):
-    return P.provider_t_calls(_tj(spark, sf), M_CLOCK, selection="increment")
+    return P.provider_t_calls(_tj(spark, sf), M_CLOCK, selection="increment", canonical_text=True)
 
 
 def q_provider_t_bills(spark, sf):
-    return P.provider_t_bills(_tj(spark, sf, D.T_BILLS_SCHEMA), T_CLOCK)
+    return P.provider_t_bills(_tj(spark, sf, D.T_BILLS_SCHEMA), T_CLOCK, canonical_text=True)
 
 
 def q_provider_m_calls(spark, sf):
