@@ -54,13 +54,20 @@ def append_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def update_by_key(df: DataFrame, changes: DataFrame, keys: Sequence[str],
-                  cols: Sequence[str] | None = None) -> DataFrame:
+                  cols: Sequence[str] | None = None, check_unique: bool = False) -> DataFrame:
     """M3: set ``cols`` of rows whose key appears in ``changes``.
 
-    ``changes`` must hold at most one row per key.  A matched row takes the
-    new value even when it is NULL (so a field can be cleared).
+    ``changes`` must hold at most one row per key; ``check_unique=True``
+    verifies it first (one bounded action: a partial count per key, at most
+    one offending key returned) and raises instead of multiplying rows.
+    A matched row takes the new value even when it is NULL (so a field can
+    be cleared).
     """
     keys = list(keys)
+    if check_unique:
+        dup = changes.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+        if dup:
+            raise ValueError(f"changes hold more than one row for key {dup[0].asDict()}")
     cols = [c for c in changes.columns if c not in keys] if cols is None else list(cols)
     flag = "__nf_matched"
     new = changes.select(*keys, *[F.col(c).alias(f"__nf_new_{c}") for c in cols],

@@ -148,3 +148,11 @@ def test_write_collection_save_modes(spark, base):
         write_collection(base, path, fmt="json", mode="error")
     write_collection(base.limit(1), path, fmt="json", mode="overwrite")
     assert spark.read.json(path).count() == 1
+
+
+def test_update_check_unique(spark, base):
+    ch = spark.createDataFrame([(1, "x"), (1, "y")], "k int, s string")
+    with pytest.raises(ValueError):
+        update_by_key(base, ch, ["k"], check_unique=True)
+    ok = spark.createDataFrame([(1, "x")], "k int, s string")
+    assert update_by_key(base, ok, ["k"], check_unique=True).count() == 3
