@@ -92,26 +92,29 @@ def provider_t_bills(docs: DataFrame, clock: RunClock, selection: str = "snapsho
 
 
 def provider_m_calls(docs: DataFrame, clock: RunClock, bounds: str = "open",
-                     keep_outside: bool = True, selection: str = "increment") -> DataFrame:
+                     keep_outside: bool = True, selection: str = "increment",
+                     canonical_text: bool = False) -> DataFrame:
     """M call records of documents created on the day before the run,
     only for documents with at least one bill, tagged and de-duplicated."""
-    kept = require_nonempty(select_run(docs, "create_time", clock, selection, bounds), "bills")
+    kept = require_nonempty(select_run(docs, "create_time", clock, selection, bounds, canonical_text),
+                            "bills")
     tagged = period_fanout(m_calls_flat(kept), "time", "create_time", keep_outside=keep_outside)
     return _tag(dedupe(tagged, M_CALL_COLUMNS), clock)
 
 
 def provider_m_bills(docs: DataFrame, clock: RunClock, bounds: str = "open",
-                     selection: str = "increment") -> DataFrame:
+                     selection: str = "increment", canonical_text: bool = False) -> DataFrame:
     """M bills of the day's documents; fee neither cast nor defaulted."""
-    kept = select_run(docs, "create_time", clock, selection, bounds)
+    kept = select_run(docs, "create_time", clock, selection, bounds, canonical_text)
     bills = unnest(kept.select("mobile", "create_time", "bills"), "bills", "bill")
     return _tag(flatten_struct(bills, "bill", ["total_fee", "bill_month"],
                                keep=["mobile", "create_time"]), clock)
 
 
-def contacts_increment(contacts: DataFrame, clock: RunClock, bounds: str = "open") -> DataFrame:
+def contacts_increment(contacts: DataFrame, clock: RunClock, bounds: str = "open",
+                       canonical_text: bool = False) -> DataFrame:
     """Contacts created on the day before the run."""
-    return _tag(align(in_day(contacts, "gmtCreate", clock, bounds), CONTACT_COLUMNS), clock)
+    return _tag(align(in_day(contacts, "gmtCreate", clock, bounds, canonical_text), CONTACT_COLUMNS), clock)
 
 
 def real_name_refresh(names: DataFrame) -> DataFrame:
