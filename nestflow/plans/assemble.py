@@ -9,8 +9,8 @@ So elements are gathered per ``(key, chunk)``:
   per key and map task crosses the shuffle) and keeps only keys over
   ``max_elements`` -- at most ``rows / max_elements`` of them;
 * that hot-key list is broadcast when it is provably small (at most
-  ``HOT_KEY_BROADCAST_LIMIT`` rows, checked by fetching one more), and joined
-  by shuffle otherwise;
+  ``HOT_KEY_BROADCAST_LIMIT`` rows, counted before anything is fetched),
+  and joined by shuffle otherwise;
 * a hot key's elements are spread over ``ceil(n / max_elements)`` chunks by a
   hash of ``spread`` columns; every other key has chunk 0, so small data
   gives exactly one group per key.  Hash spreading makes ``max_elements`` a
@@ -60,45 +60,42 @@ def find_hot_keys(count_source: DataFrame, keys: Sequence[str],
 
 
 def find_hot_keys_many(specs: Sequence[tuple]) -> list[HotKeys]:
-    """Several hot-key searches in ONE action (their stages run side by
-    side).  A spec is ``(source, keys, limits)`` or ``(source, keys, limits,
-    want_largest)``.  Each branch returns at most ``HOT_KEY_BROADCAST_LIMIT
-    + 1`` hot keys plus, if wanted, one row with its largest key's size, so
-    the driver receives a bounded result whatever the data."""
+    """Several hot-key searches.  A spec is ``(source, keys, limits)``.
+
+    One action first asks every branch (side by side) for two numbers only
+    -- how many keys are hot and how large the largest key is -- as partial
+    aggregates, so no task ever receives more than one row per partition.
+    Only a branch with between 1 and ``HOT_KEY_BROADCAST_LIMIT`` hot keys
+    then fetches them (a result proven small); above that the hot keys stay
+    a distributed table for a shuffle join.
+    """
     parts, metas = [], []
     for i, spec in enumerate(specs):
         source, keys, limits = spec[:3]
-        want_largest = spec[3] if len(spec) > 3 else True
         keys = list(keys)
         sums = [(F.sum(w) if w else F.count(F.lit(1))).alias(f"__n{j}") for j, w in enumerate(limits)]
         need = [F.ceil(F.col(f"__n{j}") / F.lit(bound)) for j, bound in enumerate(limits.values())]
         nb = (F.greatest(*need) if len(need) > 1 else need[0]).cast("int")
         per_key = source.groupBy(*keys).agg(*sums).select(*keys, nb.alias("__nb"), "__n0")
         hot = per_key.filter(F.col("__nb") > 1).select(*keys, "__nb")
-        names = [f"__k{i}_{j}" for j in range(len(keys))]
-        types = {f.name: f.dataType for f in per_key.schema.fields}
-        parts.append(hot.limit(HOT_KEY_BROADCAST_LIMIT + 1).select(
-            F.lit(i).alias("__branch"), *[F.col(k).alias(n) for k, n in zip(keys, names)], "__nb",
-            F.lit(None).cast("long").alias("__largest")))
-        if want_largest:
-            parts.append(per_key.agg(F.max("__n0").cast("long").alias("__largest")).select(
-                F.lit(i).alias("__branch"), *[F.lit(None).cast(types[k]).alias(n) for k, n in zip(keys, names)],
-                F.lit(None).cast("int").alias("__nb"), "__largest"))
-        metas.append((source, keys, names, hot))
+        parts.append(per_key.agg(
+            F.count_if(F.col("__nb") > 1).alias("__nhot"),
+            F.max("__n0").cast("long").alias("__largest"),
+        ).select(F.lit(i).alias("__branch"), "__nhot", "__largest"))
+        metas.append((source, keys, hot))
     union = parts[0]
     for part in parts[1:]:
-        union = union.unionByName(part, allowMissingColumns=True)
-    rows = union.collect()
+        union = union.unionByName(part)
+    stats = {r["__branch"]: r for r in union.collect()}
     out = []
-    for i, (source, keys, names, hot) in enumerate(metas):
-        mine = [r for r in rows if r["__branch"] == i]
-        largest = next((int(r["__largest"]) for r in mine if r["__largest"] is not None), 0)
-        hot_rows = [r for r in mine if r["__nb"] is not None]
-        if not hot_rows:
+    for i, (source, keys, hot) in enumerate(metas):
+        n_hot = int(stats[i]["__nhot"] or 0)
+        largest = int(stats[i]["__largest"] or 0)
+        if n_hot == 0:
             out.append(HotKeys(keys, None, True, largest))
-        elif len(hot_rows) <= HOT_KEY_BROADCAST_LIMIT:
-            data = [tuple(r[n] for n in names) + (r["__nb"],) for r in hot_rows]
-            out.append(HotKeys(keys, source.sparkSession.createDataFrame(data, hot.schema), True, largest))
+        elif n_hot <= HOT_KEY_BROADCAST_LIMIT:
+            rows = hot.collect()  # at most HOT_KEY_BROADCAST_LIMIT rows, counted above
+            out.append(HotKeys(keys, source.sparkSession.createDataFrame(rows, hot.schema), True, largest))
         else:
             out.append(HotKeys(keys, hot, False, largest))
     return out
