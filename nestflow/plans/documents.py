@@ -244,10 +244,11 @@ def real_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 COLLECTION_VERSION = "2"
 SOURCES = {"mx": ["lineitem", "orders"], "tj": ["lineitem", "orders"], "mx_json": ["lineitem", "orders"],
+           "tj_json": ["lineitem", "orders"],
            "contacts": ["events"], "real_names": ["customer"]}
 # Collections written as JSON lines (a document store's export format):
 # wall-clock times as 'yyyy-MM-dd HH:mm:ss' text.
-JSON_KINDS = {"mx_json": "mx"}
+JSON_KINDS = {"mx_json": "mx", "tj_json": "tj"}
 JSON_WRITE_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
 DOCS_PER_FILE = 200_000
 BUILDERS: dict[str, Callable[..., DataFrame]] = {}

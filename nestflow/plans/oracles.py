@@ -212,3 +212,4 @@ SELECT DISTINCT mobile, create_time, dial_type, time, peer_number, user_id, deta
 FROM ({_fanout(f"SELECT * FROM ({_M_CALLS_JSON}) c WHERE n_bills > 0 AND {_M_DAY_TEXT}",
                "TRY_CAST(time AS TIMESTAMP)", "TRY_CAST(create_time AS TIMESTAMP)",
                "mobile, create_time, dial_type, time, peer_number, user_id, details_id, duration")}) f"""
+ORACLES["provider_t_calls_from_json"] = ORACLES["provider_t_calls"]

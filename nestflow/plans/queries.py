@@ -242,6 +242,15 @@ def q_provider_t_calls_increment(spark, sf):
     return P.provider_t_calls(_tj(spark, sf), M_CLOCK, selection="increment", canonical_text=True)
 
 
+def q_provider_t_calls_from_json(spark, sf):
+    """J1 on the three-level T collection exported as JSON lines, read with a
+    schema sampled from 10,000 documents (its times and fees are text
+    already, so the rows equal J1's)."""
+    path = D.stage_collection(spark, sf, "tj_json")
+    docs = read_collection(spark, path, fmt="json", sample_size=10_000)
+    return P.provider_t_calls(docs, T_CLOCK, canonical_text=True)
+
+
 def q_provider_t_bills(spark, sf):
     return P.provider_t_bills(_tj(spark, sf, D.T_BILLS_SCHEMA), T_CLOCK, canonical_text=True)
 
@@ -392,6 +401,7 @@ QUERIES: dict[str, QueryFn] = {
     "partition_tagged": q_partition_tagged,
     "provider_t_calls": q_provider_t_calls,
     "provider_t_calls_increment": q_provider_t_calls_increment,
+    "provider_t_calls_from_json": q_provider_t_calls_from_json,
     "provider_t_bills": q_provider_t_bills,
     "provider_m_calls": q_provider_m_calls,
     "provider_m_calls_from_json": q_provider_m_calls_from_json,
