@@ -50,6 +50,19 @@ def test_query_matches_oracle(spark, con, name):
     assert _canon(df.columns, rows) == _canon(ocols, res.fetchall())
 
 
+_FAMILY = {"string": "str", "varchar": "str", "int": "i32", "integer": "i32", "bigint": "i64",
+           "double": "f64", "boolean": "bool", "timestamp_ntz": "ts", "timestamp": "ts", "date": "date"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF)
+    mine = {f.name: _FAMILY.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    res = con.execute(f"SELECT * FROM ({E.oracle_sql()[name]}) LIMIT 0")
+    theirs = {d[0]: _FAMILY.get(str(d[1]).lower(), str(d[1]).lower()) for d in res.description}
+    assert mine == theirs
+
+
 def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["o_custkey", "o_orderkey", "o_orderdate", "create_time", "type"]
