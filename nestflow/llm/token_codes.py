@@ -211,10 +211,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
             for batch in found:
                 for content in batch.column(0):
                     file = TokenFile(content.as_buffer().to_pybytes())
+                    ids = file.between(0, file.n_ids).astype("<u4", copy=False).data
+                    starts = file.starts.tolist()
                     for k, doc_id in enumerate(file.doc_ids):
-                        first, stop = int(file.starts[k]), int(file.starts[k + 1])
-                        ids = file.between(first, stop).astype("<u4").tobytes()
-                        yield file.part, file.number, k, doc_id, first, stop - first, zlib.crc32(ids)
+                        first, stop = starts[k], starts[k + 1]
+                        yield file.part, file.number, k, doc_id, first, stop - first, zlib.crc32(ids[first:stop])
 
         yield from batches(rows(), _READ, max_rows=10_000)
 

@@ -14,19 +14,23 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
-import regex
 
 # Letters, marks and spaces outside these ranges may be classed otherwise by
 # another library's Unicode tables, or change under normalisation.
-_UNSURE = regex.compile(r"[^\t\n\r\x20-\x7e¡-¬®-įĲ-ž‐-‧‰-⁞₠-₿]")
+_UNSURE = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-įĲ-ž‐-‧‰-⁞₠-₿]")
+#: The letters and numbers of those ranges (fixed values).
+_LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-įĲ-ž", "0-9²³¹¼-¾"
 
-#: The pre-tokenizer that byte-level BPE applies when it is told to split (fixed value).
-BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The splits of byte-level BPE and of ``WORD_LEVEL`` (as tokenizer files state it, a fixed value) on those ranges.
+SPLIT_BYTE_LEVEL = rf" ?[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+"
+WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLIT_WORD_LEVEL = rf"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+"
 
-#: Pieces kept by a worker process; the table is emptied when it is full.
-KEPT_PIECES = 400_000
+#: Pieces kept by a worker process in each of two generations; pieces not met in one are forgotten.
+KEPT_PIECES = 500_000
 LONGEST_KEPT = 64
 GROUP = 4096
 
@@ -49,8 +53,9 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             pattern, self.lower = _splitting(json.load(f))
-        self.split = regex.compile(pattern).findall if pattern else None
+        self.split = re.compile(pattern).findall if pattern else None
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -67,9 +72,11 @@ class Encoder:
     def _group(self, texts: list[str | None]) -> list[bytes]:
         pieces = [self._pieces(text) for text in texts]
         if len(self.kept) > KEPT_PIECES:
-            self.kept = {}
-        known = self.kept
-        new = list({p: None for found in pieces if found for p in found if p not in known})
+            self.older, self.kept = self.kept, {}
+        known, older = self.kept, self.older
+        unknown = dict.fromkeys(p for found in pieces if found for p in found if p not in known)
+        known.update((p, older[p]) for p in unknown if p in older)
+        new = [p for p in unknown if p not in older]
         known.update(zip(new, self._encode_pieces(new)))
         out = []
         for text, found in zip(texts, pieces):
@@ -103,14 +110,15 @@ class Encoder:
 
 
 def _splitting(described: dict) -> tuple[str | None, bool]:
-    """The splitting pattern and whether texts are lower-cased first, if the layout is known."""
+    """The splitting pattern and whether texts are lower-cased first, if the file's layout is a known one."""
     before, normal = described.get("pre_tokenizer") or {}, described.get("normalizer")
     if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and normal is None:
-        return BYTE_LEVEL_SPLIT, False
+        return SPLIT_BYTE_LEVEL, False
     steps = before.get("pretokenizers") or []
     if (before.get("type") == "Sequence" and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
-            and steps[0].get("behavior") == "Removed" and steps[0].get("invert") and "Regex" in steps[0]["pattern"]
+            and steps[0].get("behavior") == "Removed" and steps[0].get("invert")
+            and steps[0]["pattern"].get("Regex") == WORD_LEVEL
             and not steps[1].get("use_regex") and not steps[1].get("add_prefix_space")
             and [n.get("type") for n in (normal or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]):
-        return steps[0]["pattern"]["Regex"], True
+        return SPLIT_WORD_LEVEL, True
     return None, False
