@@ -101,7 +101,8 @@ def time_parse(token: str | Column, create: str | Column, time: str | Column,
     month = F.when(t.isNotNull() & c.isNotNull(),
                    F.when(_month_rule(t, c), F.lit(MONTHS_LABEL)).otherwise(F.lit(OUTSIDE_TOKEN)))
     passthrough = [str(d) for d in periods]
-    return (F.when(token == F.lit(str(horizon)), month)
+    return (F.when(t.isNull(), F.lit(None).cast("string"))
+            .when(token == F.lit(str(horizon)), month)
             .when(token.isin(passthrough), token)
             .otherwise(F.lit(OUTSIDE_LABEL)))
 

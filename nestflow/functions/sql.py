@@ -1,17 +1,16 @@
-"""SQL surface: the reference's three functions for SQL callers.
-
-``register_sql_functions(spark)`` defines session-scoped SQL functions with
-the reference's names and signatures, so SQL written against them -- for
-example ``day_divide(unix_timestamp(create_time), unix_timestamp(time))``
-split and exploded into tokens, each relabelled with
-``time_parse(token, create_time, time, unix_timestamp(time))`` -- runs
-unchanged.  They are SQL functions (``CREATE TEMPORARY FUNCTION ...
-RETURN <expression>``), not UDFs: the analyzer inlines the expression, so
-it is optimised, constant-folded and code-generated like any built-in.
-
-Semantics follow the reference: epoch seconds, fixed 86,400-second days,
-month starts from the first seven characters of the time text, read in the
-session time zone; a NULL epoch argument gives NULL.
+"""``day_divide``, ``time_parse`` and ``yesterday`` for SQL callers.
+
+``register_sql_functions(spark)`` defines them for the session as SQL
+functions (``CREATE TEMPORARY FUNCTION ... RETURN <expression>``), not UDFs:
+the analyzer inlines the expression, so it is optimised, constant-folded and
+code-generated like any built-in.
+
+``day_divide(created, time)`` takes epoch seconds, with days of 86,400
+seconds, and gives the comma-separated periods; ``time_parse(token,
+create_time, call_time, time)`` turns one of them into a label, taking month
+starts from the first seven characters of the time texts in the session time
+zone.  A NULL epoch argument gives NULL.  What a caller passes is the
+caller's: under ANSI mode ``unix_timestamp`` raises on text that is no time.
 """
 
 from __future__ import annotations

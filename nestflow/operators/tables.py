@@ -54,12 +54,13 @@ def append_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def update_by_key(df: DataFrame, changes: DataFrame, keys: Sequence[str],
-                  cols: Sequence[str] | None = None, check_unique: bool = False) -> DataFrame:
+                  cols: Sequence[str] | None = None, check_unique: bool = True) -> DataFrame:
     """M3: set ``cols`` of rows whose key appears in ``changes``.
 
-    ``changes`` must hold at most one row per key; ``check_unique=True``
-    verifies it first (one bounded action: a partial count per key, at most
-    one offending key returned) and raises instead of multiplying rows.
+    ``changes`` must hold at most one row per key.  That is verified first
+    (one bounded action: a partial count per key, at most one offending key
+    returned), and raises instead of multiplying rows;
+    ``check_unique=False`` leaves the check out where keys are known unique.
     A matched row takes the new value even when it is NULL (so a field can
     be cleared).
     """

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from nestflow.functions.clock import RunClock
 from nestflow.functions.periods import day_divide, period_fanout, time_parse
 from nestflow.functions.scalars import to_int, zero_if_null
-from nestflow.operators.filters import before, in_day
+from nestflow.operators.filters import before, drop_label, in_day
 from nestflow.operators.nested import require_nonempty, split_explode, unnest_path
 from nestflow.operators.tables import (
     append_rows,
@@ -139,35 +139,26 @@ def q_calls_gated_by_explode(spark, sf):
     return dedupe(P.m_calls_flat(exploded.drop("__bill")), [c for c in P.M_CALL_COLUMNS if c != "type"])
 
 
-# SQL written against the reference's function signatures (epoch-second
-# day_divide, four-argument time_parse), run on the registered SQL
-# functions over every call of every M document.
-LEGACY_CALL_RECORD_SQL = """
-SELECT mobile, dial_type, time, peer_number, user_id, create_time, details_id, duration, label AS type
-FROM (
-  SELECT s.*, time_parse(tok, create_time, time, unix_timestamp(time)) AS label
-  FROM (SELECT c.*, split(day_divide(unix_timestamp(create_time), unix_timestamp(time)), ',') AS toks
-        FROM {view} c) s
-  LATERAL VIEW explode(toks) t AS tok
-) tagged
-WHERE label <> '0'
-"""
-
-
 def q_legacy_sql_call_record(spark, sf):
+    """Calls tagged by the registered SQL functions, one statement for each function."""
+    import uuid
+
     from nestflow.functions.sql import register_sql_functions
 
     register_sql_functions(spark)
-    flat = P.m_calls_flat(_mx(spark, sf)).select(
-        "mobile", "dial_type", F.col("time").cast("string").alias("time"), "peer_number",
-        "user_id", F.col("create_time").cast("string").alias("create_time"),
-        "details_id", "duration")
-    import uuid
+    text = {c: F.col(c).cast("string") for c in ("time", "create_time")}
+    calls = P.m_calls_flat(_mx(spark, sf)).withColumns(text)
+
+    def add(df: DataFrame, expression: str) -> DataFrame:
+        view = f"nf_m_calls_{uuid.uuid4().hex[:12]}"
+        with with_views(spark, {view: df}):
+            # the analysed plan no longer needs the name once spark.sql returns
+            return spark.sql(f"SELECT *, {expression} FROM {view}")
 
-    view = f"nf_m_calls_{uuid.uuid4().hex[:12]}"
-    with with_views(spark, {view: flat}):
-        # the analysed plan no longer needs the name once spark.sql returns
-        return spark.sql(LEGACY_CALL_RECORD_SQL.format(view=view))
+    divided = add(calls, "day_divide(unix_timestamp(create_time), unix_timestamp(time)) AS tokens")
+    parsed = add(split_explode(divided, "tokens", "token"),
+                 "time_parse(token, create_time, time, unix_timestamp(time)) AS type")
+    return drop_label(parsed, "type").select(*P.M_CALL_COLUMNS)
 
 
 def q_bills_int_fee(spark, sf):
@@ -247,7 +238,7 @@ def q_provider_t_calls_from_json(spark, sf):
     schema sampled from 10,000 documents (its times and fees are text
     already, so the rows equal J1's)."""
     path = D.stage_collection(spark, sf, "tj_json")
-    docs = read_collection(spark, path, fmt="json", sample_size=10_000)
+    docs = read_collection(spark, path, fmt="json")
     return P.provider_t_calls(docs, T_CLOCK, canonical_text=True)
 
 
@@ -264,7 +255,7 @@ def q_provider_m_calls_from_json(spark, sf):
     reference reads its store: schema inferred from a 10,000-document
     sample (times arrive as text, numbers as longs)."""
     path = D.stage_collection(spark, sf, "mx_json")
-    docs = read_collection(spark, path, fmt="json", sample_size=10_000)
+    docs = read_collection(spark, path, fmt="json")
     return P.provider_m_calls(docs, M_CLOCK)
 
 
@@ -342,7 +333,7 @@ def q_replace_by_key(spark, sf):
 
 def q_json_schema_sample(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "props")
-    return parse_json_column(ev, "props", sample_size=10_000)
+    return parse_json_column(ev, "props")
 
 
 def _increment(spark, sf):
@@ -374,7 +365,7 @@ def q_collection_roundtrip(spark, sf):
     target = scratch_path(spark, "customer_collection")
     write_collection(_customers(spark, sf).select("c_custkey", "c_name", "c_acctbal"), target,
                      fmt="json", mode="overwrite")
-    return read_collection(spark, target, fmt="json", sample_size=10_000).select(
+    return read_collection(spark, target, fmt="json").select(
         "c_custkey", "c_name", "c_acctbal")
 
 

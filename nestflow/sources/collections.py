@@ -19,32 +19,36 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value that must equal the reference's: documents sampled for a
-# collection's schema, 10000.
-DEFAULT_SAMPLE = 10_000
+# Documents that a schema is inferred from: None is all of them, in parallel.
+# With a number, fields that only later documents have are not in the schema.
+DEFAULT_SAMPLE: int | None = None
 
 
-def _sample_schema(spark: SparkSession, text: DataFrame, sample_size: int) -> T.StructType:
-    """Infer with Spark's JSON reader over the first ``sample_size`` strings,
+def _sample_schema(spark: SparkSession, text: DataFrame, sample_size: int | None,
+                   options: Mapping[str, str] | None = None) -> T.StructType:
+    """Infer with Spark's JSON reader over all strings, or the first ``sample_size``,
     passed as a ``Dataset[String]`` (``DataFrameReader.json(Dataset)``), so
     inference stays in the JVM: no RDD, no Python worker."""
-    sample = text.limit(sample_size).select(F.col(text.columns[0]).cast("string"))
+    sample = (text if sample_size is None else text.limit(sample_size)).select(F.col(text.columns[0]).cast("string"))
     jvm = spark.sparkContext._jvm
     strings = getattr(sample._jdf, "as")(jvm.org.apache.spark.sql.Encoders.STRING())
-    inferred = spark._jsparkSession.read().json(strings).schema().json()
+    reader = spark._jsparkSession.read()
+    for key, value in (options or {}).items():
+        reader = reader.option(key, str(value).lower() if isinstance(value, bool) else str(value))
+    inferred = reader.json(strings).schema().json()
     return T.StructType.fromJson(json.loads(inferred))
 
 
-def infer_json_schema(df: DataFrame, col: str | Column, sample_size: int = DEFAULT_SAMPLE) -> T.StructType:
-    """Schema of JSON text in ``col``, inferred from its first ``sample_size``
-    non-NULL values (the sample is the feature; the data stays distributed)."""
+def infer_json_schema(df: DataFrame, col: str | Column, sample_size: int | None = DEFAULT_SAMPLE) -> T.StructType:
+    """Schema of JSON text in ``col``, inferred from all its non-NULL
+    values, or the first ``sample_size`` (the data stays distributed)."""
     c = F.col(col) if isinstance(col, str) else col
     text = df.select(c.alias("value")).filter(F.col("value").isNotNull())
     return _sample_schema(df.sparkSession, text, sample_size)
 
 
 def parse_json_column(df: DataFrame, col: str, schema: T.StructType | None = None,
-                      sample_size: int = DEFAULT_SAMPLE, keep: list[str] | None = None) -> DataFrame:
+                      sample_size: int | None = DEFAULT_SAMPLE, keep: list[str] | None = None) -> DataFrame:
     """JSON text column -> its fields as columns, typed by ``schema`` or by a
     sampled inference.  Bad JSON gives NULL fields (never an error)."""
     schema = schema or infer_json_schema(df, col, sample_size)
@@ -54,12 +58,12 @@ def parse_json_column(df: DataFrame, col: str, schema: T.StructType | None = Non
 
 
 def read_collection(spark: SparkSession, path: str, fmt: str = "json",
-                    sample_size: int = DEFAULT_SAMPLE, schema: T.StructType | str | None = None,
+                    sample_size: int | None = DEFAULT_SAMPLE, schema: T.StructType | str | None = None,
                     options: Mapping[str, str] | None = None) -> DataFrame:
     """Load a document collection.
 
-    ``fmt="json"`` reads JSON lines; without ``schema`` the schema comes from
-    the first ``sample_size`` lines.  Self-describing formats (``parquet``,
+    ``fmt="json"`` reads JSON lines; without ``schema`` the schema is
+    inferred from all lines, or the first ``sample_size``.  Self-describing formats (``parquet``,
     ``orc``) use their own schema unless a narrower one is given.  Any other
     format name (a document-store connector on the classpath) is passed
     through with its ``sampleSize`` option.
@@ -69,11 +73,11 @@ def read_collection(spark: SparkSession, path: str, fmt: str = "json",
     if schema is not None:
         return reader.schema(schema).format(fmt).load(path)
     if fmt == "json":
-        inferred = _sample_schema(spark, spark.read.text(path), sample_size)
+        inferred = _sample_schema(spark, spark.read.text(path), sample_size, options)
         return reader.schema(inferred).json(path)
     if fmt in ("parquet", "orc", "avro", "delta"):
         return reader.format(fmt).load(path)
-    return reader.format(fmt).option("sampleSize", str(sample_size)).load(path)
+    return reader.format(fmt).options(**({"sampleSize": str(sample_size)} if sample_size else {})).load(path)
 
 
 def write_collection(df: DataFrame, path: str, fmt: str = "json", mode: str = "append",

