@@ -14,9 +14,10 @@ that repeat no shingle that is the plain Jaccard similarity.
    their similarity.
 3. Banding: ``BANDS`` bands of registers; texts that agree in a band are
    candidates.  In a band's bucket each member is compared with the smallest
-   one; members that prove unlike it are then compared with all others of
-   the bucket, so no pair of a bucket is lost to a bad representative, and a
-   bucket of n copies takes n comparisons, not n * n.
+   one, and classes are formed.  Members that are then still of another class
+   than their representative are compared with the bucket's members of other
+   classes, so no two classes stay apart because of a bad representative, and
+   a bucket of n copies takes n comparisons, not n * n.
 4. Verification: the exact similarity of the candidates' shingles.
 5. Classes: connected components of the links; the class id is the smallest
    doc_id (ties: the smallest row) in it.
@@ -242,15 +243,21 @@ def classes(docs: DataFrame, width: int = SHINGLE, threshold: float = SIMILARITY
     buckets = members.groupBy("bucket").agg(F.min("head").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "rep")
     starred = saved(members.join(buckets, "bucket").where("head <> rep"), "starred")
     first = saved(_verified(starred.select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct(), placed, width, threshold), "verified")
-    # Members unlike their bucket's representative meet all the bucket's others.
-    unlike = starred.join(first.where(~F.col("same")).select(F.col("a").alias("rep"), F.col("b").alias("head")), ["rep", "head"])
-    others = unlike.select("bucket", F.col("head").alias("x")).join(starred.select("bucket", F.col("head").alias("y")), "bucket").where("x <> y")
+    links = first.where("same").select("a", "b")
+    roots = components(links)
+    # Members that are still of another class than their bucket's representative meet the bucket's other classes.
+    def rooted(df: DataFrame, node: str, root: str) -> DataFrame:
+        return (df.join(roots.select(F.col("node").alias(node), F.col("root").alias("__root")), node, "left")
+                .withColumn(root, F.coalesce("__root", node)).drop("__root"))
+
+    classed = saved(rooted(rooted(starred, "head", "of_head"), "rep", "of_rep"), "classed")
+    strangers = classed.where("of_head <> of_rep").select("bucket", F.col("head").alias("x"), F.col("of_head").alias("of_x"))
+    others = strangers.join(classed.select("bucket", F.col("head").alias("y"), F.col("of_head").alias("of_y")), "bucket").where("of_x <> of_y")
     again = others.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     again = saved(again, "again")
-    links = first.where("same").select("a", "b")
     if again.limit(1).count():
-        links = links.unionByName(_verified(again, placed, width, threshold).where("same").select("a", "b"))
-    roots = components(links)
+        more = saved(_verified(again, placed, width, threshold).where("same").select("a", "b"), "verified")
+        roots = components(links.unionByName(more))
     joined = (signed.select("row", "doc_id", "d1", "d2").join(heads.select("d1", "d2", "head"), ["d1", "d2"], "left")
               .select("row", "doc_id", F.coalesce("head", "row").alias("head"))
               .join(roots.select(F.col("node").alias("head"), "root"), "head", "left")
