@@ -18,6 +18,10 @@ that repeat no shingle that is the plain Jaccard similarity.
    than their representative are compared with the bucket's members of other
    classes, so no two classes stay apart because of a bad representative, and
    a bucket of n copies takes n comparisons, not n * n.
+   The latter happens in tiles of bounded size inside the bucket: pairs that
+   agree in fewer registers than a pair at the threshold does but once in ten
+   million times (four bits a register tell) are passed over, the others are
+   verified where they meet, and only links leave the task.
 4. Verification: the exact similarity of the candidates' shingles.
 5. Classes: connected components of the links; the class id is the smallest
    doc_id (ties: the smallest row) in it.
@@ -35,6 +39,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.common import batches, in_arrow, saved
+from nestflow.llm.common import batches, in_arrow, partitions, saved
 from nestflow.llm.components import components
 from nestflow.llm.decontaminate import words_of
 
@@ -115,14 +120,12 @@ def signatures(features: list[tuple[np.ndarray, np.ndarray]], registers: int = R
         clock[active] += -np.log(uniform) / rates[active]
         register = (_mixed(drawn ^ _GOLD) % np.uint64(registers)).astype(np.int64)
         cell = who[active] * registers + register
-        # Earliest arrival of each cell in this step, ties by hash.
-        order = np.lexsort((hashes[active], clock[active], cell))
-        lead = np.ones(len(order), dtype=bool)
-        lead[1:] = cell[order][1:] != cell[order][:-1]
-        best, cells = active[order[lead]], cell[order[lead]]
-        sooner = (clock[best] < first[cells]) | (clock[best] == first[cells]) & (hashes[best] < winner[cells])
-        first[cells[sooner]] = clock[best[sooner]]
-        winner[cells[sooner]] = hashes[best[sooner]]
+        # Earliest arrival of each cell so far; those of this step that are it, ties by hash.
+        before = first.copy()
+        np.minimum.at(first, cell, clock[active])
+        lead = np.flatnonzero((clock[active] == first[cell]) & (clock[active] < before[cell]))
+        lead = lead[np.argsort(hashes[active[lead]])[::-1]]
+        winner[cell[lead]] = hashes[active[lead]]
         latest = first.reshape(sets, registers).max(axis=1)
         active = active[clock[active] < latest[who[active]]]
     return winner.reshape(sets, registers)
@@ -147,28 +150,76 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float((1 / sums).sum())
 
 
-_SIGNED = "row long, doc_id long, d1 long, d2 long, bands array<long>"
+def similarities(a: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``similarity`` of one set with each of several sets, which lie one after the other."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.minimum(np.searchsorted(a[0], hashes), len(a[0]) - 1)
+    hit = a[0][at] == hashes
+    own, x, y = owner[hit], a[1][at[hit]].astype(np.float64), counts[hit].astype(np.float64)
+    sum_x, sum_y = (np.bincount(own, v, len(sizes)) for v in (x, y))
+    only_a, only_b = a[1].sum() - sum_x, np.bincount(owner, counts, len(sizes)) - sum_y
+    if (x == y).all():
+        return sum_x / (sum_x + only_a + only_b)
+    order = np.lexsort((-(x / y), own))
+    own, x, y = own[order], x[order], y[order]
+    begins = np.searchsorted(own, np.arange(len(sizes)))
+    upto_x, upto_y = ((c := np.concatenate([[0.0], np.cumsum(v)]))[1:] - c[begins][own] for v in (x, y))
+    sums = (upto_x + only_a[own]) / x + (sum_y[own] - upto_y + only_b[own]) / y
+    return np.bincount(own, 1 / sums, len(sizes))
+
+
+_SIGNED = "row long, doc_id long, d1 long, d2 long, bands array<long>, marks array<long>"
+#: Registers are kept as marks of four bits, sixteen a word, for ``agreeing``.
+_WORDS = -(-REGISTERS // 16)
+_LOWEST = np.uint64(0x1111111111111111)
+
+
+def marks(winners: np.ndarray) -> np.ndarray:
+    """The lowest four bits of every register; one row of words a signature."""
+    padded = np.zeros((len(winners), _WORDS * 16), dtype=np.uint64)
+    padded[:, :REGISTERS] = winners & np.uint64(15)
+    return (padded.reshape(len(winners), _WORDS, 16) << (4 * np.arange(16, dtype=np.uint64))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many registers rows of marks agree, by chance ones included."""
+    unlike = (a ^ b).view(np.uint64)
+    for shift in (1, 2):  # any of a mark's four bits reaches its lowest one
+        unlike = unlike | unlike >> np.uint64(shift)
+    return REGISTERS - np.bitwise_count(unlike & _LOWEST).sum(axis=-1, dtype=np.int64)
+
+
+def least_agreeing(threshold: float) -> int:
+    """Registers in which two texts of similarity ``threshold`` agree but for one pair in ten million."""
+    missed = 0.0
+    for k in range(REGISTERS + 1):
+        missed += comb(REGISTERS, k) * threshold ** k * (1 - threshold) ** (REGISTERS - k)
+        if missed > 1e-7:
+            return k
+    return REGISTERS
 
 
 def _signed(rows: DataFrame, width: int) -> DataFrame:
-    """Of every row its class digest and its bands' hashes."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    """Of every row its class digest, its bands' hashes and its registers' marks."""
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
+                        ("bands", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))])
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(width)
-        known: dict[tuple[int, int], list[int]] = {}
+        known: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
 
         def ended(held: list) -> Iterator[pa.RecordBatch]:
             new = {digest: (f, c) for _, _, f, c, digest in held if digest and digest not in known}
             if len(known) > 20_000:
                 known.clear()
             if new:
-                winners = signatures(list(new.values())).reshape(len(new), BANDS, ROWS)
+                drawn = signatures(list(new.values()))
+                winners = drawn.reshape(len(new), BANDS, ROWS)
                 folded = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD, (len(new), 1))
                 for k in range(ROWS):
                     folded = _mixed(folded * np.uint64(31) + winners[:, :, k])
-                known.update(zip(new, folded.view(np.int64).tolist()))
-            out = [(row, doc_id, *(digest or (None, None)), known.get(digest) if digest else None) for row, doc_id, _, _, digest in held]
+                known.update(zip(new, zip(folded.view(np.int64).tolist(), marks(drawn).tolist())))
+            out = [(row, doc_id, *(digest or (None, None)), *(known[digest] if digest else (None, None))) for row, doc_id, _, _, digest in held]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
         for batch in found:
@@ -185,13 +236,8 @@ def _signed(rows: DataFrame, width: int) -> DataFrame:
     return in_arrow(rows, run, _SIGNED)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """``pairs`` (a, b) with ``same``: whether the texts of the two rows are similar enough.
-
-    Only the texts of candidates are shuffled.
-    """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-
+def _sets(wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Shingles of the texts of the ``wanted`` rows; no other text is shuffled."""
     def shingle(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(width)
         schema = pa.schema([("row", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
@@ -206,7 +252,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float)
         yield from batches(rows(), schema)
 
     sets = in_arrow(texts.join(wanted, "row", "left_semi").select("row", "text"), shingle, "row long, hashes binary, counts binary")
-    sets = saved(sets, "shingles")
+    return saved(sets, "shingles")
+
+
+def _weighted(hashes: pa.Scalar, counts: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    h, c = np.frombuffer(hashes.as_buffer(), np.uint64), np.frombuffer(counts.as_buffer(), "<i8")
+    return h, c if len(c) else np.ones(len(h), dtype=np.int64)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """``pairs`` (a, b) with ``same``: whether the texts of the two rows are similar enough."""
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), texts, width)
 
     def side(name: str) -> DataFrame:
         return sets.select(F.col("row").alias(name), F.col("hashes").alias(f"h{name}"), F.col("counts").alias(f"c{name}"))
@@ -214,18 +270,93 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float)
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ha", "ca", "hb", "cb")
 
     def compare(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def weighted(hashes, counts):
-            h, c = np.frombuffer(hashes.as_buffer(), np.uint64), np.frombuffer(counts.as_buffer(), "<i8")
-            return h, c if len(c) else np.ones(len(h), dtype=np.int64)
-
         for batch in found:
-            same = [similarity(weighted(ha, ca), weighted(hb, cb)) >= threshold - 1e-12
+            same = [similarity(_weighted(ha, ca), _weighted(hb, cb)) >= threshold - 1e-12
                     for ha, ca, hb, cb in zip(*(batch.column(k) for k in range(2, 6)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], names=["a", "b", "same"])
 
     return in_arrow(both, compare, "a long, b long, same boolean")
 
 
+#: Shingles of one part of a bucket; a task holds two parts at a time.
+PART = 150_000
+
+
+def _between_classes(crowd: DataFrame, heads: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Links (a, b) between members of one bucket that are of different classes.
+
+    ``crowd``: bucket, band, head, rep, of_head, of_rep; the representative is
+    no row of its own, it has met them all.  A bucket's members are split into
+    parts of bounded size; two parts meet in one tile, whichever task that is in.
+    Inside a tile every stranger is compared with all others at once, so no
+    pairs but the links are made.
+    """
+    crowd = saved(crowd, "crowd")
+    sets = _sets(crowd.select(F.col("head").alias("row")).distinct(), texts, width)
+    sized = crowd.join(sets.select(F.col("row").alias("head"), (F.octet_length("hashes") / 8).alias("size")), "head")
+    parts = sized.groupBy("bucket").agg(F.ceil(F.sum("size") / PART).cast("int").alias("parts"))
+    placed = crowd.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("head"), F.col("parts")).cast("int"))
+    tiled = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tiled = tiled.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "band", "head", "of_head",
+                         (F.col("of_head") != F.col("of_rep")).alias("stranger"))
+    full = tiled.join(sets.withColumnRenamed("row", "head"), "head").join(heads.select("head", "bands", "marks"), "head")
+    dealt = full.select("bucket", "i", "j", "part", "band", "head", "of_head", "stranger", "hashes", "counts", "bands", "marks")
+    dealt = dealt.repartition(partitions(crowd.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    least = least_agreeing(threshold)
+
+    def met(rows: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        i, j, band = (rows.column(k)[0].as_py() for k in ("i", "j", "band"))
+        part, head, kind = (rows.column(k).to_numpy() for k in ("part", "head", "of_head"))
+        stranger = np.array(rows.column("stranger").to_pylist(), dtype=bool)
+        bands, drawn = (rows.column(k).combine_chunks().flatten().to_numpy().reshape(len(head), -1) for k in ("bands", "marks"))
+        sets = [_weighted(h, c) for h, c in zip(rows.column("hashes"), rows.column("counts"))]
+        sizes = np.array([len(h) for h, _ in sets])
+        flat, counts = np.concatenate([h for h, _ in sets]), np.concatenate([c for _, c in sets])
+        begins = np.cumsum(sizes) - sizes
+        place = np.arange(len(head))
+        found: tuple[list, list] = ([], [])
+        for x in np.flatnonzero(stranger).tolist():
+            # Two strangers meet once; a pair that an earlier band has too meets there.
+            turn = ~stranger | (place > x if i == j else part[x] == i)
+            with_x = np.flatnonzero(turn & (kind != kind[x]) & ((i == j) | (part != part[x])))
+            with_x = with_x[~(bands[with_x, :band] == bands[x, :band]).any(axis=1)]
+            with_x = with_x[agreeing(drawn[with_x], drawn[x]) >= least]
+            if not len(with_x):
+                continue
+            many = sizes[with_x]
+            at = np.repeat(begins[with_x] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            near = with_x[similarities(sets[x], flat[at], counts[at], many) >= threshold - 1e-12]
+            found[0].append(np.minimum(head[near], head[x]))
+            found[1].append(np.maximum(head[near], head[x]))
+        return found
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            a, b = met(pa.Table.from_batches(held))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+        last = None
+        for batch in found:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(k).to_numpy() for k in range(3)]
+            cuts = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
+            for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                key = tuple(int(k[x]) for k in keys)
+                if held and key != last:
+                    yield from ended()
+                    held = []
+                held.append(batch.slice(x, y - x))
+                last = key
+        if held:
+            yield from ended()
+
+    return in_arrow(dealt, run, "a long, b long")
+
+
 def classes(docs: DataFrame, width: int = SHINGLE, threshold: float = SIMILARITY) -> DataFrame:
     """Of every row of ``docs`` (doc_id, text): row, doc_id, class_row, class_id.
 
@@ -237,9 +368,9 @@ def classes(docs: DataFrame, width: int = SHINGLE, threshold: float = SIMILARITY
     placed = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = saved(_signed(placed, width), "signed")
     # One row stands for all texts of the same words; counted before anything is shuffled.
-    heads = saved(signed.where("d1 IS NOT NULL").groupBy("d1", "d2").agg(F.min("row").alias("head"), F.first("bands").alias("bands")), "heads")
+    heads = saved(signed.where("d1 IS NOT NULL").groupBy("d1", "d2").agg(F.min("row").alias("head"), F.first("bands").alias("bands"), F.first("marks").alias("marks")), "heads")
     # A bucket's hash has its band's number mixed in.
-    members = heads.select("head", F.explode("bands").alias("bucket"))
+    members = heads.select("head", F.posexplode("bands").alias("band", "bucket"))
     buckets = members.groupBy("bucket").agg(F.min("head").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "rep")
     starred = saved(members.join(buckets, "bucket").where("head <> rep"), "starred")
     first = saved(_verified(starred.select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct(), placed, width, threshold), "verified")
@@ -251,12 +382,9 @@ def classes(docs: DataFrame, width: int = SHINGLE, threshold: float = SIMILARITY
                 .withColumn(root, F.coalesce("__root", node)).drop("__root"))
 
     classed = saved(rooted(rooted(starred, "head", "of_head"), "rep", "of_rep"), "classed")
-    strangers = classed.where("of_head <> of_rep").select("bucket", F.col("head").alias("x"), F.col("of_head").alias("of_x"))
-    others = strangers.join(classed.select("bucket", F.col("head").alias("y"), F.col("of_head").alias("of_y")), "bucket").where("of_x <> of_y")
-    again = others.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    again = saved(again, "again")
-    if again.limit(1).count():
-        more = saved(_verified(again, placed, width, threshold).where("same").select("a", "b"), "verified")
+    strange = classed.where("of_head <> of_rep").select("bucket").distinct()
+    more = saved(_between_classes(classed.join(strange, "bucket", "left_semi"), heads, placed, width, threshold), "between")
+    if more.limit(1).count():
         roots = components(links.unionByName(more))
     joined = (signed.select("row", "doc_id", "d1", "d2").join(heads.select("d1", "d2", "head"), ["d1", "d2"], "left")
               .select("row", "doc_id", F.coalesce("head", "row").alias("head"))

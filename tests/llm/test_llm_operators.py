@@ -268,6 +268,39 @@ def test_near_duplicates(spark):
     assert near_dup.classes(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_near_duplicate_strangers(spark, monkeypatch):
+    """Members of one bucket in many classes, in tiles of a few rows, against brute force."""
+    monkeypatch.setattr(near_dup, "PART", 1500)
+    r = random.Random(5)
+    base = prose(7, 150).split() + ["again"] * 30
+    texts = []
+    for k in range(60):
+        words = list(base)
+        for at in r.sample(range(len(words)), r.randint(1, 4)):
+            words[at] = f"w{k}x{at}"
+        texts.append((k, " ".join(words)))
+    found = {x.doc_id: x.class_id for x in near_dup.classes(frame(spark, texts)).collect()}
+    sets = [near_dup.Shingles().of(t)[:2] for _, t in texts]
+    want = list(range(60))
+    for a in range(60):
+        flat, counts = (np.concatenate([s[i] for s in sets]) for i in (0, 1))
+        many = near_dup.similarities(sets[a], flat, counts, np.array([len(h) for h, _ in sets]))
+        assert many == pytest.approx([near_dup.similarity(sets[a], b) for b in sets])
+        for b in np.flatnonzero(many >= near_dup.SIMILARITY).tolist():
+            low, high = sorted((want[a], want[b]))
+            want = [low if w == high else w for w in want]
+    assert found == dict(enumerate(want)) and 1 < len(set(want)) < 60
+
+
+def test_register_marks():
+    r = np.random.default_rng(3)
+    a = r.integers(0, 2 ** 63, (4, near_dup.REGISTERS)).astype(np.uint64)
+    b = a.copy()
+    b[:, :50] ^= np.uint64(5)
+    assert near_dup.agreeing(near_dup.marks(a), near_dup.marks(b)).tolist() == [near_dup.REGISTERS - 50] * 4
+    assert near_dup.least_agreeing(0.8) == 75 and near_dup.least_agreeing(1.0) == near_dup.REGISTERS
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, 90), (90, 95), (100, 90), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
