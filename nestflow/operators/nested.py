@@ -94,21 +94,34 @@ def split_explode(df: DataFrame, col: str, alias: str, sep: str = ",",
     return df.select(*_cols(keep), F.explode(split_list(col, sep)).alias(alias))
 
 
-def require_nonempty(df: DataFrame, array_col: str) -> DataFrame:
+def require_nonempty(df: DataFrame, array_col: str, count_col: str | None = None) -> DataFrame:
     """keep documents whose array has at least one element.
 
     Equals exploding the array, ignoring its elements and de-duplicating
     afterwards (what the reference does), without multiplying rows first.
+    ``count_col``: a column with the element count of the whole document, for
+    documents that are stored in pieces; without such a column the array
+    itself decides.
     """
+    if count_col in df.columns:
+        return df.filter(F.coalesce(F.col(count_col) > 0, F.lit(False)))
     return df.filter(F.coalesce(F.size(F.col(array_col)) > 0, F.lit(False)))
 
 
 def count_nested(df: DataFrame, array_path: str, field_name: str,
-                 alias: str = "count") -> DataFrame:
+                 alias: str = "count", continued: str | None = None) -> DataFrame:
     """A1: non-NULL count of ``element.field`` after ONE explode of
     ``array_path``.  Over an array of arrays (``calls.items``) an element is a
     whole inner array, so this counts call groups whose item list is not
     NULL -- not calls.  Partial counts are combined map-side: one row per
-    partition crosses the shuffle."""
+    partition crosses the shuffle.
+
+    ``continued``: a flag beside the last array of ``array_path``; elements
+    that have it set continue another one and are not counted again."""
+    if continued:
+        outer, inner = array_path.rsplit(".", 1)
+        return (df.select(F.explode(F.col(outer)).alias("__group"))
+                  .filter(~F.coalesce(F.col(f"__group.{continued}"), F.lit(False)))
+                  .agg(F.count(F.col(f"__group.{inner}.{field_name}")).alias(alias)))
     return (df.select(F.explode(F.col(array_path)).alias("__item"))
               .agg(F.count(F.col(f"__item.{field_name}")).alias(alias)))

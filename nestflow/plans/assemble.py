@@ -123,14 +123,34 @@ def chunks_per_key(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__w")
             .withColumn(name, F.coalesce(F.col("__nb"), F.lit(1))).drop("__nb"))
 
 
-def with_chunk_copies(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__chunk") -> DataFrame:
+def with_chunk_copies(df: DataFrame, hot: HotKeys, key_col: str, name: str = "__chunk",
+                      split: str | None = None) -> DataFrame:
     """One row per chunk of the row's key (chunk 0 only unless hot): the
-    other side of a salted join with chunked rows of the same key."""
+    other side of a salted join with chunked rows of the same key.
+    ``split`` names a column that says whether the key is hot."""
     if not hot.any:
-        return df.withColumn(name, F.lit(0))
+        df = df.withColumn(name, F.lit(0))
+        return df.withColumn(split, F.lit(False)) if split else df
+    joined = _join_hot(df, hot, [key_col])
+    if split:
+        joined = joined.withColumn(split, F.col("__nb").isNotNull())
     n = F.coalesce(F.col("__nb"), F.lit(1))
-    return (_join_hot(df, hot, [key_col])
-            .withColumn(name, F.explode(F.sequence(F.lit(0), n - 1))).drop("__nb"))
+    return joined.withColumn(name, F.explode(F.sequence(F.lit(0), n - 1))).drop("__nb")
+
+
+def with_key_totals(df: DataFrame, hot: HotKeys, source: DataFrame, totals: dict[str, Column]) -> DataFrame:
+    """``df`` (pieces of keys) with aggregates over *all* rows of the key in
+    ``source``, for hot keys; NULL for keys that were not split.
+
+    The aggregates are partial before their shuffle (one row per key and
+    task); NULL is a key like any other.
+    """
+    keys = hot.keys
+    of_hot = _join_hot(source, hot, keys).filter(F.col("__nb").isNotNull())
+    found = of_hot.groupBy(*[F.col(k).alias(f"__tk{i}") for i, k in enumerate(keys)]).agg(
+        *[c.alias(name) for name, c in totals.items()])
+    cond = [df[k].eqNullSafe(found[f"__tk{i}"]) for i, k in enumerate(keys)]
+    return df.join(found, cond, "left").drop(*[f"__tk{i}" for i in range(len(keys))])
 
 
 def with_position(df: DataFrame, name: str = POSITION_COL) -> DataFrame:

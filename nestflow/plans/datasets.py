@@ -97,7 +97,7 @@ def provider_m_calls(docs: DataFrame, clock: RunClock, bounds: str = "open",
     """M call records of documents created on the day before the run,
     only for documents with at least one bill, tagged and de-duplicated."""
     kept = require_nonempty(select_run(docs, "create_time", clock, selection, bounds, canonical_text),
-                            "bills")
+                            "bills", "bill_count")
     tagged = period_fanout(m_calls_flat(kept), "time", "create_time", keep_outside=keep_outside)
     return _tag(dedupe(tagged, M_CALL_COLUMNS), clock)
 
@@ -123,5 +123,8 @@ def real_name_refresh(names: DataFrame) -> DataFrame:
 
 
 def nested_count(docs: DataFrame) -> DataFrame:
-    """Count of ``calls.items`` elements with details -- call *groups*."""
-    return count_nested(docs, "calls.items", "details_id")
+    """Count of ``calls.items`` elements with details -- call *groups*.
+    Groups stored in pieces are counted once."""
+    group = docs.schema["calls"].dataType.elementType
+    return count_nested(docs, "calls.items", "details_id",
+                        continued="continued" if "continued" in group.fieldNames() else None)

@@ -7,7 +7,8 @@ query's work grows with the given tables:
 * **M documents** (one per customer): ``mobile``, ``user_id``,
   ``create_time`` (timestamp), ``calls`` = one group per order whose
   ``items`` are its line items (NULL when the order has none), ``bills`` =
-  the customer's finished orders above 300,000 (NULL when there are none).
+  the customer's finished orders above 300,000 (NULL when there are none),
+  ``bill_count``.
 * **T documents** (one per customer): the same calls and bills three levels
   deep under ``wd_api_mobilephone_getdatav2_response.data.data_list`` with
   the phone beside them, times and fees as *text*.
@@ -20,7 +21,10 @@ dates are) and daily selections find documents.
 Arrays are gathered with :mod:`nestflow.plans.assemble`, so an order or a
 customer holding a huge share of the rows is split into several groups or
 documents instead of one unbounded row; below ``MAX_ELEMENTS`` per key each
-order is one call group and each customer one document.
+order is one call group and each customer one document.  A split changes no
+answer: every piece carries the creation time and the bill count of its whole
+customer (``bill_count``), and a call group that continues another one of the
+same order says so (``continued``).
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ from nestflow.plans.assemble import (
     find_hot_keys,
     find_hot_keys_many,
     with_chunk,
+    with_key_totals,
     with_position,
 )
 
@@ -103,7 +108,7 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
                         bill: Callable[[], Column], max_elements: int,
                         lineitem: DataFrame | None = None, orders: DataFrame | None = None,
                         max_doc_items: int = MAX_DOC_ITEMS) -> DataFrame:
-    """(o_custkey, create_time, calls, bills) with bounded arrays.
+    """(o_custkey, create_time, calls, bills, bill_count) with bounded arrays.
 
     ``lineitem`` / ``orders`` replace the tables read from ``sf_dir`` (they
     must be narrow projections of a scan, so row positions stay stable)."""
@@ -151,7 +156,7 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     if positioned:
         orders = with_position(orders, "__opos")
     base = ["o_orderkey", "o_custkey", "o_orderdate"] + (["__opos"] if positioned else [])
-    keyed = with_chunk_copies(orders.select(*base), hot_orders, "o_orderkey", "__ic")
+    keyed = with_chunk_copies(orders.select(*base), hot_orders, "o_orderkey", "__ic", split="__split")
     keyed = with_chunk(keyed, hot_order_rows, ["o_orderkey", "__opos"] if hot_order_rows.any else [], "__oc")
     li = with_chunk_copies(li, hot_order_rows, "l_orderkey", "__loc")
     # A merge join keeps the same plan at every scale: line items are never
@@ -163,10 +168,12 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
           & (F.col("__oc") == F.col("__loc")))
     joined = (keyed.join(li.hint("merge"), on, "left")
               .filter(F.col("l_orderkey").isNotNull() | (F.col("__ic") == 0)))
-    groups = joined.groupBy(*base, "__ic").agg(
+    groups = joined.groupBy(*base, "__ic", "__split").agg(
         F.collect_list(F.when(F.col("l_orderkey").isNotNull(), item())).alias("items"))
+    # A split order has items, so its first group is never NULL: it is the one that counts.
+    items = F.when((F.size("items") > 0) | F.col("__split"), F.col("items"))
     calls = groups.select(*base, "__ic",
-                          F.struct(F.when(F.size("items") > 0, F.col("items")).alias("items")).alias("call"),
+                          F.struct(items.alias("items"), (F.col("__ic") > 0).alias("continued")).alias("call"),
                           F.lit(None).alias("bill"))
     is_bill = (F.col("o_orderstatus") == F.lit(BILL_STATUS)) & (F.col("o_totalprice") > F.lit(BILL_MIN_PRICE))
     bills = orders.filter(is_bill).select(*base, F.lit(0).alias("__ic"),
@@ -179,12 +186,18 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
         F.collect_list("call").alias("calls"),
         F.collect_list("bill").alias("bills"),
     )
+    last, bill_count = F.col("__last"), F.size("bills").cast("long")
+    if hot_customers.any:
+        totals = {"__all_last": F.max("o_orderdate"), "__all_bills": F.count_if(is_bill)}
+        docs = with_key_totals(docs, hot_customers, orders, totals)
+        last, bill_count = F.coalesce("__all_last", last), F.coalesce("__all_bills", bill_count)
     offset = F.make_dt_interval(secs=(F.pmod(F.col("o_custkey"), F.lit(CREATE_OFFSET_MOD)) + 1).cast("decimal(18,6)"))
     return docs.select(
         "o_custkey",
-        (F.col("__last") + offset).alias("create_time"),
+        (last + offset).alias("create_time"),
         "calls",
         F.when(F.size("bills") > 0, F.col("bills")).alias("bills"),
+        bill_count.alias("bill_count"),
     )
 
 
@@ -196,12 +209,15 @@ def mx_documents(spark: SparkSession, sf_dir: str, max_elements: int = MAX_ELEME
     return docs.select(
         F.col("o_custkey").cast("string").alias("mobile"),
         F.concat(F.lit("U"), F.col("o_custkey")).alias("user_id"),
-        "create_time", "calls", "bills",
+        "create_time", "calls", "bills", "bill_count",
     )
 
 
-def tj_documents(spark: SparkSession, sf_dir: str, max_elements: int = MAX_ELEMENTS) -> DataFrame:
-    docs = _customer_documents(spark, sf_dir, _tj_item, _tj_bill, max_elements)
+def tj_documents(spark: SparkSession, sf_dir: str, max_elements: int = MAX_ELEMENTS,
+                 lineitem: DataFrame | None = None, orders: DataFrame | None = None,
+                 max_doc_items: int = MAX_DOC_ITEMS) -> DataFrame:
+    docs = _customer_documents(spark, sf_dir, _tj_item, _tj_bill, max_elements, lineitem, orders,
+                               max_doc_items)
     element = F.struct(
         F.struct(F.col("o_custkey").cast("string").alias("phone")).alias("userdata"),
         F.col("calls").alias("teldata"),
@@ -242,7 +258,7 @@ def real_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # creation time reach the scan.  Files are sorted by creation time so
 # row-group statistics let a daily run skip most of a large collection.
 
-COLLECTION_VERSION = "2"
+COLLECTION_VERSION = "3"
 SOURCES = {"mx": ["lineitem", "orders"], "tj": ["lineitem", "orders"], "mx_json": ["lineitem", "orders"],
            "tj_json": ["lineitem", "orders"],
            "contacts": ["events"], "real_names": ["customer"]}
@@ -354,10 +370,10 @@ BUILDERS.update({"mx": mx_documents, "tj": tj_documents, "contacts": contacts, "
 # Narrow read schemas (subsets of the stored ones) for the pipelines.
 _M_ITEM = "struct<peer_number: string, details_id: string, dial_type: string, duration: int, time: timestamp_ntz>"
 M_CALLS_SCHEMA = (f"mobile string, user_id string, create_time timestamp_ntz, "
-                  f"calls array<struct<items: array<{_M_ITEM}>>>, bills array<struct<bill_month: string>>")
+                  f"calls array<struct<items: array<{_M_ITEM}>>>, bills array<struct<bill_month: string>>, bill_count long")
 M_BILLS_SCHEMA = ("mobile string, create_time timestamp_ntz, "
                   "bills array<struct<total_fee: int, bill_month: string>>")
-M_COUNT_SCHEMA = "calls array<struct<items: array<struct<details_id: string>>>>"
+M_COUNT_SCHEMA = "calls array<struct<items: array<struct<details_id: string>>, continued: boolean>>"
 _T_ITEM = "struct<call_time: string, receive_phone: string, call_type: string, trade_time: string>"
 T_CALLS_SCHEMA = (f"user_id string, create_time string, {TJ_ROOT} struct<data: struct<data_list: array<struct<"
                   f"userdata: struct<phone: string>, teldata: array<struct<items: array<{_T_ITEM}>>>>>>>")

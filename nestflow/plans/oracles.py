@@ -8,6 +8,8 @@ for period tagging: a token string per row, split, unnest, relabel, drop
 
 from __future__ import annotations
 
+import re
+
 # Fixed values shared with the derived fixtures (see nestflow.plans.documents)
 # and the period rules (see nestflow.functions.periods), restated as SQL.
 _CREATE = "max(o_orderdate) + to_seconds((o_custkey % 86399) + 1)"
@@ -184,14 +186,34 @@ ORACLES["legacy_sql_call_record"] = _fanout(
         FROM ({_M_CALLS}) c""",
     "CAST(time AS TIMESTAMP)", "CAST(create_time AS TIMESTAMP)",
     "mobile, dial_type, time, peer_number, user_id, create_time, details_id, duration")
-ORACLES["unnest_calls_skewed"] = """
-SELECT CAST(o.o_custkey AS VARCHAR) AS mobile, 'U' || CAST(o.o_custkey AS VARCHAR) AS user_id,
-       CAST(l.l_suppkey AS VARCHAR) AS peer_number, concat(l.l_orderkey, '-', l.l_linenumber) AS details_id,
-       l.l_returnflag AS dial_type, CAST(trunc(l.l_quantity) AS INTEGER) AS duration, l.l_shipdate AS time
-FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS l_orderkey, l_linenumber, l_suppkey,
-             l_returnflag, l_quantity, l_shipdate FROM lineitem) l
-JOIN (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN 0 ELSE o_custkey END AS o_custkey FROM orders) o
-  ON l.l_orderkey = o.o_orderkey"""
+
+
+def _skew(sql: str) -> str:
+    """``sql`` over tables where one order and one customer hold a third of the rows."""
+    li = ("(SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS l_orderkey, l_linenumber, l_suppkey, "
+          "l_returnflag, l_linestatus, l_quantity, l_shipdate FROM lineitem)")
+    o = ("(SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN 0 ELSE o_custkey END AS o_custkey, o_orderstatus, "
+         "o_totalprice, o_orderdate, o_orderpriority FROM orders)")
+    return re.sub(r"\b(FROM|JOIN) (lineitem|orders)\b( GROUP)?",
+                  lambda m: f"{m[1]} {li if m[2] == 'lineitem' else o}" + (" AS t GROUP" if m[3] else ""), sql)
+
+
+_SKEW_BEFORE = "date_trunc('second', TRY_CAST(create_time AS TIMESTAMP)) < TIMESTAMP '2001-08-03 00:00:00'"
+ORACLES["unnest_calls_skewed"] = _skew(ORACLES["unnest_calls"])
+ORACLES["nested_count_skewed"] = _skew(ORACLES["nested_count"])
+ORACLES["provider_m_bills_skewed"] = _skew(
+    f"SELECT *, '20010802' AS partition_time FROM ({_M_BILLS}) b WHERE {_SKEW_BEFORE}")
+ORACLES["provider_m_calls_skewed"] = _skew(f"""
+SELECT DISTINCT mobile, create_time, dial_type, time, peer_number, user_id, details_id, duration, type,
+       '20010802' AS partition_time
+FROM ({_fanout(f"SELECT * FROM ({_M_CALLS}) c WHERE n_bills > 0 AND {_SKEW_BEFORE}", "time", "create_time",
+               "mobile, create_time, dial_type, time, peer_number, user_id, details_id, duration")}) f""")
+ORACLES["provider_t_calls_skewed"] = _skew(f"""
+SELECT DISTINCT mobile, create_time, dial_type, time, peer_number, user_id, {_to_int('duration')} AS duration,
+       type, '20010802' AS partition_time
+FROM ({_fanout(f"SELECT * FROM ({_T_CALLS}) c WHERE {_SKEW_BEFORE}", "TRY_CAST(time AS TIMESTAMP)",
+               "TRY_CAST(create_time AS TIMESTAMP)",
+               "mobile, create_time, dial_type, time, peer_number, user_id, duration")}) f""")
 _T_DAY = _open_day("TRY_CAST(create_time AS TIMESTAMP)", "2001-07-28 00:00:00", "2001-07-29 00:00:00")
 ORACLES["provider_t_calls_increment"] = f"""
 SELECT DISTINCT mobile, create_time, dial_type, time, peer_number, user_id, {_to_int('duration')} AS duration,

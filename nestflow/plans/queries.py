@@ -35,6 +35,7 @@ from nestflow.sources.sinks import load_partition, refresh_table, scratch_path
 EVENTS_CLOCK = RunClock.of("2024-01-15")      # increment = 2024-01-14
 M_CLOCK = RunClock.of("2001-07-29")           # increment = 2001-07-28
 T_CLOCK = RunClock.of("2000-01-01")           # snapshot of documents before 2000
+SKEW_CLOCK = RunClock.of("2001-08-03")        # snapshot that has the hot customer's document
 MIDNIGHT_CLOCK = RunClock.of("1998-10-04")    # the day 1998-10-03
 EVENTS_CREATE = "2024-02-15 00:00:00"         # creation time for tagging events
 
@@ -106,20 +107,38 @@ def q_unnest_calls(spark, sf):
     return P.m_calls_flat(_mx(spark, sf))
 
 
-def q_unnest_calls_skewed(spark, sf):
+def _skewed(spark, sf, build=D.mx_documents):
     """Documents where one order holds a third of all line items and one
     customer a third of all orders (keys remapped, every row kept): the
     hot order is split into several call groups and the hot customer into
-    several documents, and unnesting still returns every call once.  The
-    creation time is per document, so it is left out of the comparison."""
+    several documents.  No answer may change by that."""
     li = _t(spark, sf, "lineitem").withColumn(
         "l_orderkey", F.when(F.pmod("l_orderkey", F.lit(3)) == 0, F.lit(0).cast("bigint"))
         .otherwise(F.col("l_orderkey")))
     orders = _t(spark, sf, "orders").withColumn(
         "o_custkey", F.when(F.pmod("o_orderkey", F.lit(3)) == 1, F.lit(0).cast("bigint"))
         .otherwise(F.col("o_custkey")))
-    docs = D.mx_documents(spark, sf, lineitem=li, orders=orders)
-    return P.m_calls_flat(docs).drop("create_time")
+    return build(spark, sf, lineitem=li, orders=orders)
+
+
+def q_unnest_calls_skewed(spark, sf):
+    return P.m_calls_flat(_skewed(spark, sf))
+
+
+def q_provider_m_calls_skewed(spark, sf):
+    return P.provider_m_calls(_skewed(spark, sf), SKEW_CLOCK, selection="snapshot")
+
+
+def q_provider_m_bills_skewed(spark, sf):
+    return P.provider_m_bills(_skewed(spark, sf), SKEW_CLOCK, selection="snapshot")
+
+
+def q_provider_t_calls_skewed(spark, sf):
+    return P.provider_t_calls(_skewed(spark, sf, D.tj_documents), SKEW_CLOCK)
+
+
+def q_nested_count_skewed(spark, sf):
+    return P.nested_count(_skewed(spark, sf))
 
 
 def q_unnest_three_level(spark, sf):
@@ -127,15 +146,16 @@ def q_unnest_three_level(spark, sf):
 
 
 def q_calls_gated_by_bills(spark, sf):
-    docs = require_nonempty(_mx(spark, sf), "bills")
+    docs = require_nonempty(_mx(spark, sf), "bills", "bill_count")
     return dedupe(P.m_calls_flat(docs), [c for c in P.M_CALL_COLUMNS if c != "type"])
 
 
 def q_calls_gated_by_explode(spark, sf):
     """The reference's literal gate: explode the bills, never use them, and
-    let DISTINCT remove the copies.  Same rows as the size() gate."""
-    docs = _mx(spark, sf)
-    exploded = docs.select("mobile", "user_id", "create_time", "calls", F.explode("bills").alias("__bill"))
+    let DISTINCT remove the copies.  Same rows as the size() gate.  A piece of
+    a split document may hold none of its customer's bills and stays as it is."""
+    docs = _mx(spark, sf).filter("bill_count > 0")
+    exploded = docs.select("mobile", "user_id", "create_time", "calls", F.explode_outer("bills").alias("__bill"))
     return dedupe(P.m_calls_flat(exploded.drop("__bill")), [c for c in P.M_CALL_COLUMNS if c != "type"])
 
 
@@ -180,10 +200,11 @@ def q_nested_group_count(spark, sf):
 
 def _group_and_call_counts(docs: DataFrame) -> DataFrame:
     """Both counts in one pass: a group is counted once (its first element
-    row, or its lone row when empty), a call once per row."""
-    g = docs.select(F.explode(F.col("calls.items")).alias("g"))
-    rows = g.select(F.col("g").isNotNull().alias("has_items"),
-                    F.posexplode_outer("g").alias("pos", "c"))
+    row, or its lone row when empty) unless it continues another one, a call
+    once per row."""
+    g = docs.select(F.explode("calls").alias("g"))
+    rows = g.select((F.col("g.items").isNotNull() & ~F.col("g.continued")).alias("has_items"),
+                    F.posexplode_outer("g.items").alias("pos", "c"))
     return rows.agg(
         F.count_if(F.col("has_items") & (F.coalesce(F.col("pos"), F.lit(0)) == 0)).alias("n_groups"),
         F.count(F.col("c.details_id")).alias("n_calls"),
@@ -378,6 +399,10 @@ QUERIES: dict[str, QueryFn] = {
     "unnest_calls": q_unnest_calls,
     "unnest_three_level": q_unnest_three_level,
     "unnest_calls_skewed": q_unnest_calls_skewed,
+    "provider_m_calls_skewed": q_provider_m_calls_skewed,
+    "provider_m_bills_skewed": q_provider_m_bills_skewed,
+    "provider_t_calls_skewed": q_provider_t_calls_skewed,
+    "nested_count_skewed": q_nested_count_skewed,
     "calls_gated_by_bills": q_calls_gated_by_bills,
     "calls_gated_by_explode": q_calls_gated_by_explode,
     "bills_int_fee": q_bills_int_fee,

@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle (sf0.001)."""
+"""Every query of the library itself against its DuckDB oracle (sf0.001)."""
 
 import datetime as dt
 import decimal
@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from nestflow.plans.oracles import ORACLES
+from nestflow.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -37,14 +39,15 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(ORACLES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, rows) == _canon(ocols, res.fetchall())
@@ -54,11 +57,11 @@ _FAMILY = {"string": "str", "varchar": "str", "int": "i32", "integer": "i32", "b
            "double": "f64", "boolean": "bool", "timestamp_ntz": "ts", "timestamp": "ts", "date": "date"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_types_match_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     mine = {f.name: _FAMILY.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
-    res = con.execute(f"SELECT * FROM ({E.oracle_sql()[name]}) LIMIT 0")
+    res = con.execute(f"SELECT * FROM ({ORACLES[name]}) LIMIT 0")
     theirs = {d[0]: _FAMILY.get(str(d[1]).lower(), str(d[1]).lower()) for d in res.description}
     assert mine == theirs
 
