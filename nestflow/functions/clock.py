@@ -5,10 +5,10 @@ zone.  The run day is a parameter so that a re-run of an old day gives the
 same result; ``RunClock.now`` is the only place that reads the wall clock,
 and it does so once, on the driver, before any query is built.
 
-All bounds are *wall-clock* ``TIMESTAMP_NTZ`` literals in ``tz``: documents
-carry wall-clock times of the same zone, so comparing wall clocks is the
-same as comparing epoch seconds in that zone, without depending on the
-session time zone.
+Bounds are *wall-clock* ``TIMESTAMP_NTZ`` literals in ``tz`` for text and
+``TIMESTAMP_NTZ`` columns (wall-clock times of the same zone), and the instants
+at which that zone's clock shows them for ``TIMESTAMP`` columns.  Neither
+depends on the session time zone.
 """
 
 from __future__ import annotations
@@ -34,6 +34,13 @@ def ntz_literal(value: _dt.datetime | _dt.date) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
+def instant_literal(value: _dt.datetime | _dt.date, tz: str) -> Column:
+    """The ``TIMESTAMP`` at which the clock in ``tz`` shows ``value``, constant-folded (pushes into scans)."""
+    if not isinstance(value, _dt.datetime):
+        value = _dt.datetime(value.year, value.month, value.day)
+    return F.timestamp_seconds(F.lit(int(value.replace(tzinfo=ZoneInfo(tz)).timestamp())))
+
+
 @dataclass(frozen=True)
 class RunClock:
     """The run day ``as_of`` ("today") and its derived bounds."""

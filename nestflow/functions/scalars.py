@@ -31,6 +31,26 @@ def to_ts(c: str | Column) -> Column:
     return _col(c).try_cast("timestamp_ntz")
 
 
+def wall_clock(c: str | Column, tz: str) -> Column:
+    """A ``TIMESTAMP`` (an instant) as ``TIMESTAMP_NTZ``, the wall clock in ``tz``.
+
+    Counted from the instant's microseconds, so the session zone plays no part.
+    """
+    return _epoch() + F.make_dt_interval(secs=(F.unix_micros(F.from_utc_timestamp(_col(c), tz)) / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(18,6)"))
+
+
+def instant_of_utc(c: str | Column) -> Column:
+    """The ``TIMESTAMP`` at which the clock in UTC shows a ``TIMESTAMP_NTZ``, whatever the session zone."""
+    c = _col(c)
+    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("decimal(18,6)")
+    seconds = days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.date_part(F.lit("SECOND"), c)
+    return F.timestamp_micros((seconds * 1000000).cast("long"))
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def trunc_second(ts: Column) -> Column:
     """Drop the fraction of a second of a ``TIMESTAMP_NTZ`` (zone-free)."""
     sec = F.date_part(F.lit("SECOND"), ts)

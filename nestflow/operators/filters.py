@@ -10,6 +10,9 @@ a pushed filter:
 * ``trunc(t) >  lo``  <=>  ``t >= lo + 1 s``
 * ``trunc(t) >= lo``  <=>  ``t >= lo``
 
+A ``TIMESTAMP`` column holds instants: it is compared with the instants at
+which the run clock's zone reaches those bounds, whatever the session zone.
+
 Text columns are parsed leniently first (no pushdown is possible for them).
 """
 
@@ -21,20 +24,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestflow.functions.clock import RunClock, ntz_literal
+from nestflow.functions.clock import DEFAULT_TZ, RunClock, instant_literal, ntz_literal
 from nestflow.functions.scalars import to_ts, trunc_second
 
-_TS_TYPES = (T.TimestampNTZType, T.TimestampType)
+def _type(df: DataFrame, col: str) -> T.DataType:
+    if "." not in col and col in df.columns:  # the frame's schema is cached
+        return df.schema[col].dataType
+    return df.select(F.col(col)).schema.fields[0].dataType
 
 
-def _is_timestamp(df: DataFrame, col: str) -> bool:
-    if "." not in col and col in df.columns:  # the frame's schema is cached
-        return isinstance(df.schema[col].dataType, _TS_TYPES)
-    return isinstance(df.select(F.col(col)).schema.fields[0].dataType, _TS_TYPES)
+def _literal(kind: T.DataType, value: _dt.datetime | _dt.date | Column, tz: str) -> Column:
+    """``value`` (wall clock in ``tz``) to compare a column of type ``kind`` with."""
+    if isinstance(value, Column):
+        return value
+    return instant_literal(value, tz) if isinstance(kind, T.TimestampType) else ntz_literal(value)
 
 
-def _bound(value: _dt.datetime | _dt.date | Column) -> Column:
-    return value if isinstance(value, Column) else ntz_literal(value)
+_TS_TYPES = (T.TimestampNTZType, T.TimestampType)
 
 
 _TEXT = "%Y-%m-%d %H:%M:%S"
@@ -45,15 +51,17 @@ def _as_datetime(value: _dt.datetime | _dt.date) -> _dt.datetime:
 
 
 def before(df: DataFrame, ts_col: str, bound: _dt.datetime | _dt.date | Column,
-           canonical_text: bool = False) -> DataFrame:
-    """whole-second ``t < bound`` (cumulative snapshot up to the bound).
+           canonical_text: bool = False, tz: str = DEFAULT_TZ) -> DataFrame:
+    """whole-second ``t < bound`` (cumulative snapshot up to the bound,
+    a wall-clock time in ``tz``).
 
     ``canonical_text=True`` declares that a text column always reads
     ``yyyy-MM-dd HH:mm:ss[.fraction]``: text order is then time order, and a
     string-range prefilter that Parquet can use is added in front of the
     exact (parsed) test -- same rows, far less read."""
-    b = _bound(bound)
-    if _is_timestamp(df, ts_col):
+    kind = _type(df, ts_col)
+    b = _literal(kind, bound, tz)
+    if isinstance(kind, _TS_TYPES):
         return df.filter(F.col(ts_col) < b)
     if canonical_text and not isinstance(bound, Column):
         df = df.filter(F.col(ts_col) < F.lit(_as_datetime(bound).strftime(_TEXT)))
@@ -71,10 +79,11 @@ def in_day(df: DataFrame, ts_col: str, clock: RunClock, bounds: str = "open",
     lo, hi = clock.yesterday_start, clock.today_start
     if bounds not in ("open", "left_closed"):
         raise ValueError(f"unknown bounds {bounds!r}")
-    if _is_timestamp(df, ts_col):
+    kind = _type(df, ts_col)
+    if isinstance(kind, _TS_TYPES):
         t = F.col(ts_col)
-        low = ntz_literal(lo + _dt.timedelta(seconds=1)) if bounds == "open" else ntz_literal(lo)
-        return df.filter((t >= low) & (t < ntz_literal(hi)))
+        low = lo + _dt.timedelta(seconds=1) if bounds == "open" else lo
+        return df.filter((t >= _literal(kind, low, clock.tz)) & (t < _literal(kind, hi, clock.tz)))
     if canonical_text:  # see before(): a pushable string range, then the exact test
         first = lo + _dt.timedelta(seconds=1) if bounds == "open" else lo
         c = F.col(ts_col)
@@ -92,7 +101,7 @@ def select_run(df: DataFrame, ts_col: str, clock: RunClock, selection: str = "in
     if selection == "increment":
         return in_day(df, ts_col, clock, bounds, canonical_text)
     if selection == "snapshot":
-        return before(df, ts_col, clock.today_start, canonical_text)
+        return before(df, ts_col, clock.today_start, canonical_text, clock.tz)
     raise ValueError(f"unknown selection {selection!r}")
 
 

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestflow.functions.clock import RunClock
 from nestflow.functions.periods import period_fanout
-from nestflow.functions.scalars import to_int, zero_if_null
+from nestflow.functions.scalars import to_int, wall_clock, zero_if_null
 from nestflow.operators.filters import in_day, select_run
 from nestflow.operators.nested import (
     count_nested,
@@ -49,6 +50,17 @@ def _tag(df: DataFrame, clock: RunClock) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.lit(clock.partition_value))
 
 
+def _labelled(calls: DataFrame, clock: RunClock, keep_outside: bool) -> DataFrame:
+    """Period labels; instants are read on the run clock's wall."""
+    names = {}
+    for name in ("time", "create_time"):
+        zoned = isinstance(calls.schema[name].dataType, T.TimestampType)
+        names[name] = f"__wall_{name}" if zoned else name
+        if zoned:
+            calls = calls.withColumn(names[name], wall_clock(name, clock.tz))
+    return period_fanout(calls, names["time"], names["create_time"], keep_outside=keep_outside)
+
+
 def m_calls_flat(docs: DataFrame) -> DataFrame:
     """P2 + G2 + P3: every call of every M document as a flat row."""
     groups = docs.select("mobile", "user_id", "create_time", F.col("calls.items").alias("__items"))
@@ -74,7 +86,7 @@ def provider_t_calls(docs: DataFrame, clock: RunClock, keep_outside: bool = True
     ``canonical_text=True`` declares the text creation times canonical so
     the selection also reaches the scan (see ``operators.before``)."""
     calls = t_calls_flat(select_run(docs, "create_time", clock, selection, bounds, canonical_text))
-    tagged = period_fanout(calls, "time", "create_time", keep_outside=keep_outside)
+    tagged = _labelled(calls, clock, keep_outside)
     typed = tagged.withColumn("duration", to_int("duration"))
     return _tag(dedupe(typed, T_CALL_COLUMNS), clock)
 
@@ -98,7 +110,7 @@ def provider_m_calls(docs: DataFrame, clock: RunClock, bounds: str = "open",
     only for documents with at least one bill, tagged and de-duplicated."""
     kept = require_nonempty(select_run(docs, "create_time", clock, selection, bounds, canonical_text),
                             "bills", "bill_count")
-    tagged = period_fanout(m_calls_flat(kept), "time", "create_time", keep_outside=keep_outside)
+    tagged = _labelled(m_calls_flat(kept), clock, keep_outside)
     return _tag(dedupe(tagged, M_CALL_COLUMNS), clock)
 
 

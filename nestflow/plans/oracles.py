@@ -179,6 +179,9 @@ WHERE {_EV_DAY}""",
     "collection_roundtrip": "SELECT c_custkey, c_name, c_acctbal FROM customer",
 }
 ORACLES["calls_gated_by_explode"] = ORACLES["calls_gated_by_bills"]
+ORACLES["daily_increment_zoned"] = f"""
+SELECT event_id, user_id, ts + INTERVAL 8 HOUR AS local_time FROM events
+WHERE {_open_day("(ts + INTERVAL 8 HOUR)", "2024-01-14 00:00:00", "2024-01-15 00:00:00")}"""
 ORACLES["daily_increment_wrapped"] = ORACLES["daily_increment"]
 ORACLES["legacy_sql_call_record"] = _fanout(
     f"""SELECT mobile, dial_type, strftime(time, '%Y-%m-%d %H:%M:%S') AS time, peer_number, user_id,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from nestflow.functions.clock import RunClock
 from nestflow.functions.periods import day_divide, period_fanout, time_parse
-from nestflow.functions.scalars import to_int, zero_if_null
+from nestflow.functions.scalars import instant_of_utc, to_int, wall_clock, zero_if_null
 from nestflow.operators.filters import before, drop_label, in_day
 from nestflow.operators.nested import require_nonempty, split_explode, unnest_path
 from nestflow.operators.tables import (
@@ -223,6 +223,13 @@ def q_daily_increment(spark, sf):
     return in_day(_t(spark, sf, "events"), "ts", EVENTS_CLOCK)
 
 
+def q_daily_increment_zoned(spark, sf):
+    """F2 over instants: the events' times are moments in UTC, the run day is the clock zone's."""
+    ev = _t(spark, sf, "events").select("event_id", "user_id", instant_of_utc("ts").alias("at"))
+    return in_day(ev, "at", EVENTS_CLOCK).select(
+        "event_id", "user_id", wall_clock("at", EVENTS_CLOCK.tz).alias("local_time"))
+
+
 def q_daily_increment_wrapped(spark, sf):
     """The reference's form of the day filter: the column wrapped in a
     parse and truncation, which cannot reach the Parquet scan."""
@@ -412,6 +419,7 @@ QUERIES: dict[str, QueryFn] = {
     "distinct_records": q_distinct_records,
     "snapshot_cutoff": q_snapshot_cutoff,
     "daily_increment": q_daily_increment,
+    "daily_increment_zoned": q_daily_increment_zoned,
     "daily_increment_wrapped": q_daily_increment_wrapped,
     "midnight_loss": q_midnight_loss,
     "partition_tagged": q_partition_tagged,

@@ -91,3 +91,29 @@ def test_canonical_text_prefilter_same_rows_and_pushed(spark):
     plan = select_run(back, "t", c, canonical_text=True)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(t,2024-01-14 00:00:01)" in plan
     assert select_run(back, "t", c, canonical_text=True).count() == select_run(back, "t", c).count() > 0
+
+
+def test_instants_follow_the_clock_not_the_session(spark, tmp_path):
+    from nestflow.functions.clock import RunClock
+    from nestflow.functions.scalars import instant_of_utc, wall_clock
+    from nestflow.operators.filters import before, in_day
+
+    # On the 14th in Shanghai: 13th 16:00 to 14th 16:00 in UTC.
+    texts = ["2024-01-13 15:59:59", "2024-01-13 16:00:00", "2024-01-13 16:00:01", "2024-01-14 15:59:59.9", "2024-01-14 16:00:00",
+             "2018-11-04 02:30:00", "2018-02-18 02:30:00"]  # the last two are near a change of clocks in Sao Paulo
+    clock, zone = RunClock.of("2024-01-15"), spark.conf.get("spark.sql.session.timeZone")
+    path = str(tmp_path / "t")
+    wall = F.col("s").cast("timestamp_ntz")
+    spark.createDataFrame([(t,) for t in texts], "s string").select("s", instant_of_utc(wall).alias("at")).write.parquet(path)
+    try:
+        for session in ("UTC", "Asia/Shanghai", "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            df = spark.read.parquet(path)
+            got = in_day(df, "at", clock)
+            assert {r.s for r in got.collect()} == {texts[2], texts[3]}
+            assert {r.s for r in in_day(df, "at", clock, "left_closed").collect()} == {texts[1], texts[2], texts[3]}
+            assert {r.s for r in before(df, "at", clock.today_start).collect()} == {*texts} - {texts[4]}
+            assert "GreaterThanOrEqual(at" in got._jdf.queryExecution().executedPlan().toString()
+            assert df.filter(wall_clock("at", clock.tz) != wall + F.expr("INTERVAL '8' HOUR")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
