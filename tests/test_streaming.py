@@ -63,3 +63,16 @@ def test_incremental_nested_documents_match_batch(spark):
     batch = P.provider_m_calls(docs, M_CLOCK).drop("partition_time")
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_distinct_across_batches(spark):
+    base = scratch_path(spark, "stream-distinct").replace("file:", "")
+    landing, target = f"{base}/landing", f"{base}/target"
+    clock = RunClock.of("2024-01-15")
+    pipeline = lambda df: P.contacts_increment(df, clock).distinct()
+    rows = [{"userId": "1", "phone": "p1", "gmtCreate": "2024-01-14 08:00:00"}, {"userId": "2", "gmtCreate": "2024-01-14 08:00:00"}]
+    for name in ("a.json", "b.json", "c.json"):
+        _land(landing, name, rows + [{"userId": name, "phone": "p", "gmtCreate": "2024-01-14 09:00:00"}])
+    assert run_incremental(spark, landing, SCHEMA, pipeline, target, f"{base}/ckpt", max_files_per_trigger=1, distinct=True) == 3
+    got = sorted((r.userId, r.phone) for r in spark.read.parquet(target).collect() if r.userId in ("1", "2"))
+    assert got == [("1", "p1"), ("2", None)] and spark.read.parquet(target).count() == 5
