@@ -23,19 +23,21 @@ def _load(df: DataFrame, target: str, clock: RunClock, mode: str) -> None:
 
 
 def provider_m_job(documents: DataFrame, contacts: DataFrame, real_names: DataFrame, clock: RunClock,
-                   targets: Mapping[str, str], mode: str = "append", bounds: str = "open") -> None:
+                   targets: Mapping[str, str], mode: str = "append", bounds: str = "open",
+                   canonical_text: bool = False) -> None:
     """Contacts increment, real-name refresh, bills and call records of the
     day before ``clock``'s run day (targets: contacts, real_names, bills,
-    calls)."""
-    _load(P.contacts_increment(contacts, clock, bounds), targets["contacts"], clock, mode)
+    calls).  ``canonical_text``: see ``operators.before``."""
+    _load(P.contacts_increment(contacts, clock, bounds, canonical_text), targets["contacts"], clock, mode)
     refresh_table(P.real_name_refresh(real_names), targets["real_names"])
-    _load(P.provider_m_bills(documents, clock, bounds), targets["bills"], clock, mode)
-    _load(P.provider_m_calls(documents, clock, bounds), targets["calls"], clock, mode)
+    _load(P.provider_m_bills(documents, clock, bounds, canonical_text=canonical_text), targets["bills"], clock, mode)
+    _load(P.provider_m_calls(documents, clock, bounds, canonical_text=canonical_text), targets["calls"], clock, mode)
 
 
 def provider_t_job(documents: DataFrame, clock: RunClock, targets: Mapping[str, str],
-                   mode: str = "append", selection: str = "snapshot") -> None:
+                   mode: str = "append", selection: str = "snapshot", bounds: str = "open",
+                   canonical_text: bool = False) -> None:
     """Bills and call records (targets: bills, calls); the reference loads
     a cumulative ``snapshot``, ``selection="increment"`` loads the day."""
-    _load(P.provider_t_bills(documents, clock, selection), targets["bills"], clock, mode)
-    _load(P.provider_t_calls(documents, clock, selection=selection), targets["calls"], clock, mode)
+    _load(P.provider_t_bills(documents, clock, selection, bounds, canonical_text), targets["bills"], clock, mode)
+    _load(P.provider_t_calls(documents, clock, selection=selection, bounds=bounds, canonical_text=canonical_text), targets["calls"], clock, mode)
