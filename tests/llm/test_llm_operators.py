@@ -314,3 +314,61 @@ def test_pipeline_stages(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs.limit(0), "/root/testdata/sf0.001")
         assert out.columns == docs.columns and out.count() == 0, name
+
+
+@pytest.mark.parametrize("crowd", [line_dedup.CROWD, 6])
+def test_lines_share_of_length(spark, crowd):
+    """Edits grow with the line's length."""
+    _, want = check_share(spark, crowd, [], (45, 60, 119, 121, 233, 300, 660))
+    assert sum(min(map(len, p)) > 200 for p in want) > 10
+
+
+def check_share(spark, crowd, lines, lengths):
+    r = random.Random(11)
+    for n in lengths:
+        for k in range(2):
+            base = prose(1000 * k + n, n)[:n].replace(" ", "_", 1)
+            lines.append(base)
+            for many in (1, 2, 3, n // 20, n // 20 + 1, n // 20 + 2):
+                x = list(base)
+                for at in r.sample(range(1, n - 1), min(many, n - 2)):
+                    x[at] = r.choice(["", "Q", "W" + x[at]])
+                lines.append("".join(x))
+    lines = [line.strip() for line in lines]
+    texts = list(enumerate(lines))
+    docs = frame(spark, texts).coalesce(1)
+    found = line_dedup.lines_of(docs)
+    named = {(x.h1, x.h2): x.line for x in found.select("h1", "h2", "line").distinct().collect()}
+
+    def allowed(n):
+        return max(2, n // 20) if n >= 16 else 1 if n >= 8 else 0
+
+    def linked(a, b):
+        most = allowed(min(len(a), len(b)))
+        if abs(len(a) - len(b)) > most or len(set(a) ^ set(b)) > 2 * most:
+            return False
+        return 0 < line_dedup._plain_distance(list(a), list(b)) <= most
+
+    got = {tuple(sorted((named[x.a1, x.a2], named[x.b1, x.b2]))) for x in line_dedup.links(found, crowd=crowd).collect()}
+    want = {tuple(sorted(p)) for p in combinations(named.values(), 2) if linked(*p)}
+    assert got == want
+    if crowd == line_dedup.CROWD:
+        degree = {named_line: sum(named_line in p for p in want) for named_line in named.values()}
+        rows = {x.doc_id: x.n_links for x in line_dedup.duplicate_lines(docs).collect()}
+        assert all(rows[lines.index(line)] == n for line, n in degree.items())
+    return lines, want
+
+
+def test_wide_bands():
+    r = random.Random(4)
+    pairs = []
+    for _ in range(60):
+        a = [r.randint(0, 4) for _ in range(r.randint(90, 130))]
+        b = list(a)
+        for _ in range(r.randint(0, 60)):
+            at = r.randrange(len(b))
+            b[at:at + r.randint(0, 1)] = [r.randint(0, 4)] * r.randint(0, 1)
+        pairs.append((np.array(a, dtype=np.uint32), np.array(b, dtype=np.uint32)))
+    for tau in (3, 16, 31, 32, 44):
+        got = line_dedup.distances_within([a for a, _ in pairs], [b for _, b in pairs], tau)
+        assert got.tolist() == [min(line_dedup._plain_distance(a.tolist(), b.tolist()), tau + 1) for a, b in pairs]
