@@ -359,6 +359,15 @@ def check_share(spark, crowd, lines, lengths):
     return lines, want
 
 
+@pytest.mark.parametrize("crowd", [line_dedup.CROWD, 6])
+def test_lines_short(spark, crowd):
+    """Lines under 40 characters are linked too."""
+    given = ["Der, eingeä erer.", "Der eingeä erer.", "menu", "menus", "Seite zwei", "Seite zwey", "Seite drey"]
+    _, want = check_share(spark, crowd, given, (9, 12, 16, 17, 19, 24, 30, 38, 41))
+    assert ("Der eingeä erer.", "Der, eingeä erer.") in want and ("menu", "menus") not in want
+    assert sum(max(map(len, p)) < 40 for p in want) > 5
+
+
 def test_wide_bands():
     r = random.Random(4)
     pairs = []
