@@ -3,13 +3,19 @@
 Documents become token ids; the ids are the terms of a BM25 inverted index.
 Term statistics (documents with a term, mean length) are counted over the
 whole corpus; there are at most as many as the tokenizer's vocabulary, which
-bounds what the driver gathers and sends.  Documents are dealt out in the
-order of a lexical sketch (smallest hashes of their ids), so likely
-neighbours share a shard of the index: at most ``SHARD_DOCS`` documents or
-``SHARD_TOKENS`` ids of one task, whichever is reached first.
+bounds what the driver gathers and sends.  Documents are dealt out by topic,
+so likely neighbours share a shard of the index: ``SHARD_TOKENS`` ids of one
+task, as many as its memory holds (about 60 bytes an id).  A topic is the
+nearest of ``TOPICS`` centroids of the documents' BM25 vectors, projected to
+``DIMS`` numbers; the centroids come from a bounded sample, topics like each
+other follow each other.  Inside a topic ``SKETCHES`` lexical sketches give
+the order.  A sketch is one of the document's terms, drawn by a hash with the
+square of its inverse document frequency as weight, so two documents have it
+alike as often as their rare terms overlap; a term of one document only is
+never drawn.  What all sketches leave alike is in random order.
 
 A shard's first unused document is the seed of a window.  The shard's index
-returns unused documents by descending BM25 score for the seed's terms (ties
+returns its unused documents by descending BM25 score for the seed's terms (ties
 in shard order; documents that share no term come last), which fill the
 window greedily; the last one is cut and its rest seeds the next window.  An
 unfinished window goes on in the task's next shard.  What is left at a task's
@@ -33,24 +39,22 @@ from nestflow.llm.common import batches, in_arrow, partitions, saved
 from nestflow.llm.tokens import encoder
 
 LENGTH = 2048
-SHARD_DOCS = 256
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 4_000_000
+SKETCHES = 4
+#: The sample that the topics come from decides which documents share a shard and nothing else.
+TOPICS, DIMS, SAMPLE_DOCS = 128, 128, 2048
 
 #: BM25's usual parameters.
 K1, B = 1.2, 0.75
 
-_CODED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("ids", pa.binary())])
-_CODED_SQL = "kind int, doc_id long, k1 long, k2 long, ids binary"
+_CODED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("size", pa.int64()), ("ids", pa.binary())])
+_CODED_SQL = "kind int, doc_id long, size long, ids binary"
 _PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
                     ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 _PIECE_SQL = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
-#: Odd multipliers of the two sketches (any would do).
-_MIX = (np.uint32(2654435761), np.uint32(2246822519))
-
-
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Of every document (kind 0) its sketch and ids; of every task (kind 1) the documents with each term."""
+    """Of every document (kind 0) its ids; of every task (kind 1) the documents with each term."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
@@ -73,10 +77,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                         often[terms] += 1
                         seen[terms] = False
                         total += len(ids)
-                        mixed = terms.astype(np.uint32)
-                        yield 0, name, int((mixed * _MIX[0]).min()), int((mixed * _MIX[1]).min()), ids.astype(kind).tobytes()
+                        yield 0, name, 0, ids.astype(kind).tobytes()
             if total:
-                yield 1, total, size, 0, often.astype("<i8").tobytes()
+                yield 1, total, size, often.astype("<i8").tobytes()
 
         yield from batches(rows(), _CODED)
 
@@ -104,13 +107,58 @@ def corpus_statistics(coded: DataFrame) -> tuple[np.ndarray, int, int]:
             terms = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int64()), pa.array(sums[terms], pa.int64())], schema=schema)
 
-    sizes = coded.where("kind = 1").agg(F.max("k1"), F.sum("doc_id")).first()
+    sizes = coded.where("kind = 1").agg(F.max("size"), F.sum("doc_id")).first()
     often = np.zeros(sizes[0] or 1, dtype=np.int64)
     for row in in_arrow(coded.where("kind = 1").select("ids"), run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         often[row["term"]] = row["n"]
     return often, coded.where("kind = 0").count(), int(sizes[1] or 0)
 
 
+def sketch_ranks(often: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Of every sketch each term's rank; a document's sketch is the smallest rank of its terms."""
+    weights = np.where(often > 1, idf.astype(np.float64) ** 2, 0)
+    ranks = np.empty((SKETCHES, len(often)), dtype=np.int32)
+    for k in range(SKETCHES):
+        drawn = np.random.default_rng(100 + k).exponential(size=len(often))
+        ranks[k, np.argsort(np.divide(drawn, weights, out=np.full(len(often), np.inf), where=weights > 0), kind="stable")] = np.arange(len(often))
+    return ranks
+
+
+class Topics:
+    """Centroids of the BM25 vectors (projected at random) of a sample, in the order of their first component."""
+
+    def __init__(self, sample: list[np.ndarray], idf: np.ndarray, mean_length: float) -> None:
+        random = np.random.default_rng(7)
+        self.idf, self.mean_length = idf, mean_length
+        self.plane = random.standard_normal((len(idf), DIMS), dtype=np.float32)
+        self.middle = np.zeros(DIMS, dtype=np.float32)
+        vectors = self.vectors(sample)
+        self.middle = vectors.mean(axis=0)
+        vectors = _unit(vectors - self.middle)
+        centroids = vectors[random.permutation(len(vectors))[:TOPICS]]
+        for _ in range(8):
+            nearest = (vectors @ centroids.T).argmax(axis=1)
+            centroids = _unit(np.stack([vectors[nearest == k].sum(axis=0) if (nearest == k).any() else c for k, c in enumerate(centroids)]))
+        first = np.linalg.svd(centroids, full_matrices=False)[2][0]
+        self.centroids = centroids[np.argsort(centroids @ first, kind="stable")]
+
+    def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(docs), DIMS), dtype=np.float32)
+        for k, ids in enumerate(docs):
+            terms, counts = np.unique(ids, return_counts=True)
+            weights = self.idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(ids) / self.mean_length))
+            out[k] = weights.astype(np.float32) @ self.plane[terms]
+        return _unit(out) - self.middle
+
+    def of(self, docs: list[np.ndarray]) -> np.ndarray:
+        return (self.vectors(docs) @ self.centroids.T).argmax(axis=1)
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    length = np.linalg.norm(rows, axis=1, keepdims=True)
+    return np.divide(rows, length, out=np.zeros_like(rows), where=length > 1e-9)
+
+
 class Shard:
     """BM25 inverted index of some documents."""
 
@@ -131,15 +179,17 @@ class Shard:
         """Unused documents by descending score for the query's distinct terms."""
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         at = at[self.terms[at] == terms]
-        first, count = self.first[at], self.first[at + 1] - self.first[at]
-        places = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
-        scores = np.bincount(self.doc[places], self.weight[places], minlength=self.size)
+        ranges = list(zip(self.first[at].tolist(), self.first[at + 1].tolist()))
+        scores = np.zeros(self.size)
+        if ranges:
+            scores = np.bincount(np.concatenate([self.doc[a:b] for a, b in ranges]), np.concatenate([self.weight[a:b] for a, b in ranges]),
+                                 minlength=self.size)
         free = np.flatnonzero(~used)
         return free[np.argsort(-scores[free], kind="stable")]
 
 
 def pack(rows: Iterator[tuple[int | None, np.ndarray]], idf: np.ndarray, mean_length: float, first_sequence: int = 0,
-         length: int = LENGTH, shard_docs: int = SHARD_DOCS, shard_tokens: int = SHARD_TOKENS) -> Iterator[tuple]:
+         length: int = LENGTH, shard_tokens: int = SHARD_TOKENS) -> Iterator[tuple]:
     """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, ids) of one task's documents."""
     sequence, window, filled = first_sequence, [], 0
     query: np.ndarray | None = None
@@ -150,11 +200,17 @@ def pack(rows: Iterator[tuple[int | None, np.ndarray]], idf: np.ndarray, mean_le
             yield name, a, b - a, len(ids), sequence, offset, ids[a:b].astype("<u4").tobytes()
             offset += b - a
 
-    for shard in _shards(rows, shard_docs, shard_tokens):
+    for shard in _shards(rows, shard_tokens):
         index = Shard([ids for _, ids in shard], idf, mean_length)
         used = np.zeros(len(shard), dtype=bool)
         seed = 0
         while True:
+            if len(shard) > 64 and 2 * np.count_nonzero(used) > len(shard):
+                # The rest's index alone; scores and order stay as they are.
+                shard = [shard[k] for k in np.flatnonzero(~used).tolist()]
+                if not shard:
+                    break
+                index, used, seed = Shard([ids for _, ids in shard], idf, mean_length), np.zeros(len(shard), dtype=bool), 0
             if query is not None:
                 order = index.neighbours(query, used)
             else:
@@ -194,12 +250,12 @@ def pack(rows: Iterator[tuple[int | None, np.ndarray]], idf: np.ndarray, mean_le
         sequence, window, filled = sequence + 1, rest, filled - size
 
 
-def _shards(rows: Iterator[tuple[int | None, np.ndarray]], most_docs: int, most_tokens: int) -> Iterator[list]:
+def _shards(rows: Iterator[tuple[int | None, np.ndarray]], most_tokens: int) -> Iterator[list]:
     held, size = [], 0
     for row in rows:
         held.append(row)
         size += len(row[1])
-        if len(held) >= most_docs or size >= most_tokens:
+        if size >= most_tokens:
             yield held
             held, size = [], 0
     if held:
@@ -225,7 +281,29 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = L
         yield from batches(pack(rows, idf, mean, TaskContext.get().partitionId() << 36, length), _PIECE)
 
     spark = docs.sparkSession
-    keys = ["k1", "k2", "doc_id", "h"]
-    dealt = (coded.where("kind = 0").select("doc_id", "ids", "k1", "k2", F.xxhash64("ids", F.monotonically_increasing_id()).alias("h"))
-             .repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys))
+    whole = coded.where("kind = 0").select("doc_id", "ids")
+    width = np.dtype(kind).itemsize
+    # Bounded: 2 * SAMPLE_DOCS documents, 4096 ids each.
+    chosen = (whole.where(F.pmod(F.xxhash64("ids", F.monotonically_increasing_id()), F.lit(max(n_docs // SAMPLE_DOCS, 1))) == 0)
+              .select(F.substring("ids", 1, 4096 * width).alias("ids")).limit(2 * SAMPLE_DOCS).collect())
+    topics = Topics([np.frombuffer(row["ids"], kind) for row in chosen], idf, mean) if chosen else None
+    # Bounded: ``SKETCHES`` + ``DIMS`` numbers a term of the vocabulary.
+    model = spark.sparkContext.broadcast((sketch_ranks(often, idf), topics))
+
+    def sketched(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, topics = model.value
+        for batch in found:
+            own = [np.frombuffer(ids.as_buffer(), kind) for ids in batch.column(1)]
+            if own:
+                drawn = np.stack([ranks[:, ids].min(axis=1) for ids in own], axis=1)
+                topic = topics.of(own) if topics else np.zeros(len(own))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(topic.astype(np.int32)), *(pa.array(k, pa.int32()) for k in drawn)],
+                                                 names=["doc_id", "ids", *keys])
+
+    keys = ["topic", *(f"k{k}" for k in range(SKETCHES))]
+    own = in_arrow(whole, sketched, "doc_id long, ids binary, " + ", ".join(f"{k} int" for k in keys))
+    # The row's number sets repeated rows apart.
+    keys_h = [*keys, "h"]
+    dealt = (own.withColumn("h", F.xxhash64("ids", F.monotonically_increasing_id()))
+             .repartitionByRange(partitions(spark), *keys_h).sortWithinPartitions(*keys_h))
     return in_arrow(dealt.select("doc_id", "ids"), run, _PIECE_SQL)

@@ -381,3 +381,30 @@ def test_wide_bands():
     for tau in (3, 16, 31, 32, 44):
         got = line_dedup.distances_within([a for a, _ in pairs], [b for _, b in pairs], tau)
         assert got.tolist() == [min(line_dedup._plain_distance(a.tolist(), b.tolist()), tau + 1) for a, b in pairs]
+
+
+def test_packing_shards_hold_neighbours():
+    """A seed meets its family, whatever number of documents lies between; dealing follows rare terms."""
+    r = np.random.default_rng(2)
+    docs = []
+    for k in range(900):  # family k % 300: three rare terms among common ones
+        docs.append((k, np.concatenate([r.integers(0, 50, 57), 1000 + 3 * (k % 300) + np.arange(3)]).astype(np.uint32)))
+    often = np.bincount(np.concatenate([np.unique(ids) for _, ids in docs]), minlength=2000)
+    idf = np.log1p((900 - often + 0.5) / (often + 0.5)).astype(np.float32)
+    pieces = list(packing.pack(iter(docs), idf, 60.0, length=180))
+    windows = {}
+    for name, start, length, total, sequence, offset, ids in pieces:
+        windows.setdefault(sequence, []).append(name)
+    assert sum(p[2] for p in pieces) == 900 * 60
+    assert sum(len({n % 300 for n in names}) == 1 for names in windows.values()) > 290
+    ranks = packing.sketch_ranks(often, idf)
+    keys = [tuple(ranks[:, ids].min(axis=1).tolist()) for _, ids in docs]
+    alike = np.mean([keys[k][0] == keys[k + 300][0] for k in range(600)])
+    largest = max(keys.count(x) for x in set(keys))
+    assert alike > 0.35 and largest <= 30
+    spread = [np.concatenate([r.integers(0, 50, 20), 100 + 400 * (k % 4) + r.integers(0, 400, 40)]).astype(np.uint32) for k in range(400)]
+    often = np.bincount(np.concatenate([np.unique(ids) for ids in spread]), minlength=2000)
+    idf = np.log1p((400 - often + 0.5) / (often + 0.5)).astype(np.float32)
+    found = packing.Topics(spread, idf, 60.0).of(spread)
+    together = [(a % 4 == b % 4) for a, b in combinations(range(400), 2) if found[a] == found[b]]
+    assert len(together) > 100 and np.mean(together) > 0.75
