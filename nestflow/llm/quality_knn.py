@@ -7,18 +7,21 @@ figures, repeated lines), hashed into ``FORM_DIMS`` bins.  Weights are
 documents; each of the two halves has length one.  A truncated singular
 value decomposition of labelled texts gives the latent space.
 
-The fit uses at most ``FIT_ROWS`` labelled texts of each class (those with
+The fit uses at most ``FIT_ROWS`` labelled documents of each class (those with
 the smallest hash of their doc_id, so the choice does not depend on
-partitions).  That bound also bounds what is sent to the executors: the
+partitions).  A label's vote and its share in the mean count as many times as
+there are labelled documents of its class for each one in the fit, so a score
+means the same whatever the table's size.  That bound also bounds what is sent to the executors: the
 projection and the labelled vectors, a few MB whatever the corpus.
 
 Every document's cosine with every labelled vector is computed exactly, in
 blocks; the ``NEIGHBOURS`` nearest vote for their labels with their
 similarity, to the power ``SHARPNESS``, as weight.
 
-A text without terms, or without a similar neighbour, gets the labels' mean.
+A text without terms, or without a similar neighbour, gets the mean of all
+labels that may be used.
 Null texts are empty.  Repeated rows are scored each.  Labels with a null
-doc_id or label are not used; of a doc_id's several labels the largest is.
+doc_id or label, or without a document, are not used; of a doc_id's several labels the largest is.
 With no usable labels every score is 0.5.  Only doc_id and text are read of
 the documents, and doc_id takes no part in a score.
 """
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.common import in_arrow
+from nestflow.llm.common import in_arrow, saved
 
 WORD_DIMS, FORM_DIMS = 8192, 512
 DIMS = WORD_DIMS + FORM_DIMS
@@ -117,18 +120,21 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return often[:DIMS], int(often[DIMS])
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, idf: np.ndarray, fit_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weighted terms (rows) and labels of the texts chosen for the fit."""
+def _labelled(docs: DataFrame, labels: DataFrame, idf: np.ndarray, fit_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weighted terms (rows), labels and weights of the texts chosen for the fit."""
     usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
               .where("doc_id IS NOT NULL AND y IN (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
               .where(~held_out("doc_id")))
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    # A doc_id's repeated rows are documents each.
+    usable = saved(usable.join(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "doc_id"), "usable-labels")
+    totals = {row["y"]: row["n"] for row in usable.groupBy("y").agg(F.sum("rows").alias("n")).collect()}
     chosen = None
     for y in (0, 1):
-        # Labels without a document would shrink the sample, so more of them are taken than needed.
-        own = usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * fit_rows)
+        own = usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
         chosen = own if chosen is None else chosen.unionByName(own)
-    # At most 4 * fit_rows label rows: a proven bound for the broadcast.
-    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    # At most 2 * fit_rows label rows: a proven bound for the broadcast.
+    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen.select("doc_id", "y")), "doc_id")
              .select("doc_id", "y", "text"))
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +158,9 @@ def _labelled(docs: DataFrame, labels: DataFrame, idf: np.ndarray, fit_rows: int
             dense[row["bins"]] = row["weights"]
             matrix.append(dense)
             ys.append(y)
-    return np.array(matrix, dtype=np.float32).reshape(-1, DIMS), np.array(ys, dtype=np.float32)
+    labels_in = np.array(ys, dtype=np.float32)
+    weights = np.array([totals[y] for y in ys]) / np.array([ys.count(y) for y in ys])
+    return np.array(matrix, dtype=np.float32).reshape(-1, DIMS), labels_in, weights
 
 
 def latent_space(matrix: np.ndarray, rank: int = RANK) -> np.ndarray:
@@ -170,9 +178,12 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, length, out=np.zeros_like(rows), where=length > 1e-9)
 
 
-def vote(vectors: np.ndarray, labelled: np.ndarray, ys: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-    """Similarity-weighted mean label of each vector's nearest labelled vectors (both of length one)."""
-    prior = float(ys.mean()) if len(ys) else 0.5
+def vote(vectors: np.ndarray, labelled: np.ndarray, ys: np.ndarray, counts: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
+    """Similarity-weighted mean label of each vector's nearest labelled vectors (both of length one).
+
+    ``counts``: how many labelled documents each labelled vector stands for.
+    """
+    prior = float(np.average(ys, weights=counts)) if len(ys) else 0.5
     out = np.full(len(vectors), prior)
     if not len(ys):
         return out
@@ -180,7 +191,7 @@ def vote(vectors: np.ndarray, labelled: np.ndarray, ys: np.ndarray, neighbours:
     for at in range(0, len(vectors), BLOCK):
         cosines = vectors[at:at + BLOCK] @ labelled.T
         near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weights = np.maximum(np.take_along_axis(cosines, near, axis=1), 0).astype(np.float64) ** SHARPNESS
+        weights = np.maximum(np.take_along_axis(cosines, near, axis=1), 0).astype(np.float64) ** SHARPNESS * counts[near]
         total = weights.sum(axis=1)
         mean = (weights * ys[near]).sum(axis=1) / np.where(total > 1e-12, total, 1)
         out[at:at + BLOCK] = np.where(total > 1e-12, mean, prior)
@@ -196,28 +207,28 @@ def score(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, rank: in
     """Of every document: doc_id, held_out, score."""
     often, n = document_frequencies(docs)
     idf = np.log((n + 1) / (often + 1)) + 1
-    matrix, ys = _labelled(docs, labels, idf, fit_rows)
+    matrix, ys, counts = _labelled(docs, labels, idf, fit_rows)
     if len(ys):
         space = latent_space(matrix, rank)
         labelled = _unit(matrix @ space)
     else:
         space = labelled = np.zeros((DIMS, 1), dtype=np.float32)
     del matrix
-    # Bounded: DIMS x RANK, 2 * FIT_ROWS x RANK and DIMS numbers.
-    model = docs.sparkSession.sparkContext.broadcast((idf, space, labelled, ys))
+    # Bounded: DIMS x RANK, 2 * FIT_ROWS x (RANK + 2) and DIMS numbers.
+    model = docs.sparkSession.sparkContext.broadcast((idf, space, labelled, ys, counts))
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, space, labelled, ys = model.value
+        idf, space, labelled, ys, counts = model.value
         terms = Terms()
         for batch in found:
             for at in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(at, BLOCK)
                 vectors = np.zeros((part.num_rows, space.shape[1]), dtype=np.float32)
                 for k, text in enumerate(part.column(1)):
-                    bins, counts = terms.counts(text.as_py())
+                    bins, often = terms.counts(text.as_py())
                     if len(bins):
-                        vectors[k] = _weighted(bins, counts, idf) @ space[bins]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.round(vote(_unit(vectors), labelled, ys), 6), pa.float64())],
+                        vectors[k] = _weighted(bins, often, idf) @ space[bins]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.round(vote(_unit(vectors), labelled, ys, counts), 6), pa.float64())],
                                                  names=["doc_id", "score"])
 
     scored = in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double")

@@ -408,3 +408,18 @@ def test_packing_shards_hold_neighbours():
     found = packing.Topics(spread, idf, 60.0).of(spread)
     together = [(a % 4 == b % 4) for a, b in combinations(range(400), 2) if found[a] == found[b]]
     assert len(together) > 100 and np.mean(together) > 0.75
+
+
+def test_neighbours_class_ratio(spark):
+    """The classes' ratio behind a score is the labels', whatever the bound on the fit."""
+    good = [(k, prose(k, 80)) for k in range(200)]
+    bad = [(1000 + k, prose(1000 + k, 80)) for k in range(40)]
+    docs = frame(spark, [*good, *bad, (5000, "")])
+    labels = spark.createDataFrame([*((d, 1) for d, _ in good), *((d, 0) for d, _ in bad), *((d, 0) for d in range(20000, 20400))],
+                                   "doc_id long, quality int")
+    used = {y: sum(zlib.crc32(str(d).encode()) % 5 != 0 for d, _ in own) for y, own in ((1, good), (0, bad))}
+    mean = used[1] / (used[0] + used[1])
+    for fit_rows in (1000, 20):
+        scores = {r.doc_id: r.score for r in quality_knn.score(docs, labels, fit_rows=fit_rows).collect()}
+        assert scores[5000] == pytest.approx(mean, abs=1e-6)
+        assert np.mean([scores[d] for d, _ in good]) > 0.6
