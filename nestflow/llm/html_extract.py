@@ -4,9 +4,17 @@ Markup is stripped to lines: one for each run of text between block-level
 tags, in page order, with character references decoded and white space
 turned into single spaces.  A line's weight is its text length; it is zero
 inside scripts, styles, hidden elements, menus, site headers, footers,
-sidebars, notices, adverts, forms and reader comments.  If the page marks
-its article (``article``, else ``main`` or an element named as content), the
-one with most text counts and lines outside it weigh zero.
+sidebars, notices, adverts, forms and reader comments.  Such a part is an
+element of that kind (``nav``, ``footer``), or one with a whole class, id,
+role or itemprop token that names it (``sidebar``, ``social-share``; not
+``has-sidebar``).  By its name alone no
+element is a part that holds the only marked article, or, unless another is
+marked outside, more than ``PART_SHARE`` of the text (what is left of it after
+the parts inside; inside an article of its text); reader comments are parts
+whatever their share.  A section whose name says what it is about
+(``related-work``) is none.  If the page marks its
+article (``article``, else ``main`` or an element named as content), the one
+with most text counts and lines outside it weigh zero.
 
 Weights are summed over a sliding window of ``WINDOW`` lines.  Where the sums
 rise above the threshold is a surge point, where they fall to it a dive
@@ -34,6 +42,8 @@ from nestflow.llm.common import in_arrow, ship
 
 WINDOW = 3
 THRESHOLD_SHARE = 0.2
+#: An element with more of the page's text than that is no part by its name alone.
+PART_SHARE = 0.5
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
@@ -57,13 +67,17 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 #: Elements whose text is never the article's.
 DROPPED = frozenset("nav aside footer form button select option input dialog menu noscript template svg math canvas "
                     "audio video object applet head iframe textarea title script style".split())
-#: Words in class, id or role that name such parts.
+#: Tokens of class, id, role or itemprop that name such parts, alone or in a token of ``PART_FRAME`` words and these.
 PART_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs masthead banner header footer sidebar aside widget "
     "related recommended recommendations teaser teasers share sharing social cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe subscription signup login ad ads advert adverts advertisement "
     "advertising sponsor sponsored promo promotion comment comments commentlist disqus reply replies respond "
     "pagination pager toolbar search complementary contentinfo".split())
+PART_FRAME = frozenset("site page global main top bottom left right primary secondary box block bar list area section container wrapper "
+                       "wrap inner outer links link buttons button form icons post article entry user reader social media post posts "
+                       "articles stories items item my the js in text google cross module group row col panel".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond".split())
 CONTENT_WORDS = frozenset("article articlebody content maincontent main post postbody entry story body text".split())
 CONTENT_PHRASES = ("articlebody", "article-body", "article-content", "post-content", "post-body", "entry-content",
                    "main-content", "story-body", "page-content")
@@ -75,20 +89,38 @@ def _named(attributes: dict[str, str]) -> tuple[set[str], str]:
     return set(re.findall(r"[a-z]+", words.lower())), name.lower()
 
 
+def _names_part(attributes: dict[str, str], inside: bool) -> bool:
+    """Whether a whole token names a part: part words, and frame words beside them, no others."""
+    for key in ("class", "id", "role", "itemprop"):
+        for token in attributes.get(key, "").split():
+            words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
+            # An article's own header is no part.
+            if any(w in PART_WORDS and not (inside and w == "header") for w in words) and all(w in PART_WORDS or w in PART_FRAME for w in words):
+                return True
+    return False
+
+
 class _Line:
-    __slots__ = ("text", "links", "box", "areas")
+    __slots__ = ("text", "links", "box", "areas", "parts")
 
-    def __init__(self, text: str, links: int, box: int, areas: tuple[int, ...]) -> None:
-        self.text, self.links, self.box, self.areas = text, links, box, areas
+    def __init__(self, text: str, links: int, box: int, areas: tuple[int, ...], parts: tuple[int, ...] = ()) -> None:
+        self.text, self.links, self.box, self.areas, self.parts = text, links, box, areas, parts
 
 
 def lines_of(page: str) -> tuple[list[_Line], dict[int, int]]:
-    """The lines that may be the article's, and the marked areas with their rank (2: article, 1: other)."""
+    """The lines that may be the article's, and the marked areas with their rank (2: article, 1: other).
+
+    Elements that are parts by their names alone are decided on at the end.
+    """
     lines: list[_Line] = []
     ranks: dict[int, int] = {}
-    # Open elements: name, dropped, box number, area number or 0, is a link.
-    stack: list[tuple[str, bool, int, int, bool]] = [("", False, 0, 0, False)]
+    # Open elements: name, dropped, box number, area number or 0, is a link, part number or 0.
+    stack: list[tuple[str, bool, int, int, bool, int]] = [("", False, 0, 0, False, 0)]
     dropped, links, areas = 0, 0, []
+    # Elements that may be parts: open ones; of each the part and the areas around it, whether it is of reader comments.
+    parts: list[int] = []
+    around: dict[int, tuple[int, tuple[int, ...], bool]] = {}
+    area_parts: dict[int, tuple[int, ...]] = {}
     held: list[str] = []
     linked = 0
     number = 0
@@ -98,16 +130,18 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int]]:
         if held:
             text = " ".join("".join(held).split())
             if text:
-                lines.append(_Line(text, linked, stack[-1][2], tuple(areas)))
+                lines.append(_Line(text, linked, stack[-1][2], tuple(areas), tuple(parts)))
             held.clear()
         linked = 0
 
     def pop(down_to: int) -> None:
         nonlocal dropped, links
         while len(stack) > down_to:
-            _, drop, _, area, link = stack.pop()
+            _, drop, _, area, link, part = stack.pop()
             dropped -= drop
             links -= link
+            if part:
+                parts.pop()
             if area:
                 areas.pop()
 
@@ -171,21 +205,57 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int]]:
         words, whole = _named(attributes) if attributes else (set(), "")
         hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
         inside = bool(areas)
-        drop = name in DROPPED or hidden or name == "header" and not inside or (
-            bool(words & PART_WORDS) and name not in ("html", "body", "main") and not (name == "article" and not words & {"comment", "comments", "reply", "teaser", "related", "ad", "ads", "advert"})
-            and not (name in ("header", "h1", "h2", "hgroup") and inside))
-        rank = 0 if drop or dropped else 2 if name == "article" or "articlebody" in words else 1 if (
+        drop = name in DROPPED or hidden or name == "header" and not inside
+        part = not drop and bool(words & PART_WORDS) and name not in ("html", "body", "main") and _names_part(attributes, inside) and not (
+            name in ("article", "header", "h1", "h2", "hgroup") and (inside or name == "article") and not (
+                name == "article" and words & {"comment", "comments", "reply", "teaser", "related", "ad", "ads", "advert"}))
+        rank = 0 if drop or dropped or part else 2 if name == "article" or "articlebody" in words else 1 if (
             name == "main" or attributes.get("role") == "main" or any(p in whole for p in CONTENT_PHRASES)
             or name in ("div", "section", "td") and words and words <= CONTENT_WORDS) else 0
         number += 1
         if rank:
             ranks[number] = rank
             areas.append(number)
+            area_parts[number] = tuple(parts)
+        if part:
+            around[number] = (parts[-1] if parts else 0, tuple(areas), bool(words & COMMENT_WORDS))
+            parts.append(number)
         dropped += drop
         links += name == "a"
-        stack.append((name, drop, stack[-1][2] if name in INLINE or name in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") else number, number if rank else 0, name == "a"))
+        stack.append((name, drop, stack[-1][2] if name in INLINE or name in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") else number, number if rank else 0, name == "a",
+                      number if part else 0))
     flush()
-    return lines, ranks
+    return _without_parts(lines, ranks, around, area_parts)
+
+
+def _without_parts(lines: list[_Line], ranks: dict[int, int], around: dict[int, tuple[int, tuple[int, ...], bool]],
+                   area_parts: dict[int, tuple[int, ...]]) -> tuple[list[_Line], dict[int, int]]:
+    """Lines and areas outside the elements that are parts after all; outer elements are decided on last."""
+    if not around:
+        return lines, ranks
+    own, texts = dict.fromkeys(around, 0), dict.fromkeys(ranks, 0)
+    for line in lines:
+        if line.parts:
+            own[line.parts[-1]] += len(line.text)
+        for area in line.areas:
+            texts[area] += len(line.text)
+    total = sum(len(x.text) for x in lines)
+    articles = [a for a, rank in ranks.items() if rank == 2 and texts[a]]
+    outside = any(not area_parts[a] for a in articles)
+    holding = {area_parts[a][-1] for a in articles if area_parts[a]} if not outside else set()
+    real: set[int] = set()
+    for part in sorted(around, reverse=True):  # an element's number is below those inside it
+        outer, areas, comments = around[part]
+        inside = [a for a in areas if ranks[a] == 2]
+        most = texts[inside[-1]] if inside else 0 if outside else total
+        if comments or not (part in holding or most and own[part] > PART_SHARE * most):
+            real.add(part)
+        elif outer:
+            own[outer] += own[part]
+            if part in holding:
+                holding.add(outer)
+    lines = [x for x in lines if real.isdisjoint(x.parts)]
+    return lines, {a: rank for a, rank in ranks.items() if real.isdisjoint(area_parts[a])}
 
 
 def between_surge_and_dive(weights: list[int], threshold: float, window: int = WINDOW) -> list[tuple[int, int]]:

@@ -423,3 +423,22 @@ def test_neighbours_class_ratio(spark):
         scores = {r.doc_id: r.score for r in quality_knn.score(docs, labels, fit_rows=fit_rows).collect()}
         assert scores[5000] == pytest.approx(mean, abs=1e-6)
         assert np.mean([scores[d] for d, _ in good]) > 0.6
+
+
+def test_html_part_names():
+    """Names that hold a part word are parts only as whole tokens, and never around the article."""
+    texts = [prose(k, 30) for k in range(4)]
+    body = "".join(f"<p>{t}</p>" for t in texts)
+    want = "\n".join(texts)
+    for opened, closed in (("<div class='layout has-sidebar'><article>", "</article></div>"), ("<div id='content-with-sidebar'>", "</div>"),
+                           ("<div class='no-header'><article>", "</article></div>"), ("<article class='post comments-open'>", "</article>"),
+                           ("<div class='sidebar'><article>", "</article></div>"), ("<div class='banner'>", "</div>"),
+                           ("<article><section id='related-work'>", "</section></article>"), ("<article><div id='search-methods'>", "</div></article>")):
+        page = f"<body><nav>Menu</nav>{opened}{body}{closed}<div class='sidebar'>{prose(8, 9)}</div><footer>f</footer></body>"
+        assert html_extract.extract(page) == want, opened
+        page = f"<body><div class='site-header'>Site</div>{opened}{body}<div class='social-share'>Share it</div>{closed}</body>"
+        assert html_extract.extract(page) == want, opened
+    comments = f"<div id='comments'><article><p>{prose(9, 300)}</p></article></div>"
+    assert html_extract.extract(f"<body><article>{body}{comments}</article></body>") == want
+    assert html_extract.extract(f"<body><article>{body}</article>{comments}</body>") == want
+    assert html_extract.extract(f"<body><article><div class='post-header'><h1>Title</h1></div>{body}</article></body>") == "Title\n" + want
