@@ -12,9 +12,11 @@ element is a part that holds the only marked article, or, unless another is
 marked outside, more than ``PART_SHARE`` of the text (what is left of it after
 the parts inside; inside an article of its text); reader comments are parts
 whatever their share.  A section whose name says what it is about
-(``related-work``) is none.  If the page marks its
-article (``article``, else ``main`` or an element named as content), the one
-with most text counts and lines outside it weigh zero.
+(``related-work``) is none.  If the page
+marks its article (``article``, else ``main`` or an element named as content),
+the one with most text counts, with its siblings of that kind; if an area
+around them has more text beside them than they hold (links aside), that area
+counts instead.  Lines outside weigh zero.
 
 Weights are summed over a sliding window of ``WINDOW`` lines.  Where the sums
 rise above the threshold is a surge point, where they fall to it a dive
@@ -22,6 +24,10 @@ point.  The text between a surge and its dive is kept; inside a marked
 article the threshold is zero, so that short paragraphs and headings stay,
 else it is a share of the page's highest sum, lines of mostly links weigh
 zero, and short lines in the kept lines' own containers, next to them, stay.
+For the threshold a line weighs ``CAP`` times the median of the longer lines at most, so that
+a huge paragraph does not hide others.  Of the ranges above it, the one with
+most text is kept and all that share its container (or the one around, if its
+lines are all of one).
 
 A null or empty html gives an empty text.  Texts are read whole, repeated
 rows are extracted each by itself, and all input columns are passed through
@@ -44,6 +50,8 @@ WINDOW = 3
 THRESHOLD_SHARE = 0.2
 #: An element with more of the page's text than that is no part by its name alone.
 PART_SHARE = 0.5
+#: Lines of that many characters have the median that a line's weight is capped at ``CAP`` times of.
+PROSE, CAP = 40, 4
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
@@ -101,14 +109,18 @@ def _names_part(attributes: dict[str, str], inside: bool) -> bool:
 
 
 class _Line:
-    __slots__ = ("text", "links", "box", "areas", "parts")
+    __slots__ = ("text", "links", "boxes", "areas", "parts")
 
-    def __init__(self, text: str, links: int, box: int, areas: tuple[int, ...], parts: tuple[int, ...] = ()) -> None:
-        self.text, self.links, self.box, self.areas, self.parts = text, links, box, areas, parts
+    def __init__(self, text: str, links: int, boxes: tuple[int, ...], areas: tuple[int, ...], parts: tuple[int, ...]) -> None:
+        self.text, self.links, self.boxes, self.areas, self.parts = text, links, boxes, areas, parts
 
+    @property
+    def box(self) -> int:
+        return self.boxes[-1]
 
-def lines_of(page: str) -> tuple[list[_Line], dict[int, int]]:
-    """The lines that may be the article's, and the marked areas with their rank (2: article, 1: other).
+
+def lines_of(page: str) -> tuple[list[_Line], dict[int, int], dict[int, int]]:
+    """The lines that may be the article's, the marked areas with their rank (2: article, 1: other), and their containers.
 
     Elements that are parts by their names alone are decided on at the end.
     """
@@ -121,6 +133,7 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int]]:
     parts: list[int] = []
     around: dict[int, tuple[int, tuple[int, ...], bool]] = {}
     area_parts: dict[int, tuple[int, ...]] = {}
+    area_boxes: dict[int, int] = {}
     held: list[str] = []
     linked = 0
     number = 0
@@ -130,7 +143,7 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int]]:
         if held:
             text = " ".join("".join(held).split())
             if text:
-                lines.append(_Line(text, linked, stack[-1][2], tuple(areas), tuple(parts)))
+                lines.append(_Line(text, linked, tuple(dict.fromkeys(x[2] for x in stack)), tuple(areas), tuple(parts)))
             held.clear()
         linked = 0
 
@@ -217,6 +230,7 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int]]:
             ranks[number] = rank
             areas.append(number)
             area_parts[number] = tuple(parts)
+            area_boxes[number] = stack[-1][2]
         if part:
             around[number] = (parts[-1] if parts else 0, tuple(areas), bool(words & COMMENT_WORDS))
             parts.append(number)
@@ -225,7 +239,7 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int]]:
         stack.append((name, drop, stack[-1][2] if name in INLINE or name in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") else number, number if rank else 0, name == "a",
                       number if part else 0))
     flush()
-    return _without_parts(lines, ranks, around, area_parts)
+    return *_without_parts(lines, ranks, around, area_parts), area_boxes
 
 
 def _without_parts(lines: list[_Line], ranks: dict[int, int], around: dict[int, tuple[int, tuple[int, ...], bool]],
@@ -278,7 +292,7 @@ def extract(page: str | None, window: int = WINDOW, threshold_share: float = THR
     """The page's main text: its blocks, one a line."""
     if not page:
         return ""
-    lines, ranks = lines_of(page)
+    lines, ranks, area_boxes = lines_of(page)
     if not lines:
         return ""
     areas: dict[int, int] = {}
@@ -287,18 +301,35 @@ def extract(page: str | None, window: int = WINDOW, threshold_share: float = THR
             areas[area] = areas.get(area, 0) + len(line.text)
     if areas:
         best = max(areas, key=lambda a: (ranks[a], areas[a], -a))
-        weights = [len(x.text) if best in x.areas else 0 for x in lines]
+        chosen = {a for a in areas if ranks[a] == ranks[best] and area_boxes[a] == area_boxes[best]}
+        for outer in reversed(next(x.areas[:x.areas.index(best)] for x in lines if best in x.areas)):
+            beside = sum(len(x.text) for x in lines if outer in x.areas and chosen.isdisjoint(x.areas) and 2 * x.links <= len(x.text))
+            if beside > sum(len(x.text) for x in lines if not chosen.isdisjoint(x.areas)):
+                chosen = {outer}
+        weights = [0 if chosen.isdisjoint(x.areas) else len(x.text) for x in lines]
         ranges = between_surge_and_dive(weights, 0, window)
         return "\n".join(lines[k].text for a, b in ranges for k in range(a, b) if weights[k])
     weights = [0 if 2 * x.links > len(x.text) else len(x.text) for x in lines]
-    peak = max(sum(weights[k:k + window]) for k in range(len(weights)))
+    held = sorted(w for w in weights if w)
+    if not held:
+        return ""
+    prose = [w for w in held if w >= PROSE] or held
+    most = CAP * prose[len(prose) // 2]
+    peak = max(sum(min(w, most) for w in weights[k:k + window]) for k in range(len(weights)))
     ranges = between_surge_and_dive(weights, threshold_share * peak, window)
     if not ranges:
         return ""
-    # The range with most text, and those in the same containers.
+    # The range with most text, those under its common container, and the lines of the same containers.
     kept = max(ranges, key=lambda r: (sum(weights[r[0]:r[1]]), -r[0]))
-    boxes = {lines[k].box for k in range(*kept) if weights[k]}
-    keep = set(k for k in range(*kept) if weights[k])
+    paths = [lines[k].boxes for k in range(*kept) if weights[k]]
+    shared = 0
+    while all(len(p) > shared and p[shared] == paths[0][shared] for p in paths):
+        shared += 1
+    if len(set(paths)) == 1:
+        shared = max(shared - 1, 1)
+    above = paths[0][shared - 1]
+    keep = {k for a, b in ranges for k in range(a, b) if weights[k] and above in lines[k].boxes} | {k for k in range(*kept) if weights[k]}
+    boxes = {lines[k].box for k in keep}
     keep |= {k for k, x in enumerate(lines) if weights[k] and x.box in boxes}
     return "\n".join(lines[k].text for k in sorted(keep))
 

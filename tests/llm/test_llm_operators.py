@@ -442,3 +442,21 @@ def test_html_part_names():
     assert html_extract.extract(f"<body><article>{body}{comments}</article></body>") == want
     assert html_extract.extract(f"<body><article>{body}</article>{comments}</body>") == want
     assert html_extract.extract(f"<body><article><div class='post-header'><h1>Title</h1></div>{body}</article></body>") == "Title\n" + want
+
+
+def test_html_many_areas():
+    """Sibling areas, a short article beside a long text, and sections near a huge paragraph stay."""
+    a, b, c = (f"<p>{prose(k, 40)}</p><p>{prose(k + 50, 40)}</p>" for k in (1, 2, 3))
+    plain = ["\n".join(prose(k + j, 40) for j in (0, 50)) for k in (1, 2, 3)]
+    for opened, closed in (("<div class='content'>", "</div>"), ("<article>", "</article>")):
+        page = f"<body><nav>n</nav>{opened}{a}{closed}<div class='ad'>Buy</div>{opened}{b}{closed}<div class='sidebar'>{c}</div></body>"
+        assert html_extract.extract(page) == "\n".join(plain[:2]), opened
+    page = f"<body><main><article><p>Short one.</p></article><div>{a}</div><div>{b}</div></main><footer>f</footer></body>"
+    assert html_extract.extract(page) == "\n".join(["Short one.", *plain[:2]])
+    page = f"<body><main><article>{a}{b}</article><div><p>Read <a href='/'>more of this here</a></p></div></main></body>"
+    assert html_extract.extract(page) == "\n".join(plain[:2])
+    links = "".join(f"<p><a href='/{k}'>link {k}</a></p>" for k in range(5))
+    huge = prose(9, 2000)
+    page = (f"<body><div>{links}</div><div><div><p>{huge}</p></div>{links}<div>{a}</div>{links}<ul><li>{prose(5, 40)}</li><li>{prose(6, 40)}</li></ul>"
+            f"{links}<blockquote>{b}</blockquote></div></body>")
+    assert html_extract.extract(page) == "\n".join([huge, plain[0], prose(5, 40), prose(6, 40), plain[1]])
