@@ -460,3 +460,77 @@ def test_html_many_areas():
     page = (f"<body><div>{links}</div><div><div><p>{huge}</p></div>{links}<div>{a}</div>{links}<ul><li>{prose(5, 40)}</li><li>{prose(6, 40)}</li></ul>"
             f"{links}<blockquote>{b}</blockquote></div></body>")
     assert html_extract.extract(page) == "\n".join([huge, plain[0], prose(5, 40), prose(6, 40), plain[1]])
+
+
+def test_pipeline_run(spark, tmp_path):
+    """Every row of ``run`` on planted texts, against plain Python versions of the stages."""
+    from collections import Counter
+
+    import corpus_pipeline
+    import public_tokenizers
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from nestflow.llm.tokens import encoder
+
+    def laid(words, width):
+        return "\n".join(" ".join(words[k:k + width]) for k in range(0, len(words), width))
+
+    base, item = prose(1, 120).split(), prose(2, 14)
+    shared = prose(3, 12)
+    copy = [*base[:60], "other", *base[61:]]
+    texts = [(7, laid(base, 12)), (8, laid(copy, 17)), (1, "too short"), (2, None), (3, "# * $ " * 30), (4, prose(4, 60) + "\n" + shared),
+             (5, shared + "\n" + prose(5, 60)), (6, shared[:-1] + "\n" + prose(6, 60)), (9, prose(7, 30) + " " + item + " " + prose(8, 30)),
+             (10, prose(9, 50)), (None, prose(10, 50)), (11, prose(9, 50) + " x"), (12, "word " * 40)]
+    pq.write_table(pa.table({"doc_id": pa.array([d for d, _ in texts], pa.int64()), "text": [t for _, t in texts], "lang": ["x"] * len(texts),
+                             "source": ["s"] * len(texts), "n_chars": pa.array([len(t or "") for _, t in texts], pa.int64())}),
+                   tmp_path / "documents.parquet")
+    pq.write_table(pa.table({"item_id": pa.array([1], pa.int64()), "text": [item]}), tmp_path / "benchmark.parquet")
+
+    def rejected(text):
+        words = (text or "").split()
+        grams = Counter(tuple(words[k:k + 8]) for k in range(len(words) - 7))
+        repeated = {j for k in range(len(words) - 7) if grams[tuple(words[k:k + 8])] > 1 for j in range(k, k + 8)}
+        return len(words) < 20 or 100 * len(repeated) > 30 * len(words) or 5 * sum(c in "#*$%&|<>" for c in text) > len(words)
+
+    docs = [(d, t) for d, t in texts if not rejected(t)]
+    docs.sort(key=lambda x: (x[0] is None, x[0] or 0))
+    lines = list(dict.fromkeys(x for _, t in docs for x in t.split("\n")))
+    root = {x: x for x in lines}
+    for a, b in combinations(lines, 2):
+        most = max(2, min(len(a), len(b)) // 20)
+        if abs(len(a) - len(b)) <= most and line_dedup._plain_distance(list(a), list(b)) <= most:
+            low, high = sorted((root[a], root[b]), key=lines.index)
+            root = {x: low if y == high else y for x, y in root.items()}
+    seen, after = set(), []
+    for d, t in docs:
+        held = []
+        for x in t.split("\n"):
+            if len(x) < line_dedup.MIN_REMOVED or root[x] not in seen:
+                held.append(x)
+            seen.add(root[x])
+        if held:
+            after.append((d, "\n".join(held)))
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+
+    alone = []
+    for d, t in after:
+        if all(len(shingles(t) & shingles(u)) < 0.8 * len(shingles(t) | shingles(u)) for _, u in alone):
+            alone.append((d, t))
+    passages = {tuple(item.split()[k:k + 10]) for k in range(5)}
+    clean = [(d, t) for d, t in alone if not any(tuple(t.split()[k:k + 10]) in passages for k in range(len(t.split()) - 9))]
+    assert [d for d, _ in clean] == [4, 5, 6, 7, 10, None]  # each stage takes some away
+    codes = encoder(public_tokenizers.path("word_bpe_49k.json")).encode([t for _, t in clean])
+    want = {d: np.append(np.frombuffer(c, "<u4"), 1).astype("<u4") for (d, _), c in zip(clean, codes)}
+    found = {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        found.setdefault(r.doc_id, []).append(r)
+    assert set(found) == set(want)
+    for d, ids in want.items():
+        at = 0
+        for r in sorted(found[d], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at:at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
