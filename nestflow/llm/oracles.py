@@ -97,9 +97,64 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS l
 FROM g
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP11 = rf"""
+WITH w AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM documents),
+d AS (SELECT row, doc_id, w, len(w)::BIGINT AS n FROM w WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM d),
+tf AS (SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(w) AS term FROM d) GROUP BY row, term),
+q AS (
+  SELECT DISTINCT item, item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term
+  FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), total),
+scored AS (
+  SELECT item, item_id, row, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN weight USING (term) JOIN d USING (row), total
+  GROUP BY item, item_id, row, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, row) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+#: CRC-32 of the ASCII text of a number, bit by bit.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384::BIGINT + z))), 4294967295::BIGINT)"""
+
+OP13 = rf"""
+WITH own AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM conversations GROUP BY conv_id),
+h AS (SELECT conv_id, turns, conv_id - conv_id % 20 AS base, ({_CRC32} % 4)::BIGINT AS h FROM own),
+built AS (
+  SELECT h.conv_id, list_concat(coalesce(b.turns, [])[1:h.h], h.turns[h.h + 1:len(h.turns)]) AS turns
+  FROM h LEFT JOIN own b ON b.conv_id = h.base),
+node AS (
+  SELECT key, len(key) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '') AS ends
+  FROM (SELECT conv_id, turns[1:d] AS key, d = len(turns) AS ended FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM built))
+  GROUP BY key),
+up AS (SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+full_node AS (
+  SELECT n.*, coalesce(up.n_children, 0) AS n_children,
+         CASE WHEN depth > 0 THEN (n_convs - 1) * len(regexp_extract_all(n.key[depth].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS tokens
+  FROM node n LEFT JOIN up ON up.key = n.key),
+below AS (
+  SELECT key[1:d] AS key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(tokens) AS saved_tokens
+  FROM (SELECT key, n_children, tokens, unnest(range(0, depth + 1)) AS d FROM full_node) GROUP BY 1)
+SELECT f.conv_id, f.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+       b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_node f JOIN below b ON b.key = f.key LEFT JOIN node p ON f.depth > 0 AND p.key = f.key[1:f.depth - 1]
+"""
+
 LLM_ORACLES = {
     "op3_warc": OP3,
     "op5_decontamination": OP5,
     "op7_quality_rules": OP7,
     "op9_chat_formatting": OP9,
+    "op11_ranked_search": OP11,
+    "op13_prefix_trie": OP13,
 }

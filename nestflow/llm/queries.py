@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestflow.llm import chat, decontaminate, html_extract, line_dedup, near_dup, packing, quality_knn, quality_rules, token_codes, warc
+from nestflow.llm import chat, decontaminate, html_extract, line_dedup, near_dup, packing, quality_knn, quality_rules, ranked_search, simhash, token_codes, turn_trie, warc
 from nestflow.sources.sinks import scratch_path
 
 
@@ -85,6 +85,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = turn_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    taken = F.crc32(F.col("conv_id").cast("string")) % 4
+    return turn_trie.prefix_nodes(turn_trie.shared_heads(lists, 20, 3, taken))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_packing, op3_warc, op4_line_dedup, op5_decontamination, op6_token_codes,
-    op7_quality_rules, op8_quality_knn, op9_chat_formatting, op10_near_duplicates)}
+    op7_quality_rules, op8_quality_knn, op9_chat_formatting, op10_near_duplicates, op11_ranked_search, op12_simhash,
+    op13_prefix_trie)}
