@@ -41,21 +41,6 @@ def _whole_seconds(c: str | Column) -> Column:
     return trunc_second(to_ts(c))
 
 
-def _session_cached(key: tuple, build) -> Column:
-    """Expressions are immutable values: build each one once per running
-    Spark context instead of re-issuing its many JVM calls per query.  The
-    cache lives on the context object, so it goes away with it."""
-    from pyspark import SparkContext
-
-    sc = SparkContext._active_spark_context
-    if sc is None:
-        return build()
-    cache = sc.__dict__.setdefault("_nestflow_expressions", {})
-    if key not in cache:
-        cache[key] = build()
-    return cache[key]
-
-
 def _inside(t: Column, c: Column, days: int) -> Column:
     return (t > c - F.make_dt_interval(F.lit(days))) & (t < c)
 
@@ -123,24 +108,6 @@ def _candidates(t: Column, c: Column, periods: Sequence[int], horizon: int,
             .otherwise(outside))
 
 
-def _labels(t: Column, c: Column, periods: Sequence[int], horizon: int,
-            keep_outside: bool) -> Column:
-    """Final labels from whole-second ``TIMESTAMP_NTZ`` columns ``t`` and
-    ``c``: the periods not yet passed (a slice of the sorted periods), plus
-    the month label -- built with ``slice``/``concat`` only, no lambdas."""
-    ordered = sorted(periods)
-    passed = _passed(t, c, _bounds(periods, horizon))
-    empty = F.array().cast("array<string>")
-    inside = F.concat(
-        F.slice(F.array(*[F.lit(str(d)) for d in ordered]), passed + 1, len(ordered)),
-        F.when(_month_rule(t, c), F.array(F.lit(MONTHS_LABEL))).otherwise(empty),
-    )
-    outside = F.array(F.lit(OUTSIDE_LABEL)) if keep_outside else empty
-    return (F.when(t.isNull() | c.isNull(), F.lit(None).cast("array<string>"))
-            .when((t < c) & (passed < len(ordered) + 1), inside)
-            .otherwise(outside))
-
-
 def period_labels(create: str | Column, time: str | Column,
                   periods: Sequence[int] = PERIOD_DAYS,
                   horizon: int = HORIZON_DAYS,
@@ -151,7 +118,7 @@ def period_labels(create: str | Column, time: str | Column,
     outside the horizon (``[]`` with ``keep_outside=False``); otherwise the
     passing period labels plus the month label when it applies.
     """
-    return _labels(_whole_seconds(time), _whole_seconds(create), periods, horizon, keep_outside)
+    return F.array_compact(_candidates(_whole_seconds(time), _whole_seconds(create), periods, horizon, keep_outside))
 
 
 def period_fanout(df: DataFrame, time: str, create: str, out: str = "type",
@@ -168,12 +135,8 @@ def period_fanout(df: DataFrame, time: str, create: str, out: str = "type",
         # generator; explode the candidates and drop the ones that do not
         # apply with a plain filter (all of it stays in generated code).
         t, c = "__nf_t", "__nf_c"
-        whole = {n: (_session_cached(("whole", v), lambda v=v: _whole_seconds(v)) if isinstance(v, str)
-                     else _whole_seconds(v)) for n, v in ((t, time), (c, create))}
-        prepared = df.select("*", whole[t].alias(t), whole[c].alias(c))
-        key = ("candidates", tuple(sorted(periods)), horizon, keep_outside)
-        labels = _session_cached(key, lambda: F.explode(
-            _candidates(F.col(t), F.col(c), periods, horizon, keep_outside)))
+        prepared = df.select("*", _whole_seconds(time).alias(t), _whole_seconds(create).alias(c))
+        labels = F.explode(_candidates(F.col(t), F.col(c), periods, horizon, keep_outside))
         exploded = prepared.select(*df.columns, labels.alias(out))
         return exploded.filter(F.col(out).isNotNull())
     if method != "tokens":

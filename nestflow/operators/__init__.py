@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators: unnesting, filters, cleaning, mutations."""
 
-from nestflow.operators.filters import before, drop_label, in_day, select_run
+from nestflow.operators.filters import before, drop_label, in_day, select_run, since, with_stored_time
 from nestflow.operators.nested import (
     count_nested,
     field,
@@ -22,7 +22,7 @@ from nestflow.operators.tables import (
 )
 
 __all__ = [
-    "before", "drop_label", "in_day", "select_run", "count_nested", "field", "flatten_struct",
+    "before", "drop_label", "in_day", "select_run", "since", "with_stored_time", "count_nested", "field", "flatten_struct",
     "require_nonempty", "split_explode", "unnest", "unnest_path", "align",
     "append_rows", "canonical_calls", "count_deleted", "dedupe", "delete_where",
     "replace_by_key", "update_by_key",

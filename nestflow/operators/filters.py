@@ -13,19 +13,25 @@ a pushed filter:
 A ``TIMESTAMP`` column holds instants: it is compared with the instants at
 which the run clock's zone reaches those bounds, whatever the session zone.
 
-Text columns are parsed leniently first (no pushdown is possible for them).
+Text columns are parsed leniently first (no pushdown is possible for them),
+unless the collection was staged with the parsed time beside the text
+(:func:`with_stored_time`): then that typed column is compared in its place
+and the filter reaches the scan, whatever the text looks like.  Where the
+staged day of the time is a partition of the collection, the days of the run
+are named too, so folders of other days are not opened.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestflow.functions.clock import DEFAULT_TZ, RunClock, instant_literal, ntz_literal
-from nestflow.functions.scalars import to_ts, trunc_second
+from nestflow.functions.scalars import to_ts, trunc_second, wall_clock
+
 
 def _type(df: DataFrame, col: str) -> T.DataType:
     if "." not in col and col in df.columns:  # the frame's schema is cached
@@ -43,66 +49,114 @@ def _literal(kind: T.DataType, value: _dt.datetime | _dt.date | Column, tz: str)
 _TS_TYPES = (T.TimestampNTZType, T.TimestampType)
 
 
-_TEXT = "%Y-%m-%d %H:%M:%S"
+#: Columns that staging adds for a time column, by its name.
+TIME_PREFIX, DAY_PREFIX = "nf_time_of_", "nf_day_of_"
+
+
+def with_stored_time(df: DataFrame, ts_col: str, tz: str = DEFAULT_TZ) -> DataFrame:
+    """``df`` with the day of ``ts_col`` and, for text, the time parsed from it.
+
+    ``nf_time_of_<ts_col>`` (text columns only) is the ``TIMESTAMP_NTZ`` the
+    selections would parse, NULL for text that is no time; ``nf_day_of_<ts_col>``
+    is the wall-clock date, in ``tz`` for instants.  The column itself stays as it is.
+    """
+    kind = _type(df, ts_col)
+    if isinstance(kind, _TS_TYPES):
+        wall = wall_clock(ts_col, tz) if isinstance(kind, T.TimestampType) else F.col(ts_col)
+    else:
+        df = df.withColumn(TIME_PREFIX + ts_col, to_ts(ts_col))
+        wall = F.col(TIME_PREFIX + ts_col)
+    return df.withColumn(DAY_PREFIX + ts_col, wall.cast("date"))
+
+
+def stored_time(df: DataFrame, ts_col: str) -> str:
+    """The column that holds the time of ``ts_col`` as a timestamp if staging has put one beside it, else ``ts_col``."""
+    name = TIME_PREFIX + ts_col
+    return name if name in df.columns and isinstance(df.schema[name].dataType, T.TimestampNTZType) else ts_col
+
+
+def _in_days(df: DataFrame, ts_col: str, low: _dt.date | None, high: _dt.date) -> Column:
+    """Days from ``low`` on and before ``high``, for partition pruning; true if the day is not stored."""
+    name = DAY_PREFIX + ts_col
+    if name not in df.columns or not isinstance(df.schema[name].dataType, T.DateType):
+        return F.lit(True)
+    before_high = F.col(name) < F.lit(high)
+    return before_high if low is None else (F.col(name) >= F.lit(low)) & before_high
 
 
 def _as_datetime(value: _dt.datetime | _dt.date) -> _dt.datetime:
     return value if isinstance(value, _dt.datetime) else _dt.datetime(value.year, value.month, value.day)
 
 
-def before(df: DataFrame, ts_col: str, bound: _dt.datetime | _dt.date | Column,
-           canonical_text: bool = False, tz: str = DEFAULT_TZ) -> DataFrame:
+def _between(df: DataFrame, ts_col: str, low: _dt.datetime | None, high: _dt.datetime, tz: str, after: bool = False) -> Column:
+    """Whole seconds from ``low`` on (``after``: later than it) and before ``high``, wall clock in ``tz``; both whole seconds."""
+    own = stored_time(df, ts_col)
+    kind = _type(df, own)
+    if low is not None and after:
+        low += _dt.timedelta(seconds=1)
+    t = F.col(own) if isinstance(kind, _TS_TYPES) else trunc_second(to_ts(own))
+    test = t < _literal(kind, high, tz)
+    if low is not None:
+        test = (t >= _literal(kind, low, tz)) & test
+    last = high.date() if high.time() == _dt.time() else high.date() + _dt.timedelta(days=1)
+    return test & _in_days(df, ts_col, low.date() if low is not None else None, last)
+
+
+def before(df: DataFrame, ts_col: str, bound: _dt.datetime | _dt.date | Column, tz: str = DEFAULT_TZ) -> DataFrame:
     """whole-second ``t < bound`` (cumulative snapshot up to the bound,
-    a wall-clock time in ``tz``).
+    a wall-clock time in ``tz``, or a column)."""
+    if not isinstance(bound, Column):
+        return df.filter(_between(df, ts_col, None, _as_datetime(bound), tz))
+    own = stored_time(df, ts_col)
+    typed = isinstance(_type(df, own), _TS_TYPES)
+    return df.filter((F.col(own) if typed else trunc_second(to_ts(own))) < bound)
 
-    ``canonical_text=True`` declares that a text column always reads
-    ``yyyy-MM-dd HH:mm:ss[.fraction]``: text order is then time order, and a
-    string-range prefilter that Parquet can use is added in front of the
-    exact (parsed) test -- same rows, far less read."""
-    kind = _type(df, ts_col)
-    b = _literal(kind, bound, tz)
-    if isinstance(kind, _TS_TYPES):
-        return df.filter(F.col(ts_col) < b)
-    if canonical_text and not isinstance(bound, Column):
-        df = df.filter(F.col(ts_col) < F.lit(_as_datetime(bound).strftime(_TEXT)))
-    return df.filter(trunc_second(to_ts(ts_col)) < b)
+
+def since(df: DataFrame, ts_col: str, low: _dt.date, clock: RunClock) -> DataFrame:
+    """Rows from midnight of ``low`` on and before the run day: the days that a run after one of ``low`` has to add."""
+    return df.filter(_between(df, ts_col, _as_datetime(low), clock.today_start, clock.tz))
+
+
+def _day(df: DataFrame, ts_col: str, clock: RunClock, bounds: str) -> Column:
+    if bounds not in ("open", "left_closed"):
+        raise ValueError(f"unknown bounds {bounds!r}")
+    return _between(df, ts_col, clock.yesterday_start, clock.today_start, clock.tz, after=bounds == "open")
 
 
-def in_day(df: DataFrame, ts_col: str, clock: RunClock, bounds: str = "open",
-           canonical_text: bool = False) -> DataFrame:
+def in_day(df: DataFrame, ts_col: str, clock: RunClock, bounds: str = "open") -> DataFrame:
     """rows of the day before the run day (daily increment).
 
-    ``bounds="open"`` is the reference's rule: strictly after yesterday's
+    ``bounds="open"`` is the source systems' rule: strictly after yesterday's
     midnight and strictly before today's, so a row at exactly 00:00:00
     belongs to no run.  ``"left_closed"`` keeps midnight rows in their day.
     """
-    lo, hi = clock.yesterday_start, clock.today_start
-    if bounds not in ("open", "left_closed"):
-        raise ValueError(f"unknown bounds {bounds!r}")
-    kind = _type(df, ts_col)
-    if isinstance(kind, _TS_TYPES):
-        t = F.col(ts_col)
-        low = lo + _dt.timedelta(seconds=1) if bounds == "open" else lo
-        return df.filter((t >= _literal(kind, low, clock.tz)) & (t < _literal(kind, hi, clock.tz)))
-    if canonical_text:  # see before(): a pushable string range, then the exact test
-        first = lo + _dt.timedelta(seconds=1) if bounds == "open" else lo
-        c = F.col(ts_col)
-        df = df.filter((c >= F.lit(first.strftime(_TEXT))) & (c < F.lit(hi.strftime(_TEXT))))
-    t = trunc_second(to_ts(ts_col))
-    low = (t > ntz_literal(lo)) if bounds == "open" else (t >= ntz_literal(lo))
-    return df.filter(low & (t < ntz_literal(hi)))
+    return df.filter(_day(df, ts_col, clock, bounds))
 
 
 def select_run(df: DataFrame, ts_col: str, clock: RunClock, selection: str = "increment",
-               bounds: str = "open", canonical_text: bool = False) -> DataFrame:
+               bounds: str = "open", counts: Observation | None = None) -> DataFrame:
     """The rows a daily run loads: ``"increment"`` -- the day before the run
     (F2) -- or ``"snapshot"`` -- everything before the run day (F1), i.e.
-    the whole history again in every partition."""
+    the whole history again in every partition.
+
+    ``counts`` observes, in the same scan, ``selected`` (the run's rows) and
+    ``bad_time`` (rows without a valid time, which no run loads).
+    """
     if selection == "increment":
-        return in_day(df, ts_col, clock, bounds, canonical_text)
-    if selection == "snapshot":
-        return before(df, ts_col, clock.today_start, canonical_text, clock.tz)
-    raise ValueError(f"unknown selection {selection!r}")
+        test = _day(df, ts_col, clock, bounds)
+    elif selection == "snapshot":
+        test = _between(df, ts_col, None, clock.today_start, clock.tz)
+    else:
+        raise ValueError(f"unknown selection {selection!r}")
+    if counts is None:
+        return df.filter(test)
+    own = stored_time(df, ts_col)
+    bad = F.col(own).isNull() if isinstance(_type(df, own), _TS_TYPES) else to_ts(own).isNull()
+    if DAY_PREFIX + ts_col in df.columns:  # no time, no day: other days' folders stay closed
+        bad = bad & F.col(DAY_PREFIX + ts_col).isNull()
+    # One filter for both, so that it reaches the scan; what has no time is counted and goes.
+    both = df.filter(test | bad).observe(counts, F.count_if(~bad).alias("selected"), F.count_if(bad).alias("bad_time"))
+    return both.filter(~bad)
 
 
 def drop_label(df: DataFrame, col: str, label: str = "0") -> DataFrame:

@@ -8,9 +8,8 @@ So elements are gathered per ``(key, chunk)``:
 * a cheap pre-pass counts elements per key (a partial aggregate: one row
   per key and map task crosses the shuffle) and keeps only keys over
   ``max_elements`` -- at most ``rows / max_elements`` of them;
-* that hot-key list is broadcast when it is provably small (at most
-  ``HOT_KEY_BROADCAST_LIMIT`` rows, counted before anything is fetched),
-  and joined by shuffle otherwise;
+* that hot-key list is written to the shared folder once; Spark broadcasts it
+  if its files are small enough, and joins by shuffle otherwise;
 * a hot key's elements are spread over ``ceil(n / max_elements)`` chunks by a
   hash of ``spread`` columns; every other key has chunk 0, so small data
   gives exactly one group per key.  Hash spreading makes ``max_elements`` a
@@ -31,9 +30,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestflow.sources.sinks import scratch_path
+
 MAX_ELEMENTS = 1024
 MAX_DOC_ITEMS = 65_536
-HOT_KEY_BROADCAST_LIMIT = 100_000
 POSITION_COL = "__pos"
 
 
@@ -41,7 +41,6 @@ POSITION_COL = "__pos"
 class HotKeys:
     keys: list[str]
     table: DataFrame | None  # keys + "__nb"; None when no key is hot
-    small: bool              # proven small enough to broadcast
     largest: int = 0         # element count of the largest key (first limit)
 
     @property
@@ -65,9 +64,8 @@ def find_hot_keys_many(specs: Sequence[tuple]) -> list[HotKeys]:
     One action first asks every branch (side by side) for two numbers only
     -- how many keys are hot and how large the largest key is -- as partial
     aggregates, so no task ever receives more than one row per partition.
-    Only a branch with between 1 and ``HOT_KEY_BROADCAST_LIMIT`` hot keys
-    then fetches them (a result proven small); above that the hot keys stay
-    a distributed table for a shuffle join.
+    A branch with hot keys then writes them, so the search runs once; none
+    of them pass through the driver.
     """
     parts, metas = [], []
     for i, spec in enumerate(specs):
@@ -92,12 +90,11 @@ def find_hot_keys_many(specs: Sequence[tuple]) -> list[HotKeys]:
         n_hot = int(stats[i]["__nhot"] or 0)
         largest = int(stats[i]["__largest"] or 0)
         if n_hot == 0:
-            out.append(HotKeys(keys, None, True, largest))
-        elif n_hot <= HOT_KEY_BROADCAST_LIMIT:
-            rows = hot.collect()  # at most HOT_KEY_BROADCAST_LIMIT rows, counted above
-            out.append(HotKeys(keys, source.sparkSession.createDataFrame(rows, hot.schema), True, largest))
-        else:
-            out.append(HotKeys(keys, hot, False, largest))
+            out.append(HotKeys(keys, None, largest))
+            continue
+        spark, path = source.sparkSession, scratch_path(source.sparkSession, "hot-keys")
+        hot.write.parquet(path)
+        out.append(HotKeys(keys, spark.read.schema(hot.schema).parquet(path), largest))
     return out
 
 
@@ -105,7 +102,6 @@ def _join_hot(df: DataFrame, hot: HotKeys, df_keys: Sequence[str]) -> DataFrame:
     """Left join ``df`` with the hot-key table, NULL-safe (a NULL key can be
     hot too), keeping ``__nb`` and none of the table's key columns."""
     table = hot.table.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(hot.keys)], "__nb")
-    table = F.broadcast(table) if hot.small else table
     cond = None
     for i, k in enumerate(df_keys):
         c = df[k].eqNullSafe(table[f"__hk{i}"])

@@ -10,14 +10,14 @@ its scan; the result is the same as filtering last.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestflow.functions.clock import RunClock
 from nestflow.functions.periods import period_fanout
 from nestflow.functions.scalars import to_int, wall_clock, zero_if_null
-from nestflow.operators.filters import in_day, select_run
+from nestflow.operators.filters import select_run
 from nestflow.operators.nested import (
     count_nested,
     flatten_struct,
@@ -78,23 +78,27 @@ def t_calls_flat(docs: DataFrame) -> DataFrame:
 
 def provider_t_calls(docs: DataFrame, clock: RunClock, keep_outside: bool = True,
                      selection: str = "snapshot", bounds: str = "open",
-                     canonical_text: bool = False) -> DataFrame:
+                     counts: Observation | None = None) -> DataFrame:
     """T call records, tagged by period, duration made int,
-    de-duplicated.  The reference loads a cumulative ``snapshot`` of all
+    de-duplicated.  The default is a cumulative ``snapshot`` of all
     documents created before the run day; ``selection="increment"`` loads
-    only the day's documents (what a 100 TB history wants).
-    ``canonical_text=True`` declares the text creation times canonical so
-    the selection also reaches the scan (see ``operators.before``)."""
-    calls = t_calls_flat(select_run(docs, "create_time", clock, selection, bounds, canonical_text))
-    tagged = _labelled(calls, clock, keep_outside)
-    typed = tagged.withColumn("duration", to_int("duration"))
-    return _tag(dedupe(typed, T_CALL_COLUMNS), clock)
+    only the day's documents, and :mod:`nestflow.sources.snapshots` keeps a
+    snapshot up without reading the earlier days again.
+    ``counts``: see ``operators.select_run``."""
+    kept = select_run(docs, "create_time", clock, selection, bounds, counts)
+    return _tag(dedupe(t_call_records(kept, clock, keep_outside), T_CALL_COLUMNS), clock)
+
+
+def t_call_records(docs: DataFrame, clock: RunClock, keep_outside: bool = True) -> DataFrame:
+    """The labelled, typed calls of every document, neither selected nor de-duplicated."""
+    tagged = _labelled(t_calls_flat(docs), clock, keep_outside)
+    return align(tagged.withColumn("duration", to_int("duration")), T_CALL_COLUMNS)
 
 
 def provider_t_bills(docs: DataFrame, clock: RunClock, selection: str = "snapshot",
-                     bounds: str = "open", canonical_text: bool = False) -> DataFrame:
+                     bounds: str = "open", counts: Observation | None = None) -> DataFrame:
     """T bills (no de-duplication), fee as int with 0 for missing/bad."""
-    kept = select_run(docs, "create_time", clock, selection, bounds, canonical_text)
+    kept = select_run(docs, "create_time", clock, selection, bounds, counts)
     items = unnest_path(kept, [TJ_DATA_LIST, "billdata"], keep=["create_time"],
                         carry={0: {"mobile": "userdata.phone"}}, alias="item")
     out = items.select("mobile", "create_time",
@@ -105,28 +109,28 @@ def provider_t_bills(docs: DataFrame, clock: RunClock, selection: str = "snapsho
 
 def provider_m_calls(docs: DataFrame, clock: RunClock, bounds: str = "open",
                      keep_outside: bool = True, selection: str = "increment",
-                     canonical_text: bool = False) -> DataFrame:
+                     counts: Observation | None = None) -> DataFrame:
     """M call records of documents created on the day before the run,
     only for documents with at least one bill, tagged and de-duplicated."""
-    kept = require_nonempty(select_run(docs, "create_time", clock, selection, bounds, canonical_text),
+    kept = require_nonempty(select_run(docs, "create_time", clock, selection, bounds, counts),
                             "bills", "bill_count")
     tagged = _labelled(m_calls_flat(kept), clock, keep_outside)
     return _tag(dedupe(tagged, M_CALL_COLUMNS), clock)
 
 
 def provider_m_bills(docs: DataFrame, clock: RunClock, bounds: str = "open",
-                     selection: str = "increment", canonical_text: bool = False) -> DataFrame:
+                     selection: str = "increment", counts: Observation | None = None) -> DataFrame:
     """M bills of the day's documents; fee neither cast nor defaulted."""
-    kept = select_run(docs, "create_time", clock, selection, bounds, canonical_text)
+    kept = select_run(docs, "create_time", clock, selection, bounds, counts)
     bills = unnest(kept.select("mobile", "create_time", "bills"), "bills", "bill")
     return _tag(flatten_struct(bills, "bill", ["total_fee", "bill_month"],
                                keep=["mobile", "create_time"]), clock)
 
 
 def contacts_increment(contacts: DataFrame, clock: RunClock, bounds: str = "open",
-                       canonical_text: bool = False) -> DataFrame:
+                       counts: Observation | None = None) -> DataFrame:
     """Contacts created on the day before the run."""
-    return _tag(align(in_day(contacts, "gmtCreate", clock, bounds, canonical_text), CONTACT_COLUMNS), clock)
+    return _tag(align(select_run(contacts, "gmtCreate", clock, "increment", bounds, counts), CONTACT_COLUMNS), clock)
 
 
 def real_name_refresh(names: DataFrame) -> DataFrame:

@@ -12,6 +12,9 @@ query's work grows with the given tables:
 * **T documents** (one per customer): the same calls and bills three levels
   deep under ``wd_api_mobilephone_getdatav2_response.data.data_list`` with
   the phone beside them, times and fees as *text*.
+* **Shared T documents**: the T documents of ``PHONES`` consecutive customer keys
+  in one, each customer an element of ``data_list`` with its own phone; the
+  document's creation time is its latest customer's.
 * **contacts** from ``events``, **real names** from ``customer``.
 
 A document's creation time is its customer's last order date plus
@@ -29,11 +32,13 @@ same order says so (``continued``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from nestflow.operators.filters import DAY_PREFIX, TIME_PREFIX, stored_time, with_stored_time
 from nestflow.plans.assemble import (
     MAX_DOC_ITEMS,
     MAX_ELEMENTS,
@@ -45,6 +50,8 @@ from nestflow.plans.assemble import (
     with_key_totals,
     with_position,
 )
+from nestflow.sources.collections import write_by_day
+from nestflow.sources.schemas import narrow_schema
 
 # Fixed values of the derived fixtures (ours, mirrored by the oracle SQL):
 #   a bill is a finished order ('F') with total price above 300000
@@ -53,7 +60,11 @@ from nestflow.plans.assemble import (
 BILL_STATUS = "F"
 BILL_MIN_PRICE = 300000
 CREATE_OFFSET_MOD = 86399
+#   a shared T document holds customers of one (custkey div 4)
 UNKNOWN_FEE_PRIORITY = "5-LOW"
+PHONES = 4
+# Phones (pieces of customers) that one shared document holds at most, about.
+MAX_PHONES = 64
 
 TJ_ROOT = "wd_api_mobilephone_getdatav2_response"
 TJ_DATA_LIST = f"{TJ_ROOT}.data.data_list"
@@ -194,6 +205,7 @@ def _customer_documents(spark: SparkSession, sf_dir: str, item: Callable[[], Col
     offset = F.make_dt_interval(secs=(F.pmod(F.col("o_custkey"), F.lit(CREATE_OFFSET_MOD)) + 1).cast("decimal(18,6)"))
     return docs.select(
         "o_custkey",
+        F.col("__dc").alias("__piece"),
         (last + offset).alias("create_time"),
         "calls",
         F.when(F.size("bills") > 0, F.col("bills")).alias("bills"),
@@ -218,15 +230,56 @@ def tj_documents(spark: SparkSession, sf_dir: str, max_elements: int = MAX_ELEME
                  max_doc_items: int = MAX_DOC_ITEMS) -> DataFrame:
     docs = _customer_documents(spark, sf_dir, _tj_item, _tj_bill, max_elements, lineitem, orders,
                                max_doc_items)
-    element = F.struct(
+    return docs.select(
+        F.concat(F.lit("U"), F.col("o_custkey")).alias("user_id"),
+        _text("create_time").alias("create_time"),
+        _tj_response(F.array(_tj_element())),
+    )
+
+
+def _tj_element() -> Column:
+    """One phone of a T document, from the columns of ``_customer_documents``."""
+    return F.struct(
         F.struct(F.col("o_custkey").cast("string").alias("phone")).alias("userdata"),
         F.col("calls").alias("teldata"),
         F.col("bills").alias("billdata"),
     )
+
+
+def _tj_response(data_list: Column) -> Column:
+    return F.struct(F.struct(data_list.alias("data_list")).alias("data")).alias(TJ_ROOT)
+
+
+def tj_shared_documents(spark: SparkSession, sf_dir: str, max_elements: int = MAX_ELEMENTS,
+                        lineitem: DataFrame | None = None, orders: DataFrame | None = None,
+                        max_doc_items: int = MAX_DOC_ITEMS, phones: int = PHONES) -> DataFrame:
+    """T documents of several phones each: a third bounded nesting level.
+
+    The elements are the customers' pieces.  A document is bounded in elements
+    and in call items; a key beyond that is split into several documents, which
+    all have the creation time of the whole key.  The pieces are written
+    once: the search for keys that have to be split reads two narrow columns of them.
+    """
+    from nestflow.sources.sinks import scratch_path
+
+    pieces = _customer_documents(spark, sf_dir, _tj_item, _tj_bill, max_elements, lineitem, orders, max_doc_items)
+    n_items = F.aggregate("calls", F.lit(0), lambda n, c: n + F.greatest(F.size(c["items"]), F.lit(0)))
+    path = scratch_path(spark, "phone-pieces")
+    (pieces.select(F.floor(F.col("o_custkey") / phones).alias("__key"), "o_custkey", "__piece", "create_time", n_items.alias("__items"),
+                   _tj_element().alias("element")).write.parquet(path))
+    pieces = spark.read.parquet(path)
+    narrow = pieces.select("__key", "create_time", "__items")
+    hot = find_hot_keys(narrow, ["__key"], limits={"__items": max_doc_items, "": max(phones, MAX_PHONES)})
+    rows = with_chunk(pieces, hot, ["o_custkey", "__piece"] if hot.any else [], "__dc")
+    docs = rows.groupBy("__key", "__dc").agg(F.max("create_time").alias("__last"), F.collect_list("element").alias("elements"))
+    last = F.col("__last")
+    if hot.any:
+        docs = with_key_totals(docs, hot, narrow, {"__all_last": F.max("create_time")})
+        last = F.coalesce("__all_last", last)
     return docs.select(
-        F.concat(F.lit("U"), F.col("o_custkey")).alias("user_id"),
-        _text("create_time").alias("create_time"),
-        F.struct(F.struct(F.array(element).alias("data_list")).alias("data")).alias(TJ_ROOT),
+        F.concat(F.lit("H"), F.col("__key")).alias("user_id"),
+        last.cast("string").alias("create_time"),
+        _tj_response(F.col("elements")),
     )
 
 
@@ -254,17 +307,20 @@ def real_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # query.  So the derived collection is written once, as Parquet, under the
 # cluster's shared folder (``spark.checkpoint.dir``), keyed by the source
 # files' sizes and times, and each pipeline scans it with a narrow nested
-# read schema: only the leaves it uses are read, and filters on the
-# creation time reach the scan.  Files are sorted by creation time so
-# row-group statistics let a daily run skip most of a large collection.
-
-COLLECTION_VERSION = "3"
-SOURCES = {"mx": ["lineitem", "orders"], "tj": ["lineitem", "orders"], "mx_json": ["lineitem", "orders"],
-           "tj_json": ["lineitem", "orders"],
+# read schema made from the paths it uses.  Text creation times get the parsed
+# time beside them, so selections reach the scan.  Files are sorted by
+# creation time so row-group statistics let a run skip most of a large
+# collection; the ``_by_day`` collections are partitioned by the creation day,
+# so a daily run opens the folder of its day only.
+
+COLLECTION_VERSION = "4"
+_LI = ["lineitem", "orders"]
+SOURCES = {"mx": _LI, "tj": _LI, "mx_json": _LI, "tj_json": _LI, "mx_by_day": _LI, "tj_by_day": _LI, "tj_shared": _LI,
            "contacts": ["events"], "real_names": ["customer"]}
 # Collections written as JSON lines (a document store's export format):
 # wall-clock times as 'yyyy-MM-dd HH:mm:ss' text.
 JSON_KINDS = {"mx_json": "mx", "tj_json": "tj"}
+DAY_KINDS = {"mx_by_day": "mx", "tj_by_day": "tj"}
 JSON_WRITE_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
 DOCS_PER_FILE = 200_000
 BUILDERS: dict[str, Callable[..., DataFrame]] = {}
@@ -339,43 +395,50 @@ def stage_collection(spark: SparkSession, sf_dir: str, kind: str, max_elements:
     path = path or collection_path(spark, sf_dir, kind, max_elements)
     if _exists(spark, path):  # only ever created by publishing a complete write
         return path
-    base_kind = JSON_KINDS.get(kind, kind)
+    base_kind = {**JSON_KINDS, **DAY_KINDS}.get(kind, kind)
     builder = BUILDERS[base_kind]
-    df = builder(spark, sf_dir, max_elements) if base_kind in ("mx", "tj") else builder(spark, sf_dir)
-    order = {"mx": "create_time", "tj": "create_time", "contacts": "gmtCreate", "real_names": "phone"}[base_kind]
+    df = builder(spark, sf_dir, max_elements) if SOURCES[kind] is _LI else builder(spark, sf_dir)
+    order = {"contacts": "gmtCreate", "real_names": "phone"}.get(base_kind, "create_time")
     tmp = f"{path}-tmp-{uuid.uuid4().hex[:12]}"
     # Bounded files whatever the shuffle partition count: documents are
     # bounded in size, so a record cap bounds the file size too.
-    writer = df.sortWithinPartitions(order).write.option("maxRecordsPerFile", str(DOCS_PER_FILE))
-    if kind in JSON_KINDS:
-        writer.options(**JSON_WRITE_OPTIONS).json(tmp)
+    if kind in DAY_KINDS:
+        write_by_day(df, tmp, order, max_records_per_file=DOCS_PER_FILE)
+    elif kind in JSON_KINDS:
+        df.sortWithinPartitions(order).write.option("maxRecordsPerFile", str(DOCS_PER_FILE)).options(**JSON_WRITE_OPTIONS).json(tmp)
     else:
-        writer.parquet(tmp)
+        if order != "phone":
+            df = with_stored_time(df, order).drop(DAY_PREFIX + order)
+        df.sortWithinPartitions(stored_time(df, order)).write.option("maxRecordsPerFile", str(DOCS_PER_FILE)).parquet(tmp)
     if not _publish(spark, tmp, path) and not _exists(spark, path):
         raise RuntimeError(f"could not publish collection {path}")
     return path
 
 
-def stored_collection(spark: SparkSession, sf_dir: str, kind: str, schema: str | None = None,
+_schemas: dict[str, T.StructType] = {}
+
+
+def stored_collection(spark: SparkSession, sf_dir: str, kind: str, paths: Sequence[str] | None = None,
                       max_elements: int = MAX_ELEMENTS) -> DataFrame:
-    """The stored ``kind`` collection (staged on first use), read with
-    ``schema`` -- a narrow read schema prunes nested leaves at the scan."""
+    """The stored ``kind`` collection (staged on first use), read with the part
+    of its schema that ``paths`` use: nested leaves in no path are not read."""
     path = stage_collection(spark, sf_dir, kind, max_elements)
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
-
-
-BUILDERS.update({"mx": mx_documents, "tj": tj_documents, "contacts": contacts, "real_names": real_names})
-
-# Narrow read schemas (subsets of the stored ones) for the pipelines.
-_M_ITEM = "struct<peer_number: string, details_id: string, dial_type: string, duration: int, time: timestamp_ntz>"
-M_CALLS_SCHEMA = (f"mobile string, user_id string, create_time timestamp_ntz, "
-                  f"calls array<struct<items: array<{_M_ITEM}>>>, bills array<struct<bill_month: string>>, bill_count long")
-M_BILLS_SCHEMA = ("mobile string, create_time timestamp_ntz, "
-                  "bills array<struct<total_fee: int, bill_month: string>>")
-M_COUNT_SCHEMA = "calls array<struct<items: array<struct<details_id: string>>, continued: boolean>>"
-_T_ITEM = "struct<call_time: string, receive_phone: string, call_type: string, trade_time: string>"
-T_CALLS_SCHEMA = (f"user_id string, create_time string, {TJ_ROOT} struct<data: struct<data_list: array<struct<"
-                  f"userdata: struct<phone: string>, teldata: array<struct<items: array<{_T_ITEM}>>>>>>>")
-T_BILLS_SCHEMA = (f"create_time string, {TJ_ROOT} struct<data: struct<data_list: array<struct<"
-                  f"userdata: struct<phone: string>, billdata: array<struct<pay_fee: string, month: string>>>>>>")
+    if paths is None:
+        return spark.read.parquet(path)
+    if path not in _schemas:  # a published collection never changes
+        _schemas[path] = spark.read.parquet(path).schema
+    full = _schemas[path]
+    staged = [n for n in full.fieldNames() if n.startswith((TIME_PREFIX, DAY_PREFIX))]
+    return spark.read.schema(narrow_schema(full, [*paths, *staged])).parquet(path)
+
+
+BUILDERS.update({"mx": mx_documents, "tj": tj_documents, "tj_shared": tj_shared_documents, "contacts": contacts,
+                 "real_names": real_names})
+
+# The paths that the pipelines use.
+M_CALLS_PATHS = ["mobile", "user_id", "create_time", "calls.items", "bills.bill_month", "bill_count"]
+M_BILLS_PATHS = ["mobile", "create_time", "bills.total_fee", "bills.bill_month"]
+M_COUNT_PATHS = ["calls.items.details_id", "calls.continued"]
+T_CALLS_PATHS = ["user_id", "create_time", f"{TJ_DATA_LIST}.userdata.phone",
+                 *(f"{TJ_DATA_LIST}.teldata.items.{f}" for f in ("call_time", "receive_phone", "call_type", "trade_time"))]
+T_BILLS_PATHS = ["create_time", *(f"{TJ_DATA_LIST}.{f}" for f in ("userdata.phone", "billdata.pay_fee", "billdata.month"))]

@@ -1,9 +1,9 @@
 """Independent DuckDB statements for the registered queries.
 
 They state each answer over the *flat* tables -- no nested documents, no
-shared code with the Spark side -- and follow the reference's literal route
-for period tagging: a token string per row, split, unnest, relabel, drop
-``'0'``.  Column names equal the Spark side's.
+shared code with the Spark side.  Period tagging is stated by its rules, one
+predicate a label; only the queries about tokens spell tokens.  Column names
+equal the Spark side's.
 """
 
 from __future__ import annotations
@@ -29,17 +29,18 @@ def _relabel(token: str, t: str, c: str) -> str:
             f"WHEN {token} IN ('30', '60', '90') THEN {token} ELSE '-1' END")
 
 
-def _fanout(src: str, time: str, create: str, cols: str) -> str:
-    """Rows of ``src`` times their labels, by the reference's token route."""
-    t = f"date_trunc('second', {time})"
-    c = f"date_trunc('second', {create})"
-    return f"""
-SELECT {cols}, type FROM (
-  SELECT *, {_relabel('__token', '__t', '__c')} AS type FROM (
-    SELECT *, unnest(string_split(__tokens, ',')) AS __token FROM (
-      SELECT *, {t} AS __t, {c} AS __c, {_tokens(t, c)} AS __tokens
-      FROM ({src}) __s WHERE {t} IS NOT NULL AND {c} IS NOT NULL) __a) __b) __c
-WHERE type <> '0'"""
+def _fanout(src: str, time: str, create: str, cols: str, periods: tuple[int, ...] = (30, 60, 90), horizon: int = 180,
+            keep_outside: bool = True) -> str:
+    """Rows of ``src`` once for each label whose rule they meet, over whole seconds."""
+    def inside(days: int) -> str:
+        return f"__c - INTERVAL {days} DAY < __t AND __t < __c"
+
+    rules = {str(d): inside(d) for d in periods}
+    rules["150"] = f"{inside(horizon)} AND date_trunc('month', __t) < __t AND __t < date_trunc('month', __c)"
+    if keep_outside:
+        rules["-1"] = f"NOT ({inside(horizon)})"
+    timed = f"SELECT *, date_trunc('second', {time}) AS __t, date_trunc('second', {create}) AS __c FROM ({src}) __s"
+    return "\nUNION ALL\n".join(f"SELECT {cols}, '{label}' AS type FROM ({timed}) __x WHERE {rule}" for label, rule in rules.items())
 
 
 _ORDERS_LAST = """
@@ -238,3 +239,81 @@ FROM ({_fanout(f"SELECT * FROM ({_M_CALLS_JSON}) c WHERE n_bills > 0 AND {_M_DAY
                "TRY_CAST(time AS TIMESTAMP)", "TRY_CAST(create_time AS TIMESTAMP)",
                "mobile, create_time, dial_type, time, peer_number, user_id, details_id, duration")}) f"""
 ORACLES["provider_t_calls_from_json"] = ORACLES["provider_t_calls"]
+
+# Kept up or stored by day, the same rows.
+ORACLES["provider_t_calls_maintained"] = ORACLES["provider_t_calls"]
+
+
+def _shared(sql: str) -> str:
+    """``sql`` over T documents of the customers of one key each: its latest customer's time, the key as user."""
+    keyed = f"SELECT o_custkey, max(create_time) OVER (PARTITION BY o_custkey // 4) AS create_time FROM ({_DOCS}) __d"
+    return sql.replace(f"({_DOCS})", f"({keyed})").replace("'U' || CAST(d.o_custkey AS VARCHAR)", "'H' || CAST(d.o_custkey // 4 AS VARCHAR)")
+
+
+for _name in ("unnest_three_level", "provider_t_calls", "provider_t_bills"):
+    ORACLES[f"{_name}_shared"] = _shared(ORACLES[_name]).replace("2000-01-01 00:00:00", "2001-07-01 00:00:00").replace("'19991231'", "'20010630'")
+ORACLES["provider_t_calls_shared_skewed"] = _shared(ORACLES["provider_t_calls_skewed"].replace(_skew(f"({_DOCS})"), f"({_DOCS})")).replace(
+    f"({_DOCS})", _skew(f"({_DOCS})"))
+
+_M_DAY_CLOSED = _M_DAY.replace(" > ", " >= ")
+ORACLES["provider_m_calls_left_closed"] = f"""
+SELECT DISTINCT mobile, create_time, dial_type, time, peer_number, user_id, details_id, duration, type,
+       '20010728' AS partition_time
+FROM ({_fanout(f"SELECT * FROM ({_M_CALLS}) c WHERE n_bills > 0 AND {_M_DAY_CLOSED}", "time", "create_time",
+               "mobile, create_time, dial_type, time, peer_number, user_id, details_id, duration", keep_outside=False)}) f"""
+ORACLES["period_fanout_orders_yearly"] = _fanout(_ORDERS_LAST, "o_orderdate", "create_time", _ORDERS_COLS, (7, 365), 730)
+ORACLES["yesterday_orders"] = """
+SELECT o_orderkey, o_orderdate, DATE '1998-06-01' AS yesterday FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-06-01'"""
+
+
+def _events_day(lo: str, hi: str) -> str:
+    return (f"SELECT event_id, user_id, ts, '{lo.replace('-', '')}' AS partition_time FROM events "
+            f"WHERE {_open_day('ts', lo + ' 00:00:00', hi + ' 00:00:00')}")
+
+
+ORACLES["load_catalog_partitions"] = "\nUNION ALL\n".join(
+    [_events_day("2024-01-13", "2024-01-14")] * 2 + [_events_day("2024-01-14", "2024-01-15")])
+ORACLES["refresh_catalog_table"] = ORACLES["real_name_refresh"]
+
+
+def _count(sql: str) -> str:
+    return f"(SELECT count(*) FROM ({sql}) __n)"
+
+
+def _report(rows: list[tuple[str, str, str, str, str]]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS target, CAST({sel} AS BIGINT) AS selected, CAST({bad} AS BIGINT) AS bad_time, "
+        f"CAST({out} AS BIGINT) AS written, CAST({kept} AS BIGINT) AS stored" for t, sel, bad, out, kept in rows)
+
+
+_NO_TIME = _count(f"SELECT 1 FROM ({_DOCS}) d WHERE create_time IS NULL")
+_M_DOCS_DAY = _count(f"SELECT 1 FROM ({_DOCS}) d WHERE {_M_DAY}")
+_M_CONTACTS = _count(f"SELECT 1 FROM events WHERE {_open_day('ts', '2001-07-28 00:00:00', '2001-07-29 00:00:00')}")
+_T_DOCS = _count(f"SELECT 1 FROM ({_DOCS}) d WHERE {_T_BEFORE.replace('TRY_CAST(create_time AS TIMESTAMP)', 'create_time')}")
+ORACLES["job_m_counts"] = _report([
+    ("contacts", _M_CONTACTS, _count("SELECT 1 FROM events WHERE ts IS NULL"), _M_CONTACTS, _M_CONTACTS),
+    ("real_names", "NULL", "NULL", _count("SELECT 1 FROM customer"), _count("SELECT 1 FROM customer")),
+    ("bills", _M_DOCS_DAY, _NO_TIME, _count(ORACLES["provider_m_bills"]), _count(ORACLES["provider_m_bills"])),
+    ("calls", _M_DOCS_DAY, _NO_TIME, _count(ORACLES["provider_m_calls"]), _count(ORACLES["provider_m_calls"]))])
+ORACLES["job_t_counts"] = _report([
+    (t, _T_DOCS, _NO_TIME, _count(ORACLES[f"provider_t_{t}"]), f"2 * {_count(ORACLES[f'provider_t_{t}'])}") for t in ("bills", "calls")])
+
+_BY_YEAR = "SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS VARCHAR) AS year FROM orders"
+ORACLES["update_touched"] = f"""
+SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 10 = 0 AND year < '1997' THEN -1.0 ELSE o_totalprice END AS o_totalprice, year
+FROM ({_BY_YEAR}) t"""
+ORACLES["delete_touched"] = f"SELECT * FROM ({_BY_YEAR}) t WHERE NOT (year = '1995' AND o_totalprice > 100000 OR year = '1996')"
+ORACLES["replace_touched"] = f"""
+SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 10 = 3 AND year = '1994' THEN 0.0 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_custkey % 10 = 3 AND year = '1994' THEN '1995' ELSE year END AS year
+FROM ({_BY_YEAR}) t"""
+_MISFITS = [("k % 29 = 0", "+added"), ("k % 17 = 0 AND k % 13 <> 0", "+parts[].note"), ("k % 19 = 0", "+place.city"),
+            ("k % 7 = 0 OR k % 11 = 0", "customer"), ("k % 13 = 0", "parts"), ("k % 17 = 0 AND k % 13 <> 0", "parts[].qty"),
+            ("k % 23 = 0 AND k % 19 <> 0", "place")]
+ORACLES["rescued_values"] = f"""
+SELECT k AS o_orderkey,
+       CASE WHEN k % 31 = 0 OR k % 7 = 0 OR k % 11 = 0 THEN NULL ELSE CAST(o_custkey AS INTEGER) END AS customer,
+       CASE WHEN k % 31 = 0 OR k % 13 = 0 OR k % 17 = 0 THEN NULL ELSE CAST(2.5 AS DOUBLE) END AS qty,
+       CASE WHEN k % 31 <> 0 AND k % 19 = 0 THEN 5 END AS nation,
+       CASE WHEN k % 31 = 0 THEN '$' ELSE concat_ws(' ', {", ".join(f"CASE WHEN {rule} THEN '{path}' END" for rule, path in _MISFITS)}) END AS misfits
+FROM (SELECT o_orderkey AS k, o_custkey FROM orders) o"""

@@ -8,12 +8,15 @@ them); the run dates below are parameters of the daily jobs, not row caps.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from nestflow.functions.clock import RunClock
+from nestflow.functions.clock import RunClock, ntz_literal, yesterday
 from nestflow.functions.periods import day_divide, period_fanout, time_parse
 from nestflow.functions.scalars import instant_of_utc, to_int, wall_clock, zero_if_null
 from nestflow.operators.filters import before, drop_label, in_day
@@ -28,14 +31,21 @@ from nestflow.operators.tables import (
 )
 from nestflow.plans import documents as D
 from nestflow.plans import datasets as P
+from nestflow.plans.jobs import provider_m_job, provider_t_job
 from nestflow.sources.collections import parse_json_column, read_collection, with_views, write_collection
-from nestflow.sources.sinks import load_partition, refresh_table, scratch_path
+from nestflow.sources.mutations import delete_touched, read_partitioned, replace_touched, update_touched
+from nestflow.sources.rescue import RESCUED_COL, parse_json_rescued
+from nestflow.sources.sinks import in_database, load_partition, refresh_table, scratch_path
+from nestflow.sources.snapshots import Snapshot
 
 # Run parameters of the registered daily jobs.
 EVENTS_CLOCK = RunClock.of("2024-01-15")      # increment = 2024-01-14
 M_CLOCK = RunClock.of("2001-07-29")           # increment = 2001-07-28
 T_CLOCK = RunClock.of("2000-01-01")           # snapshot of documents before 2000
 SKEW_CLOCK = RunClock.of("2001-08-03")        # snapshot that has the hot customer's document
+MAINTAINED_CLOCKS = [RunClock.of(d) for d in ("1999-12-20", "1999-12-31", "2000-01-01")]  # three runs of a kept-up snapshot
+SHARED_CLOCK = RunClock.of("2001-07-01")      # snapshot that has documents of several phones
+YESTERDAY_CLOCK = RunClock.of("1998-06-02")
 MIDNIGHT_CLOCK = RunClock.of("1998-10-04")    # the day 1998-10-03
 EVENTS_CREATE = "2024-02-15 00:00:00"         # creation time for tagging events
 
@@ -93,14 +103,12 @@ def q_time_parse_labels(spark, sf):
                       time_parse("token", "create_time", "o_orderdate").alias("label"))
 
 
-def _mx(spark, sf, schema=D.M_CALLS_SCHEMA):
-    return D.stored_collection(spark, sf, "mx", schema)
+def _mx(spark, sf, paths=D.M_CALLS_PATHS, kind="mx"):
+    return D.stored_collection(spark, sf, kind, paths)
 
 
-def _tj(spark, sf, schema=D.T_CALLS_SCHEMA):
-    """The stored T collection; its text times are written canonical
-    (``yyyy-MM-dd HH:mm:ss``), so T selections may say ``canonical_text``."""
-    return D.stored_collection(spark, sf, "tj", schema)
+def _tj(spark, sf, paths=D.T_CALLS_PATHS, kind="tj"):
+    return D.stored_collection(spark, sf, kind, paths)
 
 
 def q_unnest_calls(spark, sf):
@@ -182,7 +190,7 @@ def q_legacy_sql_call_record(spark, sf):
 
 
 def q_bills_int_fee(spark, sf):
-    items = unnest_path(_tj(spark, sf, D.T_BILLS_SCHEMA), [D.TJ_DATA_LIST, "billdata"], keep=["create_time"],
+    items = unnest_path(_tj(spark, sf, D.T_BILLS_PATHS), [D.TJ_DATA_LIST, "billdata"], keep=["create_time"],
                         carry={0: {"mobile": "userdata.phone"}}, alias="item")
     return items.select("mobile", "create_time",
                         zero_if_null(to_int("item.pay_fee")).alias("total_fee"),
@@ -195,7 +203,7 @@ def q_split_explode(spark, sf):
 
 
 def q_nested_group_count(spark, sf):
-    return _group_and_call_counts(_mx(spark, sf, D.M_COUNT_SCHEMA))
+    return _group_and_call_counts(_mx(spark, sf, D.M_COUNT_PATHS))
 
 
 def _group_and_call_counts(docs: DataFrame) -> DataFrame:
@@ -243,9 +251,9 @@ def q_daily_increment_wrapped(spark, sf):
 def q_midnight_loss(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     day = in_day(o, "o_orderdate", MIDNIGHT_CLOCK, bounds="left_closed")
-    run = in_day(o, "o_orderdate", MIDNIGHT_CLOCK).select("o_orderkey", F.lit(True).alias("in_open"))
-    return (day.join(run, "o_orderkey", "left")
-            .select("o_orderkey", "o_orderdate", F.coalesce("in_open", F.lit(False)).alias("in_open")))
+    # Of the closed day, the open one lacks the whole second of midnight only.
+    later = F.col("o_orderdate") >= ntz_literal(MIDNIGHT_CLOCK.yesterday_start + dt.timedelta(seconds=1))
+    return day.select("o_orderkey", "o_orderdate", later.alias("in_open"))
 
 
 def q_partition_tagged(spark, sf):
@@ -254,41 +262,83 @@ def q_partition_tagged(spark, sf):
 
 
 def q_provider_t_calls(spark, sf):
-    return P.provider_t_calls(_tj(spark, sf), T_CLOCK, canonical_text=True)
+    return P.provider_t_calls(_tj(spark, sf), T_CLOCK)
 
 
 def q_provider_t_calls_increment(spark, sf):
-    return P.provider_t_calls(_tj(spark, sf), M_CLOCK, selection="increment", canonical_text=True)
+    return P.provider_t_calls(_tj(spark, sf, kind="tj_by_day"), M_CLOCK, selection="increment")
 
 
 def q_provider_t_calls_from_json(spark, sf):
     """J1 on the three-level T collection exported as JSON lines, read with a
-    schema sampled from 10,000 documents (its times and fees are text
+    schema inferred from all documents (its times and fees are text
     already, so the rows equal J1's)."""
     path = D.stage_collection(spark, sf, "tj_json")
     docs = read_collection(spark, path, fmt="json")
-    return P.provider_t_calls(docs, T_CLOCK, canonical_text=True)
+    return P.provider_t_calls(docs, T_CLOCK)
 
 
 def q_provider_t_bills(spark, sf):
-    return P.provider_t_bills(_tj(spark, sf, D.T_BILLS_SCHEMA), T_CLOCK, canonical_text=True)
+    return P.provider_t_bills(_tj(spark, sf, D.T_BILLS_PATHS), T_CLOCK)
 
 
 def q_provider_m_calls(spark, sf):
-    return P.provider_m_calls(_mx(spark, sf), M_CLOCK)
+    return P.provider_m_calls(_mx(spark, sf, kind="mx_by_day"), M_CLOCK)
 
 
 def q_provider_m_calls_from_json(spark, sf):
-    """J3 on the M collection exported as JSON lines and read the way the
-    reference reads its store: schema inferred from a 10,000-document
-    sample (times arrive as text, numbers as longs)."""
+    """J3 on the M collection exported as JSON lines, its schema inferred
+    from all documents (times arrive as text, numbers as longs)."""
     path = D.stage_collection(spark, sf, "mx_json")
     docs = read_collection(spark, path, fmt="json")
     return P.provider_m_calls(docs, M_CLOCK)
 
 
 def q_provider_m_bills(spark, sf):
-    return P.provider_m_bills(_mx(spark, sf, D.M_BILLS_SCHEMA), M_CLOCK)
+    return P.provider_m_bills(_mx(spark, sf, D.M_BILLS_PATHS, "mx_by_day"), M_CLOCK)
+
+
+def q_provider_t_calls_maintained(spark, sf):
+    """J1 kept up over three runs: all history once, then two days that are
+    added; equal to the full reload of the last day."""
+    rows = ", ".join(f"{c} {'int' if c == 'duration' else 'string'}" for c in P.T_CALL_COLUMNS)
+    snapshot = Snapshot(spark, scratch_path(spark, "t_calls_snapshot"), rows)
+    for clock in MAINTAINED_CLOCKS:
+        snapshot.advance(_tj(spark, sf, kind="tj_by_day"), lambda docs, clock=clock: P.t_call_records(docs, clock), clock)
+    return snapshot.read(MAINTAINED_CLOCKS[-1])
+
+
+def q_unnest_three_level_shared(spark, sf):
+    return P.t_calls_flat(_tj(spark, sf, kind="tj_shared"))
+
+
+def q_provider_t_calls_shared(spark, sf):
+    return P.provider_t_calls(_tj(spark, sf, kind="tj_shared"), SHARED_CLOCK)
+
+
+def q_provider_t_bills_shared(spark, sf):
+    return P.provider_t_bills(_tj(spark, sf, D.T_BILLS_PATHS, "tj_shared"), SHARED_CLOCK)
+
+
+def q_provider_t_calls_shared_skewed(spark, sf):
+    return P.provider_t_calls(_skewed(spark, sf, D.tj_shared_documents), SKEW_CLOCK)
+
+
+def q_provider_m_calls_left_closed(spark, sf):
+    """J3 with its other options: midnight belongs to its day, and calls outside every period go."""
+    return P.provider_m_calls(_mx(spark, sf, kind="mx_by_day"), M_CLOCK, bounds="left_closed", keep_outside=False)
+
+
+def q_period_fanout_orders_yearly(spark, sf):
+    """N11 with other periods: 7 and 365 days inside a horizon of 730."""
+    return period_fanout(_orders_with_last(spark, sf), "o_orderdate", "create_time", periods=(7, 365), horizon=730).select(
+        "o_custkey", "o_orderkey", "o_orderdate", "create_time", "type")
+
+
+def q_yesterday_orders(spark, sf):
+    """Orders of the clock's yesterday, with that day."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderdate", yesterday(YESTERDAY_CLOCK).alias("yesterday"))
+    return o.filter(F.col("o_orderdate").cast("date") == F.col("yesterday"))
 
 
 def q_contacts_increment(spark, sf):
@@ -320,7 +370,7 @@ def q_real_name_refresh(spark, sf):
 
 
 def q_nested_count(spark, sf):
-    return P.nested_count(_mx(spark, sf, D.M_COUNT_SCHEMA))
+    return P.nested_count(_mx(spark, sf, D.M_COUNT_PATHS))
 
 
 def _customers(spark, sf):
@@ -389,6 +439,146 @@ def q_load_append_twice(spark, sf):
     return _read_partitions(spark, target)
 
 
+def _database(spark: SparkSession) -> str:
+    """A new database whose tables lie in this application's part of the shared folder."""
+    import uuid
+
+    name = f"nestflow_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
+    return name
+
+
+def _events_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"CREATE TABLE {name} (ts TIMESTAMP_NTZ, user_id BIGINT, event_id BIGINT, partition_time STRING) "
+              "USING parquet PARTITIONED BY (partition_time)")
+
+
+def q_load_catalog_partitions(spark, sf):
+    """Daily loads into a catalog table, found in the current
+    database, columns put in its order by name.  The increment of one
+    day is appended twice, another day's replaced by itself, and a third
+    day's emptied by a run that finds nothing."""
+    name = _database(spark)
+    days = [RunClock.of(d) for d in ("2024-01-14", "2024-01-15", "2024-01-16")]
+    with in_database(spark, name):
+        _events_table(spark, "events_by_day")
+        inc = [in_day(_t(spark, sf, "events"), "ts", c).select("event_id", "user_id", "ts") for c in days]
+        for k, mode in ((0, "append"), (0, "append"), (1, "append"), (1, "overwrite"), (2, "append")):
+            load_partition(inc[k], "events_by_day", days[k].partition_value, mode=mode)
+        load_partition(inc[2].filter("event_id IS NULL"), "events_by_day", days[2].partition_value, mode="overwrite")
+    return spark.table(f"{name}.events_by_day").select("event_id", "user_id", "ts", "partition_time")
+
+
+def q_refresh_catalog_table(spark, sf):
+    """A catalog table replaced as a whole, twice, by rows in another column order."""
+    name = _database(spark)
+    with in_database(spark, name):
+        spark.sql("CREATE TABLE real_name (userId STRING, phone STRING) USING parquet")
+        refresh_table(_customers(spark, sf).select(F.col("c_name").alias("userId"), F.lit("old").alias("phone")), "real_name")
+        refresh_table(P.real_name_refresh(D.real_names(spark, sf)), "real_name")
+    return spark.table(f"{name}.real_name").select(*P.REAL_NAME_COLUMNS)
+
+
+def _job_report(spark, targets: dict[str, str], counts: dict[str, dict[str, int]]) -> DataFrame:
+    """What a job counted on its way, with the rows that its target has; one row a target."""
+    seen = spark.createDataFrame([(k, v.get("selected"), v.get("bad_time"), v["written"]) for k, v in counts.items()],
+                                 "target string, selected long, bad_time long, written long")
+    stored = [spark.table(t).agg(F.count(F.lit(1)).alias("stored")).select(F.lit(k).alias("target"), "stored") for k, t in targets.items()]
+    return seen.join(reduce(DataFrame.unionByName, stored), "target")
+
+
+def _job_targets(spark, names: dict[str, str]) -> dict[str, str]:
+    """Catalog tables for a job's targets, named by their columns and partitioned by the run."""
+    database = _database(spark)
+    for target, columns in names.items():
+        part = "" if target == "real_names" else ", partition_time STRING) USING parquet PARTITIONED BY (partition_time"
+        spark.sql(f"CREATE TABLE {database}.{target} ({columns}{part or ') USING parquet'}" + (")" if part else ""))
+    return {target: f"{database}.{target}" for target in names}
+
+
+def q_job_m_counts(spark, sf):
+    """The daily M job into catalog tables; run twice, the second time replacing the day."""
+    targets = _job_targets(spark, {
+        "contacts": "userId STRING, phone STRING", "real_names": "phone STRING, userId STRING",
+        "bills": "mobile STRING, create_time TIMESTAMP_NTZ, total_fee INT, bill_month STRING",
+        "calls": "mobile STRING, create_time TIMESTAMP_NTZ, dial_type STRING, time TIMESTAMP_NTZ, peer_number STRING, "
+                 "user_id STRING, details_id STRING, duration INT, type STRING"})
+    docs = _mx(spark, sf, [*D.M_CALLS_PATHS, "bills.total_fee"], "mx_by_day")
+    for _ in range(2):
+        counts = provider_m_job(docs, D.contacts(spark, sf), D.real_names(spark, sf), M_CLOCK, targets, mode="overwrite")
+    return _job_report(spark, targets, counts)
+
+
+def q_job_t_counts(spark, sf):
+    """The T job into catalog tables, its snapshot appended twice."""
+    targets = _job_targets(spark, {
+        "bills": "mobile STRING, create_time STRING, total_fee INT, bill_month STRING",
+        "calls": "mobile STRING, create_time STRING, dial_type STRING, time STRING, peer_number STRING, user_id STRING, duration INT, type STRING"})
+    docs = _tj(spark, sf, [*D.T_CALLS_PATHS, *D.T_BILLS_PATHS])
+    for _ in range(2):
+        counts = provider_t_job(docs, T_CLOCK, targets)
+    return _job_report(spark, targets, counts)
+
+
+def _orders_by_year(spark, sf, name: str) -> str:
+    path = scratch_path(spark, name)
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    o.write.partitionBy("year").parquet(path)
+    return path
+
+
+def q_update_touched(spark, sf):
+    """M3 on a stored table: prices of the orders of one customer in ten set, in the years that have such orders."""
+    path = _orders_by_year(spark, sf, "orders_updated")
+    changes = (_t(spark, sf, "orders").filter("o_custkey % 10 = 0 AND year(o_orderdate) < 1997")
+               .select("o_orderkey", F.lit(-1.0).cast("double").alias("o_totalprice")))
+    update_touched(spark, path, changes, ["o_orderkey"], part_col="year")
+    return read_partitioned(spark, path, "year")
+
+
+def q_delete_touched(spark, sf):
+    """M1 on a stored table: one year's large orders deleted, another year left without rows."""
+    path = _orders_by_year(spark, sf, "orders_deleted")
+    delete_touched(spark, path, F.expr("year = '1995' AND o_totalprice > 100000 OR year = '1996'"), part_col="year")
+    return read_partitioned(spark, path, "year")
+
+
+def q_replace_touched(spark, sf):
+    """M4 on a stored table: some orders replaced, and moved to the next year."""
+    path = _orders_by_year(spark, sf, "orders_replaced")
+    moved = (_t(spark, sf, "orders").filter("o_custkey % 10 = 3 AND year(o_orderdate) = 1994")
+             .select("o_orderkey", "o_custkey", F.lit(0.0).cast("double").alias("o_totalprice"), F.lit("1995").alias("year")))
+    replace_touched(spark, path, moved, ["o_orderkey"], part_col="year")
+    return read_partitioned(spark, path, "year")
+
+
+#: The given schema of ``q_rescued_values``; the lines do not always fit it.
+RESCUE_SCHEMA = "id long, customer int, parts array<struct<line: int, qty: double>>, place struct<nation: int>"
+
+
+def _uneven_lines(spark, sf) -> DataFrame:
+    """Orders as JSON lines, with late fields, widened numbers, text for numbers, wrong shapes and cut lines."""
+    key = F.col("o_orderkey")
+    text = F.concat(
+        F.lit('{"id":'), key.cast("string"), F.lit(',"customer":'),
+        F.when(key % 7 == 0, F.lit('"n/a"')).when(key % 11 == 0, F.lit("3000000000")).otherwise(F.col("o_custkey").cast("string")),
+        F.lit(',"parts":'),
+        F.when(key % 13 == 0, F.lit('{"line":1}')).when(key % 17 == 0, F.lit('[{"line":1,"qty":"many"},{"line":2,"qty":3,"note":"x"}]'))
+        .otherwise(F.lit('[{"line":1,"qty":2.5}]')),
+        F.when(key % 19 == 0, F.lit(',"place":{"nation":5,"city":"x"}')).when(key % 23 == 0, F.lit(',"place":[1]')).otherwise(F.lit(',"place":null')),
+        F.when(key % 29 == 0, F.lit(',"added":true')).otherwise(F.lit("")),
+        F.when(key % 31 == 0, F.lit("")).otherwise(F.lit("}")))
+    return _t(spark, sf, "orders").select("o_orderkey", text.alias("line"))
+
+
+def q_rescued_values(spark, sf):
+    """S1 with a given schema: what fits of every order line, and all paths that do not."""
+    schema = T.StructType.fromDDL(RESCUE_SCHEMA)
+    found = parse_json_rescued(_uneven_lines(spark, sf), "line", schema)
+    return found.select("o_orderkey", "customer", F.try_element_at("parts", F.lit(1))["qty"].alias("qty"),
+                        F.col("place.nation").alias("nation"), F.array_join(RESCUED_COL, " ").alias("misfits"))
+
+
 def q_collection_roundtrip(spark, sf):
     target = scratch_path(spark, "customer_collection")
     write_collection(_customers(spark, sf).select("c_custkey", "c_name", "c_acctbal"), target,
@@ -443,4 +633,20 @@ QUERIES: dict[str, QueryFn] = {
     "load_partition_roundtrip": q_load_partition_roundtrip,
     "load_append_twice": q_load_append_twice,
     "collection_roundtrip": q_collection_roundtrip,
+    "provider_t_calls_maintained": q_provider_t_calls_maintained,
+    "unnest_three_level_shared": q_unnest_three_level_shared,
+    "provider_t_calls_shared": q_provider_t_calls_shared,
+    "provider_t_bills_shared": q_provider_t_bills_shared,
+    "provider_t_calls_shared_skewed": q_provider_t_calls_shared_skewed,
+    "provider_m_calls_left_closed": q_provider_m_calls_left_closed,
+    "period_fanout_orders_yearly": q_period_fanout_orders_yearly,
+    "yesterday_orders": q_yesterday_orders,
+    "load_catalog_partitions": q_load_catalog_partitions,
+    "refresh_catalog_table": q_refresh_catalog_table,
+    "job_m_counts": q_job_m_counts,
+    "job_t_counts": q_job_t_counts,
+    "update_touched": q_update_touched,
+    "delete_touched": q_delete_touched,
+    "replace_touched": q_replace_touched,
+    "rescued_values": q_rescued_values,
 }

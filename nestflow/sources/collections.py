@@ -1,12 +1,13 @@
 """Document collections.
 
-A collection is read with a schema that is either given or inferred from a
-bounded sample of its documents (the reference sampled 10,000).  Inference
-is a Spark job over the sampled rows only; the full scan then runs once with
-the fixed schema, so every executor applies the same types.  A field that
-never appears in the sample is not in the schema -- pass ``schema=`` (ideally
-a *narrow* nested schema with only the fields a job uses, which is also what
-lets Parquet skip the rest of a deeply nested record).
+A collection is read with a schema that is either given or inferred, from
+all its documents unless a number is given.  Inference is a Spark job of its
+own; the full scan then runs once with the fixed schema, so every executor
+applies the same types.  With ``sample_size``, a field that only later documents
+have is not in the schema.  A given schema is ideally *narrow*
+(:func:`nestflow.sources.schemas.narrow_schema`), which is also what lets
+Parquet skip the rest of a deeply nested record; what does not fit a given schema is
+reported by :mod:`nestflow.sources.rescue`.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nestflow.functions.clock import DEFAULT_TZ
+from nestflow.operators.filters import DAY_PREFIX, stored_time, with_stored_time
+from nestflow.sources.sinks import in_setting
+
 # Documents that a schema is inferred from: None is all of them, in parallel.
 # With a number, fields that only later documents have are not in the schema.
 DEFAULT_SAMPLE: int | None = None
@@ -49,8 +54,8 @@ def infer_json_schema(df: DataFrame, col: str | Column, sample_size: int | None
 
 def parse_json_column(df: DataFrame, col: str, schema: T.StructType | None = None,
                       sample_size: int | None = DEFAULT_SAMPLE, keep: list[str] | None = None) -> DataFrame:
-    """JSON text column -> its fields as columns, typed by ``schema`` or by a
-    sampled inference.  Bad JSON gives NULL fields (never an error)."""
+    """JSON text column -> its fields as columns, typed by ``schema`` or by
+    inference.  Bad JSON gives NULL fields (never an error)."""
     schema = schema or infer_json_schema(df, col, sample_size)
     keep = [c for c in df.columns if c != col] if keep is None else keep
     parsed = F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"}).alias("__doc")
@@ -86,6 +91,25 @@ def write_collection(df: DataFrame, path: str, fmt: str = "json", mode: str = "a
     df.write.format(fmt).mode(mode).options(**dict(options or {})).save(path)
 
 
+def write_by_day(df: DataFrame, path: str, ts_col: str, tz: str = DEFAULT_TZ, mode: str = "append",
+                 max_records_per_file: int | None = None) -> None:
+    """S3 for daily runs: save documents as Parquet, partitioned by the day of ``ts_col``.
+
+    Documents of one day are brought together (a very large day is split) and
+    sorted by time; documents without a valid time have a partition of their own.
+    ``select_run`` then reads a run's days only.  Opening a file per day is the
+    work here, so tasks are not put together however small they are.
+    """
+    staged = with_stored_time(df, ts_col, tz)
+    day = DAY_PREFIX + ts_col
+    dealt = staged.hint("rebalance", day).sortWithinPartitions(day, stored_time(staged, ts_col))
+    writer = dealt.write.mode(mode).partitionBy(day)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+    with in_setting(df.sparkSession, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        writer.parquet(path)
+
+
 @contextmanager
 def with_views(spark: SparkSession, views: Mapping[str, DataFrame]) -> Iterator[None]:
     """Name intermediate relations for SQL callers; dropped on exit.

@@ -2,7 +2,7 @@
 
 Targets are either catalog tables (written with ``insertInto`` after the
 columns are put in the table's order *by name*) or Parquet paths.  The
-daily load offers the reference's ``append`` (a re-run duplicates rows) and
+daily load offers ``append`` (a re-run duplicates rows) and
 an idempotent ``overwrite`` that replaces only the partition being written,
 also when the day has become empty, so a retried or re-run day is safe.
 """
@@ -13,7 +13,7 @@ import atexit
 import contextlib
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,6 +148,28 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
+@contextlib.contextmanager
+def in_database(spark: SparkSession, name: str) -> Iterator[None]:
+    """S6 for a while: ``name`` is the current database, and the earlier one again afterwards."""
+    earlier = spark.catalog.currentDatabase()
+    use_database(spark, name)
+    try:
+        yield
+    finally:
+        use_database(spark, earlier)
+
+
+@contextlib.contextmanager
+def in_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of one action."""
+    earlier = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if earlier is None else spark.conf.set(key, earlier)
+
+
 def show_result(df: DataFrame, n: int = 20) -> None:
     """Print the first ``n`` rows untruncated (a console report)."""
     df.show(n, truncate=False)

@@ -21,7 +21,7 @@ def test_stage_is_idempotent_and_keyed(spark):
 
 def test_stored_equals_built(spark):
     built = P.m_calls_flat(D.mx_documents(spark, SF))
-    stored = P.m_calls_flat(D.stored_collection(spark, SF, "mx", D.M_CALLS_SCHEMA))
+    stored = P.m_calls_flat(D.stored_collection(spark, SF, "mx", D.M_CALLS_PATHS))
     assert built.exceptAll(stored).count() == 0 and stored.exceptAll(built).count() == 0
 
 
@@ -31,20 +31,20 @@ def test_fresh_path_staging(spark):
 
 
 def test_daily_filter_and_narrow_schema_reach_scan(spark):
-    docs = D.stored_collection(spark, SF, "mx", D.M_CALLS_SCHEMA)
+    docs = D.stored_collection(spark, SF, "mx", D.M_CALLS_PATHS)
     plan = _plan(P.provider_m_calls(docs, M_CLOCK))
     assert "PushedFilters: [IsNotNull(create_time), GreaterThanOrEqual(create_time" in plan
     # The gate reads the carried count and no bill at all.
     assert "bill_count:bigint" in plan and "bills:array" not in plan
     assert plan.count("Exchange (") == 1  # only the DISTINCT shuffles
-    count_plan = _plan(P.nested_count(D.stored_collection(spark, SF, "mx", D.M_COUNT_SCHEMA)))
+    count_plan = _plan(P.nested_count(D.stored_collection(spark, SF, "mx", D.M_COUNT_PATHS)))
     assert "ReadSchema: struct<calls:array<struct<items:array<struct<details_id:string>>,continued:boolean>>>" in count_plan
 
 
 def test_provider_t_calls_plan(spark):
     from nestflow.plans.queries import T_CLOCK
 
-    docs = D.stored_collection(spark, SF, "tj", D.T_CALLS_SCHEMA)
+    docs = D.stored_collection(spark, SF, "tj", D.T_CALLS_PATHS)
     plan = _plan(P.provider_t_calls(docs, T_CLOCK))
     assert plan.count("Exchange (") == 1
     assert "billdata" not in plan.split("ReadSchema:")[1].split("\n")[0]

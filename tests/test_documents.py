@@ -13,7 +13,7 @@ def test_hot_key_detection(spark):
     li = D.table(spark, SF, "lineitem").select("l_orderkey")
     assert not find_hot_keys(li, ["l_orderkey"], 1024).any
     hot = find_hot_keys(li, ["l_orderkey"], 2)
-    assert hot.any and hot.small and hot.table.count() > 0
+    assert hot.any and hot.table.count() > 0
 
 
 def test_chunked_documents_same_rows(spark):
@@ -38,17 +38,15 @@ def test_t_documents_shape(spark):
     assert r.e.userdata.phone is not None
 
 
-def test_hot_keys_beyond_broadcast_limit_use_shuffle_join(spark, monkeypatch):
-    from nestflow.plans import assemble
-
-    monkeypatch.setattr(assemble, "HOT_KEY_BROADCAST_LIMIT", 0)
-    li = D.table(spark, SF, "lineitem").select("l_orderkey")
-    hot = assemble.find_hot_keys(li, ["l_orderkey"], 2)
-    assert hot.any and not hot.small
-    split = D.mx_documents(spark, SF, max_elements=2)
+def test_hot_keys_too_large_to_broadcast_use_shuffle_join(spark):
     a = P.m_calls_flat(D.mx_documents(spark, SF))
-    b = P.m_calls_flat(split)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    earlier = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = P.m_calls_flat(D.mx_documents(spark, SF, max_elements=2))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", earlier)
 
 
 def test_skewed_documents_are_split(spark):

@@ -49,6 +49,7 @@ def test_retried_batch_is_not_duplicated(spark):
 def test_incremental_nested_documents_match_batch(spark):
     from nestflow.plans import documents as D
     from nestflow.plans.queries import M_CLOCK
+    from nestflow.sources.schemas import narrow_schema
 
     sf = "/root/testdata/sf0.001"
     base = scratch_path(spark, "stream-m")
@@ -56,8 +57,7 @@ def test_incremental_nested_documents_match_batch(spark):
     docs = D.mx_documents(spark, sf)
     docs.write.json(landing)  # documents arrive as JSON lines
     pipeline = lambda df: P.provider_m_calls(df, M_CLOCK)
-    run_incremental(spark, landing, D.M_CALLS_SCHEMA.replace(", bills array<struct<bill_month: string>>",
-                                                             ", bills array<struct<total_fee: int, bill_month: string>>"),
+    run_incremental(spark, landing, narrow_schema(docs.schema, D.M_CALLS_PATHS),
                     pipeline, target, f"{base}/ckpt")
     streamed = spark.read.parquet(target).drop("partition_time", "__batch")
     batch = P.provider_m_calls(docs, M_CLOCK).drop("partition_time")
