@@ -2,9 +2,9 @@
 
 A BPE tokenizer first splits a text into pieces and then encodes each piece
 by itself, so a piece's ids can be kept and used again.  Texts in scripts
-whose splitting is certain to agree are split here, new pieces are encoded
-by the library, many in one call, and known pieces are looked up.  Any other
-text goes to the library whole.  Both ways give the same ids.
+whose splitting is certain to agree are split here; the library's model encodes
+a new piece, known ones are looked up.  Any other text goes to the library whole.
+Both ways give the same ids.
 
 Special tokens' strings inside a text are ordinary text.  A null text is
 empty.
@@ -30,9 +30,8 @@ WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPLIT_WORD_LEVEL = rf"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+"
 
 #: Pieces kept by a worker process in each of two generations; pieces not met in one are forgotten.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 1_000_000
 LONGEST_KEPT = 64
-GROUP = 4096
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -54,59 +53,46 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             pattern, self.lower = _splitting(json.load(f))
         self.split = re.compile(pattern).findall if pattern else None
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        model = self.tokenizer.model.tokenize
+        self.pieces = _Kept(lambda piece: np.array([t.id for t in model(piece.encode("utf-8").decode("latin-1").translate(_BYTES))], "<u4").tobytes())
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Of each text its ids as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
-        start, size = 0, 0
-        for k, text in enumerate(texts):
-            size += len(text or "")
-            if size > 1 << 20 or k == len(texts) - 1:
-                out += self._group(texts[start:k + 1])
-                start, size = k + 1, 0
-        return out
-
-    def _group(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [self._pieces(text) for text in texts]
-        if len(self.kept) > KEPT_PIECES:
-            self.older, self.kept = self.kept, {}
-        known, older = self.kept, self.older
-        unknown = dict.fromkeys(p for found in pieces if found for p in found if p not in known)
-        known.update((p, older[p]) for p in unknown if p in older)
-        new = [p for p in unknown if p not in older]
-        known.update(zip(new, self._encode_pieces(new)))
-        out = []
-        for text, found in zip(texts, pieces):
-            if found is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, dtype="<u4").tobytes())
-            else:
-                out.append(b"".join([known[p] for p in found]))
-        for p in new:
-            if len(p) > LONGEST_KEPT:
-                del known[p]
-        return out
-
-    def _pieces(self, text: str | None) -> list[str] | None:
-        if not text:
-            return []
+        return [self._ids(text) if text else b"" for text in texts]
+
+    def _ids(self, text: str) -> bytes:
         if self.split is None or _UNSURE.search(text):
-            return None
-        return self.split(text.lower() if self.lower else text)
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(pieces), GROUP):
-            group = pieces[at:at + GROUP]
-            coded = self.tokenizer.encode(group, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(coded.ids, dtype="<u4").tobytes()
-            owner = np.array(coded.word_ids, dtype=np.int64)
-            ends = 4 * np.searchsorted(owner, np.arange(len(group) + 1))
-            out += [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        return out
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return b"".join(map(self.pieces.__getitem__, self.split(text.lower() if self.lower else text)))
+
+
+class _Kept(dict):
+    """Values that are made at first use; two generations of at most ``KEPT_PIECES`` are kept."""
+
+    def __init__(self, make) -> None:
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        own = self.older.get(key)
+        if own is None:
+            own = self.make(key)
+        if len(key) <= LONGEST_KEPT:
+            if len(self) >= KEPT_PIECES:
+                self.older = dict(self)
+                self.clear()
+            self[key] = own
+        return own
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character by which byte-level BPE writes each byte: printable ones themselves, the others from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {**{b: chr(b) for b in printable}, **{b: chr(0x100 + k) for k, b in enumerate(others)}}
+
+
+_BYTES = _byte_characters()
 
 
 def _splitting(described: dict) -> tuple[str | None, bool]:
