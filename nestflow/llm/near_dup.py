@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.common import batches, in_arrow, partitions, saved
+from nestflow.llm.common import batches, in_arrow, partitions, saved, unused
 from nestflow.llm.components import components
 from nestflow.llm.decontaminate import words_of
 
@@ -398,5 +398,6 @@ def classes(docs: DataFrame, width: int = SHINGLE, threshold: float = SIMILARITY
 def one_of_each(docs: DataFrame, width: int = SHINGLE, threshold: float = SIMILARITY) -> DataFrame:
     """``docs`` with only the first row of each class (all columns, as they were)."""
     found = classes(docs, width, threshold)
-    kept = found.where("row = class_row").select(F.col("row").alias("__row"))
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(kept, "__row", "left_semi").drop("__row")
+    row = unused("__row", docs.columns)
+    kept = found.where("row = class_row").select(F.col("row").alias(row))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(kept, row, "left_semi").select(docs.columns)
