@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestflow.llm.common import in_arrow, saved
+from nestflow.llm.common import in_arrow, saved, unused
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -248,10 +248,11 @@ def clean_only(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFr
     ``docs`` is read twice and must give the same rows in the same partitions
     each time, as the scan of a table does.
     """
-    placed = docs.withColumn("__row", F.monotonically_increasing_id())
-    found = find_items(placed.select(F.col("__row").alias("doc_id"), "text"), items, width)
-    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("__row"))
-    return placed.join(hit, "__row", "left_anti").drop("__row")
+    row = unused("__row", docs.columns)
+    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    found = find_items(placed.select(F.col(row).alias("doc_id"), "text"), items, width)
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias(row))
+    return placed.join(hit, row, "left_anti").select(docs.columns)
 
 
 def _merged(spans: str):

@@ -49,6 +49,7 @@ from pyspark.sql import functions as F
 
 from nestflow.llm.common import batches, in_arrow, partitions, saved, unused
 from nestflow.llm.components import components
+from nestflow.llm.counters import POSITIONS, Counts, positions
 from nestflow.llm.decontaminate import words_of
 
 SHINGLE = 5
@@ -251,7 +252,20 @@ def _sets(wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
         yield from batches(rows(), schema)
 
-    sets = in_arrow(texts.join(wanted, "row", "left_semi").select("row", "text"), shingle, "row long, hashes binary, counts binary")
+    wanted = saved(wanted, "wanted")
+
+    def marked(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from positions((_mixed(batch.column(0).to_numpy().view(np.uint64)) for batch in found if batch.num_rows), WANTED)
+
+    # Rows that are surely not wanted stay where they are; the join tells the others apart.
+    bits = texts.sparkSession.sparkContext.broadcast(Counts(in_arrow(wanted, marked, POSITIONS), WANTED, 1))
+
+    def likely(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            yield batch.filter(pa.array(bits.value.of(_mixed(batch.column(0).to_numpy().view(np.uint64))) > 0))
+
+    near = in_arrow(texts.select("row", "text"), likely, "row long, text string")
+    sets = in_arrow(near.join(wanted, "row", "left_semi").select("row", "text"), shingle, "row long, hashes binary, counts binary")
     return saved(sets, "shingles")
 
 
@@ -278,6 +292,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float)
     return in_arrow(both, compare, "a long, b long, same boolean")
 
 
+#: Bits that tell which rows' texts are wanted.
+WANTED = 1 << 26
 #: Shingles of one part of a bucket; a task holds two parts at a time.
 PART = 150_000
 

@@ -224,3 +224,29 @@ def test_double_array():
     used = sum(x >= 0 for x in trie.arrays.check)
     assert used == len(nodes) and len(trie.arrays.check) < 1.5 * len(nodes)
     assert len(list(trie.walk(b"\xff" * 16))) == 1
+
+
+def test_stages_keep_clashing_columns(spark):
+    from nestflow.llm import decontaminate, line_dedup, near_dup
+
+    text = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(k, f"{text} {k}", 7, "r", "x", 2) for k in range(3)], "doc_id long, text string, __row int, row string, __removed string, __w int")
+    items = spark.createDataFrame([(1, "nothing of this")], "item_id long, text string")
+    for out in (line_dedup.without_duplicates(docs), near_dup.one_of_each(docs), decontaminate.clean_only(docs, items)):
+        assert out.columns == docs.columns
+        assert {(r["__row"], r.row, r["__removed"], r["__w"]) for r in out.collect()} == {(7, "r", "x", 2)}
+
+
+def test_counters(spark):
+    from nestflow.llm import counters
+    from nestflow.llm.common import in_arrow
+
+    keys = spark.range(4000).selectExpr("id % 1500 AS k")
+
+    def run(found):
+        yield from counters.positions((b.column(0).to_numpy().view(np.uint64) for b in found if b.num_rows), 1 << 21)
+
+    rows = in_arrow(keys.repartition(7), run, counters.POSITIONS)
+    for bits, most in ((1, 1), (2, 3)):
+        counts = counters.Counts(rows, 1 << 21, bits).of(np.arange(3000, dtype=np.uint64))
+        assert (counts[1500:] == 0).all() and (counts[:1500] >= min(most, 2)).all() and (counts <= most).all()
