@@ -13,11 +13,20 @@ from nestflow.llm.common import in_arrow, partitions
 #: Counters that are summed as one row.
 SLICE = 1 << 20
 POSITIONS = "slice long, places binary, counts binary"
+#: Counters of one key.
+HASHES = 3
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+
+
+def _place(keys: np.ndarray, counters: int, k: int) -> np.ndarray:
+    """Where the key's ``k``-th counter is."""
+    return ((keys * np.uint64(_ODD[k])) >> np.uint64(64 - counters.bit_length() + 1)).astype(np.int64)
 
 
 def positions(keys: Iterator[np.ndarray], counters: int) -> Iterator[pa.RecordBatch]:
     """Keys as rows (``POSITIONS``) to be summed: slice, places, counts (two at most)."""
     held: list[np.ndarray] = []
+    size = 0
 
     def ended() -> Iterator[pa.RecordBatch]:
         places, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -28,19 +37,20 @@ def positions(keys: Iterator[np.ndarray], counters: int) -> Iterator[pa.RecordBa
                                               pa.array([many.tobytes()], pa.binary())], names=["slice", "places", "counts"])
 
     for own in keys:
-        held.append((own & np.uint64(counters - 1)).astype(np.int64))
-        if sum(map(len, held)) > 4_000_000:
+        held += [_place(own, counters, k) for k in range(HASHES)]
+        size += HASHES * len(own)
+        if size > 4_000_000:
             yield from ended()
-            held = []
-    if held:
+            held, size = [], 0
+    if size:
         yield from ended()
 
 
 class Counts:
     """How often keys occur, up to the most that ``bits`` (1 or 2) bits hold.
 
-    A key's counter is told by its lowest bits; keys that share one are counted together,
-    so a count is never too low.  ``rows`` are ``positions`` of all tasks; the driver
+    A key has ``HASHES`` counters and its count is the least of them; keys that share a
+    counter are counted together there, so a count is never too low.  ``rows`` are ``positions`` of all tasks; the driver
     gets the filled slices, ``counters * bits / 8`` bytes at most, to broadcast.
     """
 
@@ -69,9 +79,15 @@ class Counts:
             self._whole = np.zeros(self.counters * self.bits // 8, dtype=np.uint8)
             for number, packed in self.slices.items():
                 self._whole[number * len(packed):(number + 1) * len(packed)] = packed
-        place = (keys & np.uint64(self.counters - 1)).astype(np.int64)
-        per = 8 // self.bits
-        return (self._whole[place // per] >> (place % per * self.bits).astype(np.uint8)) & ((1 << self.bits) - 1)
+        per, top = 8 // self.bits, (1 << self.bits) - 1
+        out = np.full(len(keys), top, dtype=np.uint8)
+        left = np.arange(len(keys))
+        for k in range(HASHES):  # most keys that never occur are told by the first
+            place = _place(keys[left], self.counters, k)
+            found = (self._whole[place // per] >> (place % per * self.bits).astype(np.uint8)) & top
+            out[left] = np.minimum(out[left], found)
+            left = left[found > 0]
+        return out
 
     def __getstate__(self) -> dict:
         return {"counters": self.counters, "bits": self.bits, "slices": self.slices}
