@@ -28,6 +28,7 @@ doc_id and text are not read.
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,11 @@ SKETCHES = 4
 #: The sample that the topics come from decides which documents share a shard and nothing else.
 TOPICS, DIMS, SAMPLE_DOCS = 128, 128, 2048
 
+#: Terms of one in ``DENSE`` documents of a shard are kept as rows; neighbours that are put in order at once.
+DENSE, BEST = 8, 128
+#: Sampled sketches for each task, which the tasks' bounds come from.
+BOUND_ROWS = 100
+
 #: BM25's usual parameters.
 K1, B = 1.2, 0.75
 
@@ -142,16 +148,20 @@ class Topics:
         first = np.linalg.svd(centroids, full_matrices=False)[2][0]
         self.centroids = centroids[np.argsort(centroids @ first, kind="stable")]
 
-    def vectors(self, docs: list[np.ndarray]) -> np.ndarray:
+    def vectors(self, docs: list[np.ndarray], found: list[tuple] | None = None) -> np.ndarray:
         out = np.zeros((len(docs), DIMS), dtype=np.float32)
-        for k, ids in enumerate(docs):
-            terms, counts = np.unique(ids, return_counts=True)
+        for k, (ids, (terms, counts)) in enumerate(zip(docs, found or distinct(docs))):
             weights = self.idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(ids) / self.mean_length))
             out[k] = weights.astype(np.float32) @ self.plane[terms]
         return _unit(out) - self.middle
 
-    def of(self, docs: list[np.ndarray]) -> np.ndarray:
-        return (self.vectors(docs) @ self.centroids.T).argmax(axis=1)
+    def of(self, docs: list[np.ndarray], found: list[tuple] | None = None) -> np.ndarray:
+        return (self.vectors(docs, found) @ self.centroids.T).argmax(axis=1)
+
+
+def distinct(docs: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each document its distinct terms and their counts."""
+    return [np.unique(ids, return_counts=True) for ids in docs]
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -171,21 +181,32 @@ class Shard:
         self.size = len(docs)
         norm = K1 * (1 - B + B * lengths[self.doc] / mean_length)
         self.weight = idf[terms] * counts * (K1 + 1) / (counts + norm)
-        self.terms, first = np.unique(terms, return_index=True)
+        self.terms, first, number, many = np.unique(terms, return_index=True, return_inverse=True, return_counts=True)
         self.first = np.append(first, len(terms))
+        # Terms of an eighth of the documents or more have a row of all documents' weights: 32 bytes a posting at most.
+        often = DENSE * many >= len(docs)
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.rows = np.zeros((int(often.sum()), len(docs)), dtype=np.float32)
+        own = often[number]
+        self.rows[self.row[number[own]], self.doc[own]] = self.weight[own]
         self.of_doc = np.split(terms[np.argsort(self.doc, kind="stable")], np.cumsum(np.bincount(self.doc, minlength=len(docs)))[:-1])
 
-    def neighbours(self, terms: np.ndarray, used: np.ndarray) -> np.ndarray:
-        """Unused documents by descending score for the query's distinct terms."""
+    def neighbours(self, terms: np.ndarray, used: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Unused documents by descending score for the query's distinct terms; of that order ``most`` at least, if given."""
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         at = at[self.terms[at] == terms]
-        ranges = list(zip(self.first[at].tolist(), self.first[at + 1].tolist()))
-        scores = np.zeros(self.size)
-        if ranges:
-            scores = np.bincount(np.concatenate([self.doc[a:b] for a, b in ranges]), np.concatenate([self.weight[a:b] for a, b in ranges]),
-                                 minlength=self.size)
+        scores = self.rows[self.row[at][self.row[at] >= 0]].sum(axis=0)
+        rare = at[self.row[at] < 0]
+        if len(rare):
+            ranges = list(zip(self.first[rare].tolist(), self.first[rare + 1].tolist()))
+            scores = scores + np.bincount(np.concatenate([self.doc[a:b] for a, b in ranges]), np.concatenate([self.weight[a:b] for a, b in ranges]),
+                                          minlength=self.size)
         free = np.flatnonzero(~used)
-        return free[np.argsort(-scores[free], kind="stable")]
+        scores = scores[free]
+        if most is not None and len(free) > 2 * most:
+            best = np.flatnonzero(scores >= np.partition(scores, len(free) - most)[len(free) - most])
+            free, scores = free[best], scores[best]
+        return free[np.argsort(-scores, kind="stable")]
 
 
 def pack(rows: Iterator[tuple[int | None, np.ndarray]], idf: np.ndarray, mean_length: float, first_sequence: int = 0,
@@ -212,7 +233,8 @@ def pack(rows: Iterator[tuple[int | None, np.ndarray]], idf: np.ndarray, mean_le
                     break
                 index, used, seed = Shard([ids for _, ids in shard], idf, mean_length), np.zeros(len(shard), dtype=bool), 0
             if query is not None:
-                order = index.neighbours(query, used)
+                # If they do not fill the window, the next ones are asked for.
+                order = index.neighbours(query, used, BEST)
             else:
                 while seed < len(shard) and used[seed]:
                     seed += 1
@@ -290,20 +312,28 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = L
     # Bounded: ``SKETCHES`` + ``DIMS`` numbers a term of the vocabulary.
     model = spark.sparkContext.broadcast((sketch_ranks(often, idf), topics))
 
-    def sketched(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sketched(found: Iterator[pa.RecordBatch], bounds: list[tuple]) -> Iterator[pa.RecordBatch]:
         ranks, topics = model.value
         for batch in found:
             own = [np.frombuffer(ids.as_buffer(), kind) for ids in batch.column(1)]
             if own:
-                drawn = np.stack([ranks[:, ids].min(axis=1) for ids in own], axis=1)
-                topic = topics.of(own) if topics else np.zeros(len(own))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(topic.astype(np.int32)), *(pa.array(k, pa.int32()) for k in drawn)],
-                                                 names=["doc_id", "ids", *keys])
+                terms = distinct(own)
+                drawn = np.stack([ranks[:, ids].min(axis=1) for ids, _ in terms], axis=1)
+                topic = topics.of(own, terms) if topics else np.zeros(len(own))
+                drawn = [topic.astype(np.int32), *drawn]
+                task = [bisect(bounds, key) for key in zip(*(k.tolist() for k in drawn), batch.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k, pa.int32()) for k in drawn), pa.array(task, pa.int32())],
+                                                 names=["doc_id", "ids", "h", *keys, "task"])
 
     keys = ["topic", *(f"k{k}" for k in range(SKETCHES))]
-    own = in_arrow(whole, sketched, "doc_id long, ids binary, " + ", ".join(f"{k} int" for k in keys))
+    schema = "doc_id long, ids binary, h long, " + ", ".join(f"{k} int" for k in [*keys, "task"])
     # The row's number sets repeated rows apart.
-    keys_h = [*keys, "h"]
-    dealt = (own.withColumn("h", F.xxhash64("ids", F.monotonically_increasing_id()))
-             .repartitionByRange(partitions(spark), *keys_h).sortWithinPartitions(*keys_h))
+    whole = whole.withColumn("h", F.xxhash64("ids", F.monotonically_increasing_id()))
+    # The order's bounds come from a sample, bounded by BOUND_ROWS rows a task on average, so that all documents are sketched once only.
+    tasks = partitions(spark)
+    sampled = whole.where(F.pmod(F.xxhash64("h"), F.lit(max(n_docs // (BOUND_ROWS * tasks), 1))) == 0)
+    found = sorted(tuple(row) for row in in_arrow(sampled, lambda rows: sketched(rows, []), schema).select(*keys, "h").collect())
+    bounds = [found[len(found) * k // tasks] for k in range(1, tasks)] if found else []
+    dealt = (in_arrow(whole, lambda rows: sketched(rows, bounds), schema)
+             .repartitionById(tasks, "task").sortWithinPartitions(*keys, "h"))
     return in_arrow(dealt.select("doc_id", "ids"), run, _PIECE_SQL)
