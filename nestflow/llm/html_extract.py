@@ -38,7 +38,11 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from bisect import bisect
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -108,55 +112,105 @@ def _names_part(attributes: dict[str, str], inside: bool) -> bool:
     return False
 
 
-class _Line:
-    __slots__ = ("text", "links", "boxes", "areas", "parts")
+class _Line(NamedTuple):
+    """A line, the text in links, and the innermost container, area and part around it (0: none)."""
 
-    def __init__(self, text: str, links: int, boxes: tuple[int, ...], areas: tuple[int, ...], parts: tuple[int, ...]) -> None:
-        self.text, self.links, self.boxes, self.areas, self.parts = text, links, boxes, areas, parts
+    text: str
+    links: int
+    box: int
+    area: int
+    part: int
 
-    @property
-    def box(self) -> int:
-        return self.boxes[-1]
 
+@dataclass
+class _Page:
+    """Lines of a page, and of its elements' numbers the next one around it; an element's number is below those inside it."""
 
-def lines_of(page: str) -> tuple[list[_Line], dict[int, int], dict[int, int]]:
-    """The lines that may be the article's, the marked areas with their rank (2: article, 1: other), and their containers.
+    lines: list[_Line] = field(default_factory=list)
+    boxes: dict[int, int] = field(default_factory=dict)
+    areas: dict[int, int] = field(default_factory=dict)
+    parts: dict[int, int] = field(default_factory=dict)
+    #: Marked areas: 2 (article) or 1 (other), the container and the part around each.
+    ranks: dict[int, int] = field(default_factory=dict)
+    area_boxes: dict[int, int] = field(default_factory=dict)
+    area_parts: dict[int, int] = field(default_factory=dict)
+    #: Of elements that may be parts: the article around (0: none), whether it is of reader comments.
+    around: dict[int, tuple[int, bool]] = field(default_factory=dict)
+
+
+class _Element(NamedTuple):
+    name: str
+    dropped: bool
+    box: int
+    area: int
+    link: bool
+    part: int
+
+
+def _summed(own: dict[int, int], outer: dict[int, int]) -> dict[int, int]:
+    """Of each element its own sum with those of all elements inside."""
+    out = dict.fromkeys(outer, 0) | own
+    for number in sorted(outer, reverse=True):
+        if outer[number]:
+            out[outer[number]] += out[number]
+    return out
+
+
+def _within(chosen: set[int], outer: dict[int, int]) -> set[int]:
+    """The chosen elements and all inside them."""
+    out = set(chosen)
+    for number in sorted(outer):
+        if outer[number] in out:
+            out.add(number)
+    return out
+
+
+def _by(lines: list[_Line], key: Callable[[_Line], int]) -> dict[int, int]:
+    """Text lengths by the element that ``key`` gives."""
+    out: dict[int, int] = {}
+    for line in lines:
+        out[key(line)] = out.get(key(line), 0) + len(line.text)
+    out.pop(0, None)
+    return out
+
+
+def lines_of(page: str) -> _Page:
+    """The lines that may be the article's and the elements around them, in time linear in the page's length and depth.
 
     Elements that are parts by their names alone are decided on at the end.
     """
-    lines: list[_Line] = []
-    ranks: dict[int, int] = {}
-    # Open elements: name, dropped, box number, area number or 0, is a link, part number or 0.
-    stack: list[tuple[str, bool, int, int, bool, int]] = [("", False, 0, 0, False, 0)]
-    dropped, links, areas = 0, 0, []
-    # Elements that may be parts: open ones; of each the part and the areas around it, whether it is of reader comments.
-    parts: list[int] = []
-    around: dict[int, tuple[int, tuple[int, ...], bool]] = {}
-    area_parts: dict[int, tuple[int, ...]] = {}
-    area_boxes: dict[int, int] = {}
+    out = _Page()
+    stack = [_Element("", False, 0, 0, False, 0)]
+    # Where the stack has open elements of a name, and such that are not inline; open areas, articles and parts.
+    places: dict[str, list[int]] = defaultdict(list)
+    blocks, areas, articles, parts = [0], [0], [0], [0]
+    dropped = links = linked = number = 0
     held: list[str] = []
-    linked = 0
-    number = 0
 
     def flush() -> None:
         nonlocal linked
         if held:
             text = " ".join("".join(held).split())
             if text:
-                lines.append(_Line(text, linked, tuple(dict.fromkeys(x[2] for x in stack)), tuple(areas), tuple(parts)))
+                out.lines.append(_Line(text, linked, stack[-1].box, areas[-1], parts[-1]))
             held.clear()
         linked = 0
 
     def pop(down_to: int) -> None:
         nonlocal dropped, links
         while len(stack) > down_to:
-            _, drop, _, area, link, part = stack.pop()
-            dropped -= drop
-            links -= link
-            if part:
+            element = stack.pop()
+            places[element.name].pop()
+            if element.name not in INLINE:
+                blocks.pop()
+            dropped -= element.dropped
+            links -= element.link
+            if element.part:
                 parts.pop()
-            if area:
+            if element.area:
                 areas.pop()
+                if out.ranks[element.area] == 2:
+                    articles.pop()
 
     at = 0
     size = len(page)
@@ -177,12 +231,9 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int], dict[int, int]]:
         if found["close"] or found["close2"]:
             if name not in INLINE:
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    pop(k)
-                    break
-                if name in INLINE and stack[k][0] not in INLINE:
-                    break
+            # An inline element's end tag ends none beyond the block it is in.
+            if places[name] and (name not in INLINE or places[name][-1] > blocks[-1]):
+                pop(places[name][-1])
             continue
         if name == "br":
             held.append(" ")
@@ -190,18 +241,13 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int], dict[int, int]]:
         if name not in INLINE:
             flush()
         if name in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    pop(k)
-                    break
-                if stack[k][0] not in INLINE:
-                    break
+            if stack[blocks[-1]].name == "p":
+                pop(blocks[-1])
         elif name in SIBLINGS:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in SIBLINGS[name]:
-                    pop(k)
-                elif stack[k][0] in SCOPES[name]:
-                    break
+            scope = max((places[x][-1] for x in SCOPES[name] if places[x]), default=0)
+            open_ones = [places[x][k] for x in SIBLINGS[name] if (k := bisect(places[x], scope)) < len(places[x])]
+            if open_ones:
+                pop(min(open_ones))
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(page, at)
             at = close.start() if close else size
@@ -217,7 +263,7 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int], dict[int, int]]:
             attributes = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(raw)}
         words, whole = _named(attributes) if attributes else (set(), "")
         hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
-        inside = bool(areas)
+        inside = len(areas) > 1
         drop = name in DROPPED or hidden or name == "header" and not inside
         part = not drop and bool(words & PART_WORDS) and name not in ("html", "body", "main") and _names_part(attributes, inside) and not (
             name in ("article", "header", "h1", "h2", "hgroup") and (inside or name == "article") and not (
@@ -227,49 +273,52 @@ def lines_of(page: str) -> tuple[list[_Line], dict[int, int], dict[int, int]]:
             or name in ("div", "section", "td") and words and words <= CONTENT_WORDS) else 0
         number += 1
         if rank:
-            ranks[number] = rank
+            out.ranks[number], out.areas[number] = rank, areas[-1]
+            out.area_parts[number], out.area_boxes[number] = parts[-1], stack[-1].box
             areas.append(number)
-            area_parts[number] = tuple(parts)
-            area_boxes[number] = stack[-1][2]
+            if rank == 2:
+                articles.append(number)
         if part:
-            around[number] = (parts[-1] if parts else 0, tuple(areas), bool(words & COMMENT_WORDS))
+            out.parts[number], out.around[number] = parts[-1], (articles[-1], bool(words & COMMENT_WORDS))
             parts.append(number)
         dropped += drop
         links += name == "a"
-        stack.append((name, drop, stack[-1][2] if name in INLINE or name in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") else number, number if rank else 0, name == "a",
-                      number if part else 0))
+        box = stack[-1].box
+        if name not in INLINE and name not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6"):
+            out.boxes[number] = box
+            box = number
+        places[name].append(len(stack))
+        if name not in INLINE:
+            blocks.append(len(stack))
+        stack.append(_Element(name, drop, box, number if rank else 0, name == "a", number if part else 0))
     flush()
-    return *_without_parts(lines, ranks, around, area_parts), area_boxes
+    return _without_parts(out)
 
 
-def _without_parts(lines: list[_Line], ranks: dict[int, int], around: dict[int, tuple[int, tuple[int, ...], bool]],
-                   area_parts: dict[int, tuple[int, ...]]) -> tuple[list[_Line], dict[int, int]]:
+def _without_parts(page: _Page) -> _Page:
     """Lines and areas outside the elements that are parts after all; outer elements are decided on last."""
-    if not around:
-        return lines, ranks
-    own, texts = dict.fromkeys(around, 0), dict.fromkeys(ranks, 0)
-    for line in lines:
-        if line.parts:
-            own[line.parts[-1]] += len(line.text)
-        for area in line.areas:
-            texts[area] += len(line.text)
-    total = sum(len(x.text) for x in lines)
-    articles = [a for a, rank in ranks.items() if rank == 2 and texts[a]]
-    outside = any(not area_parts[a] for a in articles)
-    holding = {area_parts[a][-1] for a in articles if area_parts[a]} if not outside else set()
+    if not page.around:
+        return page
+    own = dict.fromkeys(page.around, 0) | _by(page.lines, lambda x: x.part)
+    texts = _summed(_by(page.lines, lambda x: x.area), page.areas)
+    total = sum(len(x.text) for x in page.lines)
+    marked = [a for a, rank in page.ranks.items() if rank == 2 and texts[a]]
+    outside = any(not page.area_parts[a] for a in marked)
+    holding = {page.area_parts[a] for a in marked if page.area_parts[a]} if not outside else set()
     real: set[int] = set()
-    for part in sorted(around, reverse=True):  # an element's number is below those inside it
-        outer, areas, comments = around[part]
-        inside = [a for a in areas if ranks[a] == 2]
-        most = texts[inside[-1]] if inside else 0 if outside else total
+    for part in sorted(page.around, reverse=True):
+        outer, (article, comments) = page.parts[part], page.around[part]
+        most = texts[article] if article else 0 if outside else total
         if comments or not (part in holding or most and own[part] > PART_SHARE * most):
             real.add(part)
         elif outer:
             own[outer] += own[part]
             if part in holding:
                 holding.add(outer)
-    lines = [x for x in lines if real.isdisjoint(x.parts)]
-    return lines, {a: rank for a, rank in ranks.items() if real.isdisjoint(area_parts[a])}
+    gone = _within(real, page.parts)
+    page.lines = [x for x in page.lines if x.part not in gone]
+    page.ranks = {a: rank for a, rank in page.ranks.items() if page.area_parts[a] not in gone}
+    return page
 
 
 def between_surge_and_dive(weights: list[int], threshold: float, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -292,21 +341,28 @@ def extract(page: str | None, window: int = WINDOW, threshold_share: float = THR
     """The page's main text: its blocks, one a line."""
     if not page:
         return ""
-    lines, ranks, area_boxes = lines_of(page)
+    found = lines_of(page)
+    lines = found.lines
     if not lines:
         return ""
-    areas: dict[int, int] = {}
-    for line in lines:
-        for area in line.areas:
-            areas[area] = areas.get(area, 0) + len(line.text)
+    texts = _summed(_by(lines, lambda x: x.area), found.areas)
+    areas = [a for a in texts if texts[a]]
     if areas:
-        best = max(areas, key=lambda a: (ranks[a], areas[a], -a))
-        chosen = {a for a in areas if ranks[a] == ranks[best] and area_boxes[a] == area_boxes[best]}
-        for outer in reversed(next(x.areas[:x.areas.index(best)] for x in lines if best in x.areas)):
-            beside = sum(len(x.text) for x in lines if outer in x.areas and chosen.isdisjoint(x.areas) and 2 * x.links <= len(x.text))
-            if beside > sum(len(x.text) for x in lines if not chosen.isdisjoint(x.areas)):
-                chosen = {outer}
-        weights = [0 if chosen.isdisjoint(x.areas) else len(x.text) for x in lines]
+        best = max(areas, key=lambda a: (found.ranks[a], texts[a], -a))
+        chosen = {a for a in areas if found.ranks[a] == found.ranks[best] and found.area_boxes[a] == found.area_boxes[best]}
+        inside = _within(chosen, found.areas)
+        most = sum(len(x.text) for x in lines if x.area in inside)
+        free = [x for x in lines if 2 * x.links <= len(x.text)]
+        whole = _summed(_by(free, lambda x: x.area), found.areas)
+        beside = _summed(_by([x for x in free if x.area not in inside], lambda x: x.area), found.areas)
+        outer, taken = found.areas[best], None
+        while outer:
+            if (beside[outer] if taken is None else whole[outer] - whole[taken]) > most:
+                taken, most = outer, texts[outer]
+            outer = found.areas[outer]
+        if taken is not None:
+            inside = _within({taken}, found.areas)
+        weights = [len(x.text) if x.area in inside else 0 for x in lines]
         ranges = between_surge_and_dive(weights, 0, window)
         return "\n".join(lines[k].text for a, b in ranges for k in range(a, b) if weights[k])
     weights = [0 if 2 * x.links > len(x.text) else len(x.text) for x in lines]
@@ -321,14 +377,15 @@ def extract(page: str | None, window: int = WINDOW, threshold_share: float = THR
         return ""
     # The range with most text, those under its common container, and the lines of the same containers.
     kept = max(ranges, key=lambda r: (sum(weights[r[0]:r[1]]), -r[0]))
-    paths = [lines[k].boxes for k in range(*kept) if weights[k]]
-    shared = 0
-    while all(len(p) > shared and p[shared] == paths[0][shared] for p in paths):
-        shared += 1
-    if len(set(paths)) == 1:
-        shared = max(shared - 1, 1)
-    above = paths[0][shared - 1]
-    keep = {k for a, b in ranges for k in range(a, b) if weights[k] and above in lines[k].boxes} | {k for k in range(*kept) if weights[k]}
+    own = {lines[k].box for k in range(*kept) if weights[k]}
+    above, last = min(own), max(own)
+    if len(own) == 1:
+        above = found.boxes.get(above, 0)
+    else:  # what the first and the last container share
+        while above != last:
+            above, last = min(above, last), found.boxes[max(above, last)]
+    under = _within({above}, found.boxes)
+    keep = {k for a, b in ranges for k in range(a, b) if weights[k] and lines[k].box in under} | {k for k in range(*kept) if weights[k]}
     boxes = {lines[k].box for k in keep}
     keep |= {k for k, x in enumerate(lines) if weights[k] and x.box in boxes}
     return "\n".join(lines[k].text for k in sorted(keep))
