@@ -191,6 +191,15 @@ class Shard:
         self.rows[self.row[number[own]], self.doc[own]] = self.weight[own]
         self.of_doc = np.split(terms[np.argsort(self.doc, kind="stable")], np.cumsum(np.bincount(self.doc, minlength=len(docs)))[:-1])
 
+    def without(self, used: np.ndarray) -> None:
+        """The index of the unused documents alone; their order, weights and so scores stay."""
+        free = np.flatnonzero(~used)
+        own = ~used[self.doc]
+        left = np.concatenate([[0], np.cumsum(own)])[self.first]
+        self.doc, self.weight = (np.cumsum(~used) - 1)[self.doc[own]], self.weight[own]
+        self.rows, self.of_doc, self.size = np.ascontiguousarray(self.rows[:, free]), [self.of_doc[k] for k in free.tolist()], len(free)
+        self.first = left
+
     def neighbours(self, terms: np.ndarray, used: np.ndarray, most: int | None = None) -> np.ndarray:
         """Unused documents by descending score for the query's distinct terms; of that order ``most`` at least, if given."""
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
@@ -226,12 +235,12 @@ def pack(rows: Iterator[tuple[int | None, np.ndarray]], idf: np.ndarray, mean_le
         used = np.zeros(len(shard), dtype=bool)
         seed = 0
         while True:
-            if len(shard) > 64 and 2 * np.count_nonzero(used) > len(shard):
-                # The rest's index alone; scores and order stay as they are.
+            if len(shard) > 64 and 3 * np.count_nonzero(used) > len(shard):
                 shard = [shard[k] for k in np.flatnonzero(~used).tolist()]
                 if not shard:
                     break
-                index, used, seed = Shard([ids for _, ids in shard], idf, mean_length), np.zeros(len(shard), dtype=bool), 0
+                index.without(used)
+                used, seed = np.zeros(len(shard), dtype=bool), 0
             if query is not None:
                 # If they do not fill the window, the next ones are asked for.
                 order = index.neighbours(query, used, BEST)

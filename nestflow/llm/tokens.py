@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from struct import pack
 
 import numpy as np
 
@@ -31,6 +32,8 @@ SPLIT_WORD_LEVEL = rf"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^\s{_LETTE
 
 #: Pieces kept by a worker process in each of two generations; pieces not met in one are forgotten.
 KEPT_PIECES = 1_000_000
+#: As many words, where no piece goes beyond a word: they are kept with the signs around them.
+KEPT_WORDS = 400_000
 LONGEST_KEPT = 64
 
 _encoders: dict[str, "Encoder"] = {}
@@ -54,7 +57,18 @@ class Encoder:
             pattern, self.lower = _splitting(json.load(f))
         self.split = re.compile(pattern).findall if pattern else None
         model = self.tokenizer.model.tokenize
-        self.pieces = _Kept(lambda piece: np.array([t.id for t in model(piece.encode("utf-8").decode("latin-1").translate(_BYTES))], "<u4").tobytes())
+
+        def encoded(piece: str) -> bytes:
+            if not (piece.isascii() and piece.isalnum()):  # those bytes are written as themselves
+                piece = piece.encode("utf-8").decode("latin-1").translate(_BYTES)
+            ids = [t.id for t in model(piece)]
+            return pack(f"<{len(ids)}I", *ids)
+
+        def word(text: str) -> bytes:
+            parts = self.split(text)
+            return encoded(text) if len(parts) == 1 else b"".join(map(self.pieces.__getitem__, parts))
+
+        self.pieces = _Kept(word, KEPT_WORDS) if self.lower else _Kept(encoded, KEPT_PIECES)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -64,21 +78,22 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         if self.split is None or _UNSURE.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return b"".join(map(self.pieces.__getitem__, self.split(text.lower() if self.lower else text)))
+        # Of the sure characters, str.split() and the pattern have the same four as white space.
+        return b"".join(map(self.pieces.__getitem__, text.lower().split() if self.lower else self.split(text)))
 
 
 class _Kept(dict):
-    """Values that are made at first use; two generations of at most ``KEPT_PIECES`` are kept."""
+    """Values that are made at first use; two generations of at most ``most`` are kept."""
 
-    def __init__(self, make) -> None:
-        self.make, self.older = make, {}
+    def __init__(self, make, most: int) -> None:
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
         own = self.older.get(key)
         if own is None:
             own = self.make(key)
         if len(key) <= LONGEST_KEPT:
-            if len(self) >= KEPT_PIECES:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = own

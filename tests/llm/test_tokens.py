@@ -36,6 +36,7 @@ def test_pieces_equal_whole(name, texts):
 @pytest.mark.parametrize("name", FILES)
 def test_real_texts_and_small_table(name, spark, monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_PIECES", 50)
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 50)
     texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(60).collect()]
     coder = tokens.Encoder(public_tokenizers.path(name))
     assert coder.split is not None
