@@ -80,13 +80,16 @@ class Counts:
             for number, packed in self.slices.items():
                 self._whole[number * len(packed):(number + 1) * len(packed)] = packed
         per, top = 8 // self.bits, (1 << self.bits) - 1
-        out = np.full(len(keys), top, dtype=np.uint8)
-        left = np.arange(len(keys))
-        for k in range(HASHES):  # most keys that never occur are told by the first
-            place = _place(keys[left], self.counters, k)
-            found = (self._whole[place // per] >> (place % per * self.bits).astype(np.uint8)) & top
-            out[left] = np.minimum(out[left], found)
-            left = left[found > 0]
+
+        def found(keys: np.ndarray, k: int) -> np.ndarray:
+            place = _place(keys, self.counters, k)
+            return (self._whole[place >> per.bit_length() - 1] >> ((place & per - 1) * self.bits).astype(np.uint8)) & top
+
+        out = found(keys, 0)
+        left = np.flatnonzero(out)  # most keys that never occur are told by the first
+        for k in range(1, HASHES):
+            out[left] = np.minimum(out[left], found(keys[left], k))
+            left = left[out[left] > 0]
         return out
 
     def __getstate__(self) -> dict:

@@ -115,6 +115,15 @@ def test_bundle_frames():
         warc.Bundle(data[:-1])
 
 
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 def brute_lines(texts, tau, least):
     first, copies = {}, {}
     order = sorted(range(len(texts)), key=lambda k: (texts[k][0] is None, texts[k][0] or 0, k))
@@ -126,7 +135,7 @@ def brute_lines(texts, tau, least):
                 copies[line] = copies.get(line, 0) + 1
     place = {line: i for i, line in enumerate(first)}
     links = [(a, b) for a, b in combinations(first, 2) if min(len(a), len(b)) >= least
-             and line_dedup._plain_distance(list(a), list(b)) <= tau]
+             and plain_distance(list(a), list(b)) <= tau]
     root = {x: x for x in first}
     for _ in first:
         for a, b in links:
@@ -159,7 +168,7 @@ def test_lines_brute_force(spark, crowd):
     named = {(r.h1, r.h2): r.line for r in lines.select("h1", "h2", "line").distinct().collect()}
     got = {tuple(sorted((named[a], named[b]))) for a, b in near}
     want = {tuple(sorted(p)) for p in combinations(named.values(), 2) if min(map(len, p)) >= 40
-            and line_dedup._plain_distance(list(p[0]), list(p[1])) <= 2}
+            and plain_distance(list(p[0]), list(p[1])) <= 2}
     assert got == want and len(want) > 20
     if crowd == line_dedup.CROWD:
         rows = line_dedup.duplicate_lines(docs).collect()
@@ -347,7 +356,7 @@ def check_share(spark, crowd, lines, lengths):
         most = allowed(min(len(a), len(b)))
         if abs(len(a) - len(b)) > most or len(set(a) ^ set(b)) > 2 * most:
             return False
-        return 0 < line_dedup._plain_distance(list(a), list(b)) <= most
+        return 0 < plain_distance(list(a), list(b)) <= most
 
     got = {tuple(sorted((named[x.a1, x.a2], named[x.b1, x.b2]))) for x in line_dedup.links(found, crowd=crowd).collect()}
     want = {tuple(sorted(p)) for p in combinations(named.values(), 2) if linked(*p)}
@@ -368,6 +377,24 @@ def test_lines_short(spark, crowd):
     assert sum(max(map(len, p)) < 40 for p in want) > 5
 
 
+def test_line_keys():
+    """Index keys are the marked ones of all keys; a key is its substring's polynomial, mixed with its number and size."""
+    r = np.random.default_rng(5)
+    texts = [r.integers(32, 90, n).astype(np.uint32) for n in (8, 15, 16, 40, 41, 60, 99, 100, 361, 361, 1300, 4000, 4100)]
+    every = {(who, start, key) for k, (w, keys, s, index) in enumerate(line_dedup.line_keys(texts, None, 1))
+             for who, start, key, own in zip(w.tolist(), s.tolist(), keys.tolist(), index.tolist()) if own}
+    index = {(who, start, key) for w, keys, s in line_dedup.index_keys(texts, None, 1) for who, start, key in zip(w.tolist(), s.tolist(), keys.tolist())}
+    assert every == index and len(index) == sum(line_dedup.edits(len(t)) + 1 for t in texts)
+    for size in (1, 2, 3, 5, 8, 13, 19):
+        rows = np.stack(texts[8:10]).astype(np.uint64)
+        got = line_dedup._windows(rows, size)
+        for at in (0, 7, 361 - size):
+            want = 0
+            for x in texts[9][at:at + size].tolist():
+                want = (want * line_dedup._BASE + x) % 2**64
+            assert int(got[1, at]) == want
+
+
 def test_wide_bands():
     r = random.Random(4)
     pairs = []
@@ -380,7 +407,7 @@ def test_wide_bands():
         pairs.append((np.array(a, dtype=np.uint32), np.array(b, dtype=np.uint32)))
     for tau in (3, 16, 31, 32, 44):
         got = line_dedup.distances_within([a for a, _ in pairs], [b for _, b in pairs], tau)
-        assert got.tolist() == [min(line_dedup._plain_distance(a.tolist(), b.tolist()), tau + 1) for a, b in pairs]
+        assert got.tolist() == [min(plain_distance(a.tolist(), b.tolist()), tau + 1) for a, b in pairs]
 
 
 def test_packing_shards_hold_neighbours():
@@ -498,7 +525,7 @@ def test_pipeline_run(spark, tmp_path):
     root = {x: x for x in lines}
     for a, b in combinations(lines, 2):
         most = max(2, min(len(a), len(b)) // 20)
-        if abs(len(a) - len(b)) <= most and line_dedup._plain_distance(list(a), list(b)) <= most:
+        if abs(len(a) - len(b)) <= most and plain_distance(list(a), list(b)) <= most:
             low, high = sorted((root[a], root[b]), key=lines.index)
             root = {x: low if y == high else y for x, y in root.items()}
     seen, after = set(), []
