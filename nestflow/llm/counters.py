@@ -30,16 +30,16 @@ def positions(keys: Iterator[np.ndarray], counters: int) -> Iterator[pa.RecordBa
 
     def ended() -> Iterator[pa.RecordBatch]:
         places, counts = np.unique(np.concatenate(held), return_counts=True)
-        cuts = np.flatnonzero(np.diff(places // SLICE, prepend=-1))
+        cuts = np.flatnonzero(np.diff((places // SLICE).astype(np.int64), prepend=-1))
         for x, y in zip(cuts.tolist(), [*cuts[1:].tolist(), len(places)]):
-            own, many = (places[x:y] % SLICE).astype("<u4"), np.minimum(counts[x:y], 2).astype(np.uint8)
+            own, many = (places[x:y] % np.uint32(SLICE)).astype("<u4"), np.minimum(counts[x:y], 2).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([pa.array([int(places[x]) // SLICE]), pa.array([own.tobytes()], pa.binary()),
                                               pa.array([many.tobytes()], pa.binary())], names=["slice", "places", "counts"])
 
     for own in keys:
-        held += [_place(own, counters, k) for k in range(HASHES)]
+        held += [_place(own, counters, k).astype(np.uint32) for k in range(HASHES)]  # counters are fewer than 2 ** 32
         size += HASHES * len(own)
-        if size > 4_000_000:
+        if size > 1_000_000:
             yield from ended()
             held, size = [], 0
     if size:
@@ -76,9 +76,7 @@ class Counts:
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         if not hasattr(self, "_whole"):
-            self._whole = np.zeros(self.counters * self.bits // 8, dtype=np.uint8)
-            for number, packed in self.slices.items():
-                self._whole[number * len(packed):(number + 1) * len(packed)] = packed
+            self._whole = self._joined()
         per, top = 8 // self.bits, (1 << self.bits) - 1
 
         def found(keys: np.ndarray, k: int) -> np.ndarray:
@@ -92,5 +90,17 @@ class Counts:
             left = left[out[left] > 0]
         return out
 
+    def _joined(self) -> np.ndarray:
+        whole = np.zeros(self.counters * self.bits // 8, dtype=np.uint8)
+        for number, packed in self.slices.items():
+            whole[number * len(packed):(number + 1) * len(packed)] = packed
+        return whole
+
     def __getstate__(self) -> dict:
         return {"counters": self.counters, "bits": self.bits, "slices": self.slices}
+
+    def __setstate__(self, state: dict) -> None:
+        """A task only looks keys up: it holds the joined array and not the slices beside it."""
+        self.__dict__.update(state)
+        self._whole = self._joined()
+        self.slices = {}
