@@ -118,3 +118,17 @@ def test_limits_change_no_answer(spark):
 
     whole = content(datasets(1024))
     assert whole == content(datasets(2)) == content(datasets(8))
+
+
+def test_gathering_tasks_are_bounded(spark, monkeypatch):
+    """Tasks that gather documents get a bounded number of rows, however few the shuffle partitions are."""
+    from nestflow.plans import assemble
+
+    sf = "/root/testdata/sf0.01"
+    flat = [P.m_calls_flat(D.mx_documents(spark, sf)), P.t_calls_flat(D.tj_shared_documents(spark, sf))]
+    monkeypatch.setattr(assemble, "ROWS_PER_TASK", 1000, raising=False)
+    bounded = [P.m_calls_flat(D.mx_documents(spark, sf)), P.t_calls_flat(D.tj_shared_documents(spark, sf))]
+    for a, b in zip(flat, bounded):
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        most = b.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert most < 2500
