@@ -132,3 +132,40 @@ def test_gathering_tasks_are_bounded(spark, monkeypatch):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
         most = b.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
         assert most < 2500
+
+
+def test_shared_documents_move_rows_no_more_than_others(spark):
+    """Shared documents are gathered where their customers' pieces are: no shuffle and no stored pieces between."""
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    shared, single = plan(D.tj_shared_documents(spark, SF)), plan(D.tj_documents(spark, SF))
+    assert "phone-pieces" not in shared and shared.count("FileScan") == single.count("FileScan")
+    assert shared.count("Exchange hashpartitioning") == single.count("Exchange hashpartitioning")
+
+
+def test_split_shared_documents_keep_their_time(spark):
+    """Keys beyond a document's bounds (own rows; an order of many items, a customer of many orders, null keys) are split into
+    documents that all have the whole key's time, and lose no call."""
+    times = [f"1998-01-{d:02d} 00:00:00" for d in range(1, 29)]
+    orders = spark.createDataFrame(
+        [(k, None if k % 41 == 0 else (3 if k < 60 else k % 23), "F", 400000.0, times[k % 28], "1-URGENT") for k in range(200)],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string"
+    ).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    items = spark.createDataFrame(
+        [(k, n, 7, "R", "F", 1.0, times[n % 28]) for k in range(200) for n in range(90 if k == 5 else k % 4)],
+        "l_orderkey long, l_linenumber int, l_suppkey long, l_returnflag string, l_linestatus string, l_quantity double, l_shipdate string"
+    ).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
+    size = F.aggregate(F.flatten(F.transform(F.col(D.TJ_DATA_LIST), lambda e: F.transform(e["teldata"], lambda c: F.greatest(F.size(c["items"]), F.lit(0))))),
+                       F.lit(0), lambda n, x: n + x)
+    found = {}
+    for limit, bound in ((1024, 65_536), (4, 16), (1024, 60)):
+        docs = D.tj_shared_documents(spark, SF, max_elements=limit, max_doc_items=bound, lineitem=items, orders=orders).persist()
+        times_of = docs.groupBy("user_id").agg(F.count_distinct("create_time").alias("n")).agg(F.max("n")).first()[0]
+        assert times_of == 1
+        assert docs.count() > docs.select("user_id").distinct().count() or bound == 65_536
+        assert docs.select(F.max(size)).first()[0] <= 4 * bound
+        found[limit, bound] = sorted(map(str, P.t_calls_flat(docs).collect())), sorted(map(str, docs.select("user_id", "create_time").distinct().collect()))
+        docs.unpersist()
+    assert len(set(map(str, found.values()))) == 1 and len(found[1024, 65_536][0]) == items.count()
