@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestflow.llm.common import batches, in_arrow, partitions, saved
-from nestflow.llm.tokens import encoder
+from nestflow.llm.tokens import encoder, forget_encoders
 
 LENGTH = 2048
 SHARD_TOKENS = 4_000_000
@@ -307,6 +307,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = L
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        forget_encoders()
         rows = ((name.as_py(), np.frombuffer(ids.as_buffer(), kind).copy())
                 for batch in found for name, ids in zip(batch.column(0), batch.column(1)))
         yield from batches(pack(rows, idf, mean, TaskContext.get().partitionId() << 36, length), _PIECE)
@@ -322,6 +323,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, length: int = L
     model = spark.sparkContext.broadcast((sketch_ranks(often, idf), topics))
 
     def sketched(found: Iterator[pa.RecordBatch], bounds: list[tuple]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         ranks, topics = model.value
         for batch in found:
             own = [np.frombuffer(ids.as_buffer(), kind) for ids in batch.column(1)]

@@ -46,6 +46,11 @@ def encoder(path: str) -> "Encoder":
     return _encoders[path]
 
 
+def forget_encoders() -> None:
+    """Drop this process's encoders and their pieces: for tasks of a job whose texts are encoded."""
+    _encoders.clear()
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
