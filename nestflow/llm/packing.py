@@ -75,15 +75,14 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             seen = np.zeros(size, dtype=bool)
             for batch in found:
                 names, texts = batch.column(0).to_pylist(), batch.column(1)
-                for at in range(0, len(texts), 256):
-                    for name, own in zip(names[at:at + 256], coder.encode(texts[at:at + 256].to_pylist())):
-                        ids = np.frombuffer(own + end, "<u4")
-                        seen[ids] = True
-                        terms = np.flatnonzero(seen)
-                        often[terms] += 1
-                        seen[terms] = False
-                        total += len(ids)
-                        yield 0, name, 0, ids.astype(kind).tobytes()
+                for name, own in zip(names, coder.encode_batches(texts)):
+                    ids = np.frombuffer(own + end, "<u4")
+                    seen[ids] = True
+                    terms = np.flatnonzero(seen)
+                    often[terms] += 1
+                    seen[terms] = False
+                    total += len(ids)
+                    yield 0, name, 0, ids.astype(kind).tobytes()
             if total:
                 yield 1, total, size, often.astype("<i8").tobytes()
 

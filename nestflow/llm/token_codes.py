@@ -173,14 +173,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, f
             ids, coded, size, number = [], [], 0, 0
             for batch in found:
                 names, texts = batch.column(0).to_pylist(), batch.column(1)
-                for at in range(0, len(texts), 256):
-                    for name, own in zip(names[at:at + 256], coder.encode(texts[at:at + 256].to_pylist())):
-                        ids.append(name)
-                        coded.append(own + end)
-                        size += len(coded[-1]) // 4
-                        if size >= file_ids:
-                            yield (pack(ids, coded, number),)
-                            ids, coded, size, number = [], [], 0, number + 1
+                for name, own in zip(names, coder.encode_batches(texts)):
+                    ids.append(name)
+                    coded.append(own + end)
+                    size += len(coded[-1]) // 4
+                    if size >= file_ids:
+                        yield (pack(ids, coded, number),)
+                        ids, coded, size, number = [], [], 0, number + 1
             if ids:
                 yield (pack(ids, coded, number),)
 

@@ -2,9 +2,10 @@
 
 A BPE tokenizer first splits a text into pieces and then encodes each piece
 by itself, so a piece's ids can be kept and used again.  Texts in scripts
-whose splitting is certain to agree are split here; the library's model encodes
-a new piece, known ones are looked up.  Any other text goes to the library whole.
-Both ways give the same ids.
+whose splitting is certain to agree are split here, many at once: at their
+spaces first, and each different word of them into pieces; the library's model encodes
+a new piece, known words are looked up once for all their places.  Any other
+text goes to the library whole.  Both ways give the same ids.
 
 Special tokens' strings inside a text are ordinary text.  A null text is
 empty.
@@ -15,13 +16,17 @@ from __future__ import annotations
 import json
 import os
 import re
-from struct import pack
+from array import array
+from codecs import charmap_decode
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Letters, marks and spaces outside these ranges may be classed otherwise by
 # another library's Unicode tables, or change under normalisation.
-_UNSURE = re.compile(r"[^\t\n\r\x20-\x7e¡-¬®-įĲ-ž‐-‧‰-⁞₠-₿]")
+_UNSURE = r"[^\t\n\r\x20-\x7e¡-¬®-įĲ-ž‐-‧‰-⁞₠-₿]"
 #: The letters and numbers of those ranges (fixed values).
 _LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-įĲ-ž", "0-9²³¹¼-¾"
 
@@ -30,11 +35,17 @@ SPLIT_BYTE_LEVEL = rf" ?[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_NUMBER}]+| ?[^\s
 WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPLIT_WORD_LEVEL = rf"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+"
 
-#: Pieces kept by a worker process in each of two generations; pieces not met in one are forgotten.
+#: Most of the sure characters that are neither letters, numbers nor white space.
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: White space that is a piece together with other white space, and a space that is one alone.
+_SPACES = r"\s\s| \z"
+
+#: Words kept by a worker process, in characters and ids 64 bytes each on average; beyond that it starts anew.
 KEPT_PIECES = 1_000_000
-#: As many words, where no piece goes beyond a word: they are kept with the signs around them.
-KEPT_WORDS = 400_000
-LONGEST_KEPT = 64
+#: As many for splits that leave spaces out.
+KEPT_WORDS = 800_000
+#: Code points that are encoded at once, about.
+AT_ONCE = 4_000_000
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -61,47 +72,101 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             pattern, self.lower = _splitting(json.load(f))
         self.split = re.compile(pattern).findall if pattern else None
-        model = self.tokenizer.model.tokenize
-
-        def encoded(piece: str) -> bytes:
-            if not (piece.isascii() and piece.isalnum()):  # those bytes are written as themselves
-                piece = piece.encode("utf-8").decode("latin-1").translate(_BYTES)
-            ids = [t.id for t in model(piece)]
-            return pack(f"<{len(ids)}I", *ids)
-
-        def word(text: str) -> bytes:
-            parts = self.split(text)
-            return encoded(text) if len(parts) == 1 else b"".join(map(self.pieces.__getitem__, parts))
-
-        self.pieces = _Kept(word, KEPT_WORDS) if self.lower else _Kept(encoded, KEPT_PIECES)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        self.model = self.tokenizer.model.tokenize
+        self.most = KEPT_WORDS if self.lower else KEPT_PIECES
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Numbers of words; their ids one after the other, and where each word's end.
+        self.known: dict[str, int] = {}
+        self.ids, self.ends, self.size = array("I"), array("q", [0]), 0
+
+    def encode_batches(self, texts: pa.Array) -> Iterator[bytes]:
+        """As ``encode``, some texts at a time."""
+        sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + AT_ONCE, "right")))
+            yield from self.encode(texts.slice(at, end - at))
+            at = end
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Of each text its ids as little-endian unsigned 32-bit integers."""
-        return [self._ids(text) if text else b"" for text in texts]
-
-    def _ids(self, text: str) -> bytes:
-        if self.split is None or _UNSURE.search(text):
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        out = [b""] * len(texts)
+        if self.split is None:
+            apart, sure = np.arange(len(texts)), np.zeros(0, dtype=np.int64)
+        else:
+            unsure = pc.match_substring_regex(texts, _UNSURE if self.lower else f"{_UNSURE}|{_SPACES}").to_numpy(zero_copy_only=False)
+            apart, sure = np.flatnonzero(unsure), np.flatnonzero(~unsure)
+        for k in apart.tolist():
+            out[k] = self._whole(texts[k].as_py())
+        if len(sure):
+            ids, bounds = self._by_words(texts.take(pa.array(sure)) if len(apart) else texts)
+            for k, x, y in zip(sure.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                out[k] = ids[x:y].tobytes()
+        return out
+
+    def _whole(self, text: str) -> bytes:
+        if self.split is None or re.search(_UNSURE, text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        # Of the sure characters, str.split() and the pattern have the same four as white space.
-        return b"".join(map(self.pieces.__getitem__, text.lower().split() if self.lower else self.split(text)))
-
-
-class _Kept(dict):
-    """Values that are made at first use; two generations of at most ``most`` are kept."""
-
-    def __init__(self, make, most: int) -> None:
-        self.make, self.most, self.older = make, most, {}
-
-    def __missing__(self, key: str) -> bytes:
-        own = self.older.get(key)
-        if own is None:
-            own = self.make(key)
-        if len(key) <= LONGEST_KEPT:
-            if len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[key] = own
+        return self._joined([f"\0{piece}" for piece in self.split(text)]).tobytes()
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' ids one after the other, and where each text's begin and the last one's end."""
+        if len(self.known) > self.most or self.size > 64 * self.most:
+            self._forget()
+        # Of the sure characters, Arrow and the pattern have the same four as white space.
+        parts = pc.ascii_split_whitespace(texts) if self.lower else pc.split_pattern(texts, " ")
+        offsets = parts.offsets.to_numpy()
+        words = parts.flatten().dictionary_encode()
+        keys, own = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy().astype(np.int64)
+        if self.lower:
+            keys = [k.lower() for k in keys]
+        else:
+            # A text's first word has no space before it.
+            firsts = offsets[:-1] - offsets[0]
+            keys += [f"\0{keys[k]}" for k in own[firsts].tolist()]
+            own[firsts] = np.arange(len(keys) - len(firsts), len(keys))
+        numbers = np.array(list(map(self._number, keys)), dtype=np.int64)[own]
+        ends = np.array(self.ends)
+        first, many = ends[numbers], ends[numbers + 1] - ends[numbers]
+        after = np.concatenate([[0], np.cumsum(many)])
+        at = np.repeat(first - after[:-1], many)
+        at += np.arange(len(at))
+        return np.array(self.ids, dtype="<u4")[at], after[offsets - offsets[0]]
+
+    def _number(self, key: str) -> int:
+        """The number of a word: of byte-level splits with the space before it, and without if the key begins with NUL."""
+        number = self.known.get(key)
+        if number is None:
+            own = self._new(key)
+            self.ids.extend(own)
+            number = self.known[key] = len(self.ends) - 1
+            self.ends.append(len(self.ids))
+            self.size += len(key) + 4 * len(own)
+        return number
+
+    def _new(self, key: str) -> list[int] | array:
+        text = key if self.lower else key[1:] if key[:1] == "\0" else f" {key}"
+        # Of the sure characters, letters alone are a piece, and so are the signs at a word's end.
+        if key.isalpha():
+            pieces = [text]
+        elif (inner := key.rstrip(_SIGNS)) and inner[-1].isalpha() and len(inner) < len(key):
+            return self._joined([inner, key[len(inner):] if self.lower else f"\0{key[len(inner):]}"])
+        else:
+            pieces = self.split(text)
+        if len(pieces) == 1:
+            if not (text.isascii() and text.isalnum()):  # those bytes are written as themselves
+                text = charmap_decode(text.encode("utf-8"), "strict", _BYTES)[0]
+            return [t.id for t in self.model(text)]
+        return self._joined(pieces if self.lower else [p[1:] if p[0] == " " and len(p) > 1 else f"\0{p}" for p in pieces])
+
+    def _joined(self, keys: list[str]) -> array:
+        own, ends = array("I"), self.ends
+        for number in map(self._number, keys):
+            own += self.ids[ends[number]:ends[number + 1]]
         return own
 
 
@@ -112,7 +177,7 @@ def _byte_characters() -> dict[int, str]:
     return {**{b: chr(b) for b in printable}, **{b: chr(0x100 + k) for k, b in enumerate(others)}}
 
 
-_BYTES = _byte_characters()
+_BYTES = "".join(_byte_characters()[b] for b in range(256))
 
 
 def _splitting(described: dict) -> tuple[str | None, bool]:

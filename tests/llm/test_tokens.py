@@ -1,9 +1,11 @@
 """Ids by pieces equal the library's ids of whole texts; token files give any id."""
 
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -89,3 +91,22 @@ def test_empty_table(spark):
     path = scratch_path(spark, "t")
     token_codes.write_token_files(spark.createDataFrame([], "doc_id long, text string"), path, public_tokenizers.path(FILES[0]), 2)
     assert token_codes.read_documents(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_a_word_is_looked_up_once_for_all_its_places(name, monkeypatch):
+    # Before, every place of a word was a lookup of its own.
+    coder, asked = tokens.Encoder(public_tokenizers.path(name)), []
+    known = coder._number
+    monkeypatch.setattr(coder, "_number", lambda key: asked.append(key) or known(key))
+    monkeypatch.setattr(tokens, "AT_ONCE", 1000)
+    texts = ["one two, two\nThree's 12 three " * 40 + "end", None, "two  spaces ", "", "\ttab", "two", "漢字 two", "x" * 3000]
+    assert list(coder.encode_batches(pa.array(texts))) == [whole(name, t) for t in texts]
+    assert len(asked) < 60
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_sure_characters_beside_each_other(name):
+    sure = [c for c in map(chr, range(0x2100)) if not re.match(tokens._UNSURE, c)]
+    texts = [f"a{c}{d}b {c} {d}{c}1" for c in sure for d in "a1'. \n"] + [f"{c}" for c in sure]
+    assert tokens.encoder(public_tokenizers.path(name)).encode(texts) == [whole(name, t) for t in texts]
