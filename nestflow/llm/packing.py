@@ -49,6 +49,8 @@ TOPICS, DIMS, SAMPLE_DOCS = 128, 128, 2048
 DENSE, BEST = 8, 128
 #: Sampled sketches for each task, which the tasks' bounds come from.
 BOUND_ROWS = 100
+#: Documents' distinct terms that are counted at once.
+_TERMS_AT_ONCE = 1_000_000
 
 #: BM25's usual parameters.
 K1, B = 1.2, 0.75
@@ -71,18 +73,21 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         total = 0
 
         def rows():
-            nonlocal total
-            seen = np.zeros(size, dtype=bool)
+            nonlocal often, total
+            terms, many = [], 0
             for batch in found:
                 names, texts = batch.column(0).to_pylist(), batch.column(1)
                 for name, own in zip(names, coder.encode_batches(texts)):
-                    ids = np.frombuffer(own + end, "<u4")
-                    seen[ids] = True
-                    terms = np.flatnonzero(seen)
-                    often[terms] += 1
-                    seen[terms] = False
+                    ids = np.frombuffer(own + end, "<u4").astype(kind)
+                    terms.append(_counted(ids)[0])
+                    many += len(terms[-1])
+                    if many > _TERMS_AT_ONCE:
+                        often += np.bincount(np.concatenate(terms), minlength=size)
+                        terms, many = [], 0
                     total += len(ids)
-                    yield 0, name, 0, ids.astype(kind).tobytes()
+                    yield 0, name, 0, ids.tobytes()
+            if many:
+                often += np.bincount(np.concatenate(terms), minlength=size)
             if total:
                 yield 1, total, size, often.astype("<i8").tobytes()
 
@@ -160,7 +165,16 @@ class Topics:
 
 def distinct(docs: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Of each document its distinct terms and their counts."""
-    return [np.unique(ids, return_counts=True) for ids in docs]
+    return [_counted(ids) for ids in docs]
+
+
+def _counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``np.unique`` with counts; ids of two bytes are sorted by radix."""
+    ids = np.sort(ids, kind="stable")
+    new = np.ones(len(ids) + 1, dtype=bool)
+    np.not_equal(ids[1:], ids[:-1], out=new[1:-1])
+    bounds = new.nonzero()[0] if len(ids) else np.zeros(1, dtype=np.int64)
+    return ids[bounds[:-1]], bounds[1:] - bounds[:-1]
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
