@@ -169,6 +169,8 @@ def similarities(a: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, counts: n
     return np.bincount(own, 1 / sums, len(sizes))
 
 
+#: Texts whose signatures a task keeps for copies of them.
+KEPT = 20_000
 _SIGNED = "row long, doc_id long, d1 long, d2 long, bands array<long>, marks array<long>"
 #: Registers are kept as marks of four bits, sixteen a word, for ``agreeing``.
 _WORDS = -(-REGISTERS // 16)
@@ -204,15 +206,16 @@ def _signed(rows: DataFrame, width: int) -> DataFrame:
     """Of every row its class digest, its bands' hashes and its registers' marks."""
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
                         ("bands", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))])
+    kept = KEPT
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(width)
         known: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
 
         def ended(held: list) -> Iterator[pa.RecordBatch]:
-            new = {digest: (f, c) for _, _, f, c, digest in held if digest and digest not in known}
-            if len(known) > 20_000:
+            if len(known) > kept:  # before it is told which are new, as all of ``held`` are looked up
                 known.clear()
+            new = {digest: (f, c) for _, _, f, c, digest in held if digest and digest not in known}
             if new:
                 drawn = signatures(list(new.values()))
                 winners = drawn.reshape(len(new), BANDS, ROWS)
